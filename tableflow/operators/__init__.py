@@ -7,13 +7,14 @@ from tableflow.operators.cells import (
     row_to_cells,
     string_schema,
 )
-from tableflow.operators.regions import arrange_by_region, region_of
+from tableflow.operators.regions import arrange_by_region, place_in_regions, region_of
 from tableflow.operators.splits import split_keys, split_positions
 
 __all__ = [
     "CELL_COLUMNS",
     "arrange_by_region",
     "cells_to_wide",
+    "place_in_regions",
     "region_of",
     "row_key",
     "row_to_cells",

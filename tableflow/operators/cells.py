@@ -50,33 +50,38 @@ def encoded_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list
 
 
 def row_to_cells(
+    df: DataFrame, key: Column, cf: str, version: Column, columns: Sequence[str] | None = None
+) -> DataFrame:
+    """One cell per column per row; a null column gives a cell with a null value.
+
+    The reshaping runs in the scan's own stage; nothing is shuffled.
+    """
+    names = list(columns or df.columns)
+    return unpivot_cells(df, key, dict(zip(names, encoded_columns(df, names))), cf, version)
+
+
+def unpivot_cells(
     df: DataFrame,
     key: Column,
+    texts: Mapping[str, Column],
     cf: str,
     version: Column,
-    columns: Sequence[str] | None = None,
-    carry: Mapping[str, Column] | None = None,
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """One cell per column per row; a null column gives a cell with a null value.
+    """Cells from a row key and one text column per qualifier; a row's cells follow each other.
 
-    ``carry`` adds per-row columns to the output. The reshaping runs in the scan's own stage;
-    nothing is shuffled.
+    ``carry`` names columns every cell of a row repeats.
     """
-    columns = list(columns or df.columns)
-    carry = {f"__{name}": column for name, column in (carry or {}).items()}
-    wide = df.select(
-        key.alias(_KEY),
-        *[column.alias(name) for name, column in carry.items()],
-        *encoded_columns(df, columns),
-    )
-    cells = wide.unpivot([_KEY, *carry], [quoted(name) for name in columns], "qualifier", "value")
-    return cells.select(
+    kept = [F.col(name).alias(f"__{name}") for name in carry]
+    wide = df.select(key.alias(_KEY), *kept, *[text.alias(name) for name, text in texts.items()])
+    ids, values = [_KEY, *[f"__{name}" for name in carry]], [quoted(name) for name in texts]
+    return wide.unpivot(ids, values, "qualifier", "value").select(
         F.col(_KEY).alias("rowkey"),
         F.lit(cf).alias("cf"),
         "qualifier",
         version.alias("version"),
         "value",
-        *[F.col(name).alias(name[2:]) for name in carry],
+        *[F.col(f"__{name}").alias(name) for name in carry],
     )
 
 
@@ -103,9 +108,9 @@ def cells_to_wide(
         cells = cells.where((F.col("cf") == cf) & F.col("qualifier").isin(wanted))
 
     def newest(qualifier: str) -> Column:
-        order = F.struct("version", "value")
+        # the greatest (version, value); a lone struct, so each value is shuffled once
         is_cell = (F.col("cf") == cf) & (F.col("qualifier") == qualifier)
-        return F.max_by("value", F.when(is_cell, order))
+        return F.max(F.when(is_cell, F.struct("version", "value")))["value"]
 
     values = [newest(qualifier).alias(name) for name, qualifier in mapping.items()]
     if not values:

@@ -19,24 +19,34 @@ def region_of(key: Column | str, splits: Sequence[str]) -> Column:
     return count_up_to(key, splits)
 
 
-def arrange_by_region(
-    cells: DataFrame,
-    splits: Sequence[str],
-    tasks: int | None = None,
-    spread: str | None = None,
+def place_in_regions(
+    df: DataFrame, splits: Sequence[str], tasks: int | None = None, spread: str | None = None
 ) -> DataFrame:
-    """Cells with their ``region``, range-partitioned and sorted by key inside each partition.
+    """Rows or cells with their ``region``, each partition a run of neighbouring row keys.
 
-    Partitions follow the whole cell key rather than the region, so a region that holds most of
-    the data is spread over many tasks, each with its own run of keys. ``spread`` names a column
-    that may part even cells with the same key; it must be stored, not computed on the fly.
-    ``region`` leads the sort, so a writer partitioning by region keeps the order.
+    Partitions follow the keys rather than the region, so a region that holds most of the data is
+    spread over many tasks. ``spread`` names a column that may part even rows with the same key; it
+    must be stored, not computed on the fly.
 
     ``tasks`` fixes the number of partitions; by default adaptive execution sizes them.
     """
-    if "region" not in cells.columns:
-        cells = cells.withColumn("region", region_of("rowkey", splits))
-    order = ["rowkey", "cf", "qualifier"]
-    by = [*order, spread] if spread else order
-    ranged = cells.repartitionByRange(tasks, *by) if tasks else cells.repartitionByRange(*by)
-    return ranged.sortWithinPartitions("region", *order)
+    by = [*_key_order(df), *([spread] if spread else [])]
+    ranged = df.repartitionByRange(tasks, *by) if tasks else df.repartitionByRange(*by)
+    # above the exchange: Spark evaluates what is below it a second time to sample the bounds
+    return ranged.withColumn("region", region_of("rowkey", splits))
+
+
+def arrange_by_region(
+    df: DataFrame, splits: Sequence[str], tasks: int | None = None, spread: str | None = None
+) -> DataFrame:
+    """``place_in_regions``, with each partition sorted by region and key.
+
+    ``region`` leads the sort, so a writer partitioning by region keeps the order.
+    """
+    placed = place_in_regions(df, splits, tasks, spread)
+    return placed.sortWithinPartitions("region", *_key_order(df))
+
+
+def _key_order(df: DataFrame) -> list[str]:
+    """The key columns the frame has: all of a cell's, or only a row's."""
+    return [name for name in ("rowkey", "cf", "qualifier") if name in df.columns]

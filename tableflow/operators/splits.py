@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tableflow.operators.search import array_literal, count_up_to
 
 # Keys a single gap may hold before it is narrowed further; a gap is sorted by one task.
-GAP_ROWS = 2_000_000
+GAP_ROWS = 1_000_000
 # Sampled keys per narrowing pass, and per wanted split when there are many.
 SAMPLE_KEYS = 10_000
 SAMPLE_KEYS_PER_SPLIT = 20
@@ -60,8 +60,7 @@ def split_keys(
     sample of keys cuts the key space into gaps, each task counts its keys per gap, and only the
     few gaps that hold a wanted position are looked at again. The sample decides how fast the gaps
     shrink, never the result: every position comes from complete counts. Sampled keys are
-    counted on their own, so a key that holds a third of all rows is one count and not a large
-    gap, and the last step groups equal keys before it sorts.
+    counted on their own, so a key that holds a third of all rows is one count, and not a large gap.
     """
     keys = df.select(F.col(key).cast("string").alias("k"))
     total, present = keys.agg(F.count("*"), F.count("k")).first()
@@ -89,7 +88,7 @@ def split_keys(
         edges = finer
     if gaps:
         found |= _sorted_pick(_inside(keys, edges, gaps), gaps, wanted)
-    return sorted(found, key=lambda text: text.encode("utf-8"))
+    return sorted(found)
 
 
 def _slot(key: Column, edges: list[str]) -> Column:
@@ -106,7 +105,7 @@ def _inside(keys: DataFrame, edges: list[str], gaps: list[_Gap]) -> DataFrame:
     slots = keys.withColumn("gap", _slot(F.col("k"), edges))
     if not edges:
         return slots
-    return slots.where(F.array_contains(array_literal([2 * g.index for g in gaps], "int"), F.col("gap")))
+    return slots.where(F.col("gap").isin([2 * gap.index for gap in gaps]))
 
 
 def _edges_around(edges: list[str], gaps: list[_Gap]) -> set[str]:
@@ -144,14 +143,9 @@ def _holds(wanted: list[int], start: int, rows: int) -> bool:
 
 
 def _sorted_pick(inside: DataFrame, gaps: list[_Gap], wanted: list[int]) -> set[str]:
-    """Split keys inside the gaps, by sorting each gap's distinct keys with their counts."""
+    """Split keys inside the gaps, by numbering each gap's sorted keys; a gap is one task's work."""
     starts = F.create_map(*[F.lit(x) for gap in gaps for x in (2 * gap.index, gap.start)])
-    ordered = Window.partitionBy("gap").orderBy("k")
-    counted = inside.groupBy("gap", "k").count()
-    ends = counted.select(
-        "k", "count", (F.element_at(starts, F.col("gap")) + F.sum("count").over(ordered)).alias("end")
-    )
-    # wanted positions before the key's last row, less those before its first
-    last = count_up_to(F.col("end") - 1, wanted, "bigint")
-    before = count_up_to(F.col("end") - F.col("count") - 1, wanted, "bigint")
-    return {row.k for row in ends.where(last > before).select("k").collect()}
+    number = F.row_number().over(Window.partitionBy("gap").orderBy("k"))
+    at = F.element_at(starts, F.col("gap")) + number - 1
+    picked = inside.select("k", at.alias("at")).where(F.col("at").isin(wanted))
+    return {row.k for row in picked.collect()}

@@ -5,14 +5,15 @@ from __future__ import annotations
 import logging
 import math
 import time
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.operators.cells import CELL_COLUMNS, encoded_columns, quoted, row_key, row_to_cells
-from tableflow.operators.regions import arrange_by_region, region_of
+from tableflow.operators.cells import encoded_columns, row_key, row_to_cells, unpivot_cells
+from tableflow.operators.regions import arrange_by_region, place_in_regions
 from tableflow.operators.splits import split_keys
 from tableflow.sinks.store import FolderStore, hadoop_path, new_load_id, open_store
 from tableflow.spec import TargetSpec
@@ -88,6 +89,7 @@ class KeyedRows:
 
     frame: DataFrame
     names: list[str]
+    unique: bool  # whether no two rows share a key
 
 
 def store_keyed_rows(df: DataFrame, keys: Sequence[str] | None, path: str) -> KeyedRows:
@@ -100,40 +102,48 @@ def store_keyed_rows(df: DataFrame, keys: Sequence[str] | None, path: str) -> Ke
     spread = F.floor(F.rand() * (1 << 30)).cast("int")
     keyed = df.select(row_key(df, keys).alias("rowkey"), spread.alias("spread"), *texts)
     keyed.write.parquet(path)
-    return KeyedRows(df.sparkSession.read.schema(keyed.schema).parquet(path), df.columns)
+    stored = df.sparkSession.read.schema(keyed.schema).parquet(path)
+    return KeyedRows(stored, df.columns, unique=not keys)
 
 
 def stage_cells(
     rows: KeyedRows, splits: Sequence[str], cf: str, version: int, path: str, kind: str
 ) -> None:
-    """Write the cells by region; each file is sorted, and files of a region do not overlap."""
-    frame = rows.frame
-    cells = frame.withColumn("region", region_of("rowkey", splits)).unpivot(
-        ["rowkey", "region", "spread"],
-        [f"c{at}" for at in range(len(rows.names))],
-        "qualifier",
-        "value",
-    )
-    cells = cells.select(
-        "rowkey",
-        F.lit(cf).alias("cf"),
-        _qualifier(rows.names).alias("qualifier"),
-        _long(version).alias("version"),
-        "value",
-        "region",
-        "spread",
-    )
+    """Write the cells by region, each file sorted by row key and qualifier.
+
+    What is shuffled and sorted are rows, not the many more cells: a row becomes its cells, in
+    qualifier order, in the task that writes them. Only rows that may share a key need their cells
+    sorted once more.
+    """
+    frame, spark = rows.frame, rows.frame.sparkSession
     tasks = math.ceil(frame.count() * len(rows.names) / CELLS_PER_TASK)
-    if tasks <= int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+    if tasks <= int(spark.conf.get("spark.sql.shuffle.partitions")):
         tasks = None
-    placed = arrange_by_region(cells, splits, tasks, spread="spread")
-    placed.select(*CELL_COLUMNS, "region").write.format(kind).partitionBy("region").save(path)
-
-
-def _qualifier(names: Sequence[str]) -> Column:
-    """The column name behind ``c0``, ``c1``, ..."""
-    entries = [F.lit(text) for at, name in enumerate(names) for text in (f"c{at}", name)]
-    return F.element_at(F.create_map(*entries), F.col("qualifier"))
+    place = arrange_by_region if rows.unique else place_in_regions
+    placed = place(frame, splits, tasks, spread="spread")
+    texts = {name: F.col(f"c{at}") for at, name in enumerate(rows.names)}
+    in_order = {name: texts[name] for name in sorted(texts)}
+    cells = unpivot_cells(placed, F.col("rowkey"), in_order, cf, _long(version), ["region"])
+    if not rows.unique:
+        cells = cells.sortWithinPartitions("region", "rowkey", "qualifier")
+    with _open_writers(spark, len(splits) + 1):
+        cells.write.format(kind).partitionBy("region").save(path)
+
+
+@contextmanager
+def _open_writers(spark: SparkSession, files: int) -> Iterator[None]:
+    """Let a task keep a file open per region, instead of sorting its rows by region again.
+
+    A task's rows come in key order and so in region order already, which Spark does not know after
+    the unpivot. Tasks hold neighbouring keys, so most see one region or two.
+    """
+    name = "spark.sql.maxConcurrentOutputFileWriters"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(files))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
 def _long(number: int) -> Column:
