@@ -39,6 +39,12 @@ def hadoop_path(spark: SparkSession, path: str):
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
+def same_file_system(spark: SparkSession, one: str, other: str) -> bool:
+    """Whether a rename can move one path to the other."""
+    uris = [hadoop_path(spark, path)[0].getUri().toString() for path in (one, other)]
+    return uris[0] == uris[1]
+
+
 def open_store(spark: SparkSession, name: str, kind: str = "") -> FolderStore | TableStore:
     """A store by path (with a slash) or by table name (``namespace:table`` or ``db.table``)."""
     if "/" in name:
@@ -94,11 +100,10 @@ class FolderStore:
         task sorting what it read.
         """
         folder = f"{self.location()}/load={load}"
-        source_fs, source = hadoop_path(self.spark, staged)
-        target_fs, target = hadoop_path(self.spark, folder)
-        if source_fs.getUri().toString() == target_fs.getUri().toString():
-            target_fs.mkdirs(target.getParent())
-            if not source_fs.rename(source, target):
+        if same_file_system(self.spark, staged, folder):
+            fs, target = hadoop_path(self.spark, folder)
+            fs.mkdirs(target.getParent())
+            if not fs.rename(hadoop_path(self.spark, staged)[1], target):
                 raise OSError(f"cannot move {staged} to {folder}")
         else:
             cells = self.spark.read.format(self.kind).schema(f"{_CELLS}, region int").load(staged)

@@ -1,0 +1,237 @@
+"""Sources, join text, filters, derived columns and plug-ins through build()."""
+
+import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
+
+from conftest import plan_of
+from tableflow import PipelineSpec, build, register
+from tableflow.plugins import resolve
+
+
+def relation(name, join="", **more):
+    return {"id": name, "source": "ext_hive", "location": f"{name}_data", "join": join} | more
+
+
+def job(*sources, **body):
+    indexed = [{"index": at} | source for at, source in enumerate(sources, 1)]
+    return PipelineSpec.from_dict({"source": {"mapping": indexed} | body})
+
+
+def rows(df):
+    return sorted((tuple(row) for row in df.collect()), key=repr)
+
+
+JOINS = {
+    "join dept on emp.dept = dept.dept": [(1, "hr")],
+    "inner join dept on emp.dept = dept.dept": [(1, "hr")],
+    "left outer join dept on emp.dept = dept.dept": [(1, "hr"), (2, None), (3, None)],
+    "right outer join dept on emp.dept = dept.dept": [(1, "hr"), (None, "it")],
+    "full outer join dept on emp.dept = dept.dept": [(1, "hr"), (2, None), (3, None), (None, "it")],
+    "left join dept on emp.dept <=> nullif(dept.dept, 30)": [(1, "hr"), (2, None), (3, "it")],
+    "join dept using (dept)": [(1, "hr")],
+    "natural join dept": [(1, "hr")],
+    "join dept on emp.dept < dept.dept": [(1, "it"), (2, "it")],
+    "cross join dept": [(e, t) for e in (1, 2, 3) for t in ("hr", "it")],
+    ", dept": [(e, t) for e in (1, 2, 3) for t in ("hr", "it")],
+    ", lateral (select title from dept where dept.dept = emp.dept)": [(1, "hr")],
+    "lateral view explode(array('x', 'y')) v as title": [(e, t) for e in (1, 2, 3) for t in "xy"],
+}
+
+
+@pytest.mark.parametrize("text", JOINS)
+def test_any_join_text(spark, people, text):
+    spec = job(relation("emp", "emp"), relation("dept", text), select=["emp_id", "title"])
+    assert rows(build(spark, spec)) == sorted(JOINS[text], key=repr)
+
+
+@pytest.mark.parametrize("kind, left", [("semi", [1]), ("anti", [2, 3])])
+def test_semi_and_anti_join(spark, people, kind, left):
+    text = f"left {kind} join dept on emp.dept = dept.dept"
+    result = build(spark, job(relation("emp", "emp"), relation("dept", text)))
+    assert result.columns == ["emp_id", "name", "dept"]
+    assert sorted(row.emp_id for row in result.collect()) == left
+
+
+def test_text_after_the_last_join(spark, people):
+    union = relation("dept", "union all select dept, title, 0 from dept")
+    result = build(spark, job(relation("emp", "emp"), union, **{"where.clause": "dept < 20"}))
+    assert rows(result) == sorted([(1, "ann", 10), (10, "hr", 0), (30, "it", 0)], key=repr)
+    top = relation("emp", "emp order by emp_id desc limit 2")
+    assert {row.emp_id for row in build(spark, job(top)).collect()} == {2, 3}
+
+
+def test_joins_follow_index_and_views_follow_the_list(spark, people):
+    first = relation("dept", "left join dept using (dept)", index=2)
+    # listed later but joined earlier; reads the earlier source by its id
+    second = relation("emp", "emp", index=1, location="(select * from emp_data)")
+    third = relation("n", "", location="(select count(*) as n from dept)", index="none")
+    spec = job(first, second, third, select=["emp_id", "(select n from n) as n"])
+    assert rows(build(spark, spec)) == [(1, 2), (2, 2), (3, 2)]
+
+
+def test_equal_indexes_keep_their_order(spark, people):
+    spec = job(relation("emp", "emp", index=5), relation("dept", "left join dept using (dept)", index=5))
+    assert build(spark, spec).count() == 3
+
+
+def test_a_repeated_id_replaces_the_view(spark, people):
+    spec = job(relation("x", "x", location="emp_data"), relation("x", "", location="dept_data"))
+    assert build(spark, spec).columns == ["dept", "title"]
+
+
+def test_nothing_to_join(spark, people):
+    with pytest.raises(ValueError, match="no source has a join text"):
+        build(spark, job(relation("emp"), relation("dept", "  ")))
+
+
+def test_projection_then_filter_on_a_dropped_column(spark, people):
+    source = relation("emp", "emp", columns=["name"], where="emp_id > 1")
+    result = build(spark, job(source))
+    assert result.columns == ["name"] and rows(result) == [("bob",), ("cy",)]
+
+
+def test_projection_keeps_the_listed_order_and_takes_nested_names(spark):
+    frame = spark.sql("select 1 as a, named_struct('x', 2) as s, map('k', 3) as m")
+    frame.createOrReplaceTempView("nested_data")
+    result = build(spark, job(relation("nested", "nested", columns=["m.k", "s.x", "a"])))
+    assert rows(result) == [(3, 2, 1)]
+    spark.catalog.dropTempView("nested_data")
+
+
+@pytest.mark.parametrize("where", ["", "   "])
+def test_blank_filters_are_skipped(spark, people, where):
+    spec = job(relation("emp", "emp", where=where), **{"where.clause": where})
+    assert build(spark, spec).count() == 3
+
+
+def test_post_join_filter_takes_subqueries(spark, people):
+    spec = job(
+        relation("emp", "emp"),
+        relation("dept"),
+        **{"where.clause": "exists (select 1 from dept d where d.dept = emp.dept) or dept in (select 20)"},
+    )
+    assert [row.emp_id for row in build(spark, spec).orderBy("emp_id").collect()] == [1, 2]
+
+
+def test_derived_columns_build_on_each_other(spark, people):
+    add = [["a", "emp_id + 1"], ["b", "a * 2"], ["a", "b + 1"], ["src_ind", "'N'"]]
+    add += [["nth", "row_number() over (order by emp_id desc)"], ["update_ts", "current_timestamp"]]
+    result = build(spark, job(relation("emp", "emp"), **{"add.columns": add}))
+    assert result.columns == ["emp_id", "name", "dept", "a", "b", "src_ind", "nth", "update_ts"]
+    got = result.select("emp_id", "a", "b", "src_ind", "nth", F.col("update_ts").isNotNull())
+    assert rows(got) == [(1, 5, 4, "N", 3, True), (2, 7, 6, "N", 2, True), (3, 9, 8, "N", 1, True)]
+
+
+def test_a_session_udf_resolves(spark, people):
+    spark.sql("create temporary function twice(x int) returns int return x * 2")
+    spec = job(relation("emp", "emp"), **{"add.columns": [["d", "twice(emp_id)"]]})
+    assert sorted(row.d for row in build(spark, spec).collect()) == [2, 4, 6]
+    spark.sql("drop temporary function twice")
+
+
+def test_duplicate_names_are_reported_before_any_write(spark, people):
+    text = "join dept on emp.dept = dept.dept"
+    with pytest.raises(ValueError, match="duplicate column.*dept"):
+        build(spark, job(relation("emp", "emp"), relation("dept", text)))
+    upper = relation("emp", "emp", location="(select emp_id, emp_id as EMP_ID from emp_data)")
+    with pytest.raises(ValueError, match="emp_id"):
+        build(spark, job(upper))
+
+
+def test_a_custom_sink_may_take_duplicates(spark, people):
+    tree = {
+        "source": {"mapping": [relation("emp", "emp cross join (select 1 as name)")]},
+        "target": {"place": "hdfs", "class": "some.sink"},
+    }
+    assert build(spark, PipelineSpec.from_dict(tree)).columns == ["emp_id", "name", "dept", "name"]
+
+
+@pytest.mark.parametrize("kind", ["ext_hive", "hive-ext", "mng_hive", "hive-mng", "EXT_HIVE", "Hive-Mng"])
+def test_table_kinds(spark, people, kind):
+    assert build(spark, job(relation("emp", "emp", source=kind))).count() == 3
+
+
+@pytest.mark.parametrize("kind", ["kafka", ""])
+def test_unknown_kinds_are_refused(spark, people, kind):
+    with pytest.raises(ValueError, match="unknown kind.*known: ext_hive, hbase"):
+        build(spark, job(relation("emp", "emp", source=kind)))
+
+
+def test_files_with_schema_and_options(spark, people, tmp_path):
+    path = str(tmp_path / "csv")
+    people["emp"].coalesce(1).write.option("header", "true").csv(path)
+    plain = {"id": "f", "source": "HDFS", "format": "csv", "location": path, "join": "f"}
+    assert build(spark, job(plain)).columns == ["_c0", "_c1", "_c2"]
+    typed = plain | {"schema": "emp_id int, name string, dept int", "options": {"header": "true"}}
+    assert rows(build(spark, job(typed))) == rows(people["emp"])
+
+
+def test_plugins(spark, people):
+    @register("only_ann")
+    def only_ann(session, source):
+        return session.table(source.location).where(F.col("name") == source.custom["who"])
+
+    class Reader:
+        def transform(self, session, source):
+            return session.table(source.location).limit(0)
+
+    register("reader_class", Reader)
+    source = relation("emp", "emp", custom={"who": "ann"})
+    assert build(spark, job(source | {"transform": "only_ann"})).count() == 1
+    assert build(spark, job(source | {"transform": "reader_class"})).count() == 0
+    assert build(spark, job(source | {"transform": "default"})).count() == 3
+    by_path = build(spark, job(source | {"transform": "tableflow.sources.tables.read_relation"}))
+    assert by_path.count() == 3
+
+
+@pytest.mark.parametrize("name", ["no.such.thing", "nothing", "tableflow.nothing", "os:nothing"])
+def test_unknown_plugins_are_refused(name):
+    with pytest.raises(LookupError, match="neither registered nor importable"):
+        resolve(name, "transform")
+
+
+def test_plugins_must_be_callable_and_not_hide_the_built_in():
+    register("a_number", 3)
+    with pytest.raises(LookupError, match="no callable 'save'"):
+        resolve("a_number", "save")
+    with pytest.raises(ValueError, match="built-in"):
+        register("default", print)
+
+
+def test_views_are_put_back(spark, people):
+    spark.range(7).createOrReplaceTempView("emp")
+    result = build(spark, job(relation("emp", "emp"), relation("dept")))
+    assert result.count() == 3  # the plan outlives its views
+    assert spark.table("emp").count() == 7
+    assert not spark.catalog.tableExists("dept")
+    with pytest.raises(AnalysisException):
+        build(spark, job(relation("emp", "emp"), relation("dept", "join nowhere")))
+    assert spark.table("emp").count() == 7
+    assert not spark.catalog.tableExists("dept")
+    spark.catalog.dropTempView("emp")
+
+
+def test_filters_and_columns_reach_the_scan(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id", "id % 3 as k", "'x' as text").write.parquet(path)
+    source = {"id": "t", "source": "hdfs", "format": "parquet", "location": path, "join": "t"}
+    spec = job(
+        source | {"columns": ["id", "k"], "where": "k = 1"},
+        **{"where.clause": "id > 10", "add.columns": [["d", "id * 2"]], "select": ["id"]},
+    )
+    plan = plan_of(build(spark, spec))
+    assert "EqualTo(k,1)" in plan and "GreaterThan(id,10)" in plan
+    assert "ReadSchema: struct<id:bigint,k:bigint>" in plan
+
+
+def test_a_spec_applies_what_a_running_session_allows(spark, people, caplog):
+    tree = {
+        "spark-config": {"spark.sql.files.maxPartitionBytes": "64m", "spark.serializer": "x"},
+        "source": {"mapping": [relation("emp", "emp")]},
+    }
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    build(spark, PipelineSpec.from_dict(tree))
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "64m"
+    assert "spark.serializer" in caplog.text
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)

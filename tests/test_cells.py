@@ -1,0 +1,166 @@
+"""Wide rows to cells and back."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from conftest import plan_of
+from tableflow.functions import decode_value, encode_value
+from tableflow.operators import cells_to_wide, row_key, row_to_cells, string_schema
+
+CELLS = "rowkey string, cf string, qualifier string, version long, value string"
+
+
+@pytest.fixture
+def cells(spark):
+    return spark.createDataFrame(
+        [
+            ("r1", "raw", "a", 1, "old"),
+            ("r1", "raw", "a", 2, "new"),
+            ("r1", "raw", "b", 1, "x"),
+            ("r2", "raw", "a", 1, "kept?"),
+            ("r2", "raw", "a", 2, None),  # a newer null hides the older value
+            ("r3", "raw", "a", 5, "p"),
+            ("r3", "raw", "a", 5, "q"),  # a tie
+            ("r4", "raw", "z", 1, "unmapped"),
+            ("r5", "other", "a", 1, "other family"),
+            ("a", "raw", "a", 1, "1"),
+            ("a!", "raw", "a", 1, "2"),
+            ("a$b", "raw", "a", 1, "3"),
+        ],
+        CELLS,
+    ).repartition(4)
+
+
+EXPECTED = {
+    "r1": ("new", "x"),
+    "r2": (None, None),
+    "r3": ("q", None),
+    "a": ("1", None),
+    "a!": ("2", None),
+    "a$b": ("3", None),
+}
+
+
+def test_newest_value_per_mapped_qualifier(cells):
+    wide = cells_to_wide(cells, "raw", {"first": "a", "second": "b"})
+    assert wide.schema == string_schema(["rowkey", "first", "second"])
+    got = {row.rowkey: (row.first, row.second) for row in wide.collect()}
+    assert got == EXPECTED | {"r4": (None, None), "r5": (None, None)}
+
+
+def test_rows_without_mapped_cells_can_be_left_out(cells):
+    wide = cells_to_wide(cells, "raw", {"first": "a", "second": "b"}, keep_empty_rows=False)
+    assert {row.rowkey: (row.first, row.second) for row in wide.collect()} == EXPECTED
+
+
+def test_a_qualifier_may_be_mapped_twice_or_not_at_all(cells):
+    row = cells_to_wide(cells, "raw", {"x": "a", "y": "a"}).where("rowkey = 'r1'").first()
+    assert (row.x, row.y) == ("new", "new")
+    assert cells_to_wide(cells, "raw", {}).count() == 8
+    with pytest.raises(ValueError, match="rowkey"):
+        cells_to_wide(cells, "raw", {"rowkey": "a"})
+
+
+def test_one_shuffle_after_reducing_in_each_task(cells):
+    plan = plan_of(cells_to_wide(cells, "raw", {"x": "a"}), "simple")
+    assert plan.count("hashpartitioning(rowkey") == 1 and "partial_max" in plan
+
+
+def test_a_key_filter_runs_in_the_scan(spark, tmp_path, cells):
+    path = str(tmp_path / "cells")
+    cells.write.parquet(path)
+    wide = cells_to_wide(spark.read.parquet(path), "raw", {"x": "a"}).where("rowkey >= 'r2'")
+    assert "GreaterThanOrEqual(rowkey,r2)" in plan_of(wide)
+    pruned = cells_to_wide(spark.read.parquet(path), "raw", {"x": "a"}, keep_empty_rows=False)
+    assert "EqualTo(cf,raw)" in plan_of(pruned) and "qualifier" in plan_of(pruned)
+
+
+def test_every_column_becomes_a_cell_also_when_null(spark):
+    df = spark.createDataFrame([(1, None, 2.5), (2, "t", None)], "id int, text string, d double")
+    cells = row_to_cells(df, F.concat(F.lit("k"), "id"), "data", F.lit(9))
+    got = {(c.rowkey, c.cf, c.qualifier, c.version, c.value) for c in cells.collect()}
+    assert got == {
+        ("k1", "data", "id", 9, "1"),
+        ("k1", "data", "text", 9, None),
+        ("k1", "data", "d", 9, "2.5"),
+        ("k2", "data", "id", 9, "2"),
+        ("k2", "data", "text", 9, "t"),
+        ("k2", "data", "d", 9, None),
+    }
+    assert "Exchange" not in plan_of(cells)
+
+
+def test_column_names_are_taken_as_they_are(spark):
+    df = spark.sql("select 1 as rowkey, 2 as value, 3 as qualifier, 4 as `a.b c``d`, 5 as cf")
+    cells = row_to_cells(df, F.lit("k"), "d", F.lit(1))
+    got = {cell.qualifier: cell.value for cell in cells.collect()}
+    assert got == {"rowkey": "1", "value": "2", "qualifier": "3", "a.b c`d": "4", "cf": "5"}
+
+
+def test_a_random_key_is_one_key_per_row(spark):
+    df = spark.range(500).withColumn("x", F.lit(1))
+    cells = row_to_cells(df, row_key(df), "d", F.lit(1))
+    counts = cells.groupBy("rowkey").agg(F.count("*").alias("n"), F.countDistinct("qualifier").alias("q"))
+    rows = counts.collect()
+    assert len(rows) == 500 and all((row.n, row.q) == (2, 2) for row in rows)
+    assert all(len(row.rowkey) == 36 for row in rows)
+
+
+def test_keys_from_columns_are_distinct_texts(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c"), ("a\\", "|c"), ("a", "\\|c")], "x string, y string")
+    keys = [row.k for row in df.select(row_key(df, ["x", "y"]).alias("k")).collect()]
+    assert keys == ["a\\|b|c", "a|b\\|c", "a\\\\|\\|c", "a|\\\\\\|c"]
+    assert df.select(row_key(df, ["x"]).alias("k")).first().k == "a|b"
+
+
+def test_a_null_key_stops_the_job(spark):
+    df = spark.createDataFrame([("a", 1), (None, 2)], "x string, y int")
+    for names in (["x"], ["y", "x"]):
+        with pytest.raises(Exception, match="null row key from"):
+            df.select(row_key(df, names)).collect()
+
+
+VALUES = [
+    (T.StringType(), "text"),
+    (T.BooleanType(), True),
+    (T.ByteType(), -7),
+    (T.IntegerType(), 7),
+    (T.LongType(), -(2**63)),
+    (T.DoubleType(), 0.1 + 0.2),
+    (T.DoubleType(), float("inf")),
+    (T.DoubleType(), 1e-300),
+    (T.FloatType(), 0.25),
+    (T.DecimalType(38, 18), Decimal("12345678901234567890.123456789012345678")),
+    (T.DateType(), dt.date(1582, 10, 15)),
+    (T.TimestampType(), dt.datetime(2024, 10, 27, 2, 30, 0, 123456)),
+    (T.TimestampNTZType(), dt.datetime(2024, 2, 29, 23, 59, 59, 999999)),
+    (T.BinaryType(), bytearray(b"\x00\xff\xfe")),
+    (T.ArrayType(T.DoubleType()), [1.5, None]),
+    (T.MapType(T.IntegerType(), T.StringType()), {1: "a", 2: None}),
+    (T.StructType().add("t", T.TimestampNTZType()).add("n", T.IntegerType()), (dt.datetime(2024, 1, 1, 0, 0, 0, 7), None)),
+]
+
+
+@pytest.mark.parametrize("kind, value", VALUES, ids=lambda v: getattr(v, "simpleString", str)())
+@pytest.mark.parametrize("zone", ["UTC", "Europe/Berlin"])
+def test_values_read_back_as_written(spark, kind, value, zone):
+    schema = T.StructType().add("v", kind)
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", zone)
+    df = spark.createDataFrame([(value,), (None,)], schema)
+    text = df.select("v", encode_value(F.col("v"), kind).alias("text"))
+    assert text.schema["text"].dataType == T.StringType()
+    back = text.select("v", decode_value(F.col("text"), kind).alias("back"))
+    assert back.schema["back"].dataType.simpleString() == kind.simpleString()
+    assert all(row.v == row.back for row in back.collect())
+    spark.conf.set("spark.sql.session.timeZone", before)
+
+
+@pytest.mark.parametrize("kind", ["int", "double", "date", "timestamp", "boolean", "array<int>", "binary"])
+def test_text_that_does_not_fit_gives_null(spark, kind):
+    df = spark.createDataFrame([("certainly not?",)], "s string")
+    assert df.select(decode_value(F.col("s"), kind).alias("v")).first().v is None
