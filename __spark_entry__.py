@@ -211,11 +211,10 @@ def flagship_conform(spark, sf_dir):
     )
 
 
-@query("select o_custkey from orders where o_orderkey > 100")
+@query("select o_custkey from orders where o_orderstatus <> 'P'")
 def source_where_unselected(spark, sf_dir):
-    return build(
-        spark, job(files(sf_dir, "orders", "o_custkey", "orders", where="o_orderkey > 100"))
-    )
+    source = files(sf_dir, "orders", "o_custkey", "orders", where="o_orderstatus <> 'P'")
+    return build(spark, job(source))
 
 
 @query("select o_orderkey, o_totalprice from orders where o_orderstatus = 'F'")
@@ -408,17 +407,18 @@ def join_natural(spark, sf_dir):
 
 
 @query("""
-    select d.doc_id, l.quality from documents d left join labels l
-    on d.doc_id = l.doc_id and nullif(d.doc_id % 7, 0) is not distinct from nullif(l.toxic, 0)
+    select o_orderkey, o_orderstatus, l_linestatus from orders left join lineitem
+    on o_orderkey = l_orderkey
+    and nullif(o_orderstatus, 'O') is not distinct from nullif(l_linestatus, 'O')
 """)
 def join_null_safe(spark, sf_dir):
-    match = "documents.doc_id = labels.doc_id and nullif(documents.doc_id % 7, 0) <=> nullif(toxic, 0)"
+    match = "o_orderkey = l_orderkey and nullif(o_orderstatus, 'O') <=> nullif(l_linestatus, 'O')"
     return build(
         spark,
         job(
-            files(sf_dir, "documents", "doc_id", "documents"),
-            files(sf_dir, "labels", "doc_id toxic quality", f"left join labels on {match}"),
-            select=["documents.doc_id", "quality"],
+            files(sf_dir, "orders", "o_orderkey o_orderstatus", "orders"),
+            files(sf_dir, "lineitem", "l_orderkey l_linestatus", f"left join lineitem on {match}"),
+            select=["o_orderkey", "o_orderstatus", "l_linestatus"],
         ),
     )
 
@@ -557,17 +557,18 @@ def inline_values(spark, sf_dir):
 
 
 @query("""
-    select c_custkey as id, c_name as name from customer where c_custkey > 10
-    union all select s_suppkey, s_name from supplier where s_suppkey > 10
+    select c_custkey as id, c_name as name, c_acctbal as balance from customer where c_acctbal > 0
+    union all select s_suppkey, s_name, s_acctbal from supplier where s_acctbal > 0
 """)
 def tail_union(spark, sf_dir):
+    suppliers = "union all select * from supplier"
     return build(
         spark,
         job(
-            files(sf_dir, "customer", "c_custkey c_name", "customer"),
-            files(sf_dir, "supplier", "s_suppkey s_name", "union all select * from supplier"),
-            select=["c_custkey as id", "c_name as name"],
-            where="id > 10",
+            files(sf_dir, "customer", "c_custkey c_name c_acctbal", "customer"),
+            files(sf_dir, "supplier", "s_suppkey s_name s_acctbal", suppliers),
+            select=["c_custkey as id", "c_name as name", "c_acctbal as balance"],
+            where="balance > 0",
         ),
     )
 
@@ -596,14 +597,18 @@ def tail_top_k(spark, sf_dir):
 
 
 @query("""
-    select o_orderkey, o_custkey, o_orderdate,
-           cast(row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as int) as nth
-    from orders
+    select o_custkey, month, orders, cast(sum(orders) over (
+        partition by o_custkey order by month) as bigint) as orders_so_far
+    from (select o_custkey, cast(date_trunc('month', o_orderdate) as date) as month, count(*) as orders
+          from orders group by all)
 """)
 def add_window_column(spark, sf_dir):
-    nth = "row_number() over (partition by o_custkey order by o_orderdate, o_orderkey)"
-    source = files(sf_dir, "orders", "o_orderkey o_custkey o_orderdate", "orders")
-    return build(spark, job(source, add=[["nth", nth]]))
+    # counted per month first: a customer's window holds months, however many orders there are
+    monthly = """(select o_custkey, trunc(o_orderdate, 'month') as month, count(*) as orders
+                  from orders group by 1, 2) m"""
+    so_far = "sum(orders) over (partition by o_custkey order by month)"
+    source = files(sf_dir, "orders", "o_custkey o_orderdate", monthly)
+    return build(spark, job(source, add=[["orders_so_far", so_far]]))
 
 
 @query("""

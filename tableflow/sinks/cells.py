@@ -20,8 +20,8 @@ from tableflow.spec import TargetSpec
 
 log = logging.getLogger(__name__)
 
-# Cells one task should sort and write; sets the number of partitions of a large load.
-CELLS_PER_TASK = 20_000_000
+# Stored bytes one task should sort and write; sets the number of partitions of a large load.
+BYTES_PER_TASK = 256 * 1024 * 1024
 
 
 def write_cells(df: DataFrame, spark: SparkSession, target: TargetSpec) -> None:
@@ -90,6 +90,7 @@ class KeyedRows:
     frame: DataFrame
     names: list[str]
     unique: bool  # whether no two rows share a key
+    size: int  # bytes on disk
 
 
 def store_keyed_rows(df: DataFrame, keys: Sequence[str] | None, path: str) -> KeyedRows:
@@ -103,7 +104,9 @@ def store_keyed_rows(df: DataFrame, keys: Sequence[str] | None, path: str) -> Ke
     keyed = df.select(row_key(df, keys).alias("rowkey"), spread.alias("spread"), *texts)
     keyed.write.parquet(path)
     stored = df.sparkSession.read.schema(keyed.schema).parquet(path)
-    return KeyedRows(stored, df.columns, unique=not keys)
+    fs, folder = hadoop_path(df.sparkSession, path)
+    size = fs.getContentSummary(folder).getLength()
+    return KeyedRows(stored, df.columns, unique=not keys, size=size)
 
 
 def stage_cells(
@@ -115,12 +118,12 @@ def stage_cells(
     qualifier order, in the task that writes them. Only rows that may share a key need their cells
     sorted once more.
     """
-    frame, spark = rows.frame, rows.frame.sparkSession
-    tasks = math.ceil(frame.count() * len(rows.names) / CELLS_PER_TASK)
+    spark = rows.frame.sparkSession
+    tasks = math.ceil(rows.size / BYTES_PER_TASK)
     if tasks <= int(spark.conf.get("spark.sql.shuffle.partitions")):
         tasks = None
     place = arrange_by_region if rows.unique else place_in_regions
-    placed = place(frame, splits, tasks, spread="spread")
+    placed = place(rows.frame, splits, tasks, spread="spread")
     texts = {name: F.col(f"c{at}") for at, name in enumerate(rows.names)}
     in_order = {name: texts[name] for name in sorted(texts)}
     cells = unpivot_cells(placed, F.col("rowkey"), in_order, cf, _long(version), ["region"])

@@ -16,6 +16,7 @@ TYPES = {
     "string": "VARCHAR",
     "boolean": "BOOLEAN",
     "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE",
 }
 
 

@@ -131,9 +131,9 @@ def test_bulk_load_with_keys_from_columns(spark, store):
     assert store.check_layout() == 14
 
 
-@pytest.mark.parametrize("cells_per_task", [10, 20_000_000])
-def test_rows_that_share_a_key_stay_sorted(spark, store, monkeypatch, cells_per_task):
-    monkeypatch.setattr(cell_sink, "CELLS_PER_TASK", cells_per_task)
+@pytest.mark.parametrize("bytes_per_task", [300, 2**28])
+def test_rows_that_share_a_key_stay_sorted(spark, store, monkeypatch, bytes_per_task):
+    monkeypatch.setattr(cell_sink, "BYTES_PER_TASK", bytes_per_task)
     rows = spark.range(300).selectExpr("if(id % 3 = 0, 'hot', concat('k', id)) as k", "id as b", "id as a")
     store.bulk(rows, 5, **{"key-columns": ["k"]})
     assert store.check_layout() == 900
@@ -143,7 +143,7 @@ def test_rows_that_share_a_key_stay_sorted(spark, store, monkeypatch, cells_per_
 
 @pytest.mark.parametrize("keys", [None, ["k"]])
 def test_a_hot_key_is_written_by_many_tasks(spark, store, monkeypatch, keys):
-    monkeypatch.setattr(cell_sink, "CELLS_PER_TASK", 200)
+    monkeypatch.setattr(cell_sink, "BYTES_PER_TASK", 2000)
     rows = spark.range(3000).selectExpr("if(id % 3 > 0, 'hot', cast(id as string)) as k", "id as v")
     store.bulk(rows, 3, **({"key-columns": keys} if keys else {}))
     assert store.check_layout() == 6000
@@ -208,6 +208,16 @@ def test_publishing_across_file_systems_keeps_the_order(spark, store, monkeypatc
     assert store.check_layout() == 300 and store.rows("id", "b", "a") == as_text(100)
 
 
+def test_a_bucketed_cell_table_is_read_without_a_shuffle(spark, store):
+    store.write(numbers(spark, 30))
+    cells = open_store(spark, store.name).read()
+    cells.write.bucketBy(4, "rowkey").sortBy("rowkey").saveAsTable("tableflow_bucketed_test")
+    store.name = "tableflow_bucketed_test"
+    assert "Exchange" not in plan_of(store.wide(["id", "b", "a"]))
+    assert store.rows("id", "b", "a") == as_text(30)
+    spark.sql("drop table tableflow_bucketed_test")
+
+
 def test_a_failed_load_leaves_the_store_as_it_was(spark, store, monkeypatch):
     store.bulk(numbers(spark, 20), 3)
     before = store.rows("id", "b", "a")
