@@ -103,16 +103,22 @@ def cells_to_wide(
     """
     if "rowkey" in mapping:
         raise ValueError("an output column of a cell mapping cannot be called 'rowkey'")
+    if not mapping:
+        return cells.select("rowkey").distinct()
+    qualifiers = list(dict.fromkeys(mapping.values()))
     if not keep_empty_rows:
-        wanted = sorted(set(mapping.values()))
-        cells = cells.where((F.col("cf") == cf) & F.col("qualifier").isin(wanted))
+        cells = cells.where((F.col("cf") == cf) & F.col("qualifier").isin(qualifiers))
+    # What is sorted and shuffled is a small number and one struct, and nothing of unmapped cells.
+    slot = F.when(F.lit(False), F.lit(0))
+    for at, qualifier in enumerate(qualifiers):
+        slot = slot.when(F.col("qualifier") == qualifier, F.lit(at))
+    slots = cells.withColumn("slot", F.when(F.col("cf") == cf, slot))
+    cell = F.when(F.col("slot").isNotNull(), F.struct("version", "value"))
+    reduced = slots.select("rowkey", "slot", cell.alias("cell"))
 
     def newest(qualifier: str) -> Column:
-        # the greatest (version, value); a lone struct, so each value is shuffled once
-        is_cell = (F.col("cf") == cf) & (F.col("qualifier") == qualifier)
-        return F.max(F.when(is_cell, F.struct("version", "value")))["value"]
+        at = qualifiers.index(qualifier)
+        return F.max(F.when(F.col("slot") == at, F.col("cell")))["value"]
 
     values = [newest(qualifier).alias(name) for name, qualifier in mapping.items()]
-    if not values:
-        return cells.select("rowkey").distinct()
-    return cells.groupBy("rowkey").agg(*values)
+    return reduced.groupBy("rowkey").agg(*values)

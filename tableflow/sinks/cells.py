@@ -47,7 +47,7 @@ def put_cells(
     df: DataFrame, store: FolderStore, cf: str, keys: Sequence[str] | None, version: int
 ) -> None:
     """Append the cells in one pass; a store that does not exist yet starts with one region."""
-    if store.splits() is None:
+    if not store.exists():
         store.create([])
     store.put(row_to_cells(df, row_key(df, keys), cf, _long(version)), new_load_id())
 

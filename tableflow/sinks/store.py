@@ -61,18 +61,24 @@ class FolderStore:
     def location(self) -> str:
         return self.path
 
+    def exists(self) -> bool:
+        return self._saved_splits() is not None
+
     def splits(self) -> list[str] | None:
         """Saved split keys, or None when the store does not exist.
 
-        The list has one key per region, so its size is chosen by whoever created the store.
+        The list is shorter than the number of regions its creator asked for.
         """
+        saved = self._saved_splits()
+        return None if saved is None else sorted(row.split for row in saved.collect())
+
+    def _saved_splits(self) -> DataFrame | None:
         try:
-            saved = self.spark.read.schema("split string").parquet(f"{self.location()}/_splits")
+            return self.spark.read.schema("split string").parquet(f"{self.location()}/_splits")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
-        return sorted(row.split for row in saved.collect())
 
     def create(self, splits: list[str]) -> None:
         """Make an empty store with these split keys."""
@@ -83,7 +89,7 @@ class FolderStore:
     def read(self) -> DataFrame:
         """The cells; also of a plain folder of cells that no sink of ours wrote."""
         reader = self.spark.read.format(self.kind)
-        if self.splits() is not None:
+        if self.exists():
             reader = reader.schema(_SCHEMA)
         return reader.load(self.location()).select(*CELL_COLUMNS)
 
@@ -125,8 +131,8 @@ class TableStore(FolderStore):
         rows = self.spark.sql(f"describe table extended {self.name}")
         return rows.where("col_name = 'Location'").first().data_type.rstrip("/")
 
-    def splits(self) -> list[str] | None:
-        return super().splits() if self.spark.catalog.tableExists(self.name) else None
+    def _saved_splits(self) -> DataFrame | None:
+        return super()._saved_splits() if self.spark.catalog.tableExists(self.name) else None
 
     def create(self, splits: list[str]) -> None:
         self.spark.sql(
