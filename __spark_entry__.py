@@ -13,7 +13,7 @@ from collections.abc import Callable, Sequence
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tableflow import PipelineSpec, build, register, run
@@ -819,13 +819,39 @@ def bulk_region_layout(spark, sf_dir):
 @query("select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer")
 def bulk_catalog_table(spark, sf_dir):
     folder, name = scratch_folder(spark, "bulk"), f"default:tableflow_{uuid.uuid4().hex}"
-    target = bulk(folder)
+    target = bulk(folder, location=f"{folder}/table")
     target["options"]["tablename"] = name
     run(spark, job(files(sf_dir, "customer", CUSTOMER, "customer"), target=target))
     wide = build(spark, job(cell_source(name, list(CUSTOMER_TYPES))))
     return wide.select(*typed_columns(CUSTOMER_TYPES))
 
 
+@query("select cast(0 as bigint) as out_of_order, count(*) * 6 as cells from orders")
+def bulk_sorted_files(spark, sf_dir):
+    folder = scratch_folder(spark, "bulk")
+    target = bulk(folder, **{"key-columns": ["o_custkey"]})
+    run(spark, job(files(sf_dir, "orders", ORDERS, "orders"), target=target))
+    key = F.struct("region", "rowkey", "qualifier")
+    # a file is what one task wrote, so its window is no larger than a task
+    in_file = Window.partitionBy("_metadata.file_path").orderBy("_metadata.row_index")
+    pairs = spark.read.parquet(f"{folder}/cells").select(key.alias("key"), F.lag(key).over(in_file).alias("last"))
+    out_of_order = F.count_if(F.col("last") > F.col("key"))
+    return pairs.agg(out_of_order.alias("out_of_order"), F.count("*").alias("cells"))
+
+
+@query("""
+    select o_orderpriority as rowkey, max(cast(o_orderkey as varchar)) as o_orderkey,
+           max(cast(o_totalprice as varchar)) as o_totalprice
+    from orders group by o_orderpriority
+""")
+def bulk_shared_keys(spark, sf_dir):
+    # a handful of row keys hold all rows; at equal versions the greater value is read
+    folder = scratch_folder(spark, "bulk")
+    target = bulk(folder, regions=4, **{"key-columns": ["o_orderpriority"]})
+    run(spark, job(files(sf_dir, "orders", ORDERS, "orders"), target=target))
+    return build(spark, job(cell_source(f"{folder}/cells", ["o_orderkey", "o_totalprice"])))
+
+
 # ---------------------------------------------------------------------------------------------
 # All source kinds in one job
 

@@ -22,17 +22,19 @@ log = logging.getLogger(__name__)
 
 # Stored bytes one task should sort and write; sets the number of partitions of a large load.
 BYTES_PER_TASK = 256 * 1024 * 1024
+# Regions a small load may keep files open for; tasks of a large load see few regions each.
+OPEN_FILES = 256
 
 
 def write_cells(df: DataFrame, spark: SparkSession, target: TargetSpec) -> None:
     """Every column of every row becomes a cell under one row key and family.
 
-    Options: ``tablename`` (a table, or a path) and ``cf``; optional ``format``, and ``key-columns``
-    to take the row key from columns instead of a random UUID. With ``bulkload: true`` also
+    Options: ``tablename`` (a table, or a path) and ``cf``; optional ``format``, ``location`` for a new
+    table, and ``key-columns`` to take the row key from columns instead of a random UUID. With ``bulkload: true`` also
     ``num-regions`` and ``bulk-stg``, a folder every executor shares.
     """
     name, cf = target.require("tablename", "cf")
-    store = open_store(spark, name, target.option("format", ""))
+    store = open_store(spark, name, target.option("format", ""), target.option("location", ""))
     keys = target.option("key-columns")
     # one write time for the whole load; a later load has a greater one
     version = int(target.option("version", time.time_ns() // 1_000_000))
@@ -85,23 +87,25 @@ def bulk_load(
 
 @dataclass(frozen=True)
 class KeyedRows:
-    """Stored rows: ``rowkey``, ``spread``, and the data columns as text under ``c0``, ``c1``, ..."""
+    """Stored rows: ``rowkey``, and the data columns as text under ``c0``, ``c1``, ..."""
 
     frame: DataFrame
     names: list[str]
-    unique: bool  # whether no two rows share a key
+    unique: bool  # whether no two rows share a key; else ``spread`` may part rows that do
     size: int  # bytes on disk
 
 
 def store_keyed_rows(df: DataFrame, keys: Sequence[str] | None, path: str) -> KeyedRows:
-    """Write rows with their key, and a random number that may part rows with the same key.
+    """Write rows with their key.
 
-    Data columns get neutral names, so a column called ``rowkey`` or holding odd characters does
-    not matter.
+    Rows with keys of the user's choice also get a random number, ``spread``. Data columns get
+    neutral names, so a column called ``rowkey`` or holding odd characters does not matter.
     """
-    texts = [text.alias(f"c{at}") for at, text in enumerate(encoded_columns(df))]
-    spread = F.floor(F.rand() * (1 << 30)).cast("int")
-    keyed = df.select(row_key(df, keys).alias("rowkey"), spread.alias("spread"), *texts)
+    columns = [row_key(df, keys).alias("rowkey")]
+    if keys:
+        columns.append(F.floor(F.rand() * (1 << 30)).cast("int").alias("spread"))
+    columns += [text.alias(f"c{at}") for at, text in enumerate(encoded_columns(df))]
+    keyed = df.select(*columns)
     keyed.write.parquet(path)
     stored = df.sparkSession.read.schema(keyed.schema).parquet(path)
     fs, folder = hadoop_path(df.sparkSession, path)
@@ -115,31 +119,29 @@ def stage_cells(
     """Write the cells by region, each file sorted by row key and qualifier.
 
     What is shuffled and sorted are rows, not the many more cells: a row becomes its cells, in
-    qualifier order, in the task that writes them. Only rows that may share a key need their cells
-    sorted once more.
+    qualifier order, in the task that writes them. Cells are sorted themselves only where rows may
+    share a key, or where a few tasks write very many regions.
     """
-    spark = rows.frame.sparkSession
+    spark, regions = rows.frame.sparkSession, len(splits) + 1
     tasks = math.ceil(rows.size / BYTES_PER_TASK)
     if tasks <= int(spark.conf.get("spark.sql.shuffle.partitions")):
         tasks = None
-    place = arrange_by_region if rows.unique else place_in_regions
-    placed = place(rows.frame, splits, tasks, spread="spread")
+    rows_in_order = rows.unique and (tasks or regions <= OPEN_FILES)
+    place = arrange_by_region if rows_in_order else place_in_regions
+    placed = place(rows.frame, splits, tasks, spread=None if rows.unique else "spread")
     texts = {name: F.col(f"c{at}") for at, name in enumerate(rows.names)}
     in_order = {name: texts[name] for name in sorted(texts)}
     cells = unpivot_cells(placed, F.col("rowkey"), in_order, cf, _long(version), ["region"])
-    if not rows.unique:
+    if not rows_in_order:
         cells = cells.sortWithinPartitions("region", "rowkey", "qualifier")
-    with _open_writers(spark, len(splits) + 1):
+    # a task's rows come in region order, which Spark does not know after the unpivot
+    with _open_files(spark, regions if rows_in_order else 0):
         cells.write.format(kind).partitionBy("region").save(path)
 
 
 @contextmanager
-def _open_writers(spark: SparkSession, files: int) -> Iterator[None]:
-    """Let a task keep a file open per region, instead of sorting its rows by region again.
-
-    A task's rows come in key order and so in region order already, which Spark does not know after
-    the unpivot. Tasks hold neighbouring keys, so most see one region or two.
-    """
+def _open_files(spark: SparkSession, files: int) -> Iterator[None]:
+    """Let a task keep a file open per region, rather than sort its rows by region once more."""
     name = "spark.sql.maxConcurrentOutputFileWriters"
     before = spark.conf.get(name)
     spark.conf.set(name, str(files))

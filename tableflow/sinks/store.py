@@ -45,11 +45,17 @@ def same_file_system(spark: SparkSession, one: str, other: str) -> bool:
     return uris[0] == uris[1]
 
 
-def open_store(spark: SparkSession, name: str, kind: str = "") -> FolderStore | TableStore:
-    """A store by path (with a slash) or by table name (``namespace:table`` or ``db.table``)."""
+def open_store(
+    spark: SparkSession, name: str, kind: str = "", folder: str = ""
+) -> FolderStore | TableStore:
+    """A store by path (with a slash) or by table name (``namespace:table`` or ``db.table``).
+
+    ``folder`` is where a table that does not exist yet keeps its data, if not in the warehouse.
+    """
+    kind = kind or "parquet"
     if "/" in name:
-        return FolderStore(spark, name, kind or "parquet")
-    return TableStore(spark, name.replace(":", "."), kind or "parquet")
+        return FolderStore(spark, name, kind)
+    return TableStore(spark, name.replace(":", "."), kind, folder)
 
 
 class FolderStore:
@@ -124,8 +130,8 @@ class FolderStore:
 class TableStore(FolderStore):
     """A store addressed by table name; its folder is the table's location."""
 
-    def __init__(self, spark: SparkSession, name: str, kind: str):
-        self.spark, self.name, self.kind = spark, name, kind
+    def __init__(self, spark: SparkSession, name: str, kind: str, folder: str = ""):
+        self.spark, self.name, self.kind, self.folder = spark, name, kind, folder
 
     def location(self) -> str:
         rows = self.spark.sql(f"describe table extended {self.name}")
@@ -135,9 +141,10 @@ class TableStore(FolderStore):
         return super()._saved_splits() if self.spark.catalog.tableExists(self.name) else None
 
     def create(self, splits: list[str]) -> None:
+        at = f" location '{self.folder}'" if self.folder else ""
         self.spark.sql(
             f"create table if not exists {self.name} ({_SCHEMA}) "
-            f"using {self.kind} partitioned by (load, region)"
+            f"using {self.kind} partitioned by (load, region){at}"
         )
         super().create(splits)
 

@@ -225,6 +225,35 @@ def test_filters_and_columns_reach_the_scan(spark, tmp_path):
     assert "ReadSchema: struct<id:bigint,k:bigint>" in plan
 
 
+def test_a_hot_join_key_is_split_by_adaptive_execution(spark, tmp_path):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "50k",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in settings}
+    facts, keys = str(tmp_path / "facts"), str(tmp_path / "keys")
+    hot = "if(id % 3 = 0, 7, id % 5000) as k"
+    spark.range(0, 90_000, 1, 12).selectExpr(hot, "uuid() as text").write.parquet(facts)
+    spark.range(5000).selectExpr("id as k2", "uuid() as name").write.parquet(keys)
+
+    def files(name, path, join):
+        return {"id": name, "source": "hdfs", "format": "parquet", "location": path, "join": join}
+
+    tree = {
+        "spark-config": settings,
+        "source": {"mapping": [files("f", facts, "f"), files("d", keys, "join d on k = k2")]},
+    }
+    try:
+        result = build(spark, PipelineSpec.from_dict(tree))
+        assert len(result.collect()) == 90_000
+        assert "SortMergeJoin(skew=true)" in plan_of(result, "simple")
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def test_a_spec_applies_what_a_running_session_allows(spark, people, caplog):
     tree = {
         "spark-config": {"spark.sql.files.maxPartitionBytes": "64m", "spark.serializer": "x"},

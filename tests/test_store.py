@@ -123,6 +123,12 @@ def test_bulk_load_with_random_keys(spark, store, regions):
     assert glob.glob(f"{store.folder}/staging/*") == []
 
 
+def test_more_regions_than_open_files(spark, store, monkeypatch):
+    monkeypatch.setattr(cell_sink, "OPEN_FILES", 4)
+    store.bulk(numbers(spark, 200), 12)
+    assert store.check_layout() == 600 and store.rows("id", "b", "a") == as_text(200)
+
+
 def test_bulk_load_with_keys_from_columns(spark, store):
     df = spark.sql("select explode(array('a', 'a!', 'a$b', 'a$', 'b', 'é', 'Z')) as k").withColumn("v", F.col("k"))
     store.bulk(df, 4, **{"key-columns": ["k"]})
