@@ -78,7 +78,7 @@ def bulk_load(
         store.create(splits)
     staged = f"{folder}/cells"
     stage_cells(rows, splits, cf, version, staged, store.kind)
-    store.publish(staged, load, len(splits) + 1)
+    store.publish(staged, load, range(len(splits) + 1))
     # this run's own folder, named by its load id; what is left in it is only the stored rows
     fs, path = hadoop_path(df.sparkSession, folder)
     if not fs.delete(path, True):

@@ -5,14 +5,15 @@ A store keeps each load in a folder of its own, and a load's regions in folders
     <store>/load=<id>/region=<n>/part-...     cells
     <store>/_splits/part-...                  split keys, one column
 
-A load becomes visible by one rename (or one ``add partition``), so a run that dies half-way
-leaves no half-written load behind and can simply be repeated.
+A load becomes visible by one rename (or one ``add partition``), so a run that dies half-way shows
+no half-written load and can simply be repeated. Names with an underscore are never read as cells.
 """
 
 from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Iterable
 from datetime import datetime, timezone
 
 from pyspark.errors import AnalysisException
@@ -45,6 +46,14 @@ def same_file_system(spark: SparkSession, one: str, other: str) -> bool:
     return uris[0] == uris[1]
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; its files stay as they are."""
+    fs, to = hadoop_path(spark, target)
+    fs.mkdirs(to.getParent())
+    if not fs.rename(hadoop_path(spark, source)[1], to):
+        raise OSError(f"cannot move {source} to {target}")
+
+
 def open_store(
     spark: SparkSession, name: str, kind: str = "", folder: str = ""
 ) -> FolderStore | TableStore:
@@ -87,10 +96,14 @@ class FolderStore:
             return None
 
     def create(self, splits: list[str]) -> None:
-        """Make an empty store with these split keys."""
+        """Make an empty store with these split keys; it exists once all of them are saved."""
         keys = F.explode(F.from_json(F.lit(json.dumps(splits)), "array<string>"))
         one_file = self.spark.range(1, numPartitions=1).select(keys.alias("split"))
-        one_file.write.mode("overwrite").parquet(f"{self.location()}/_splits")
+        staged = f"{self.location()}/_new/{uuid.uuid4().hex}"
+        one_file.write.parquet(staged)
+        fs, saved = hadoop_path(self.spark, f"{self.location()}/_splits")
+        fs.delete(saved, True)  # of a dropped table over the same folder, if any
+        move(self.spark, staged, f"{self.location()}/_splits")
 
     def read(self) -> DataFrame:
         """The cells; also of a plain folder of cells that no sink of ours wrote."""
@@ -101,11 +114,13 @@ class FolderStore:
 
     def put(self, cells: DataFrame, load: str) -> None:
         """Add cells where the tasks that made them left them: no shuffle, no sort."""
-        folder = f"{self.location()}/load={load}/region={UNPLACED}"
+        # a name with an underscore is not read, so the load shows up when it is complete
+        staged = f"{self.location()}/_put/{load}"
+        folder = f"{staged}/region={UNPLACED}"
         cells.select(*CELL_COLUMNS).write.format(self.kind).save(folder)
-        self.register(load, [UNPLACED])
+        self.publish(staged, load, [UNPLACED])
 
-    def publish(self, staged: str, load: str, regions: int) -> None:
+    def publish(self, staged: str, load: str, regions: Iterable[int]) -> None:
         """Add a staged load, keeping its files as they are.
 
         On one file system that is a rename. Across file systems the files are written again, each
@@ -113,17 +128,14 @@ class FolderStore:
         """
         folder = f"{self.location()}/load={load}"
         if same_file_system(self.spark, staged, folder):
-            fs, target = hadoop_path(self.spark, folder)
-            fs.mkdirs(target.getParent())
-            if not fs.rename(hadoop_path(self.spark, staged)[1], target):
-                raise OSError(f"cannot move {staged} to {folder}")
+            move(self.spark, staged, folder)
         else:
             cells = self.spark.read.format(self.kind).schema(f"{_CELLS}, region int").load(staged)
             ordered = cells.sortWithinPartitions("region", "rowkey", "cf", "qualifier")
             ordered.write.format(self.kind).partitionBy("region").save(folder)
-        self.register(load, range(regions))
+        self.register(load, regions)
 
-    def register(self, load: str, regions) -> None:
+    def register(self, load: str, regions: Iterable[int]) -> None:
         """Nothing to do: a folder is its own catalog."""
 
 
@@ -151,6 +163,6 @@ class TableStore(FolderStore):
     def read(self) -> DataFrame:
         return self.spark.table(self.name).select(*CELL_COLUMNS)
 
-    def register(self, load: str, regions) -> None:
+    def register(self, load: str, regions: Iterable[int]) -> None:
         parts = " ".join(f"partition (load = '{load}', region = {region})" for region in regions)
         self.spark.sql(f"alter table {self.name} add if not exists {parts}")

@@ -12,11 +12,12 @@ def read_files(spark: SparkSession, source: SourceSpec) -> DataFrame:
     """Load, project, filter.
 
     ``schema`` (DDL text) and ``options`` are optional. Give a schema for large JSON or XML input:
-    without one Spark reads everything once just to infer it.
+    without one Spark reads everything once just to infer it. Formats that are told where to read
+    by their options take no ``location``.
     """
     reader = spark.read.options(**source.options)
     if source.format:
         reader = reader.format(source.format)
     if source.schema.strip():
         reader = reader.schema(source.schema)
-    return project_and_filter(reader.load(source.location), source)
+    return project_and_filter(reader.load(source.location or None), source)

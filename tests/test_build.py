@@ -167,6 +167,13 @@ def test_files_with_schema_and_options(spark, people, tmp_path):
     assert rows(build(spark, job(typed))) == rows(people["emp"])
 
 
+def test_a_format_without_a_path(spark):
+    options = {"rowsPerSecond": "1"}
+    source = {"id": "r", "source": "hdfs", "format": "parquet", "location": "", "join": "r", "options": options}
+    with pytest.raises(AnalysisException, match="UNABLE_TO_INFER_SCHEMA"):
+        build(spark, job(source))
+
+
 def test_plugins(spark, people):
     @register("only_ann")
     def only_ann(session, source):
