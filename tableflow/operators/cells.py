@@ -32,7 +32,7 @@ def row_key(df: DataFrame, key_columns: Sequence[str] | None = None) -> Column:
     """
     if not key_columns:
         return F.uuid()
-    parts = [encode_value(F.col(quoted(name)), df.schema[name].dataType) for name in key_columns]
+    parts = encoded_columns(df, key_columns)
     if len(parts) == 1:
         key = parts[0]
     else:
@@ -44,9 +44,13 @@ def row_key(df: DataFrame, key_columns: Sequence[str] | None = None) -> Column:
 
 
 def encoded_columns(df: DataFrame, columns: Sequence[str] | None = None) -> list[Column]:
-    """The named columns (default: all) as canonical text, under their own names."""
+    """The named columns (default: all) as canonical text, under the given names."""
     names = list(columns or df.columns)
-    return [encode_value(F.col(quoted(n)), df.schema[n].dataType).alias(n) for n in names]
+    fields = df.select([quoted(name) for name in names]).schema.fields
+    return [
+        encode_value(F.col(quoted(name)), field.dataType).alias(name)
+        for name, field in zip(names, fields)
+    ]
 
 
 def row_to_cells(

@@ -20,8 +20,9 @@ from tableflow.spec import TargetSpec
 
 log = logging.getLogger(__name__)
 
-# Stored bytes one task should sort and write; sets the number of partitions of a large load.
+# Stored bytes, and cells, one task should sort and write; they set the partitions of a large load.
 BYTES_PER_TASK = 256 * 1024 * 1024
+CELLS_PER_TASK = 10_000_000
 # Regions a small load may keep files open for; tasks of a large load see few regions each.
 OPEN_FILES = 256
 
@@ -36,6 +37,7 @@ def write_cells(df: DataFrame, spark: SparkSession, target: TargetSpec) -> None:
     name, cf = target.require("tablename", "cf")
     store = open_store(spark, name, target.option("format", ""), target.option("location", ""))
     keys = target.option("key-columns")
+    keys = [keys] if isinstance(keys, str) else keys
     # one write time for the whole load; a later load has a greater one
     version = int(target.option("version", time.time_ns() // 1_000_000))
     if not target.flag("bulkload"):
@@ -123,10 +125,12 @@ def stage_cells(
     share a key, or where a few tasks write very many regions.
     """
     spark, regions = rows.frame.sparkSession, len(splits) + 1
-    tasks = math.ceil(rows.size / BYTES_PER_TASK)
+    # bytes alone mislead where repeated values compress well; the count comes from file footers
+    cells = rows.frame.count() * len(rows.names)
+    tasks = math.ceil(max(rows.size / BYTES_PER_TASK, cells / CELLS_PER_TASK))
     if tasks <= int(spark.conf.get("spark.sql.shuffle.partitions")):
         tasks = None
-    rows_in_order = rows.unique and (tasks or regions <= OPEN_FILES)
+    rows_in_order = rows.unique and (tasks is not None or regions <= OPEN_FILES)
     place = arrange_by_region if rows_in_order else place_in_regions
     placed = place(rows.frame, splits, tasks, spread=None if rows.unique else "spread")
     texts = {name: F.col(f"c{at}") for at, name in enumerate(rows.names)}

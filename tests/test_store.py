@@ -44,7 +44,8 @@ class Store:
         return build(self.spark, PipelineSpec.from_dict({"source": {"mapping": [source]}}))
 
     def rows(self, *names):
-        return sorted((tuple(row) for row in self.wide(names).select(*names).collect()), key=repr)
+        wide = self.wide([name for name in names if name != "rowkey"])
+        return sorted((tuple(row) for row in wide.select(*names).collect()), key=repr)
 
     def splits(self):
         return open_store(self.spark, self.name, self.kind).splits()
@@ -251,6 +252,17 @@ def test_bulk_options_are_required(spark, store, missing):
         store.write(numbers(spark, 2), **options)
 
 
+def test_key_columns_may_be_one_name_in_any_case(spark, store):
+    store.bulk(spark.sql("select 'a' as Key, 1 as v"), 2, **{"key-columns": "kEY"})
+    assert store.rows("rowkey", "v") == [("a", "1")] and store.splits() == ["a"]
+
+
+def test_many_cells_raise_the_number_of_tasks(spark, store, monkeypatch):
+    monkeypatch.setattr(cell_sink, "CELLS_PER_TASK", 50)
+    store.bulk(numbers(spark, 400), 3)
+    assert store.check_layout() == 1200 and len(list(store.files())) >= 20
+
+
 def test_a_cell_source_needs_a_mapping(spark, store):
     store.write(numbers(spark, 2))
     with pytest.raises(ValueError, match="needs custom.mapping"):
