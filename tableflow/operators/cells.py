@@ -113,8 +113,8 @@ def cells_to_wide(
     if not keep_empty_rows:
         cells = cells.where((F.col("cf") == cf) & F.col("qualifier").isin(qualifiers))
     # What is sorted and shuffled is a small number and one struct, and nothing of unmapped cells.
-    slot = F.when(F.lit(False), F.lit(0))
-    for at, qualifier in enumerate(qualifiers):
+    slot = F.when(F.col("qualifier") == qualifiers[0], F.lit(0))
+    for at, qualifier in enumerate(qualifiers[1:], 1):
         slot = slot.when(F.col("qualifier") == qualifier, F.lit(at))
     slots = cells.withColumn("slot", F.when(F.col("cf") == cf, slot))
     cell = F.when(F.col("slot").isNotNull(), F.struct("version", "value"))

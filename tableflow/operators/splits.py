@@ -144,8 +144,9 @@ def _holds(wanted: list[int], start: int, rows: int) -> bool:
 
 def _sorted_pick(inside: DataFrame, gaps: list[_Gap], wanted: list[int]) -> set[str]:
     """Split keys inside the gaps, by numbering each gap's sorted keys; a gap is one task's work."""
-    starts = F.create_map(*[F.lit(x) for gap in gaps for x in (2 * gap.index, gap.start)])
+    starts = array_literal([gap.start for gap in gaps], "bigint")
+    start = F.get(starts, count_up_to(F.col("gap"), [2 * gap.index for gap in gaps], "int") - 1)
     number = F.row_number().over(Window.partitionBy("gap").orderBy("k"))
-    at = F.element_at(starts, F.col("gap")) + number - 1
+    at = start + number - 1
     picked = inside.select("k", at.alias("at")).where(F.col("at").isin(wanted))
     return {row.k for row in picked.collect()}
