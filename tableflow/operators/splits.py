@@ -13,7 +13,7 @@ from tableflow.operators.search import array_literal, count_up_to
 
 # Keys a single gap may hold before it is narrowed further; a gap is sorted by one task.
 GAP_ROWS = 1_000_000
-# Sampled keys per narrowing pass, and per wanted split when there are many.
+# Sampled keys per narrowing pass of a large table, and least number per wanted split.
 SAMPLE_KEYS = 10_000
 SAMPLE_KEYS_PER_SPLIT = 20
 
@@ -63,22 +63,23 @@ def split_keys(
     counted on their own, so a key that holds a third of all rows is one count, and not a large gap.
     """
     keys = df.select(F.col(key).cast("string").alias("k"))
-    total, present = keys.agg(F.count("*"), F.count("k")).first()
+    sizes = keys.agg(F.count("*"), F.count("k"), F.count_if(F.col("k") == "")).first()
+    total, present, empty = sizes
     nulls = total - present
     # positions among the non-null keys
     wanted = sorted({at - nulls for at in split_positions(total, regions) if nulls <= at < total})
     if not wanted:
         return []
     keys = keys.where(F.col("k").isNotNull())
-    sample_keys = max(sample_keys, SAMPLE_KEYS_PER_SPLIT * len(wanted))
 
-    found: set[str] = set()
-    edges: list[str] = []
-    gaps = [_Gap(0, 0, present)]
+    edges = [""]  # no key sorts before the empty one
+    found = {""} if _holds(wanted, 0, empty) else set()
+    gaps = [_Gap(1, empty, present - empty)] if wanted[-1] >= empty else []
     while gaps and max(gap.rows for gap in gaps) > gap_rows:
         inside = _inside(keys, edges, gaps)
         rows = sum(gap.rows for gap in gaps)
-        sample = inside.sample(min(1.0, sample_keys / rows), seed).select("k").distinct().collect()
+        size = max(SAMPLE_KEYS_PER_SPLIT * len(wanted), min(sample_keys, rows // 100))
+        sample = inside.sample(min(1.0, size / rows), seed).select("k").distinct().collect()
         seed += 1
         finer = sorted(_edges_around(edges, gaps) | {row.k for row in sample})
         slot = _slot(F.col("k"), finer).alias("slot")
@@ -94,8 +95,6 @@ def split_keys(
 def _slot(key: Column, edges: list[str]) -> Column:
     """2 * (edges below) for a key between edges, one less than that for an edge itself."""
     below = count_up_to(key, edges)
-    if not edges:
-        return F.lit(0)
     is_edge = F.get(array_literal(edges, "string"), below - 1) == key
     return F.when(is_edge, 2 * below - 1).otherwise(2 * below)
 
@@ -103,8 +102,6 @@ def _slot(key: Column, edges: list[str]) -> Column:
 def _inside(keys: DataFrame, edges: list[str], gaps: list[_Gap]) -> DataFrame:
     """The keys in the given gaps, each with its slot."""
     slots = keys.withColumn("gap", _slot(F.col("k"), edges))
-    if not edges:
-        return slots
     return slots.where(F.col("gap").isin([2 * gap.index for gap in gaps]))
 
 
@@ -123,7 +120,7 @@ def _narrow(
     """Split keys that are edges of the finer cut, and its gaps that hold the other positions."""
     found, smaller = set(), []
     for gap in gaps:
-        first = 2 * bisect_left(finer, edges[gap.index - 1]) + 2 if gap.index > 0 else 0
+        first = 2 * bisect_left(finer, edges[gap.index - 1]) + 2
         last = 2 * bisect_left(finer, edges[gap.index]) if gap.index < len(edges) else 2 * len(finer)
         start = gap.start
         for slot in range(first, last + 1):

@@ -16,7 +16,6 @@ import uuid
 from collections.abc import Iterable
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -77,23 +76,18 @@ class FolderStore:
         return self.path
 
     def exists(self) -> bool:
-        return self._saved_splits() is not None
+        fs, saved = hadoop_path(self.spark, f"{self.location()}/_splits")
+        return fs.exists(saved)
 
     def splits(self) -> list[str] | None:
         """Saved split keys, or None when the store does not exist.
 
         The list is shorter than the number of regions its creator asked for.
         """
-        saved = self._saved_splits()
-        return None if saved is None else sorted(row.split for row in saved.collect())
-
-    def _saved_splits(self) -> DataFrame | None:
-        try:
-            return self.spark.read.schema("split string").parquet(f"{self.location()}/_splits")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not self.exists():
             return None
+        saved = self.spark.read.schema("split string").parquet(f"{self.location()}/_splits/part-*")
+        return sorted(row.split for row in saved.collect())
 
     def create(self, splits: list[str]) -> None:
         """Make an empty store with these split keys; it exists once all of them are saved."""
@@ -149,8 +143,8 @@ class TableStore(FolderStore):
         rows = self.spark.sql(f"describe table extended {self.name}")
         return rows.where("col_name = 'Location'").first().data_type.rstrip("/")
 
-    def _saved_splits(self) -> DataFrame | None:
-        return super()._saved_splits() if self.spark.catalog.tableExists(self.name) else None
+    def exists(self) -> bool:
+        return self.spark.catalog.tableExists(self.name) and super().exists()
 
     def create(self, splits: list[str]) -> None:
         at = f" location '{self.folder}'" if self.folder else ""
