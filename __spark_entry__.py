@@ -27,12 +27,7 @@ from tableflow.functions import (
     suffix_values,
     text_bytes,
 )
-from tableflow.operators import (
-    cells_to_wide,
-    region_of,
-    row_to_cells,
-    split_keys,
-)
+from tableflow.operators import region_of, row_to_cells, split_keys
 from tableflow.session import scratch_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
