@@ -47,6 +47,21 @@ def query(sql: str) -> Callable[[Query], Query]:
     return add
 
 
+def add_training_data_queries() -> None:
+    """Register the training-data operators and their pipeline, where they are installed."""
+    try:
+        import corpus_pipeline
+        from tableflow.llm import registry
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "tableflow.llm"):
+            raise
+        return
+    _queries.update(registry.QUERIES, pipeline=corpus_pipeline.run)
+    _oracles.update(registry.ORACLES)
+    if corpus_pipeline.ORACLE_SQL:
+        _oracles["pipeline"] = corpus_pipeline.ORACLE_SQL
+
+
 def entry(spark: SparkSession) -> DataFrame:
     return flagship_conform(spark, "/root/testdata/sf0.001")
 
@@ -986,3 +1001,6 @@ def value_codec(spark, sf_dir):
         *[decode_value(F.col(name), types[name]).alias(name) for name in names],
         same.alias("nested_same"),
     )
+
+
+add_training_data_queries()
