@@ -328,7 +328,8 @@ def remove_repeats(docs: DataFrame, window: int = 20, gram: int = GRAM, split_an
         F.coalesce("text", F.lit("")).alias("text"),
         F.xxhash64("text").alias("key"),
     )
-    firsts = texts.groupBy("key").agg(F.min("id").alias("id"))
+    # stored: a join with it may then split the key of a text that very many documents have
+    firsts = stored(texts.groupBy("key").agg(F.min("id").alias("id")))
     anchors = texts.select("text", "key").mapInArrow(
         _anchor_rows(window, gram), "route long, key long, anchor long, contents long"
     )
