@@ -151,3 +151,19 @@ def sliding_min(values: np.ndarray, length: int) -> np.ndarray:
 
 def as_long(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64) if values.dtype == np.uint64 else values, pa.int64())
+
+
+def repeated(keys: np.ndarray) -> np.ndarray:
+    """Mask of the values that occur twice or more."""
+    ordered = np.sort(keys)
+    twice = ordered[1:][ordered[1:] == ordered[:-1]]
+    if not len(twice):
+        return np.zeros(len(keys), bool)
+    at = np.minimum(np.searchsorted(twice, keys), len(twice) - 1)
+    return twice[at] == keys
+
+
+def sums_by_text(values: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sum of values[first[t] : first[t + 1]] for each text."""
+    total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
+    return total[first[1:]] - total[first[:-1]]
