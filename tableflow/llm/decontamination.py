@@ -1,5 +1,8 @@
 """Benchmark decontamination by winnowing, in DataFrame functions only.
 
+Arrays are built column on column and exploded by ``explode_outer``: for ``explode`` the optimizer adds
+a filter on the array, into which it copies the whole chain of lambdas, one inside the other.
+
 A text's fingerprints are the least k-gram hashes of every w neighbouring k-grams. Two texts that
 share k + w - 1 words in a row share such a neighbourhood, so they share a fingerprint: with k + w - 1
 = 13, no shared window of 13 words is missed. Documents and items meet by an equi-join of
@@ -83,7 +86,7 @@ def _candidates(texts: DataFrame, items: DataFrame, spans: list[int]) -> DataFra
     printed = None
     for span in spans:
         own = _fingerprints(items.where(F.col("span") == span), "item", [span])
-        own = own.select(F.explode("prints").alias("print"))
+        own = own.select(F.explode_outer("prints").alias("print")).where("print is not null")
         printed = own if printed is None else printed.unionByName(own)
     printed = stored(printed.distinct().withColumn("hit", F.lit(True)))
     if printed.count() <= BROADCAST_ROWS:
@@ -92,25 +95,25 @@ def _candidates(texts: DataFrame, items: DataFrame, spans: list[int]) -> DataFra
     rows = _fingerprints(rows, "words", spans)
     # one row without a fingerprint per document, so that none is lost
     prints = F.concat(F.array(F.lit(None).cast("long")), F.col("prints"))
-    rows = rows.select("doc_id", "id", "key", F.size("words").alias("n_words"), F.explode(prints).alias("print"))
+    rows = rows.select("doc_id", "id", "key", F.size("words").alias("n_words"), F.explode_outer(prints).alias("print"))
     return rows.join(printed, "print", "left").groupBy("doc_id", "id", "key", "n_words").agg(
         F.count(F.when(F.col("print").isNull(), 1)).alias("copies"), F.max(F.coalesce("hit", F.lit(False))).alias("hit")
     )
 
 
 def _occurrences(texts: DataFrame, items: DataFrame, spans: list[int]) -> DataFrame:
-    """id, key, item_id, covered: the words of a document in occurrences of an item's windows."""
+    """id, key, item_id, covered: the places of the words of each occurrence of a window of an item."""
     docs = texts.select("id", "key", plain_words(F.col("text")).alias("words")).distinct()
     found = None
     for span in spans:
         gram, width = split_of(span)
         own = items.where(F.col("span") == span).withColumn("hashes", F.transform("item", lambda x: F.xxhash64(x)))
         own = _winnow(own.withColumn("grams", grams("hashes", gram)), "grams", width, "prints")
-        own = own.select("item_id", "item", "span", "prints", F.posexplode("grams").alias("item_at", "gram"))
+        own = own.select("item_id", "item", "span", "prints", F.posexplode_outer("grams").alias("item_at", "gram"))
         own = own.where(F.array_contains("prints", F.col("gram"))).drop("prints")
         mine = docs.withColumn("hashes", F.transform("words", lambda x: F.xxhash64(x)))
         mine = mine.withColumn("grams", grams("hashes", gram))
-        mine = mine.select("id", "key", F.posexplode("grams").alias("at", "gram"))
+        mine = mine.select("id", "key", F.posexplode_outer("grams").alias("at", "gram"))
         hits = mine.join(own, "gram").select(
             "id", "key", "item_id", "item", "span", (F.col("at") - F.col("item_at")).alias("shift")
         )
@@ -122,14 +125,14 @@ def _occurrences(texts: DataFrame, items: DataFrame, spans: list[int]) -> DataFr
     mine, other = F.slice("words", F.col("low") + 1, F.col("size")), F.slice("item", F.col("low") - F.col("shift") + 1, F.col("size"))
     aligned = aligned.withColumn("same", F.zip_with(mine, other, lambda a, b: a == b)).drop("words", "item")
     starts = F.filter(
-        F.sequence(F.lit(0), F.col("size") - F.col("span")),
+        F.sequence(F.lit(0), F.size("same") - F.col("span")),
         lambda at: F.forall(F.slice("same", at + 1, F.col("span")), lambda same: same),
     )
-    extended = aligned.withColumn("starts", starts).where(F.size("starts") > 0)
-    covered = F.flatten(
-        F.transform("starts", lambda at: F.sequence(F.col("low") + at, F.col("low") + at + F.col("span") - 1))
+    found = aligned.select("id", "key", "item_id", "low", "span", F.explode_outer(starts).alias("start"))
+    first = F.col("low") + F.col("start")
+    return found.where("start is not null").select(
+        "id", "key", "item_id", F.sequence(first, first + F.col("span") - 1).alias("covered")
     )
-    return extended.select("id", "key", "item_id", F.array_distinct(covered).alias("covered"))
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -150,7 +153,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
         F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
     )
     rows = candidates.join(counted, ["id", "key"], "left")
-    rows = rows.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
+    rows = rows.withColumn("copy", F.explode_outer(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return rows.select(
         "doc_id",
