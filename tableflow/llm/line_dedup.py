@@ -174,16 +174,22 @@ def _common(min_documents: int):
     return rows
 
 
-def _drop(texts: pa.Table, answers: pa.Table) -> pa.Table:
-    """The chunk's documents without the lines that its probes found common."""
-    common = set(np.frombuffer(b"".join(answers.column("lines").to_pylist()), np.int64).tolist())
-    known: dict[bytes, bool] = {b"": False}
-    out = []
-    for batch in texts.to_batches():
+def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents without common lines. Rows come sorted by chunk, answers to its probes first."""
+    chunk, common, known = None, set(), {}
+    for batch in batches:
+        chunks = batch.column("chunk").to_pylist()
+        answers = batch.column("lines")
+        is_answer = answers.is_valid().to_pylist()
         totals, dropped, kept = [], [], []
         for begin, end, data, offsets in pieces(batch.column("text")):
             raw = data.tobytes()
             for row in range(begin, end):
+                if chunks[row] != chunk:
+                    chunk, common, known = chunks[row], set(), {b"": False}
+                if is_answer[row]:
+                    common.update(np.frombuffer(answers[row].as_py(), np.int64).tolist())
+                    continue
                 text = raw[offsets[row - begin] : offsets[row - begin + 1]]
                 lines = text.split(b"\n")
                 stay = lines
@@ -199,19 +205,15 @@ def _drop(texts: pa.Table, answers: pa.Table) -> pa.Table:
                 totals.append(len(lines))
                 dropped.append(len(lines) - len(stay))
                 kept.append(text if stay is lines else b"\n".join(stay))
-        out.append(
-            pa.RecordBatch.from_arrays(
-                [
-                    batch.column("row"),
-                    pa.array(totals, pa.int64()),
-                    pa.array(dropped, pa.int64()),
-                    pa.array(kept, pa.binary()).cast(pa.string()),
-                ],
-                ["row", "n_lines", "n_dropped", "kept_text"],
-            )
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch.column("row").filter(answers.is_null()),
+                pa.array(totals, pa.int64()),
+                pa.array(dropped, pa.int64()),
+                pa.array(kept, pa.binary()).cast(pa.string()),
+            ],
+            ["row", "n_lines", "n_dropped", "kept_text"],
         )
-    kinds = [("row", texts.schema.field("row").type), ("n_lines", pa.int64()), ("n_dropped", pa.int64()), ("kept_text", pa.string())]
-    return pa.Table.from_batches(out, pa.schema(kinds))
 
 
 def line_index(routed: DataFrame) -> DataFrame:
@@ -248,12 +250,14 @@ def drop_common_lines(
         .cogroup(index.groupBy("shard"))
         .applyInArrow(_common(min_documents), "chunk long, lines binary")
     )
-    kinds = F.struct(*[F.col(f"`{name}`") for name in carry])
-    row = docs.select(kinds.alias("row")).schema["row"].dataType.simpleString()
+    row = texts.schema["row"].dataType.simpleString()
+    both = texts.select("chunk", "row", "text", F.lit(None).cast("binary").alias("lines")).unionByName(
+        answers.select("chunk", F.lit(None).cast(row).alias("row"), F.lit(None).cast("string").alias("text"), "lines")
+    )
     return (
-        texts.groupBy("chunk")
-        .cogroup(answers.groupBy("chunk"))
-        .applyInArrow(_drop, f"row {row}, n_lines long, n_dropped long, kept_text string")
+        both.repartition("chunk")
+        .sortWithinPartitions("chunk", F.col("lines").isNull())
+        .mapInArrow(_drop, f"row {row}, n_lines long, n_dropped long, kept_text string")
     )
 
 
