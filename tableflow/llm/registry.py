@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from tableflow.llm.decontamination import OP8_SQL, op8_decontamination
+from tableflow.llm.jaccard import op4_jaccard
 from tableflow.llm.language_id import op7_language_id
 from tableflow.llm.licenses import op10_licenses
 from tableflow.llm.line_dedup import OP2_SQL, op2_line_dedup
@@ -18,6 +19,7 @@ QUERIES = {
         op1_substring_dedup,
         op2_line_dedup,
         op3_quality,
+        op4_jaccard,
         op5_url_filter,
         op6_toxicity,
         op7_language_id,
