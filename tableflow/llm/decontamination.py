@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm.native import plain_words
-from tableflow.llm.shared import order_id, stored
+from tableflow.llm.shared import broadcast_if_small, order_id, stored
 
 WINDOW = 13
 GRAM = 5
@@ -89,8 +89,7 @@ def _candidates(texts: DataFrame, items: DataFrame, spans: list[int]) -> DataFra
         own = own.select(F.explode_outer("prints").alias("print")).where("print is not null")
         printed = own if printed is None else printed.unionByName(own)
     printed = stored(printed.distinct().withColumn("hit", F.lit(True)))
-    if printed.count() <= BROADCAST_ROWS:
-        printed = F.broadcast(printed)
+    printed = broadcast_if_small(printed, BROADCAST_ROWS)
     rows = texts.withColumn("words", plain_words(F.col("text"))).drop("text")
     rows = _fingerprints(rows, "words", spans)
     # one row without a fingerprint per document, so that none is lost
@@ -146,7 +145,7 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     items = _items(benchmark, window)
     spans = sorted(row["span"] for row in items.select("span").distinct().collect())  # at most ``window``
     candidates = stored(_candidates(texts, items, spans or [window]))
-    hit = candidates.where("hit").select("id", "key").distinct()
+    hit = broadcast_if_small(stored(candidates.where("hit").select("id", "key").distinct()))
     counted = _occurrences(texts.join(hit, ["id", "key"], "left_semi"), items, spans or [window])
     counted = counted.groupBy("id", "key").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("n_hit"),

@@ -23,8 +23,8 @@ same way), so no link is missed: a pair is left out only if other links connect
 
 Defined cases: words are lower-cased (A-Z); a text with 1 to 4 words has one shingle, all of it; null
 and wordless texts have none and are their own component; rows that share an id are one document of
-several texts: any of them may link; every row is reported. A null id is smaller than all others and
-reported as null. Extra columns are ignored. Shingles and sets are told apart by 64-bit hashes.
+several texts: any of them may link; every row is reported. Rows with a null id are documents of their
+own; a null id is smaller than all others and reported as null. Extra columns are ignored. Shingles and sets are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -36,15 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableflow.llm.shared import NO_ID, order_id, stored, whole_groups
+from tableflow.llm.shared import NO_ID, broadcast_if_small, order_id, stored
 from tableflow.llm.words import BETWEEN_SPACES, LOWER, as_long, gram_hashes, mixed, pieces, words_of
 
 SHINGLE = 5
 #: segments per difference that has to be allowed for
 SPARE = 1.25
 CELLS = 64
-#: class ids of one shipment (16 bytes each) up to which it is broadcast
-BROADCAST_ROWS = 1_000_000
 
 _BORDERS = [4]
 while _BORDERS[-1] < 2**40:
@@ -259,10 +257,9 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar."""
-    wanted = stored(pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct())
-    small = wanted.count() <= BROADCAST_ROWS
-    named = wanted.join(classes.select("class", "id"), "class")
-    of_texts = texts.join(F.broadcast(named) if small else named, "id").select("class", "text")
+    wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+    named = stored(wanted.join(classes.select("class", "id"), "class"))
+    of_texts = texts.join(broadcast_if_small(named), "id").select("class", "text")
     sets = of_texts.mapInArrow(_set_rows, "class long, hashes binary").dropDuplicates(["class"])
     one = sets.select(F.col("class").alias("a"), F.col("hashes").alias("a_set"))
     two = sets.select(F.col("class").alias("b"), F.col("hashes").alias("b_set"))
@@ -317,7 +314,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     )
     stars = stored(stars)
     same_id = (
-        features.where("class is not null").select("id", "class").distinct()
+        features.where("class is not null and doc_id is not null").select("id", "class").distinct()
         .join(classes.select("class", "n_shingles"), "class").groupBy("id")
         .agg(F.min("class").alias("a"), F.collect_set("class").alias("all")).where(F.size("all") > 1)
         .select("a", F.explode_outer("all").alias("b")).where("a <> b")

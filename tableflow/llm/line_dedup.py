@@ -6,7 +6,7 @@ to chunks of a few MB; a chunk probes the arrays of a shard with each of its dis
 gets back those that are common. No line of a document meets another by a join, and a line that a
 third of all documents hold is one row per chunk, added up before it is shuffled.
 
-Defined cases: a null or empty text has one empty line; every row is a document of its own, also
+Defined cases: a null or empty text has one empty line (a null stays null); every row is a document of its own, also
 when rows repeat. Lines whose 64-bit hashes agree are taken to be alike. An index may be probed with
 lines it does not hold: they pass for absent but for a chance of 2^-32 per probe.
 """
@@ -180,6 +180,7 @@ def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         chunks = batch.column("chunk").to_pylist()
         answers = batch.column("lines")
+        is_null = batch.column("text").is_null().to_pylist()
         is_answer = answers.is_valid().to_pylist()
         totals, dropped, kept = [], [], []
         for begin, end, data, offsets in pieces(batch.column("text")):
@@ -204,7 +205,7 @@ def _drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                             stay.append(line)
                 totals.append(len(lines))
                 dropped.append(len(lines) - len(stay))
-                kept.append(text if stay is lines else b"\n".join(stay))
+                kept.append(None if is_null[row] else text if stay is lines else b"\n".join(stay))
         yield pa.RecordBatch.from_arrays(
             [
                 batch.column("row").filter(answers.is_null()),
@@ -264,7 +265,10 @@ def drop_common_lines(
 def op2_line_dedup(spark, sf_dir):
     kept = drop_common_lines(spark.read.parquet(f"{sf_dir}/documents.parquet"), 10, ["doc_id"])
     return kept.select(
-        F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256")
+        F.col("row.doc_id").alias("doc_id"),
+        "n_lines",
+        "n_dropped",
+        F.sha2(F.coalesce("kept_text", F.lit("")), 256).alias("kept_sha256"),
     )
 
 

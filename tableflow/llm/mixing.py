@@ -20,10 +20,14 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tableflow.llm.shared import broadcast_if_small, stored
+
 #: highest repetition rate; exp(-rate) must stay well above 0
 MAX_RATE = 500.0
 #: hexadecimal digits of a hash that make a uniform number
 DIGITS = 13
+#: sources (about a kilobyte each) up to which their rates are broadcast
+BROADCAST_SOURCES = 10_000
 
 
 def uniform(*parts: Column) -> Column:
@@ -53,12 +57,12 @@ def source_rates(
         weight = F.lit(0.0)
         for name, value in weights.items():
             weight = F.when(F.col("mix_source").eqNullSafe(F.lit(name)), F.lit(float(value))).otherwise(weight)
-    sizes = sizes.withColumn("weight", F.when(F.col("bytes") > 0, weight).otherwise(F.lit(0.0)))
-    total = sizes.agg(F.sum("bytes").alias("all_bytes"), F.sum("weight").alias("all_weight"))
-    # one row: sums over the sources
-    share = F.col("weight") / F.col("all_weight") * F.col("all_bytes") / F.col("bytes") * F.lit(output_ratio)
-    rate = F.when((F.col("bytes") > 0) & (F.col("all_weight") > 0), F.least(share, F.lit(max_rate))).otherwise(0.0)
-    rated = sizes.join(F.broadcast(total)).select("mix_source", rate.alias("mix_rate"))
+    sizes = stored(sizes.withColumn("weight", F.when(F.col("bytes") > 0, weight).otherwise(F.lit(0.0))))
+    total = sizes.agg(F.sum("bytes").alias("bytes"), F.sum("weight").alias("weight")).first()
+    all_bytes, all_weight = F.lit(float(total["bytes"] or 0)), F.lit(float(total["weight"] or 0))
+    share = F.col("weight") / all_weight * all_bytes / F.col("bytes") * F.lit(output_ratio)
+    rate = F.when((F.col("bytes") > 0) & (all_weight > 0), F.least(share, F.lit(max_rate))).otherwise(0.0)
+    rated = sizes.select("mix_source", rate.alias("mix_rate"))
     steps = F.expr("""
         aggregate(sequence(1, cast(ceil(mix_rate + 12 * sqrt(mix_rate) + 30) as int)),
                   named_struct('term', exp(-mix_rate), 'sum', exp(-mix_rate), 'all', array(exp(-mix_rate))),
@@ -68,7 +72,7 @@ def source_rates(
                       'all', concat(s.all, array(s.sum + s.term * mix_rate / k))),
                   s -> s.all)
     """)
-    return rated.withColumn("mix_steps", steps)
+    return stored(rated.withColumn("mix_steps", steps))
 
 
 def mix_sources(
@@ -79,7 +83,7 @@ def mix_sources(
     output_ratio: float = 1.0,
 ) -> DataFrame:
     """The rows of ``docs``, each as often as drawn, with ``copy`` (1, 2, ...) and ``mix_key``."""
-    rates = source_rates(docs, weights, exponent, output_ratio)
+    rates = broadcast_if_small(source_rates(docs, weights, exponent, output_ratio), BROADCAST_SOURCES)
     kept = [F.col(f"`{name}`") for name in docs.columns if name.lower() not in ("copy", "mix_key")]
     id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
     drawn = docs.select(

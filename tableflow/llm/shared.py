@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: stands for a null id where ids are compared; sorts before every other
 NO_ID = -(2**63)
+#: rows of a few numbers each up to which a counted table is broadcast
+BROADCAST_ROWS = 1_000_000
 
 
 def ready(spark: SparkSession) -> SparkSession:
@@ -40,6 +42,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Stored rows, marked for broadcast only if they are counted to be few."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def whole_groups(
     batches: Iterator[pa.RecordBatch], key: str, least: int, size: Callable[[pa.Table], int] = len
 ) -> Iterator[pa.Table]:
