@@ -1,8 +1,8 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-A bounded sample of labelled documents (those with the least hash of the id) is the set of examples.
-The terms are the words that tell the labels apart in it (chi-squared test of presence); how often a
-term occurs is weighed by the term's rarity in the whole corpus, counted over every document.
+A bounded sample of labelled documents (those with the least hash of the id, one of each text) is the
+set of examples. The terms are the words and word beginnings that mark toxic examples (chi-squared test
+of presence, and mostly in toxic ones; beginnings, since words inflect); how often a term occurs is weighed by the term's rarity in the whole corpus, counted over every document.
 
 The examples stand in blocks; for each block the index has its terms, their postings, and each term's
 greatest weight in the block. A text skips every block whose greatest possible cosine does not beat its
@@ -25,43 +25,61 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableflow.llm.words import LETTERS_AND_DIGITS, LOWER, mixed, pieces, words_of
+from tableflow.llm.shared import stored
+from tableflow.llm.words import LETTERS_AND_DIGITS, LOWER, as_long, pieces, words_of
 
 #: labelled documents of the sample
-EXAMPLES = 8000
-#: terms at most, and the chi-squared value they need (p < 0.0001)
+EXAMPLES = 12_000
+#: terms at most; the chi-squared value (p < 0.0001), examples and share of toxic ones they need
 TERMS = 512
 LEAST_CHI2 = 15.1
 LEAST_DOCUMENTS = 5
+LEAST_SHARE = 0.8
 NEIGHBOURS = 25
 BLOCK = 64
+#: code points of the word beginnings that may be terms
+BEGINNINGS = (4,)
 EVIDENCE = 3
 #: documents of this remainder of crc32(id) modulo 5 are held out
 HELD_OUT = 0
 
 
+def candidates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash) of every word and word beginning of a piece."""
+    words = words_of(data, offsets, LETTERS_AND_DIGITS, LOWER, with_sums=True)
+    text = words.text_of()
+    texts, hashes = [text], [words.hashes]
+    for points in BEGINNINGS:
+        longer, own = words.prefixes(points)
+        texts.append(text[longer])
+        hashes.append(own)
+    return np.concatenate(texts), np.concatenate(hashes)
+
+
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, toxic) of the distinct words of each text."""
+    """(word, toxic) of the distinct words and beginnings of each text."""
     for batch in batches:
         toxic = batch.column("toxic").to_numpy()
         for begin, _, data, offsets in pieces(batch.column("text")):
-            words = words_of(data, offsets, LETTERS_AND_DIGITS, LOWER)
-            text = words.text_of()
-            keys = np.unique(np.stack([words.hashes, text.astype(np.uint64)]), axis=1) if len(text) else np.zeros((2, 0), np.uint64)
+            text, hashes = candidates(data, offsets)
+            order = np.lexsort((hashes, text))
+            text, hashes = text[order], hashes[order]
+            new = np.ones(len(text), bool)
+            new[1:] = (text[1:] != text[:-1]) | (hashes[1:] != hashes[:-1])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[0].view(np.int64)), pa.array(toxic[begin + keys[1].astype(np.int64)], pa.int32())],
-                ["word", "toxic"],
+                [as_long(hashes[new]), pa.array(toxic[begin + text[new]], pa.int32())], ["word", "toxic"]
             )
 
 
 def choose_terms(examples: DataFrame) -> np.ndarray:
-    """Hashes, in order, of the words whose presence depends most on the label."""
+    """Hashes, in order, of the words and beginnings that mark toxic examples most."""
     totals = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("p")).first()
     n, p = totals["n"], totals["p"]
     if not p or p == n:
         return np.zeros(0, np.uint64)
     words = examples.select("text", "toxic").mapInArrow(_word_rows, "word long, toxic int").groupBy("word")
-    seen = words.agg(F.count("*").alias("a"), F.sum("toxic").alias("t")).where(F.col("a") >= LEAST_DOCUMENTS)
+    seen = words.agg(F.count("*").alias("a"), F.sum("toxic").alias("t"))
+    seen = seen.where((F.col("a") >= LEAST_DOCUMENTS) & (F.col("t") >= F.lit(LEAST_SHARE) * F.col("a")))
     gap = F.col("t") * F.lit(float(n)) - F.col("a") * F.lit(float(p))
     chi2 = gap * gap * F.lit(float(n)) / (F.col("a") * (F.lit(float(n)) - F.col("a")) * F.lit(float(p) * (n - p)))
     scored = seen.where(F.col("a") < n).withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2)
@@ -74,10 +92,10 @@ def term_counts(data: np.ndarray, offsets: np.ndarray, terms: np.ndarray) -> np.
     texts = len(offsets) - 1
     if not len(terms):
         return np.zeros((texts, 0))
-    words = words_of(data, offsets, LETTERS_AND_DIGITS, LOWER)
-    at = np.minimum(np.searchsorted(terms, words.hashes), len(terms) - 1)
-    hit = terms[at] == words.hashes
-    cell = words.text_of()[hit] * len(terms) + at[hit]
+    text, hashes = candidates(data, offsets)
+    at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
+    hit = terms[at] == hashes
+    cell = text[hit] * len(terms) + at[hit]
     return np.bincount(cell, minlength=texts * len(terms)).reshape(texts, len(terms)).astype(np.float64)
 
 
@@ -211,11 +229,12 @@ def _example_rows(terms: np.ndarray):
         for batch in batches:
             for begin, end, data, offsets in pieces(batch.column("text")):
                 counts = term_counts(data, offsets, terms).astype(np.int32)
+                packed = [row.tobytes() for row in counts]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(begin, end - begin),
                         batch.column("toxic").slice(begin, end - begin),
-                        pa.array(list(counts), pa.list_(pa.int32())),
+                        pa.array(packed, pa.binary()),
                     ],
                     ["doc_id", "toxic", "counts"],
                 )
@@ -228,15 +247,19 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
     marks = marks.agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
+    copies = docs.select("doc_id", F.xxhash64("text").alias("text_hash")).join(F.broadcast(marks), "doc_id")
+    firsts = copies.groupBy("text_hash").agg(F.min(F.struct("doc_id", "toxic")).alias("first"))
+    marks = stored(firsts.select("first.*").distinct())
     chosen = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id")
     terms = choose_terms(chosen)
     idf = rarity(docs, terms)
     rows = chosen.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic").mapInArrow(
-        _example_rows(terms), "doc_id long, toxic int, counts array<int>"
+        _example_rows(terms), "doc_id long, toxic int, counts binary"
     ).collect()
-    rows.sort(key=lambda row: (row["doc_id"], row["toxic"], list(row["counts"])))
+    rows.sort(key=lambda row: (row["doc_id"], row["toxic"], bytes(row["counts"])))
     toxic = np.array([row["toxic"] for row in rows], np.int64)
-    counts = np.array([row["counts"] for row in rows], np.float64).reshape(len(rows), len(terms))
+    counts = np.frombuffer(b"".join(bytes(row["counts"]) for row in rows), np.int32)
+    counts = counts.reshape(len(rows), len(terms)).astype(np.float64)
     filled = counts.any(1)
     bare = toxic[~filled]
     empty_rate = float(bare.mean()) if len(bare) else (float(toxic.mean()) if len(toxic) else 0.0)

@@ -62,6 +62,19 @@ class Words:
     ends: np.ndarray
     first: np.ndarray
     hashes: np.ndarray
+    #: sums over the words' bytes, one more than there are, if asked for; and where each word begins in them
+    sums: np.ndarray | None = None
+    places: np.ndarray | None = None
+
+    def prefixes(self, points: int) -> tuple[np.ndarray, np.ndarray]:
+        """(words of more than ``points`` code points, hashes of their first ``points``)."""
+        leads = np.flatnonzero((self.data & 0xC0) != 0x80)
+        at = np.searchsorted(leads, self.starts) + points
+        cut = np.append(leads, len(self.data))[np.minimum(at, len(leads))]
+        long_ = np.flatnonzero(cut < self.ends)
+        begin = self.places[long_]
+        size = cut[long_] - self.starts[long_]
+        return long_, mixed(self.sums[begin + size] - self.sums[begin] + np.uint64(points << 48))
 
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
@@ -95,11 +108,17 @@ def pieces(column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, in
         begin = end
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, case: np.ndarray) -> Words:
-    """Words are runs of bytes of a kind within a text; hashes are of the bytes mapped by ``case``."""
+def words_of(
+    data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, case: np.ndarray, with_sums: bool = False
+) -> Words:
+    """Words are runs of bytes of a kind within a text; hashes are of the bytes mapped by ``case``.
+
+    ``with_sums`` keeps what ``Words.prefixes`` needs.
+    """
     if not len(data):
         none = np.zeros(0, np.int64)
-        return Words(data, none, none, np.zeros(len(offsets), np.int64), np.zeros(0, np.uint64))
+        zero = np.zeros(1, np.uint64)
+        return Words(data, none, none, np.zeros(len(offsets), np.int64), np.zeros(0, np.uint64), zero, none)
     inside = kind[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
@@ -113,7 +132,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, case: np.n
     ends = np.flatnonzero(stops) + 1
     first = np.searchsorted(starts, offsets)
     if not len(starts):
-        return Words(data, starts, ends, first, np.zeros(0, np.uint64))
+        return Words(data, starts, ends, first, np.zeros(0, np.uint64), np.zeros(1, np.uint64), starts)
     lengths = ends - starts
     values = case[data[inside]].astype(np.uint64)
     values += np.uint64(1)
@@ -122,7 +141,8 @@ def words_of(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray, case: np.n
     values *= powers(int(lengths.max()))[place]
     hashes = np.add.reduceat(values, in_order)
     hashes += lengths.astype(np.uint64)
-    return Words(data, starts, ends, first, mixed(hashes))
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values)]) if with_sums else None
+    return Words(data, starts, ends, first, mixed(hashes), sums, in_order)
 
 
 def gram_hashes(values: np.ndarray, length: int) -> np.ndarray:
