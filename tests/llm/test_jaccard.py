@@ -1,0 +1,120 @@
+import random
+
+import pyarrow as pa
+import pytest
+
+from tableflow.llm.jaccard import Sets, components, jaccard_components
+from tableflow.llm.words import ASCII_LOWER, pieces
+
+
+def shingles(text):
+    words = (text or "").encode().translate(ASCII_LOWER).split()
+    if len(words) < 5:
+        return frozenset([tuple(words)] if words else [])
+    return frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4))
+
+
+def similar(a, b):
+    common = len(a & b)
+    return bool(a) and 100 * common >= 80 * len(a | b)
+
+
+def brute_force(rows):
+    sets = [(doc_id, shingles(text)) for doc_id, text in rows]
+    root = {doc_id: doc_id for doc_id, _ in sets}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for k, (a, one) in enumerate(sets):
+        for b, two in sets[:k]:
+            if similar(one, two):
+                low, high = sorted((find(a), find(b)))
+                root[high] = low
+    return sorted((doc_id, len(one), find(doc_id)) for doc_id, one in sets)
+
+
+def test_components_are_those_of_brute_force(odd_docs, odd_texts):
+    got = jaccard_components(odd_docs).collect()
+    assert sorted(map(tuple, got)) == brute_force(list(enumerate(odd_texts)))
+
+
+def sizes_and_edits():
+    """Pairs on either side of the threshold, chains, and texts around the borders of size bands."""
+    rng = random.Random(11)
+    rows = []
+    for size in [*range(1, 40), 60, 96, 97, 150, 151, 235, 240, 367, 600]:
+        words = [f"a{rng.randrange(10**6)}" for _ in range(size)]
+        chain = list(words)
+        rows.append(" ".join(words))
+        for _ in range(3):
+            chain = chain[1:] if rng.random() < 0.5 else [*chain, f"b{rng.randrange(10**6)}"]
+            rows.append(" ".join(chain))
+        cut = size // 9
+        rows.append(" ".join(words[cut:]))
+        rows.append(" ".join([*words, *[f"c{rng.randrange(10**6)}" for _ in range(size // 4)]]))
+    rng.shuffle(rows)
+    return list(enumerate(rows))
+
+
+def test_links_near_the_threshold(spark):
+    rows = sizes_and_edits()
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(map(tuple, got)) == brute_force(rows)
+
+
+def test_similar_sets_share_a_signature():
+    rows = sizes_and_edits()
+    for begin, _, data, offsets in pieces(pa.array([text for _, text in rows]), 1 << 30):
+        sets = Sets(data, offsets)
+        assert begin == 0
+    by_text = [set() for _ in rows]
+    for text, signature in zip(*sets.all_signatures()):
+        by_text[text].add(int(signature))
+    plain = [shingles(text) for _, text in rows]
+    pairs = 0
+    for a in range(len(rows)):
+        for b in range(a):
+            if plain[a] != plain[b] and similar(plain[a], plain[b]):
+                assert by_text[a] & by_text[b], (rows[a], rows[b])
+                pairs += 1
+    assert pairs > 100
+
+
+def test_members_of_one_group_that_only_link_to_each_other(spark):
+    # all share a passage with the first, which is similar to none
+    rng = random.Random(5)
+    passage = [f"p{k}" for k in range(30)]
+    rows = [(0, " ".join(passage + [f"x{k}" for k in range(30)]))]
+    for k in range(1, 9):
+        own = [f"o{(k - 1) // 2}_{j}" for j in range(25)]
+        rows.append((k, " ".join(passage + own + [f"e{k}"])))
+    rng.shuffle(rows)
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == brute_force(rows)
+
+
+def test_null_and_repeated_ids(spark):
+    rows = [(None, "a b c d e f"), (None, "g h i j k l"), (4, "a b c d e f"), (4, "q r s t u v"), (6, "q r s t u v"), (7, None)]
+    got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    found = sorted((str(r[0]), r[1], str(r[2])) for r in got)
+    assert found == [("4", 2, "None"), ("4", 2, "None"), ("6", 2, "None"), ("7", 0, "7"), ("None", 2, "None"), ("None", 2, "None")]
+
+
+def test_empty_table(no_docs):
+    assert jaccard_components(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("edges", [[], [(1, 2)], [(k, k + 1) for k in range(60)], [(9, 3), (3, 5), (8, 7), (7, 8), (4, 4)]])
+def test_components_of_links(spark, edges):
+    got = {r["name"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    root = {}
+    for a, b in edges:
+        if a != b:
+            root.setdefault(a, {a}), root.setdefault(b, {b})
+            both = root[a] | root[b]
+            for x in both:
+                root[x] = both
+    assert got == {name: min(group) for name, group in root.items()}

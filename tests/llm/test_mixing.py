@@ -1,0 +1,58 @@
+import math
+
+from pyspark.sql import functions as F
+
+from tableflow.llm.mixing import mix_sources, source_rates, uniform
+
+
+def frame(spark, count=3000):
+    rows = [(k, "x" * (10 if k % 3 else 40), ["a", "b", None][k % 3]) for k in range(count)]
+    return spark.createDataFrame(rows, "doc_id long, text string, source string")
+
+
+def test_rates_reach_the_target_shares(spark):
+    weights = {"a": 3.0, "b": 1.0}
+    rates = {r["mix_source"]: r["mix_rate"] for r in source_rates(frame(spark), weights).collect()}
+    sizes = {"a": 40_000, "b": 10_000, None: 10_000}
+    for name, weight in (("a", 0.75), ("b", 0.25), (None, 0.0)):
+        assert math.isclose(rates[name] * sizes[name], weight * 60_000, abs_tol=1e-6)
+
+
+def test_copies_follow_the_inverse_distribution(spark):
+    docs = frame(spark)
+    out = mix_sources(docs, {"a": 1.0, "b": 4.0, None: 1.0}, "seed")
+    got = {r["doc_id"]: r["count"] for r in out.groupBy("doc_id").count().collect()}
+    rates = {r["mix_source"]: r["mix_rate"] for r in source_rates(docs, {"a": 1.0, "b": 4.0, None: 1.0}).collect()}
+    draws = docs.select("doc_id", "source", uniform(F.lit("seed"), F.col("doc_id").cast("string")).alias("u")).collect()
+    for row in draws:
+        rate = rates[row["source"]]
+        term = total = math.exp(-rate)
+        count = 0
+        while total <= row["u"] and term > 0:
+            count += 1
+            term *= rate / count
+            total += term
+        assert got.get(row["doc_id"], 0) == count
+    for name, rate in rates.items():
+        mine = [got.get(r["doc_id"], 0) for r in draws if r["source"] == name]
+        assert abs(sum(mine) / len(mine) - rate) < 4 * math.sqrt(rate / len(mine))
+
+
+def test_same_seed_same_corpus_and_order_mixes_sources(spark):
+    docs = frame(spark, 600)
+    one, two = (mix_sources(d, seed="s").collect() for d in (docs, docs.repartition(5)))
+    assert sorted(map(str, one)) == sorted(map(str, two))
+    assert sorted(map(str, mix_sources(docs, seed="t").collect())) != sorted(map(str, one))
+    keys = [(r["mix_key"]) for r in one]
+    assert len(set(keys)) == len(keys)
+
+
+def test_null_texts_empty_tables_and_clashing_names(spark, no_docs):
+    rows = [(1, None, "a", 5, "k"), (2, "text", "b", 6, "k"), (2, "text", "b", 6, "k"), (None, "text", "b", 7, "k")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, copy int, mix_key string")
+    docs = docs.selectExpr("*", "'r' as row", "'d' as draw", "'i' as id_text")
+    out = mix_sources(docs, {"a": 1.0, "b": 1.0}, output_ratio=20.0)
+    assert set(out.columns) == set(docs.columns)
+    assert {r["doc_id"] for r in out.collect()} == {2, None}
+    assert mix_sources(no_docs).count() == 0
+    assert mix_sources(docs.where("doc_id = 1")).count() == 0
