@@ -1,9 +1,10 @@
 import random
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
-from tableflow.llm.jaccard import Sets, components, jaccard_components
+from tableflow.llm.jaccard import Sets, components, jaccard_components, may_be_similar, sketch_distance
 from tableflow.llm.words import ASCII_LOWER, pieces
 
 
@@ -65,13 +66,16 @@ def test_links_near_the_threshold(spark):
     assert sorted(map(tuple, got)) == brute_force(rows)
 
 
-def test_similar_sets_share_a_signature():
+@pytest.mark.parametrize("share", [0, 0.1, 0.5, 1])
+def test_similar_sets_share_a_signature(share):
     rows = sizes_and_edits()
     for begin, _, data, offsets in pieces(pa.array([text for _, text in rows]), 1 << 30):
         sets = Sets(data, offsets)
         assert begin == 0
     by_text = [set() for _ in rows]
-    for text, signature in zip(*sets.all_signatures()):
+    every = np.unique(sets.hashes)
+    common = every[np.random.default_rng(1).random(len(every)) < share]
+    for text, signature in zip(*sets.all_signatures(common)):
         by_text[text].add(int(signature))
     plain = [shingles(text) for _, text in rows]
     pairs = 0
@@ -83,6 +87,24 @@ def test_similar_sets_share_a_signature():
     assert pairs > 100
 
 
+def test_sketches_never_differ_in_more_bits_than_sets_in_shingles(spark):
+    rng = random.Random(3)
+    base = [f"a{k}" for k in range(400)]
+    texts = [" ".join(base[: rng.randrange(5, 400)] + [f"b{rng.randrange(99)}" for _ in range(rng.randrange(40))]) for _ in range(40)]
+    _, _, data, offsets = next(pieces(pa.array(texts), 1 << 30))
+    sets = Sets(data, offsets)
+    words, edges = sets.sketches()
+    plain = [shingles(text) for text in texts]
+    rows = [(k, len(plain[k]), words[edges[k] : edges[k + 1]].tolist()) for k in range(40)]
+    one, two = (spark.createDataFrame(rows, f"{c} int, {c}_n_shingles long, {c}_sketch array<long>") for c in "xy")
+    pairs = one.crossJoin(two).where("x_n_shingles < 2 * y_n_shingles and y_n_shingles < 2 * x_n_shingles")
+    got = pairs.select("x", "y", sketch_distance("x_sketch", "y_sketch"), may_be_similar("x_", "y_")).collect()
+    assert len(got) > 300
+    for x, y, distance, possible in got:
+        assert distance <= len(plain[x] ^ plain[y])
+        assert possible or not similar(plain[x], plain[y])
+
+
 def test_members_of_one_group_that_only_link_to_each_other(spark):
     # all share a passage with the first, which is similar to none
     rng = random.Random(5)
