@@ -354,10 +354,10 @@ def remove_repeats(docs: DataFrame, window: int = 20, gram: int = GRAM, split_an
     # a later document with the text of an earlier one: all its windows start earlier there
     copies = (
         texts.select("id", "key")
+        .distinct()
         .join(firsts.withColumnRenamed("id", "least"), "key")
         .where("id > least")
         .select("id", "key", F.lit(True).alias("is_copy"))
-        .distinct()
     )
     marks = spans.join(copies, ["id", "key"], "full_outer")
     return (
