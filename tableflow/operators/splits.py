@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 
 from tableflow.operators.search import array_literal, count_up_to
 
+# Documented parameters; none of them changes the result.
 # Keys a single gap may hold before it is narrowed further; a gap is sorted by one task.
 GAP_ROWS = 1_000_000
-# Sampled keys per narrowing pass of a large table, and least number per wanted split.
+# Sampled keys per narrowing pass of a large table, and least number per wanted split. The sample and
+# its counts are on the driver, and travel with every task: about 40 bytes a key, so 1,000 regions
+# mean 20,000 keys or 1 MB.
 SAMPLE_KEYS = 10_000
 SAMPLE_KEYS_PER_SPLIT = 20
 
@@ -63,40 +66,52 @@ def split_keys(
     counted on their own, so a key that holds a third of all rows is one count, and not a large gap.
     """
     keys = df.select(F.col(key).cast("string").alias("k"))
-    sizes = keys.agg(F.count("*"), F.count("k"), F.count_if(F.col("k") == "")).first()
-    total, present, empty = sizes
-    nulls = total - present
-    # positions among the non-null keys
-    wanted = sorted({at - nulls for at in split_positions(total, regions) if nulls <= at < total})
-    if not wanted:
+    total = keys.count()  # of stored rows, from file footers
+    positions = split_positions(total, regions) if total else []
+    if not positions:
         return []
-    keys = keys.where(F.col("k").isNotNull())
-
-    edges = [""]  # no key sorts before the empty one
-    found = {""} if _holds(wanted, 0, empty) else set()
-    gaps = [_Gap(1, empty, present - empty)] if wanted[-1] >= empty else []
-    while gaps and max(gap.rows for gap in gaps) > gap_rows:
-        inside = _inside(keys, edges, gaps)
-        rows = sum(gap.rows for gap in gaps)
+    if total <= gap_rows:
+        return sorted(_sorted_pick(keys.withColumn("gap", F.lit(0)), {0: 0}, positions))
+
+    edges, found, gaps, wanted = [""], set(), None, positions  # no key sorts before the empty one
+    while gaps is None or (gaps and max(gap.rows for gap in gaps) > gap_rows):
+        rows = total if gaps is None else sum(gap.rows for gap in gaps)
+        inside = keys if gaps is None else _inside(keys, edges, gaps)
         size = max(SAMPLE_KEYS_PER_SPLIT * len(wanted), min(sample_keys, rows // 100))
-        sample = inside.sample(min(1.0, size / rows), seed).select("k").distinct().collect()
+        sample = inside.select("k").sample(min(1.0, size / rows), seed).distinct().collect()
         seed += 1
-        finer = sorted(_edges_around(edges, gaps) | {row.k for row in sample})
-        slot = _slot(F.col("k"), finer).alias("slot")
-        counts = dict(map(tuple, inside.groupBy(slot).count().collect()))
+        sampled = {row.k for row in sample if row.k is not None}
+        near = {""} if gaps is None else _edges_around(edges, gaps)
+        finer = sorted(near | sampled)
+        # counts of all slots: those outside the gaps are few, and need no second search to leave out
+        counts = dict(map(tuple, keys.groupBy(_slot(F.col("k"), finer).alias("slot")).count().collect()))
+        if gaps is None:
+            nulls, empty = counts.get(None, 0), counts.get(1, 0)
+            # positions among the non-null keys
+            wanted = sorted({at - nulls for at in positions if nulls <= at < total})
+            found = {""} if _holds(wanted, 0, empty) else set()
+            gaps = [_Gap(1, empty, total - nulls - empty)] if wanted and wanted[-1] >= empty else []
         more, gaps = _narrow(edges, gaps, finer, counts, wanted)
         found |= more
         edges = finer
     if gaps:
-        found |= _sorted_pick(_inside(keys, edges, gaps), gaps, wanted)
+        starts = {2 * gap.index: gap.start for gap in gaps}
+        found |= _sorted_pick(_inside(keys, edges, gaps), starts, wanted)
     return sorted(found)
 
 
 def _slot(key: Column, edges: list[str]) -> Column:
-    """2 * (edges below) for a key between edges, one less than that for an edge itself."""
-    below = count_up_to(key, edges)
-    is_edge = F.get(array_literal(edges, "string"), below - 1) == key
-    return F.when(is_edge, 2 * below - 1).otherwise(2 * below)
+    """2 * (edges below) for a key between edges, one less than that for an edge itself; null for null.
+
+    The search is the argument of a lambda, so that it runs once per row and not once per use.
+    """
+    entries = array_literal(edges, "string")
+
+    def slot(below: Column) -> Column:
+        return F.when(F.get(entries, below - 1) == key, 2 * below - 1).otherwise(2 * below)
+
+    found = F.element_at(F.transform(F.array(count_up_to(key, edges)), slot), 1)
+    return F.when(key.isNotNull(), found)
 
 
 def _inside(keys: DataFrame, edges: list[str], gaps: list[_Gap]) -> DataFrame:
@@ -139,11 +154,15 @@ def _holds(wanted: list[int], start: int, rows: int) -> bool:
     return at < len(wanted) and wanted[at] < start + rows
 
 
-def _sorted_pick(inside: DataFrame, gaps: list[_Gap], wanted: list[int]) -> set[str]:
-    """Split keys inside the gaps, by numbering each gap's sorted keys; a gap is one task's work."""
-    starts = array_literal([gap.start for gap in gaps], "bigint")
-    start = F.get(starts, count_up_to(F.col("gap"), [2 * gap.index for gap in gaps], "int") - 1)
+def _sorted_pick(inside: DataFrame, starts: dict[int, int], wanted: list[int]) -> set[str]:
+    """Split keys inside the gaps, by numbering each gap's sorted keys; a gap is one task's work.
+
+    ``starts`` has the position of the first key of each gap. Nulls come first and are no split keys.
+    """
+    gaps = sorted(starts)
+    first = array_literal([starts[gap] for gap in gaps], "bigint")
+    start = F.get(first, count_up_to(F.col("gap"), gaps, "int") - 1)
     number = F.row_number().over(Window.partitionBy("gap").orderBy("k"))
     at = start + number - 1
     picked = inside.select("k", at.alias("at")).where(F.col("at").isin(wanted))
-    return {row.k for row in picked.collect()}
+    return {row.k for row in picked.collect() if row.k is not None}
