@@ -8,9 +8,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tableflow.plans.shape import assemble, derive, duplicate_names
+from tableflow.plans.shape import duplicate_names, shaped
 from tableflow.plugins import is_built_in
-from tableflow.session import apply_settings
+from tableflow.session import apply_settings, scoped_settings
 from tableflow.sinks import write_target
 from tableflow.sources import read_source
 from tableflow.spec import PipelineSpec
@@ -24,15 +24,15 @@ def build(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
     Nothing is computed and nothing cached: sources, join, filter and derived columns form one
     plan, so pruned columns and filters reach the scans. Source views exist only while the plan
     is analyzed; a view of the caller's with the same name is put back.
+
+    The spec's settings are applied to the session and stay, since the caller computes the result
+    afterwards; ``run`` puts them back.
     """
     apply_settings(spark, spec.settings)
     with _scoped_views(spark) as register:
         for source in spec.sources:
             register(source.id, read_source(spark, source))
-        df = assemble(spark, spec.sources, spec.select)
-        if spec.where.strip():
-            df = df.where(spec.where)
-        df = derive(df, spec.add_columns)
+        df = shaped(spark, spec)
     twice = duplicate_names(df)
     # a plug-in sink may know what to do with them; the built-in ones do not
     if twice and (spec.target is None or is_built_in(spec.target.plugin)):
@@ -41,10 +41,14 @@ def build(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
 
 
 def run(spark: SparkSession, spec: PipelineSpec) -> None:
-    """Build the result and write it to the target; raises if anything fails."""
+    """Build the result and write it to the target; raises if anything fails.
+
+    The spec's settings hold for this run only.
+    """
     if spec.target is None:
         raise ValueError("the spec has no target")
-    write_target(build(spark, spec), spark, spec.target)
+    with scoped_settings(spark, spec.settings):
+        write_target(build(spark, spec), spark, spec.target)
     log.info("wrote target %s", spec.target.place)
 
 

@@ -5,10 +5,56 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tableflow.spec import SourceSpec
+from tableflow.operators.cells import quoted
+from tableflow.spec import PipelineSpec, SourceSpec
+
+
+def shaped(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
+    """The joined rows, filtered, with derived columns, and of them the selected ones.
+
+    Filter and derived columns see every column of the join, also those that ``select`` leaves out.
+    That needs a join text that is a plain list of relations. Where it goes on, with a union, say, or
+    where ``select`` itself decides about the rows (``distinct``, aggregates) or names what filter and
+    derived columns use, the list is selected first.
+    """
+    text = _relations(spec.sources)
+    if spec.select and _is_plain(spark, text):
+        try:
+            df = _filtered_and_derived(spark.sql(f"select * from {text}"), spec)
+            names = {name.lower() for name in df.selectExpr(*spec.select).columns}
+            more = [quoted(name) for name, _ in spec.add_columns if name.lower() not in names]
+            return df.selectExpr(*spec.select, *dict.fromkeys(more))
+        except AnalysisException:
+            pass  # analyzed again below, with errors of its own
+    return _filtered_and_derived(assemble(spark, spec.sources, spec.select), spec)
+
+
+def _filtered_and_derived(df: DataFrame, spec: PipelineSpec) -> DataFrame:
+    if spec.where.strip():
+        df = df.where(spec.where)
+    return derive(df, spec.add_columns)
+
+
+def _is_plain(spark: SparkSession, text: str) -> bool:
+    """Whether the text is nothing but relations: then it takes a select list of any length."""
+    try:
+        for some in ("1 as a", "1 as a, 2 as b"):
+            spark.sql(f"select {some} from {text}")
+    except AnalysisException:
+        return False
+    return True
+
+
+def _relations(sources: Sequence[SourceSpec]) -> str:
+    """The join texts in ``index`` order."""
+    text = " ".join(source.join for source in sorted(sources, key=lambda source: source.index))
+    if not text.strip():
+        raise ValueError("no source has a join text, so there is nothing to select from")
+    return text
 
 
 def assemble(
@@ -20,11 +66,7 @@ def assemble(
     Spark knows works, and Catalyst picks the join strategy from table sizes. A source with no
     join text is only used if another text names it.
     """
-    ordered = sorted(sources, key=lambda source: source.index)
-    text = " ".join(source.join for source in ordered)
-    if not text.strip():
-        raise ValueError("no source has a join text, so there is nothing to select from")
-    return spark.sql(f"select {', '.join(select) if select else '*'} from {text}")
+    return spark.sql(f"select {', '.join(select) if select else '*'} from {_relations(sources)}")
 
 
 def derive(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:

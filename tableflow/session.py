@@ -5,7 +5,8 @@ from __future__ import annotations
 import logging
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
@@ -38,15 +39,30 @@ def apply_settings(spark: SparkSession, settings: Mapping[str, str]) -> list[str
     return refused
 
 
+@contextmanager
+def scoped_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterator[None]:
+    """The settings for the length of a block; what the session had before is put back."""
+    before = {key: spark.conf.get(key, None) for key in settings if spark.conf.isModifiable(key)}
+    apply_settings(spark, settings)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the session's ``spark.checkpoint.dir``.
 
-    Every executor must see the folder, so a machine-local one serves only sessions that name
-    none, such as tests on local[n].
+    Every executor must see the folder. Only a session on local[n] that names none, as in tests, gets
+    a machine-local one; on a cluster the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/tableflow-{label}-{uuid.uuid4().hex}"

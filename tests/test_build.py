@@ -5,7 +5,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from conftest import plan_of
-from tableflow import PipelineSpec, build, register
+from tableflow import PipelineSpec, build, register, run
 from tableflow.plugins import resolve
 
 
@@ -271,3 +271,45 @@ def test_a_spec_applies_what_a_running_session_allows(spark, people, caplog):
     assert spark.conf.get("spark.sql.files.maxPartitionBytes") == "64m"
     assert "spark.serializer" in caplog.text
     spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_filter_and_derived_columns_see_what_select_leaves_out(spark, people):
+    spec = job(
+        relation("emp", "emp"),
+        relation("dept", "join dept on emp.dept = dept.dept"),
+        select=["emp.emp_id", "title as name"],
+        **{"where.clause": "emp.name = 'ann'", "add.columns": [["who", "emp.name"], ["title", "concat(title, '!')"]]},
+    )
+    assert [row.asDict() for row in build(spark, spec).collect()] == [
+        {"emp_id": 1, "name": "hr!", "who": "ann", "title": "hr!"}
+    ]
+
+
+@pytest.mark.parametrize("select,tail,count", [
+    (["distinct dept"], "", 3),
+    (["dept"], "union all select dept from dept", 5),
+    (["dept", "title"], "join dept using (dept) order by title limit 1", 1),
+    (["count(*) as n"], "", 1),
+    (["dept", "count(*) as n"], "group by dept", 3),
+])
+def test_texts_that_are_more_than_relations_select_first(spark, people, select, tail, count):
+    spec = job(relation("emp", "emp"), relation("dept", tail), select=select, **{"add.columns": [["x", "1"]]})
+    result = build(spark, spec)
+    assert result.count() == count and result.columns[-1] == "x"
+
+
+def test_settings_hold_for_the_run(spark, people, tmp_path):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    tree = {
+        "spark-config": {"spark.sql.session.timeZone": "+05:00", "spark.sql.shuffle.partitions": 3},
+        "source": {"mapping": [relation("emp", "emp")], "add.columns": [["t", "unix_timestamp('2020-01-01 00:00:00')"]]},
+        "target": {"place": "hdfs", "options": {"location": f"{tmp_path}/o", "format": "parquet", "compression": "none", "mode": "error"}},
+    }
+    run(spark, PipelineSpec.from_dict(tree))
+    assert {row.t for row in spark.read.parquet(f"{tmp_path}/o").collect()} == {1577836800 - 5 * 3600}
+    assert spark.conf.get("spark.sql.session.timeZone") == zone
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+    tree["target"]["options"]["format"] = "no such format"
+    with pytest.raises(Exception):
+        run(spark, PipelineSpec.from_dict(tree))
+    assert spark.conf.get("spark.sql.session.timeZone") == zone
