@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tableflow.operators.cells import quoted
 from tableflow.spec import TargetSpec
 
 
@@ -19,7 +20,7 @@ def write_table(df: DataFrame, spark: SparkSession, target: TargetSpec) -> None:
         columns = spark.table(name).columns
         if sorted(c.lower() for c in columns) != sorted(c.lower() for c in df.columns):
             raise ValueError(f"columns {df.columns} do not match those of {name}: {columns}")
-        df.select(*[f"`{c}`" for c in columns]).write.insertInto(name)
+        df.select(*[quoted(c) for c in columns]).write.insertInto(name)
         return
     writer = df.write.mode(mode)
     if target.option("format"):

@@ -43,3 +43,18 @@ def test_bytes(spark):
     assert one(spark, cell_text(text_bytes("s")), "naïve ✓") == "naïve ✓"
     assert one(spark, cell_text("s"), None, "binary") is None
     assert one(spark, cell_text("s"), b"a\xffb", "binary") == "a�b"
+
+
+def test_maps_at_any_depth_come_back(spark):
+    from tableflow.functions import decode_value, encode_value
+
+    df = spark.sql("""
+        select struct(map(1, array(map('k', 2.5D)), 3, null) as m, 'x' as s) as a,
+               array(struct(map(date '2020-01-01', 7) as d), null) as b,
+               map(struct(1 as x), map(2, 'v')) as c,
+               cast(null as struct<m: map<int, string>>) as d
+    """)
+    types = {field.name: field.dataType for field in df.schema}
+    text = df.select(*[encode_value(F.col(n), t).alias(n) for n, t in types.items()])
+    back = text.select(*[decode_value(F.col(n), t).alias(n) for n, t in types.items()])
+    assert back.collect() == df.collect() and back.dtypes == df.dtypes
