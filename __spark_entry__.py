@@ -6,6 +6,7 @@ to a fresh folder under the session's shared scratch folder and return what they
 
 from __future__ import annotations
 
+import dataclasses
 import os
 import sys
 import uuid
@@ -638,6 +639,40 @@ def add_update_ts(spark, sf_dir):
     return stamped.select("c_custkey", "src_ind", F.col("update_ts").isNotNull().alias("stamped"))
 
 
+@query("""
+    select o_orderkey, c_name, o_totalprice * 2 as twice, o_totalprice * 2 + c_acctbal as more
+    from orders join customer on o_custkey = c_custkey where o_orderstatus = 'F' and c_acctbal > 0
+""")
+def add_from_unselected(spark, sf_dir):
+    # neither the filter nor the derived columns use a column of the output
+    return build(
+        spark,
+        job(
+            files(sf_dir, "orders", ORDERS, "orders"),
+            files(sf_dir, "customer", CUSTOMER, "join customer on orders.o_custkey = customer.c_custkey"),
+            select=["orders.o_orderkey", "c_name"],
+            where="o_orderstatus = 'F' and customer.c_acctbal > 0",
+            add=[["twice", "o_totalprice * 2"], ["more", "twice + c_acctbal"]],
+        ),
+    )
+
+
+@query("select o_orderkey, cast(epoch(o_orderdate) as bigint) - 5 * 3600 as seconds from orders")
+def spec_settings(spark, sf_dir):
+    # the zone holds for this run only
+    folder = scratch_folder(spark, "zone")
+    options = {"location": folder, "format": "parquet", "compression": "snappy", "mode": "overwrite"}
+    seconds = ["seconds", "unix_timestamp(cast(o_orderdate as timestamp))"]
+    spec = job(
+        files(sf_dir, "orders", "o_orderkey o_orderdate", "orders"),
+        select=["o_orderkey"],
+        add=[seconds],
+        target={"place": "hdfs", "options": options},
+    )
+    run(spark, dataclasses.replace(spec, settings={"spark.sql.session.timeZone": "+05:00"}))
+    return spark.read.parquet(folder)
+
+
 # ---------------------------------------------------------------------------------------------
 # Files
 
@@ -652,17 +687,20 @@ def file_round_trip_parquet(spark, sf_dir):
     return write_files_and_read(spark, sf_dir, "parquet", "zstd", ORDERS)
 
 
-@query("select o_orderkey, o_orderpriority, o_totalprice from orders where o_totalprice > 250000")
+ORDER_SCHEMA = (
+    "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,"
+    " o_orderdate timestamp_ntz, o_orderpriority string"
+)
+
+
+@query("select * from orders")
 def file_round_trip_json(spark, sf_dir):
-    kept = "o_orderkey o_orderpriority o_totalprice"
-    schema = "o_orderkey bigint, o_orderpriority string, o_totalprice double"
-    where = "o_totalprice > 250000"
-    return write_files_and_read(spark, sf_dir, "json", "gzip", kept, schema=schema, where=where)
+    return write_files_and_read(spark, sf_dir, "json", "gzip", ORDERS, schema=ORDER_SCHEMA)
 
 
-@query("select cast(o_orderkey as varchar) as _c0, o_orderpriority as _c5 from orders")
+@query("select * from orders")
 def file_round_trip_csv(spark, sf_dir):
-    return write_files_and_read(spark, sf_dir, "csv", "gzip", "_c0 _c5")
+    return write_files_and_read(spark, sf_dir, "csv", "gzip", ORDERS, schema=ORDER_SCHEMA)
 
 
 # ---------------------------------------------------------------------------------------------
@@ -862,6 +900,63 @@ def bulk_shared_keys(spark, sf_dir):
     return build(spark, job(cell_source(f"{folder}/cells", ["o_orderkey", "o_totalprice"])))
 
 
+@query("select o_orderpriority as rowkey, count(*) * 6 as cells from orders group by o_orderpriority")
+def bulk_shared_keys_cells(spark, sf_dir):
+    # no cell of rows that share a key is lost
+    folder = scratch_folder(spark, "bulk")
+    target = bulk(folder, regions=4, **{"key-columns": ["o_orderpriority"]})
+    run(spark, job(files(sf_dir, "orders", ORDERS, "orders"), target=target))
+    return spark.read.parquet(f"{folder}/cells").groupBy("rowkey").agg(F.count("*").alias("cells"))
+
+
+_HALVES = ("o_orderkey % 2 = 0", "o_orderkey % 2 = 1")
+
+
+@query(f"""
+    with s as ({_rank_sql(f"{_ORDER_KEYS} where {_HALVES[0]}", 8)})
+    select region, count(*) * 6 as cells, min(k) as first_key, max(k) as last_key
+    from (select k, len(list_filter((select list(split) from s), lambda x: x <= k)) as region
+          from ({_ORDER_KEYS} where {_HALVES[1]})) group by region
+""")
+def bulk_reused_splits(spark, sf_dir):
+    # the second load asks for other regions, and is laid out by the first one's split keys
+    folder = scratch_folder(spark, "bulk")
+    for version, half in enumerate(_HALVES, 1):
+        source = files(sf_dir, "orders", ORDERS, "orders", where=half)
+        target = bulk(folder, regions=5 + 3 * (version == 1), version=version, **{"key-columns": ["o_orderkey"]})
+        run(spark, job(source, target=target))
+    cells = spark.read.parquet(f"{folder}/cells").where("version = 2")
+    return cells.groupBy(F.col("region").cast("bigint").alias("region")).agg(
+        F.count("*").alias("cells"), F.min("rowkey").alias("first_key"), F.max("rowkey").alias("last_key")
+    )
+
+
+@query("""
+    select cast(o_orderkey as varchar) as rowkey, cast(o_custkey as varchar) as o_custkey, o_orderpriority
+    from orders where cast(o_orderkey as varchar) >= '2' and cast(o_orderkey as varchar) < '35'
+""")
+def cells_key_range(spark, sf_dir):
+    # two loads by region, and puts; of the loads only the regions of the range are read
+    folder = scratch_folder(spark, "bulk")
+    keyed = {"key-columns": ["o_orderkey"]}
+    thirds = [files(sf_dir, "orders", ORDERS, "orders", where=f"o_orderkey % 3 = {n}") for n in range(3)]
+    for third in thirds[:2]:
+        run(spark, job(third, target=bulk(folder, **keyed)))
+    run(spark, job(thirds[2], target=customer_target(folder, **keyed)))
+    names = ["o_custkey", "o_orderpriority"]
+    return build(spark, job(cell_source(f"{folder}/cells", names, rows={"from": "2", "to": "35"})))
+
+
+@query("select c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment from customer")
+def cells_orc_twice(spark, sf_dir):
+    # the second load does not name the format
+    folder = scratch_folder(spark, "bulk")
+    for half, named in (("c_custkey % 2 = 0", {"format": "orc"}), ("c_custkey % 2 = 1", {})):
+        source = files(sf_dir, "customer", CUSTOMER, "customer", where=half)
+        run(spark, job(source, target=bulk(folder, **named)))
+    return read_customer_cells(spark, folder)
+
+
 # ---------------------------------------------------------------------------------------------
 # All source kinds in one job
 

@@ -2,29 +2,26 @@
 
 from __future__ import annotations
 
-import logging
 import math
 import time
-from collections.abc import Iterator, Sequence
-from contextlib import contextmanager
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableflow.operators.cells import encoded_columns, row_key, row_to_cells, unpivot_cells
-from tableflow.operators.regions import arrange_by_region, place_in_regions
+from tableflow.operators.regions import region_of
+from tableflow.operators.search import array_literal
 from tableflow.operators.splits import split_keys
-from tableflow.sinks.store import FolderStore, hadoop_path, new_load_id, open_store
+from tableflow.sinks.store import FolderStore, hadoop_path, new_load_id, open_store, remove
 from tableflow.spec import TargetSpec
 
-log = logging.getLogger(__name__)
-
-# Stored bytes, and cells, one task should sort and write; they set the partitions of a large load.
+# Stored bytes, and cells, one task should sort and write; they set the number of tasks, nothing else.
 BYTES_PER_TASK = 256 * 1024 * 1024
 CELLS_PER_TASK = 10_000_000
-# Regions a small load may keep files open for; tasks of a large load see few regions each.
-OPEN_FILES = 256
+# Regions of one task, which keeps a file open for each.
+REGIONS_PER_TASK = 64
 
 
 def write_cells(df: DataFrame, spark: SparkSession, target: TargetSpec) -> None:
@@ -51,8 +48,6 @@ def put_cells(
     df: DataFrame, store: FolderStore, cf: str, keys: Sequence[str] | None, version: int
 ) -> None:
     """Append the cells in one pass; a store that does not exist yet starts with one region."""
-    if not store.exists():
-        store.create([])
     store.put(row_to_cells(df, row_key(df, keys), cf, _long(version)), new_load_id())
 
 
@@ -67,24 +62,23 @@ def bulk_load(
 ) -> None:
     """Key and store the rows, find or reuse split keys, stage sorted cells, publish them.
 
-    Rows are stored with their keys first. Split keys, partition bounds and the cells then all
+    Rows are stored with their keys first. Split keys, row counts and the cells then all
     see the same keys, also when a lost executor makes Spark run a task twice; and the job that
     produced ``df`` runs once instead of once per pass.
     """
+    store.check_format()
     load = new_load_id()
     folder = f"{staging.rstrip('/')}/{load}"
-    rows = store_keyed_rows(df, keys, f"{folder}/rows")
-    splits = store.splits()
-    if splits is None:
-        splits = split_keys(rows.frame, regions)
-        store.create(splits)
-    staged = f"{folder}/cells"
-    stage_cells(rows, splits, cf, version, staged, store.kind)
-    store.publish(staged, load, range(len(splits) + 1))
-    # this run's own folder, named by its load id; what is left in it is only the stored rows
-    fs, path = hadoop_path(df.sparkSession, folder)
-    if not fs.delete(path, True):
-        log.warning("could not remove %s", folder)
+    try:
+        rows = store_keyed_rows(df, keys, f"{folder}/rows")
+        known = store.splits()
+        splits = split_keys(rows.frame, regions) if known is None else known
+        staged = f"{folder}/cells"
+        stage_cells(rows, splits, cf, version, staged, store.kind)
+        store.publish(staged, load, splits if known is None else None)
+    finally:
+        # this run's own folder, named by its load id
+        remove(df.sparkSession, folder)
 
 
 @dataclass(frozen=True)
@@ -92,6 +86,7 @@ class KeyedRows:
     """Stored rows: ``rowkey``, and the data columns as text under ``c0``, ``c1``, ..."""
 
     frame: DataFrame
+    path: str
     names: list[str]
     unique: bool  # whether no two rows share a key; else ``spread`` may part rows that do
     size: int  # bytes on disk
@@ -112,7 +107,25 @@ def store_keyed_rows(df: DataFrame, keys: Sequence[str] | None, path: str) -> Ke
     stored = df.sparkSession.read.schema(keyed.schema).parquet(path)
     fs, folder = hadoop_path(df.sparkSession, path)
     size = fs.getContentSummary(folder).getLength()
-    return KeyedRows(stored, df.columns, unique=not keys, size=size)
+    return KeyedRows(stored, path, df.columns, unique=not keys, size=size)
+
+
+def deal_regions(counts: Mapping[int, int], rows_per_task: float) -> tuple[list[int], list[int], int]:
+    """First task and number of tasks of each region, and the number of tasks in all.
+
+    Neighbouring regions share a task as long as they are small; a region with more rows than a task
+    should have gets several tasks of its own.
+    """
+    first, parts, tasks, held, regions = [], [], 0, 0, 0
+    for region in range(max(counts, default=-1) + 1):
+        rows = counts.get(region, 0)
+        pieces = max(1, math.ceil(rows / rows_per_task))
+        if tasks == 0 or pieces > 1 or held + rows > rows_per_task or regions == REGIONS_PER_TASK:
+            tasks, held, regions = tasks + pieces, 0, 0
+        first.append(tasks - pieces)
+        parts.append(pieces)
+        held, regions = held + rows if pieces == 1 else rows_per_task, regions + 1
+    return first, parts, tasks
 
 
 def stage_cells(
@@ -120,39 +133,44 @@ def stage_cells(
 ) -> None:
     """Write the cells by region, each file sorted by row key and qualifier.
 
-    What is shuffled and sorted are rows, not the many more cells: a row becomes its cells, in
-    qualifier order, in the task that writes them. Cells are sorted themselves only where rows may
-    share a key, or where a few tasks write very many regions.
+    The rows of each region are counted, which reads the keys alone, and dealt to tasks by region; a
+    large region, or one hot key, to several. One exchange moves the rows, whatever their number and
+    that of the regions. What is shuffled and sorted are rows, not the many more cells: a row becomes
+    its cells, in qualifier order, in the task that writes them. Only where rows may share a key are
+    the cells sorted once more.
     """
-    spark, regions = rows.frame.sparkSession, len(splits) + 1
-    # bytes alone mislead where repeated values compress well; the count comes from file footers
-    cells = rows.frame.count() * len(rows.names)
-    tasks = math.ceil(max(rows.size / BYTES_PER_TASK, cells / CELLS_PER_TASK))
-    if tasks <= int(spark.conf.get("spark.sql.shuffle.partitions")):
-        tasks = None
-    rows_in_order = rows.unique and (tasks is not None or regions <= OPEN_FILES)
-    place = arrange_by_region if rows_in_order else place_in_regions
-    placed = place(rows.frame, splits, tasks, spread=None if rows.unique else "spread")
+    spark = _writing_session(rows.frame.sparkSession)
+    frame = spark.read.schema(rows.frame.schema).parquet(rows.path)
+    placed = frame.withColumn("region", region_of("rowkey", splits))
+    counts = {row["region"]: row["count"] for row in placed.groupBy("region").count().collect()}
+    total = sum(counts.values())
+    share = max(rows.size / BYTES_PER_TASK, total * len(rows.names) / CELLS_PER_TASK)
+    first, parts, tasks = deal_regions(counts, max(1.0, total / share if share else total))
+    piece = F.xxhash64("rowkey") if rows.unique else F.col("spread")
+    task = F.get(array_literal(first, "int"), F.col("region")) + F.pmod(
+        piece, F.get(array_literal(parts, "int"), F.col("region"))
+    ).cast("int")
+    placed = placed.repartitionById(max(1, tasks), task).sortWithinPartitions("region", "rowkey")
     texts = {name: F.col(f"c{at}") for at, name in enumerate(rows.names)}
     in_order = {name: texts[name] for name in sorted(texts)}
     cells = unpivot_cells(placed, F.col("rowkey"), in_order, cf, _long(version), ["region"])
-    if not rows_in_order:
+    if not rows.unique:
         cells = cells.sortWithinPartitions("region", "rowkey", "qualifier")
-    # a task's rows come in region order, which Spark does not know after the unpivot
-    with _open_files(spark, regions if rows_in_order else 0):
-        cells.write.format(kind).partitionBy("region").save(path)
+    cells.write.format(kind).partitionBy("region").save(path)
 
 
-@contextmanager
-def _open_files(spark: SparkSession, files: int) -> Iterator[None]:
-    """Let a task keep a file open per region, rather than sort its rows by region once more."""
-    name = "spark.sql.maxConcurrentOutputFileWriters"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(files))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+def _writing_session(spark: SparkSession) -> SparkSession:
+    """A session with the caller's settings whose tasks keep a file open per region.
+
+    A task's rows come in region order, which Spark does not know after the unpivot: without open
+    files it would sort them by region once more. The caller's session stays as it is.
+    """
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    session.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(REGIONS_PER_TASK))
+    return session
 
 
 def _long(number: int) -> Column:

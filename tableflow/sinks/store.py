@@ -3,17 +3,20 @@
 A store keeps each load in a folder of its own, and a load's regions in folders below that::
 
     <store>/load=<id>/region=<n>/part-...     cells
-    <store>/_splits/part-...                  split keys, one column
+    <store>/_splits/<id>/part-...             split keys, one column, of the load that brought them
+    <store>/_loads/<id>.<format>              commit record, written last
 
-A load becomes visible by one rename (or one ``add partition``), so a run that dies half-way shows
-no half-written load and can simply be repeated. Names with an underscore are never read as cells.
+Readers see the loads that have a commit record, and nothing else. A run that dies anywhere before
+that, also in the middle of a copy on an object store, leaves no trace in what is read: no cells, no
+split keys, no format. It can simply be repeated. Names with an underscore are never read as cells.
 """
 
 from __future__ import annotations
 
 import json
+import logging
 import uuid
-from collections.abc import Iterable
+from bisect import bisect_left, bisect_right
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,10 +24,14 @@ from pyspark.sql import functions as F
 
 from tableflow.operators.cells import CELL_COLUMNS
 
+log = logging.getLogger(__name__)
+
 _CELLS = "rowkey string, cf string, qualifier string, version bigint, value string"
 _SCHEMA = f"{_CELLS}, load string, region int"
 # Region of cells that were put one by one rather than laid out by key.
 UNPLACED = -1
+# Formats that keep null, '' and ' x ' apart; text formats do not.
+KINDS = ("parquet", "orc")
 
 
 def new_load_id() -> str:
@@ -53,6 +60,13 @@ def move(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"cannot move {source} to {target}")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what a run of ours has left under its own name, if anything."""
+    fs, folder = hadoop_path(spark, path)
+    if fs.exists(folder) and not fs.delete(folder, True):
+        log.warning("could not remove %s", path)
+
+
 def open_store(
     spark: SparkSession, name: str, kind: str = "", folder: str = ""
 ) -> FolderStore | TableStore:
@@ -60,7 +74,6 @@ def open_store(
 
     ``folder`` is where a table that does not exist yet keeps its data, if not in the warehouse.
     """
-    kind = kind or "parquet"
     if "/" in name:
         return FolderStore(spark, name, kind)
     return TableStore(spark, name.replace(":", "."), kind, folder)
@@ -69,94 +82,164 @@ def open_store(
 class FolderStore:
     """A store addressed by path."""
 
-    def __init__(self, spark: SparkSession, path: str, kind: str):
-        self.spark, self.path, self.kind = spark, path.rstrip("/"), kind
+    def __init__(self, spark: SparkSession, path: str, kind: str = ""):
+        self.spark, self.path, self.asked = spark, path.rstrip("/"), kind.lower()
 
-    def location(self) -> str:
+    def location(self) -> str | None:
         return self.path
 
+    def loads(self) -> dict[str, str]:
+        """Committed loads and their formats, oldest first."""
+        where = self.location()
+        if where is None:
+            return {}
+        fs, records = hadoop_path(self.spark, f"{where}/_loads")
+        if not fs.exists(records):
+            return {}
+        names = sorted(entry.getPath().getName() for entry in fs.listStatus(records))
+        return dict(name.rsplit(".", 1) for name in names if not name.startswith((".", "_")))
+
     def exists(self) -> bool:
-        fs, saved = hadoop_path(self.spark, f"{self.location()}/_splits")
-        return fs.exists(saved)
+        return bool(self.loads())
+
+    @property
+    def kind(self) -> str:
+        """The format of the store: its first load's, else the one asked for."""
+        return next(iter(self.loads().values()), self.asked or "parquet")
+
+    def check_format(self) -> None:
+        """A store has one format, whoever writes, and one that loses nothing."""
+        kind = self.kind
+        if self.asked and self.asked != kind:
+            raise ValueError(f"{self.location()} holds {kind} cells, not {self.asked}")
+        if kind not in KINDS:
+            raise ValueError(f"cells cannot be kept as {kind}: use {' or '.join(KINDS)}")
 
     def splits(self) -> list[str] | None:
         """Saved split keys, or None when the store does not exist.
 
         The list is shorter than the number of regions its creator asked for.
         """
-        if not self.exists():
-            return None
-        saved = self.spark.read.schema("split string").parquet(f"{self.location()}/_splits/part-*")
-        return sorted(row.split for row in saved.collect())
-
-    def create(self, splits: list[str]) -> None:
-        """Make an empty store with these split keys; it exists once all of them are saved."""
-        keys = F.explode(F.from_json(F.lit(json.dumps(splits)), "array<string>"))
-        one_file = self.spark.range(1, numPartitions=1).select(keys.alias("split"))
-        staged = f"{self.location()}/_new/{uuid.uuid4().hex}"
-        one_file.write.parquet(staged)
-        fs, saved = hadoop_path(self.spark, f"{self.location()}/_splits")
-        fs.delete(saved, True)  # of a dropped table over the same folder, if any
-        move(self.spark, staged, f"{self.location()}/_splits")
-
-    def read(self) -> DataFrame:
-        """The cells; also of a plain folder of cells that no sink of ours wrote."""
-        reader = self.spark.read.format(self.kind)
-        if self.exists():
-            reader = reader.schema(_SCHEMA)
-        return reader.load(self.location()).select(*CELL_COLUMNS)
+        for load in self.loads():
+            path = f"{self.location()}/_splits/{load}"
+            fs, saved = hadoop_path(self.spark, path)
+            if fs.exists(saved):
+                rows = self.spark.read.schema("split string").parquet(f"{path}/part-*").collect()
+                return sorted(row.split for row in rows)
+        return None
+
+    def read(self, first: str | None = None, end: str | None = None) -> DataFrame:
+        """The cells, of row keys from ``first`` to before ``end`` if given.
+
+        Also of a plain folder of cells that no sink of ours wrote. A key range becomes a range of
+        regions by the split keys, so that only those regions' folders are read, and the cells that
+        were put one by one.
+        """
+        cells, laid_out = self._cells()
+        if first is not None:
+            cells = cells.where(F.col("rowkey") >= first)
+        if end is not None:
+            cells = cells.where(F.col("rowkey") < end)
+        if laid_out and (first is not None or end is not None):
+            splits = self.splits() or []
+            low = 0 if first is None else bisect_right(splits, first)
+            high = len(splits) if end is None else bisect_left(splits, end)
+            cells = cells.where(F.col("region").between(low, high) | (F.col("region") == UNPLACED))
+        return cells.select(*CELL_COLUMNS)
+
+    def _cells(self) -> tuple[DataFrame, bool]:
+        """All cells, and whether they have regions."""
+        loads = self.loads()
+        if not loads:
+            return self.spark.read.format(self.asked or "parquet").load(self.location()), False
+        where = self.location()
+        reader = self.spark.read.format(self.kind).schema(_SCHEMA).option("basePath", where)
+        return reader.load([f"{where}/load={load}" for load in loads]), True
 
     def put(self, cells: DataFrame, load: str) -> None:
         """Add cells where the tasks that made them left them: no shuffle, no sort."""
-        # a name with an underscore is not read, so the load shows up when it is complete
+        self.check_format()
+        splits = None if self.exists() else []
+        self.prepare()
         staged = f"{self.location()}/_put/{load}"
-        folder = f"{staged}/region={UNPLACED}"
-        cells.select(*CELL_COLUMNS).write.format(self.kind).save(folder)
-        self.publish(staged, load, [UNPLACED])
-
-    def publish(self, staged: str, load: str, regions: Iterable[int]) -> None:
-        """Add a staged load, keeping its files as they are.
-
-        On one file system that is a rename. Across file systems the files are written again, each
-        task sorting what it read.
+        try:
+            folder = f"{staged}/region={UNPLACED}"
+            cells.select(*CELL_COLUMNS).write.format(self.kind).save(folder)
+            self.publish(staged, load, splits)
+        finally:
+            remove(self.spark, staged)
+
+    def publish(self, staged: str, load: str, splits: list[str] | None) -> None:
+        """Add a staged load, keeping its files as they are; the first one brings the split keys.
+
+        On one file system the files move by a rename. Across file systems they are written again,
+        each task sorting what it read. The load exists once its commit record does.
         """
+        self.prepare()
+        kind = self.kind
         folder = f"{self.location()}/load={load}"
+        if splits is not None:
+            keys = F.explode(F.from_json(F.lit(json.dumps(splits)), "array<string>"))
+            one_file = self.spark.range(1, numPartitions=1).select(keys.alias("split"))
+            one_file.write.parquet(f"{self.location()}/_splits/{load}")
         if same_file_system(self.spark, staged, folder):
             move(self.spark, staged, folder)
         else:
-            cells = self.spark.read.format(self.kind).schema(f"{_CELLS}, region int").load(staged)
+            cells = self.spark.read.format(kind).schema(f"{_CELLS}, region int").load(staged)
             ordered = cells.sortWithinPartitions("region", "rowkey", "cf", "qualifier")
-            ordered.write.format(self.kind).partitionBy("region").save(folder)
-        self.register(load, regions)
+            ordered.write.format(kind).partitionBy("region").save(folder)
+        self.register(load)
+        self.commit(load, kind)
+
+    def commit(self, load: str, kind: str) -> None:
+        """Make a load visible, by creating one empty file."""
+        fs, record = hadoop_path(self.spark, f"{self.location()}/_loads/{load}.{kind}")
+        fs.create(record, False).close()
+
+    def prepare(self) -> None:
+        """Nothing to do: a folder comes with its first load."""
 
-    def register(self, load: str, regions: Iterable[int]) -> None:
+    def register(self, load: str) -> None:
         """Nothing to do: a folder is its own catalog."""
 
 
 class TableStore(FolderStore):
     """A store addressed by table name; its folder is the table's location."""
 
-    def __init__(self, spark: SparkSession, name: str, kind: str, folder: str = ""):
-        self.spark, self.name, self.kind, self.folder = spark, name, kind, folder
+    def __init__(self, spark: SparkSession, name: str, kind: str = "", folder: str = ""):
+        self.spark, self.name, self.asked, self.folder = spark, name, kind.lower(), folder
 
-    def location(self) -> str:
+    def _described(self, what: str) -> str | None:
+        if not self.spark.catalog.tableExists(self.name):
+            return None
         rows = self.spark.sql(f"describe table extended {self.name}")
-        return rows.where("col_name = 'Location'").first().data_type.rstrip("/")
+        row = rows.where(F.col("col_name") == what).first()
+        return row.data_type if row else None
 
-    def exists(self) -> bool:
-        return self.spark.catalog.tableExists(self.name) and super().exists()
+    def location(self) -> str | None:
+        where = self._described("Location")
+        return where.rstrip("/") if where else None
+
+    @property
+    def kind(self) -> str:
+        """The format of the store: the table's."""
+        return (self._described("Provider") or self.asked or "parquet").lower()
 
-    def create(self, splits: list[str]) -> None:
+    def prepare(self) -> None:
         at = f" location '{self.folder}'" if self.folder else ""
         self.spark.sql(
             f"create table if not exists {self.name} ({_SCHEMA}) "
             f"using {self.kind} partitioned by (load, region){at}"
         )
-        super().create(splits)
 
-    def read(self) -> DataFrame:
-        return self.spark.table(self.name).select(*CELL_COLUMNS)
+    def _cells(self) -> tuple[DataFrame, bool]:
+        cells, loads = self.spark.table(self.name), self.loads()
+        return (cells.where(F.col("load").isin(list(loads))), True) if loads else (cells, False)
 
-    def register(self, load: str, regions: Iterable[int]) -> None:
+    def register(self, load: str) -> None:
+        fs, folder = hadoop_path(self.spark, f"{self.location()}/load={load}")
+        names = [entry.getPath().getName() for entry in fs.listStatus(folder)]
+        regions = sorted(name.removeprefix("region=") for name in names if name.startswith("region="))
         parts = " ".join(f"partition (load = '{load}', region = {region})" for region in regions)
-        self.spark.sql(f"alter table {self.name} add if not exists {parts}")
+        if parts:
+            self.spark.sql(f"alter table {self.name} add if not exists {parts}")

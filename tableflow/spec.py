@@ -153,7 +153,12 @@ class TargetSpec:
 
     def flag(self, name: str) -> bool:
         """A boolean option, given as a boolean or as text; false when missing."""
-        return str(self.option(name, False)).strip().lower() in ("true", "yes", "on")
+        return as_flag(self.option(name, False))
+
+
+def as_flag(value: Any) -> bool:
+    """A boolean, given as a boolean or as text."""
+    return str(value).strip().lower() in ("true", "yes", "on")
 
 
 def _derived(value: Any) -> list[tuple[str, str]]:

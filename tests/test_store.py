@@ -11,7 +11,7 @@ from conftest import plan_of
 from tableflow import PipelineSpec, build, run
 from tableflow.sinks import cells as cell_sink
 from tableflow.sinks import store as store_module
-from tableflow.sinks.store import FolderStore, open_store
+from tableflow.sinks.store import FolderStore, TableStore, open_store
 
 
 @pytest.fixture
@@ -124,10 +124,31 @@ def test_bulk_load_with_random_keys(spark, store, regions):
     assert glob.glob(f"{store.folder}/staging/*") == []
 
 
-def test_more_regions_than_open_files(spark, store, monkeypatch):
-    monkeypatch.setattr(cell_sink, "OPEN_FILES", 4)
-    store.bulk(numbers(spark, 200), 12)
-    assert store.check_layout() == 600 and store.rows("id", "b", "a") == as_text(200)
+@pytest.mark.parametrize("regions", [1, 12, 1000])
+@pytest.mark.parametrize("regions_per_task", [4, 64])
+def test_one_plan_for_any_number_of_regions(spark, store, monkeypatch, regions, regions_per_task):
+    monkeypatch.setattr(cell_sink, "REGIONS_PER_TASK", regions_per_task)
+    plans = []
+    unpivot = cell_sink.unpivot_cells
+
+    def seen(placed, *args):
+        plans.append(plan_of(placed, "simple"))
+        return unpivot(placed, *args)
+
+    monkeypatch.setattr(cell_sink, "unpivot_cells", seen)
+    store.bulk(numbers(spark, 300), regions)
+    assert store.check_layout() == 900 and store.rows("id", "b", "a") == as_text(300)
+    (plan,) = plans
+    assert plan.count("Exchange") == 1 and plan.count("FileScan") == 1 and "rangepartitioning" not in plan
+
+
+def test_regions_are_dealt_to_tasks():
+    deal = cell_sink.deal_regions
+    assert deal({}, 10) == ([], [], 0)
+    assert deal({0: 3, 1: 3, 2: 3, 3: 3}, 6) == ([0, 0, 1, 1], [1, 1, 1, 1], 2)
+    assert deal({1: 25, 2: 1, 4: 30}, 10) == ([0, 1, 4, 4, 5], [1, 3, 1, 1, 3], 8)
+    first, parts, tasks = deal({region: 1 for region in range(200)}, 1e9)
+    assert tasks == 4 and max(first.count(task) for task in range(4)) == 64 and set(parts) == {1}
 
 
 def test_bulk_load_with_keys_from_columns(spark, store):
@@ -225,16 +246,116 @@ def test_a_bucketed_cell_table_is_read_without_a_shuffle(spark, store):
     spark.sql("drop table tableflow_bucketed_test")
 
 
-def test_a_failed_load_leaves_the_store_as_it_was(spark, store, monkeypatch):
-    store.bulk(numbers(spark, 20), 3)
-    before = store.rows("id", "b", "a")
-    monkeypatch.setattr(FolderStore, "publish", lambda *args: (_ for _ in ()).throw(OSError("lost")))
+def failing(*args, **kwargs):
+    raise OSError("lost")
+
+
+STEPS = {
+    "staging": (cell_sink, "stage_cells"),
+    "publish": (FolderStore, "publish"),
+    "move": (store_module, "move"),
+    "register": (TableStore, "register"),
+    "commit": (FolderStore, "commit"),
+}
+
+
+@pytest.mark.parametrize("step", STEPS)
+@pytest.mark.parametrize("before", [0, 20])
+@pytest.mark.parametrize("table", [False, True])
+def test_a_failed_load_leaves_no_trace(spark, tmp_path, monkeypatch, step, before, table):
+    if step == "register" and not table:
+        pytest.skip("folders register nothing")
+    store = Store(spark, str(tmp_path), name="tableflow_failed_test" if table else None)
+    spark.sql("drop table if exists tableflow_failed_test")
+    if before:
+        store.bulk(numbers(spark, before), 3)
+    rows, splits = (store.rows("id", "b", "a"), store.splits()) if before else ([], None)
+    monkeypatch.setattr(*STEPS[step], failing)
     with pytest.raises(OSError, match="lost"):
-        store.bulk(numbers(spark, 50), 3)
+        store.bulk(spark.range(9).selectExpr("id", "'x' as b", "id as a"), 9)
     monkeypatch.undo()
-    assert store.rows("id", "b", "a") == before
-    store.bulk(numbers(spark, 50), 3)
-    assert len(store.rows("id")) == 70
+    assert store.splits() == splits and glob.glob(f"{tmp_path}/staging/*") == []
+    assert not before or store.rows("id", "b", "a") == rows
+    # the rerun starts afresh, with its own split keys, and no row is there twice
+    store.bulk(numbers(spark, 150), 8)
+    assert store.rows("id", "b", "a") == sorted(rows + as_text(150), key=repr)
+    assert len(store.splits()) == (len(splits) if before else 7)
+    spark.sql("drop table if exists tableflow_failed_test")
+
+
+def test_a_failed_put_leaves_no_trace(spark, store, monkeypatch):
+    monkeypatch.setattr(FolderStore, "commit", failing)
+    with pytest.raises(OSError, match="lost"):
+        store.write(numbers(spark, 5))
+    monkeypatch.undo()
+    store.bulk(numbers(spark, 30), 3)
+    assert len(store.splits()) == 2 and store.rows("id", "b", "a") == as_text(30)
+
+
+@pytest.mark.parametrize("table", [False, True])
+def test_a_store_keeps_the_format_of_its_first_load(spark, tmp_path, table):
+    name = "tableflow_format_test" if table else None
+    store = Store(spark, str(tmp_path), name=name, kind="orc")
+    spark.sql("drop table if exists tableflow_format_test")
+    store.bulk(numbers(spark, 30), 3)
+    for later in ("write", "bulk"):
+        getattr(store, later)(*([numbers(spark, 10), 3][: 2 if later == "bulk" else 1]), format="")
+    store.kind = ""
+    assert store.rows("id", "b", "a") == sorted(as_text(10) * 2 + as_text(30), key=repr)
+    with pytest.raises(ValueError, match="holds orc"):
+        store.write(numbers(spark, 3), format="parquet")
+    spark.sql("drop table if exists tableflow_format_test")
+
+
+@pytest.mark.parametrize("kind", ["csv", "json", "text"])
+def test_formats_that_lose_text_are_refused(spark, store, kind):
+    for write in (store.write, lambda df, **options: store.bulk(df, 2, **options)):
+        with pytest.raises(ValueError, match="cannot be kept"):
+            write(numbers(spark, 3), format=kind)
+
+
+@pytest.mark.parametrize("kind", ["parquet", "orc"])
+def test_null_empty_and_blank_text_stay_apart(spark, tmp_path, kind):
+    store = Store(spark, str(tmp_path), kind=kind)
+    df = spark.sql("select explode(array(cast(null as string), '', ' x ')) as v")
+    store.bulk(df, 2)
+    store.write(df)
+    assert store.rows("v") == sorted([(v,) for v in (None, "", " x ")] * 2, key=repr)
+
+
+@pytest.mark.parametrize("table", [False, True])
+@pytest.mark.parametrize("rows,expected", [
+    ({"from": "2", "to": "5"}, lambda k: "2" <= k < "5"),
+    ({"from": "95"}, lambda k: k >= "95"),
+    ({"to": "11"}, lambda k: k < "11"),
+    ({"from": "7", "to": "7"}, lambda k: False),
+])
+def test_a_key_range_reads_its_regions_and_the_puts(spark, tmp_path, rows, expected, table):
+    store = Store(spark, str(tmp_path), name="tableflow_range_test" if table else None)
+    spark.sql("drop table if exists tableflow_range_test")
+    keyed = {"key-columns": ["id"]}
+    store.bulk(numbers(spark, 100), 10, **keyed)
+    store.bulk(spark.range(100, 200).selectExpr("id", "'n' as b"), 3, **keyed)
+    store.write(spark.range(200, 260).selectExpr("id", "'p' as b"), **keyed)
+    wide = store.wide(["b"], custom={"mapping": {"b": "b"}, "rows": rows})
+    keys = [str(n) for n in range(260)]
+    assert sorted(r.rowkey for r in wide.collect()) == sorted(k for k in keys if expected(k))
+    plan = plan_of(wide)
+    assert any("PartitionFilters" in line and "region" in line for line in plan.splitlines())
+    spark.sql("drop table if exists tableflow_range_test")
+
+
+def test_a_key_range_has_two_ends(spark, store):
+    store.write(numbers(spark, 3))
+    with pytest.raises(ValueError, match="not .'until'."):
+        store.wide(["b"], custom={"mapping": {"b": "b"}, "rows": {"until": "x"}})
+
+
+@pytest.mark.parametrize("keep,count", [("false", 2), (False, 2), ("true", 3), (True, 3)])
+def test_keep_empty_rows_may_be_text(spark, store, keep, count):
+    store.write(spark.sql("select explode(array(1, 2)) as a"))
+    store.write(spark.sql("select 3 as b"))
+    assert store.wide(["a"], custom={"mapping": {"a": "a"}, "keep_empty_rows": keep}).count() == count
 
 
 def test_session_settings_are_put_back(spark, store):
