@@ -47,6 +47,8 @@ from tableflow.llm.words import BETWEEN_SPACES, LOWER, as_long, gram_hashes, mix
 SHINGLE = 5
 #: segments per difference that has to be allowed for
 SPARE = 1.25
+#: rows of a partition of a stored table
+ROWS_PER_PARTITION = 100_000
 #: documents of the sample for common shingles, how many of them must have one, and how many are kept
 SAMPLE = 4000
 LEAST_COMMON = 4
@@ -325,7 +327,7 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _texts_of(wanted: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """class and a text of it, for the named classes."""
-    named = stored(wanted.join(classes.select("class", "id"), "class"))
+    named = kept(wanted.join(classes.select("class", "id"), "class"))
     return texts.join(broadcast_if_small(named), "id").select("class", "text")
 
 
@@ -346,27 +348,36 @@ def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFra
     return pairs.join(one, "a").join(two, "b").mapInArrow(_similar_rows, "a long, b long")
 
 
+def kept(df: DataFrame) -> DataFrame:
+    """Stored rows, in as few partitions as their number asks for: each file and task has its price."""
+    rows = stored(df)
+    return rows.coalesce(max(1, -(-rows.count() // ROWS_PER_PARTITION)))
+
+
+def _is_forest_of_stars(edges: DataFrame) -> bool:
+    """Whether every u has one v, which is less, and no v is a u."""
+    ends = edges.select(F.col("u").alias("name"), F.lit(1).alias("out"), F.lit(0).alias("into"), (F.col("v") > F.col("u")).cast("int").alias("up"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1), F.lit(0)))
+    sums = ends.groupBy("name").agg(F.sum("out").alias("out"), F.max("into").alias("into"), F.max("up").alias("up"))
+    return sums.where("out > 1 or (out > 0 and into > 0) or up > 0").isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """name, root: the least name reachable by links (a, b), for names that have a link.
 
     Alternating stars: every round points the neighbours of a name to the least one, first the larger
-    neighbours, then the smaller. Rounds go on until nothing changes; their number grows with the
-    logarithm of the longest path.
+    neighbours, then the smaller. It ends when all links are from a name to a root; the number of
+    rounds grows with the logarithm of the longest path.
     """
-    edges, before = links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v"), None
-    while True:
+    edges = kept(links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v"))
+    while not _is_forest_of_stars(edges):
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+        down = large.where("u <> v")  # from a name to a lesser one
         lowest = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(small.union(lowest.select("u", F.col("m").alias("v"))).distinct())
-        now = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x")).first()
-        if now == before:
-            break
-        before = now
+        edges = kept(small.union(lowest.select("u", F.col("m").alias("v"))).distinct())
     found = edges.select(F.col("u").alias("name"), F.col("v").alias("root"))
     return found.union(found.select(F.col("root").alias("name"), "root").distinct())
 
@@ -379,8 +390,8 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
     features = texts.mapInArrow(
         _feature_rows, "doc_id long, id long, class long, n_shingles long, sketch array<long>"
     )
-    features = stored(features)
-    classes = stored(
+    features = kept(features)
+    classes = kept(
         features.where("class is not null")
         .groupBy("class")
         .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
@@ -393,31 +404,31 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .mapInArrow(_star_rows, "a long, b long")
         .distinct()
     )
-    stars = stored(stars)
+    stars = kept(stars)
     same_id = (
         features.where("class is not null and doc_id is not null").select("id", "class").distinct()
         .join(classes.select("class", "n_shingles"), "class").groupBy("id")
         .agg(F.min("class").alias("a"), F.collect_set("class").alias("all")).where(F.size("all") > 1)
         .select("a", F.explode_outer("all").alias("b")).where("a <> b")
     )
-    links = stored(_verified(stored(_possible(stars, classes)), classes, texts).unionByName(same_id))
+    links = kept(_verified(kept(_possible(stars, classes)), classes, texts).unionByName(same_id))
     found = components(links)
     named = classes.select(F.col("class").alias("name")).join(found, "name", "left")
-    named = stored(named.select("name", F.coalesce("root", "name").alias("root")))
+    named = kept(named.select("name", F.coalesce("root", "name").alias("root")))
     # classes that met the same first class, but are apart from it
     met = stars.union(stars.select("a", F.col("a").alias("b")).distinct())
     met = met.join(named.withColumnRenamed("name", "b"), "b")
     apart = met.groupBy("a").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
     sized = classes.select(F.col("class").alias("b"), "n_shingles", "sketch")
     met = met.join(apart.select("a"), "a", "left_semi").where("a <> b")
-    met = stored(met.join(sized, "b"))
+    met = kept(met.join(sized, "b"))
     # a shingle that no other of them has is a difference to each of them; too many leave none similar
     left = met.select(F.col("b").alias("class")).distinct()
     own = _private(left, classes, texts).withColumnRenamed("class", "b")
     met = met.join(own, "b", "left").withColumn("private", F.coalesce("private", F.lit(0).cast("long")))
     met = met.where("5 * private <= n_shingles")
     centres = met.groupBy("b").agg(F.collect_set("a").alias("centres"))
-    met = stored(met.join(centres, "b"))
+    met = kept(met.join(centres, "b"))
     columns = ("b", "root", "n_shingles", "sketch", "private", "centres")
     one = met.select("a", *[F.col(c).alias(f"x_{c}") for c in columns])
     two = met.select("a", *[F.col(c).alias(f"y_{c}") for c in columns])
@@ -428,14 +439,14 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         and a = array_min(array_intersect(x_centres, y_centres))
     """)
     crossed = crossed.where(may_be_similar("x_", "y_"))
-    crossed = stored(crossed.select(F.col("x_b").alias("a"), F.col("y_b").alias("b")).distinct())
+    crossed = kept(crossed.select(F.col("x_b").alias("a"), F.col("y_b").alias("b")).distinct())
     if crossed.count():
-        more = stored(_verified(crossed, classes, texts))
+        more = kept(_verified(crossed, classes, texts))
         if more.count():
             roots = named.where("name <> root").select(F.col("name").alias("a"), F.col("root").alias("b"))
             found = components(more.unionByName(roots))
             named = classes.select(F.col("class").alias("name")).join(found, "name", "left")
-            named = stored(named.select("name", F.coalesce("root", "name").alias("root")))
+            named = kept(named.select("name", F.coalesce("root", "name").alias("root")))
     least = classes.join(named, F.col("class") == F.col("name")).groupBy("root").agg(F.min("id").alias("component"))
     of_class = named.join(least, "root").select(F.col("name").alias("class"), "component")
     rows = features.drop("sketch").join(of_class, "class", "left")
