@@ -47,13 +47,13 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    found = jaccard_components(docs).where("component_id <=> doc_id")
-    kept = stored(found.select(order_id().alias("kept_id")).distinct())
+    found = jaccard_components(docs).where("not (component_id <=> doc_id)")
+    dropped = broadcast_if_small(stored(found.select(order_id().alias("id")).distinct()))
     # ids that several rows have, and texts that several rows without an id have
     copy = F.when(F.col("doc_id").isNull(), F.coalesce(F.xxhash64("text"), F.lit(0))).otherwise(F.lit(0))
     names = [F.col(quoted(name)) for name in docs.columns]
     packed = docs.select(F.struct(*names).alias("row"), order_id().alias("id"), copy.alias("copy"))
-    packed = packed.join(kept, F.col("id") == F.col("kept_id"), "left_semi")
+    packed = packed.join(dropped, "id", "left_anti")
     narrow = docs.select(order_id().alias("id"), copy.alias("copy")).groupBy("id", "copy").count()
     several = stored(narrow.where("count > 1").select("id", "copy"))
     if several.count():
