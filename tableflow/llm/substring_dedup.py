@@ -7,7 +7,8 @@ takes whole anchors, builds a compressed FM-index of their segments (a shard of
 streams the segments through it: matching statistics give the interval of every window, and the
 interval's earliest occurrence tells which windows are repeats.
 
-Copies of a whole text are found by hash before that and never shipped. What occurs several times
+Words are told apart by 40 bits of their hashes there: windows that differ in a single word pass for
+equal with a chance of 2^-40. Copies of a whole text are found by hash before that and never shipped. What occurs several times
 in one batch travels once. An anchor with very many different contexts is split by whole windows,
 so no key gathers more than a bounded number of rows from a batch, and no group of one key is more
 than the batches have sent.
@@ -48,6 +49,8 @@ GRAM = 8
 SPLIT_ANCHOR = 4096
 #: words of a shard
 SHARD_WORDS = 1 << 20
+#: bytes of a word's hash that are shipped and indexed
+SYMBOL = 5
 
 _PLACE = np.uint64((1 << 20) - 1)
 
@@ -197,14 +200,13 @@ def _segment_rows(window: int, gram: int):
                     twin = (p == p[lead]) & (d == d[lead])
                 ship = order[twin]
                 again = order[~twin]
-                rank = words.hashes.astype(np.uint32)
                 sizes = (last - first)[ship]
                 blob_at = np.concatenate([[0], np.cumsum(sizes)])
                 take = np.repeat(first[ship] - blob_at[:-1], sizes) + np.arange(blob_at[-1])
                 blob = pa.Array.from_buffers(
                     pa.binary(),
                     len(ship),
-                    [None, pa.py_buffer((blob_at * 4).astype(np.int32)), pa.py_buffer(rank[take])],
+                    [None, pa.py_buffer((blob_at * SYMBOL).astype(np.int32)), pa.py_buffer(symbols(words.hashes[take]))],
                 )
                 both = np.concatenate([ship, again])
                 yield pa.RecordBatch.from_arrays(
@@ -222,15 +224,22 @@ def _segment_rows(window: int, gram: int):
     return rows
 
 
+def symbols(hashes: np.ndarray) -> np.ndarray:
+    """The bytes that stand for words in an index."""
+    return np.ascontiguousarray(hashes.view(np.uint8).reshape(-1, 8)[:, :SYMBOL])
+
+
 def repeats_of_shard(ids: np.ndarray, firsts: np.ndarray, words: pa.Array, window: int) -> tuple[np.ndarray, ...]:
     """(segment, first word, end word) of the windows that start earlier elsewhere in the shard."""
-    sizes = pc.binary_length(words).to_numpy().astype(np.int64) // 4
-    raw = b"".join(words.to_pylist())
-    symbols = np.unique(np.frombuffer(raw, np.uint32), return_inverse=True)[1].astype(np.int64) + 1
+    sizes = pc.binary_length(words).to_numpy().astype(np.int64) // SYMBOL
+    raw = np.frombuffer(b"".join(words.to_pylist()), np.uint8).reshape(-1, SYMBOL)
+    wide = np.zeros((len(raw), 8), np.uint8)
+    wide[:, :SYMBOL] = raw
+    ranks = np.unique(wide.view(np.uint64)[:, 0], return_inverse=True)[1].astype(np.int64) + 1
     begins = np.cumsum(sizes + 1) - (sizes + 1)
-    text = np.zeros(len(symbols) + len(sizes), np.int64)
+    text = np.zeros(len(ranks) + len(sizes), np.int64)
     segment = np.repeat(np.arange(len(sizes)), sizes)
-    text[np.arange(len(symbols)) + segment] = symbols
+    text[np.arange(len(ranks)) + segment] = ranks
     index = FmIndex(text, window)
     group = index.stream(begins, sizes)
     at = np.flatnonzero(group >= 0)
@@ -256,7 +265,7 @@ def repeats_of_shard(ids: np.ndarray, firsts: np.ndarray, words: pa.Array, windo
 
 def _repeat_rows(window: int, shard_words: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in whole_groups(batches, "shard", 4 * shard_words, lambda t: t.nbytes):
+        for table in whole_groups(batches, "shard", SYMBOL * shard_words, lambda t: t.nbytes):
             words = table.column("words")
             held = ~pc.is_null(words).to_numpy()
             ids, keys, firsts, ends = (table.column(n).to_numpy() for n in ("id", "key", "first", "end"))
