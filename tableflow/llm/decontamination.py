@@ -121,7 +121,8 @@ def _occurrences(texts: DataFrame, items: DataFrame, spans: list[int]) -> DataFr
     low = F.greatest(F.lit(0), F.col("shift"))
     size = F.least(F.size("words"), F.col("shift") + F.size("item")) - low
     aligned = aligned.withColumn("low", low).withColumn("size", size).where(F.col("size") >= F.col("span"))
-    mine, other = F.slice("words", F.col("low") + 1, F.col("size")), F.slice("item", F.col("low") - F.col("shift") + 1, F.col("size"))
+    mine = F.slice("words", F.col("low") + 1, F.col("size"))
+    other = F.slice("item", F.col("low") - F.col("shift") + 1, F.col("size"))
     aligned = aligned.withColumn("same", F.zip_with(mine, other, lambda a, b: a == b)).drop("words", "item")
     starts = F.filter(
         F.sequence(F.lit(0), F.size("same") - F.col("span")),
@@ -200,7 +201,8 @@ OP8_SQL = f"""
     ), hits as (
         select doc_id, item_id, n, i from doc_windows join item_windows using (n, words)
     ), covered as (
-        select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(i, i + n)) as p from hits) group by doc_id
+        select doc_id, count(distinct p) as n_hit
+        from (select doc_id, unnest(range(i, i + n)) as p from hits) group by doc_id
     ), named as (
         select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as names
         from (select distinct doc_id, cast(item_id as varchar) as item from hits) group by doc_id

@@ -29,7 +29,8 @@ that, classes with too many shingles that none of the others has are set aside;
 Defined cases: words are lower-cased (A-Z); a text with 1 to 4 words has one shingle, all of it; null
 and wordless texts have none and are their own component; rows that share an id are one document of
 several texts: any of them may link; every row is reported. Rows with a null id are documents of their
-own; a null id is smaller than all others and reported as null. Extra columns are ignored. Shingles and sets are told apart by 64-bit hashes.
+own; a null id is smaller than all others and reported as null. Extra columns are ignored. Shingles and
+sets are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -356,9 +357,9 @@ def kept(df: DataFrame) -> DataFrame:
 
 def _is_forest_of_stars(edges: DataFrame) -> bool:
     """Whether every u has one v, which is less, and no v is a u."""
-    ends = edges.select(F.col("u").alias("name"), F.lit(1).alias("out"), F.lit(0).alias("into"), (F.col("v") > F.col("u")).cast("int").alias("up"))
-    ends = ends.union(edges.select("v", F.lit(0), F.lit(1), F.lit(0)))
-    sums = ends.groupBy("name").agg(F.sum("out").alias("out"), F.max("into").alias("into"), F.max("up").alias("up"))
+    ends = edges.selectExpr("u as name", "1 as out", "0 as into", "int(v > u) as up")
+    ends = ends.union(edges.selectExpr("v", "0", "1", "0"))
+    sums = ends.groupBy("name").agg(*[f(c).alias(c) for f, c in ((F.sum, "out"), (F.max, "into"), (F.max, "up"))])
     return sums.where("out > 1 or (out > 0 and into > 0) or up > 0").isEmpty()
 
 

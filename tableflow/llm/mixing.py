@@ -96,9 +96,8 @@ def mix_sources(
     copies = drawn.withColumn("copies", count).where("copies > 0").select(
         "row", "id_text", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
     )
-    keyed = copies.select(
-        "row.*", "copy", F.md5(F.concat_ws("|", F.lit(seed), F.lit("order"), "id_text", F.col("copy").cast("string"))).alias("mix_key")
-    )
+    place = F.concat_ws("|", F.lit(seed), F.lit("order"), "id_text", F.col("copy").cast("string"))
+    keyed = copies.select("row.*", "copy", F.md5(place).alias("mix_key"))
     return keyed.repartition("mix_key").sortWithinPartitions("mix_key")
 
 

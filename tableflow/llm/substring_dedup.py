@@ -8,10 +8,10 @@ streams the segments through it: matching statistics give the interval of every
 interval's earliest occurrence tells which windows are repeats.
 
 Words are told apart by 40 bits of their hashes there: windows that differ in a single word pass for
-equal with a chance of 2^-40. Copies of a whole text are found by hash before that and never shipped. What occurs several times
-in one batch travels once. An anchor with very many different contexts is split by whole windows,
-so no key gathers more than a bounded number of rows from a batch, and no group of one key is more
-than the batches have sent.
+equal with a chance of 2^-40. Copies of a whole text are found by hash before that and never shipped.
+What occurs several times in one batch travels once. An anchor with very many different contexts is
+split by whole windows, so no key gathers more than a bounded number of rows from a batch, and no group
+of one key is more than the batches have sent.
 
 Defined cases: a null text has no words; a null id comes before all others; rows with equal id and
 text are one document, reported once per row; rows with equal id and other text are documents of
@@ -103,7 +103,8 @@ def _anchor_rows(window: int, gram: int):
             marks = new & ~alone
             contents = np.bincount(group, varied).astype(np.int64)[group[marks]]
             # known here to repeat: straight to their document
-            pairs = np.unique(np.stack([key[~alone], anchor[~alone]]), axis=1) if (~alone).any() else np.zeros((2, 0), np.int64)
+            pairs = np.stack([key[~alone], anchor[~alone]])
+            pairs = np.unique(pairs, axis=1) if pairs.size else pairs
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array(np.concatenate([anchor[alone], anchor[marks], mixed(pairs[0].view(np.uint64)).view(np.int64)])),
@@ -327,7 +328,13 @@ def _kept_rows(window: int):
     return rows
 
 
-def remove_repeats(docs: DataFrame, window: int = 20, gram: int = GRAM, split_anchor: int = SPLIT_ANCHOR, shard_words: int = SHARD_WORDS) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame,
+    window: int = 20,
+    gram: int = GRAM,
+    split_anchor: int = SPLIT_ANCHOR,
+    shard_words: int = SHARD_WORDS,
+) -> DataFrame:
     """doc_id, n_words, n_removed and kept_text (bytes of UTF-8) of every row of ``docs``."""
     if not 1 <= gram < window:
         raise ValueError("the anchor's grams must be shorter than the window")
@@ -342,9 +349,8 @@ def remove_repeats(docs: DataFrame, window: int = 20, gram: int = GRAM, split_an
     anchors = texts.select("text", "key").mapInArrow(
         _anchor_rows(window, gram), "route long, key long, anchor long, contents long"
     )
-    repeated = stored(
-        anchors.repartition("route").sortWithinPartitions("route").mapInArrow(_repeated(split_anchor), "key long, anchor long")
-    )
+    by_anchor = anchors.repartition("route").sortWithinPartitions("route")
+    repeated = stored(by_anchor.mapInArrow(_repeated(split_anchor), "key long, anchor long"))
     wide = repeated.where("key is null").select("anchor", F.lit(True).alias("wide"))
     lists = (
         repeated.where("key is not null")

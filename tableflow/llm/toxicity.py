@@ -2,7 +2,8 @@
 
 A bounded sample of labelled documents (those with the least hash of the id, one of each text) is the
 set of examples. The terms are the words and word beginnings that mark toxic examples (chi-squared test
-of presence, and mostly in toxic ones; beginnings, since words inflect); how often a term occurs is weighed by the term's rarity in the whole corpus, counted over every document.
+of presence, and mostly in toxic ones; beginnings, since words inflect); how often a term occurs is
+weighed by the term's rarity in the whole corpus, counted over every document.
 
 The examples stand in blocks; for each block the index has its terms, their postings, and each term's
 greatest weight in the block. A text skips every block whose greatest possible cosine does not beat its
