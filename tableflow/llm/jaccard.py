@@ -373,10 +373,11 @@ def components(links: DataFrame) -> DataFrame:
     edges = kept(links.select(F.col("a").alias("u"), F.col("b").alias("v")).where("u <> v"))
     while not _is_forest_of_stars(edges):
         both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+        # stored, so that the join can split a name with very many links
+        least = broadcast_if_small(kept(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         down = large.where("u <> v")  # from a name to a lesser one
-        lowest = down.groupBy("u").agg(F.min("v").alias("m"))
+        lowest = broadcast_if_small(kept(down.groupBy("u").agg(F.min("v").alias("m"))))
         small = down.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = kept(small.union(lowest.select("u", F.col("m").alias("v"))).distinct())
     found = edges.select(F.col("u").alias("name"), F.col("v").alias("root"))
