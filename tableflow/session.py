@@ -62,7 +62,7 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = tempfile.gettempdir()
     return f"{root.rstrip('/')}/tableflow-{label}-{uuid.uuid4().hex}"
