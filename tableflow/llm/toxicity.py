@@ -23,6 +23,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -275,10 +276,11 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     return model
 
 
-def _score_rows(model: Model):
+def _score_rows(model: Model, text_in_row: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for begin, end, data, offsets in pieces(batch.column("text")):
+            text = pc.struct_field(batch.column("row"), "text") if text_in_row else batch.column("text")
+            for begin, end, data, offsets in pieces(text):
                 score, evidence = model.scores(term_counts(data, offsets, model.terms))
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -302,7 +304,11 @@ def score_toxicity(docs: DataFrame, model: Model, carry: list[str] | None = None
     packed = docs.select(F.struct(*[F.col(f"`{name}`") for name in carry]).alias("row"), "text")
     row = packed.schema["row"].dataType.simpleString()
     evidence = "array<struct<doc_id: bigint, cosine: double, toxic: int>>"
-    return packed.mapInArrow(_score_rows(model), f"row {row}, score double, predicted int, evidence {evidence}")
+    text_in_row = "text" in carry  # then the texts are sent once
+    scored = _score_rows(model, text_in_row)
+    if text_in_row:
+        packed = packed.select("row")
+    return packed.mapInArrow(scored, f"row {row}, score double, predicted int, evidence {evidence}")
 
 
 def fold_of(name: str = "doc_id"):

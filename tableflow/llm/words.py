@@ -1,7 +1,7 @@
 """Words of whole texts, batch by batch, as arrays: byte positions and 64-bit hashes.
 
 Operators that cannot say their work in Spark's functions run in ``mapInArrow`` over these. A batch
-is cut into pieces of a few MB, so that a task's memory does not follow Spark's batch size; a piece
+is cut into pieces of half a MB, so that a task's memory does not follow Spark's batch size; a piece
 always holds whole texts. Words that hash alike are taken to be alike (64 bits).
 """
 
@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-PIECE_BYTES = 2 << 20
+PIECE_BYTES = 1 << 19
 
 _BYTES = np.arange(256)
 #: words of [^\x20\x09-\x0D]+
