@@ -47,6 +47,8 @@ from tableflow.llm.words import (
 GRAM = 8
 #: distinct segments of an anchor beyond which it is split by whole windows
 SPLIT_ANCHOR = 4096
+#: bytes of text in which equal segments are merged before they are shipped
+MERGED_BYTES = 2 << 20
 #: words of a shard
 SHARD_WORDS = 1 << 20
 #: bytes of a word's hash that are shipped and indexed
@@ -158,7 +160,7 @@ def _repeated(split_anchor: int):
 
 def _segment_rows(window: int, gram: int):
     """(shard key, id, key, first word, words) of the segments whose anchor repeats; of equal ones of
-    a batch, all but the earliest come as repeats (no shard key; their first and end words)."""
+    a piece, all but the earliest come as repeats (no shard key; their first and end words)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -167,7 +169,7 @@ def _segment_rows(window: int, gram: int):
             owner = np.repeat(np.arange(len(batch)), pc.list_value_length(lists).to_numpy())
             flat = pc.list_flatten(lists)
             wanted, wide = flat.field("anchor").to_numpy(), flat.field("wide").to_numpy(zero_copy_only=False)
-            for begin, end, data, offsets in pieces(batch.column("text")):
+            for begin, end, data, offsets in pieces(batch.column("text"), MERGED_BYTES):
                 words = words_of(data, offsets, BETWEEN_SPACES, UNCHANGED)
                 runs = Segments(words, window, gram)
                 mine = slice(*np.searchsorted(owner, [begin, end]))
