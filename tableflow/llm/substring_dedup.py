@@ -15,7 +15,8 @@ of one key is more than the batches have sent.
 
 Defined cases: a null text has no words; a null id comes before all others; rows with equal id and
 text are one document, reported once per row; rows with equal id and other text are documents of
-their own whose windows start at the same place, none earlier. Extra columns are ignored.
+their own whose windows start at the same place, none earlier. Extra columns are ignored. Rows should
+come in a fixed order within a partition, as from files, so that a task that is run again does the same.
 """
 
 from __future__ import annotations
@@ -361,7 +362,9 @@ def remove_repeats(
         .agg(F.collect_list(F.struct("anchor", F.coalesce("wide", F.lit(False)).alias("wide"))).alias("anchors"))
         .join(firsts, "key")
     )
-    segments = texts.join(lists.hint("shuffle_hash"), ["id", "key"]).select("id", "key", "text", "anchors").mapInArrow(
+    # sorted, so that a task that is run again merges the same segments
+    wanted = texts.join(lists.hint("shuffle_hash"), ["id", "key"]).sortWithinPartitions("id", "key")
+    segments = wanted.select("id", "key", "text", "anchors").mapInArrow(
         _segment_rows(window, gram), "shard long, id long, key long, first int, end int, words binary"
     )
     repeats = segments.repartition("shard").sortWithinPartitions("shard").mapInArrow(
