@@ -280,39 +280,27 @@ def may_be_similar(one: str, two: str) -> Column:
 
 def _set_rows(exploded: bool = False):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The sets of the wanted classes, packed or one row per shingle."""
+        """The sets of the wanted classes, as arrays or one row per shingle."""
         for batch in batches:
             wanted = batch.column("class").to_numpy()
             for begin, _, data, offsets in pieces(batch.column("text")):
                 sets = Sets(data, offsets)
                 own = sets.prints == wanted[begin : begin + len(sets.sizes)]  # not an id's other text
+                keep = own[sets.text]
+                values = as_long(sets.hashes[keep])
                 if exploded:
-                    keep = own[sets.text]
-                    names, values = sets.prints[sets.text[keep]], as_long(sets.hashes[keep])
+                    names = sets.prints[sets.text[keep]]
                 else:
-                    at = np.flatnonzero(own)
-                    names = sets.prints[at]
-                    packed = [sets.hashes[sets.first[r] : sets.first[r + 1]].tobytes() for r in at]
-                    values = pa.array(packed, pa.binary())
+                    names = sets.prints[own]
+                    edges = np.concatenate([[0], np.cumsum(sets.sizes[own])])
+                    values = pa.ListArray.from_arrays(pa.array(edges, pa.int32()), values)
                 yield pa.RecordBatch.from_arrays(
-                    [as_long(names), values], ["class", "shingle" if exploded else "hashes"]
+                    [as_long(names), values], ["class", "shingle" if exploded else "shingles"]
                 )
 
     return rows
 
 
-def _similar_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for a, b in zip(batch.column("a_set"), batch.column("b_set"), strict=True):
-            one, two = np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)
-            both = np.concatenate([one, two])
-            both.sort()
-            common = int((both[1:] == both[:-1]).sum())
-            keep.append(100 * common >= 80 * (len(both) - common))
-        yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-
 def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs that sizes and sketches leave possible."""
     sides = pairs
@@ -342,11 +330,13 @@ def _private(wanted: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFra
 def _verified(pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs (a, b) of classes whose sets are similar."""
     wanted = pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
-    sets = _texts_of(wanted, classes, texts).mapInArrow(_set_rows(), "class long, hashes binary")
+    sets = _texts_of(wanted, classes, texts).mapInArrow(_set_rows(), "class long, shingles array<long>")
     sets = sets.dropDuplicates(["class"])
-    one = sets.select(F.col("class").alias("a"), F.col("hashes").alias("a_set"))
-    two = sets.select(F.col("class").alias("b"), F.col("hashes").alias("b_set"))
-    return pairs.join(one, "a").join(two, "b").mapInArrow(_similar_rows, "a long, b long")
+    one = sets.select(F.col("class").alias("a"), F.col("shingles").alias("a_set"))
+    two = sets.select(F.col("class").alias("b"), F.col("shingles").alias("b_set"))
+    common = F.size(F.array_intersect("a_set", "b_set"))
+    similar = 100 * common >= 80 * (F.size("a_set") + F.size("b_set") - common)
+    return pairs.join(one, "a").join(two, "b").where(similar).select("a", "b")
 
 
 def kept(df: DataFrame) -> DataFrame:

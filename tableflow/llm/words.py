@@ -106,6 +106,8 @@ def pieces(column: pa.Array, limit: int = PIECE_BYTES) -> Iterator[tuple[int, in
         at = offsets[begin : end + 1]
         yield begin, end, data[at[0] : at[-1]], at - at[0]
         begin = end
+    # workers live on between stages: what they no longer need goes back
+    pa.default_memory_pool().release_unused()
 
 
 def words_of(
