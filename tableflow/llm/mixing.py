@@ -3,14 +3,15 @@
 Each source has a target share of the mixture. Its repetition rate is that share of the output size
 over its own size, both in bytes of text. A document is repeated as often as a Poisson variable of
 that rate says; the variable is the inverse of the distribution function at a uniform number hashed
-from a seed and the id, so that a rerun, or a lost executor, gives the same corpus. Copies are put in
-the order of another hash: dealt to partitions by it and sorted by it inside each.
+from a seed and the id, so that a rerun, or a lost executor, gives the same corpus. A rate above
+``MAX_RATE``, where the distribution function cannot be tabled, is drawn in equal parts of at most that,
+each with a hash of its own: the sum of Poisson variables is a Poisson variable of the summed rate. Copies
+are put in the order of another hash: dealt to partitions by it and sorted by it inside each.
 
 Defined cases: a null text counts 0 bytes; a null source is a source of its own; sources without any
 byte, or not among given weights, have rate 0; rows that agree in id, source and text are repeated
-alike. A rate is at most ``max_rate`` (documented bound of the distribution table, not reached by
-rates that a corpus can be trained on). All columns of the input are kept; ``copy``, ``mix_key``
-are added, and replace columns of those names.
+alike; rows without an id are named by their text. All columns of the input are kept; ``copy``,
+``mix_key`` are added, and replace columns of those names.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tableflow.llm.shared import broadcast_if_small, stored
 
-#: highest repetition rate; exp(-rate) must stay well above 0
+#: highest rate of one draw; exp(-rate) must stay well above 0
 MAX_RATE = 500.0
 #: hexadecimal digits of a hash that make a uniform number
 DIGITS = 13
@@ -41,9 +42,10 @@ def source_rates(
     weights: Mapping[str | None, float] | None = None,
     exponent: float = 0.5,
     output_ratio: float = 1.0,
-    max_rate: float = MAX_RATE,
 ) -> DataFrame:
-    """mix_source, mix_rate, mix_steps: the distribution function at 0, 1, ... up to where it is 1.
+    """mix_source, mix_rate, mix_parts (draws the rate is dealt to), mix_steps.
+
+    The steps are the distribution function of one draw at 0, 1, ... up to where it is 1.
 
     Without ``weights``, a source's weight is its size to the power ``exponent``. The output has
     ``output_ratio`` times the bytes of the input on average.
@@ -61,18 +63,20 @@ def source_rates(
     total = sizes.agg(F.sum("bytes").alias("bytes"), F.sum("weight").alias("weight")).first()
     all_bytes, all_weight = F.lit(float(total["bytes"] or 0)), F.lit(float(total["weight"] or 0))
     share = F.col("weight") / all_weight * all_bytes / F.col("bytes") * F.lit(output_ratio)
-    rate = F.when((F.col("bytes") > 0) & (all_weight > 0), F.least(share, F.lit(max_rate))).otherwise(0.0)
+    rate = F.when((F.col("bytes") > 0) & (all_weight > 0), share).otherwise(0.0)
     rated = sizes.select("mix_source", rate.alias("mix_rate"))
+    parts = F.greatest(F.lit(1), F.ceil(F.col("mix_rate") / F.lit(MAX_RATE)).cast("int"))
+    rated = rated.withColumn("mix_parts", parts).withColumn("part_rate", F.col("mix_rate") / F.col("mix_parts"))
     steps = F.expr("""
-        aggregate(sequence(1, cast(ceil(mix_rate + 12 * sqrt(mix_rate) + 30) as int)),
-                  named_struct('term', exp(-mix_rate), 'sum', exp(-mix_rate), 'all', array(exp(-mix_rate))),
+        aggregate(sequence(1, cast(ceil(part_rate + 12 * sqrt(part_rate) + 30) as int)),
+                  named_struct('term', exp(-part_rate), 'sum', exp(-part_rate), 'all', array(exp(-part_rate))),
                   (s, k) -> named_struct(
-                      'term', s.term * mix_rate / k,
-                      'sum', s.sum + s.term * mix_rate / k,
-                      'all', concat(s.all, array(s.sum + s.term * mix_rate / k))),
+                      'term', s.term * part_rate / k,
+                      'sum', s.sum + s.term * part_rate / k,
+                      'all', concat(s.all, array(s.sum + s.term * part_rate / k))),
                   s -> s.all)
     """)
-    return stored(rated.withColumn("mix_steps", steps))
+    return stored(rated.withColumn("mix_steps", steps).drop("part_rate"))
 
 
 def mix_sources(
@@ -85,14 +89,21 @@ def mix_sources(
     """The rows of ``docs``, each as often as drawn, with ``copy`` (1, 2, ...) and ``mix_key``."""
     rates = broadcast_if_small(source_rates(docs, weights, exponent, output_ratio), BROADCAST_SOURCES)
     kept = [F.col(f"`{name}`") for name in docs.columns if name.lower() not in ("copy", "mix_key")]
-    id_text = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    id_text = F.coalesce(F.col("doc_id").cast("string"), F.md5("text"), F.lit(""))
     drawn = docs.select(
         F.struct(*kept).alias("row"),
         F.col("source").alias("of_source"),
         uniform(F.lit(seed), id_text).alias("draw"),
         id_text.alias("id_text"),
     ).join(rates, F.col("of_source").eqNullSafe(F.col("mix_source")), "inner")
-    count = F.size(F.filter("mix_steps", lambda step: step <= F.col("draw")))
+    first = F.size(F.filter("mix_steps", lambda step: step <= F.col("draw")))
+
+    def add_part(total: Column, part: Column) -> Column:
+        own = uniform(F.lit(seed), F.lit("part"), part.cast("string"), F.col("id_text"))
+        return total + F.size(F.filter("mix_steps", lambda step: step <= own))
+
+    every = F.aggregate(F.sequence(F.lit(2), F.col("mix_parts")), first, add_part)
+    count = F.when(F.col("mix_parts") == 1, first).otherwise(every)
     copies = drawn.withColumn("copies", count).where("copies > 0").select(
         "row", "id_text", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")
     )

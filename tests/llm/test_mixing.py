@@ -56,3 +56,27 @@ def test_null_texts_empty_tables_and_clashing_names(spark, no_docs):
     assert {r["doc_id"] for r in out.collect()} == {2, None}
     assert mix_sources(no_docs).count() == 0
     assert mix_sources(docs.where("doc_id = 1")).count() == 0
+
+
+def test_rates_above_the_table_are_drawn_in_parts(spark):
+    rows = [(k, "x" * 100_000, "large") for k in range(2)] + [(10 + k, "x", "rare") for k in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    weights = {"large": 0.75, "rare": 0.25}
+    rates = {r["mix_source"]: r["mix_rate"] for r in source_rates(docs, weights).collect()}
+    wanted = 0.25 * 200_020 / 20
+    assert math.isclose(rates["rare"], wanted)
+    out = mix_sources(docs, weights)
+    counts = [r["count"] for r in out.where("source = 'rare'").groupBy("doc_id").count().collect()]
+    assert len(counts) == 20 and len(set(counts)) > 10
+    assert abs(sum(counts) / 20 - wanted) < 4 * math.sqrt(wanted / 20)
+    variance = sum((count - wanted) ** 2 for count in counts) / 20
+    assert 0.2 * wanted < variance < 3 * wanted
+    assert out.select("mix_key").distinct().count() == out.count()
+
+
+def test_rows_without_an_id_are_drawn_by_their_text(spark):
+    docs = spark.createDataFrame([(None, f"text {k}", "a") for k in range(400)], "doc_id long, text string, source string")
+    out = mix_sources(docs)
+    counts = {r["text"]: r["count"] for r in out.groupBy("text").count().collect()}
+    assert len(set(counts.values())) > 2 and 0.8 < sum(counts.values()) / 400 < 1.2
+    assert out.select("mix_key").distinct().count() == out.count()
