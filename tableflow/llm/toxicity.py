@@ -1,17 +1,20 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
 A bounded sample of labelled documents (those with the least hash of the id, one of each text) is the
-set of examples. The terms are the words and word beginnings that mark toxic examples (chi-squared test
-of presence, and mostly in toxic ones; beginnings, since words inflect); how often a term occurs is
-weighed by the term's rarity in the whole corpus, counted over every document.
-
-The examples stand in blocks; for each block the index has its terms, their postings, and each term's
-greatest weight in the block. A text skips every block whose greatest possible cosine does not beat its
-k-th best so far, so the neighbours are exact. They vote with their cosines; the vote is mapped to a
-probability by isotonic regression on the examples, each voted on by the others. A text without any
-term gets the rate of such examples. The nearest examples are returned as evidence.
-
-Defined cases: a null or empty text has no term; every row is scored, repeated ones alike; a document
+set of examples. A document's vector holds the TF-IDF weights of all its words that some example has, and
+beside them, as one more feature with a share ``MARKED`` of its square length, those of its marks: words and word beginnings
+that mark toxic examples (chi-squared test of presence, and mostly in toxic ones; beginnings, since words
+inflect). A term's rarity is counted over every document of the corpus.
+
+The index has the postings of each term; those of common terms are kept as dense rows by blocks of
+examples, with each term's greatest weight in the block. The postings of rarer terms are summed first; a
+text then skips the common terms of every block whose greatest possible cosine does not beat a bound of its
+k-th best, so the neighbours are exact. They vote with their cosines; the vote is mapped to a probability
+by isotonic regression on the examples, each voted on by the others. A text without any word of an
+example gets the rate of such examples. The nearest examples are returned as evidence of the texts that
+have a mark or are predicted toxic.
+
+Defined cases: a null or empty text has no word; every row is scored, repeated ones alike; a document
 labelled twice counts once, as toxic if any label says so; without examples every score is 0. Extra
 columns can be carried along.
 """
@@ -20,6 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -32,22 +36,28 @@ from tableflow.llm.words import LETTERS_AND_DIGITS, LOWER, as_long, pieces, word
 
 #: labelled documents of the sample
 EXAMPLES = 12_000
-#: terms at most; the chi-squared value (p < 0.0001), examples and share of toxic ones they need
-TERMS = 512
+#: marks at most; the chi-squared value (p < 0.0001), examples and share of toxic ones they need
+MARKS = 512
 LEAST_CHI2 = 15.1
 LEAST_DOCUMENTS = 5
 LEAST_SHARE = 0.8
 NEIGHBOURS = 25
 BLOCK = 64
-#: code points of the word beginnings that may be terms
+#: share of a vector's square length that its marks have
+MARKED = 0.8
+#: share of the examples that have a common term
+COMMON = 0.07
+#: queries that are looked up together
+QUERIES = 64
+#: code points of the word beginnings that may be marks
 BEGINNINGS = (4,)
 EVIDENCE = 3
 #: documents of this remainder of crc32(id) modulo 5 are held out
 HELD_OUT = 0
 
 
-def candidates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(text, hash) of every word and word beginning of a piece."""
+def candidates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """(text, hash) of every word, then of every word beginning of a piece, and how many words there are."""
     words = words_of(data, offsets, LETTERS_AND_DIGITS, LOWER, with_sums=True)
     text = words.text_of()
     texts, hashes = [text], [words.hashes]
@@ -55,7 +65,7 @@ def candidates(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
         longer, own = words.prefixes(points)
         texts.append(text[longer])
         hashes.append(own)
-    return np.concatenate(texts), np.concatenate(hashes)
+    return np.concatenate(texts), np.concatenate(hashes), len(text)
 
 
 def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -63,7 +73,7 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         toxic = batch.column("toxic").to_numpy()
         for begin, _, data, offsets in pieces(batch.column("text")):
-            text, hashes = candidates(data, offsets)
+            text, hashes, _ = candidates(data, offsets)
             order = np.lexsort((hashes, text))
             text, hashes = text[order], hashes[order]
             new = np.ones(len(text), bool)
@@ -73,7 +83,7 @@ def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def choose_terms(examples: DataFrame) -> np.ndarray:
+def choose_marks(examples: DataFrame) -> np.ndarray:
     """Hashes, in order, of the words and beginnings that mark toxic examples most."""
     totals = examples.agg(F.count("*").alias("n"), F.coalesce(F.sum("toxic"), F.lit(0)).alias("p")).first()
     n, p = totals["n"], totals["p"]
@@ -85,45 +95,98 @@ def choose_terms(examples: DataFrame) -> np.ndarray:
     gap = F.col("t") * F.lit(float(n)) - F.col("a") * F.lit(float(p))
     chi2 = gap * gap * F.lit(float(n)) / (F.col("a") * (F.lit(float(n)) - F.col("a")) * F.lit(float(p) * (n - p)))
     scored = seen.where(F.col("a") < n).withColumn("chi2", chi2).where(F.col("chi2") >= LEAST_CHI2)
-    rows = scored.orderBy(F.desc("chi2"), "word").limit(TERMS).select("word").collect()
+    rows = scored.orderBy(F.desc("chi2"), "word").limit(MARKS).select("word").collect()
     return np.sort(np.array([row["word"] for row in rows], np.int64).view(np.uint64))
 
 
-def term_counts(data: np.ndarray, offsets: np.ndarray, terms: np.ndarray) -> np.ndarray:
-    """texts x terms: how often each term occurs."""
-    texts = len(offsets) - 1
-    if not len(terms):
-        return np.zeros((texts, 0))
-    text, hashes = candidates(data, offsets)
-    at = np.minimum(np.searchsorted(terms, hashes), len(terms) - 1)
-    hit = terms[at] == hashes
-    cell = text[hit] * len(terms) + at[hit]
-    return np.bincount(cell, minlength=texts * len(terms)).reshape(texts, len(terms)).astype(np.float64)
-
-
-def _document_rows(terms: np.ndarray):
+@dataclass
+class Entries:
+    """A sparse matrix: value of each (row, term) that is not 0, by row."""
+
+    count: int
+    width: int
+    row: np.ndarray
+    term: np.ndarray
+    value: np.ndarray
+
+    @classmethod
+    def of(cls, dense: np.ndarray) -> Entries:
+        row, term = np.nonzero(dense)
+        return cls(*dense.shape, row.astype(np.int32), term.astype(np.int32), dense[row, term])
+
+    @classmethod
+    def joined(cls, count: int, width: int, *parts: tuple[np.ndarray, np.ndarray, np.ndarray]) -> Entries:
+        """The matrix of (row, term, value) parts."""
+        row, term, value = (np.concatenate(column) for column in zip(*parts, strict=True))
+        order = np.argsort(row, kind="stable")
+        return cls(count, width, row[order].astype(np.int32), term[order].astype(np.int32), value[order].astype(np.float64))
+
+    def taken(self, rows: np.ndarray) -> Entries:
+        """The rows of these numbers, in their order."""
+        first = np.searchsorted(self.row, np.arange(self.count + 1))
+        at, size = _ranges(first[rows], first[rows + 1])
+        return Entries(len(rows), self.width, np.repeat(np.arange(len(rows), dtype=np.int32), size), self.term[at], self.value[at])
+
+
+def _ranges(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(all numbers of the ranges, one after the other; size of each range)."""
+    size = high - low
+    begin = np.cumsum(size) - size
+    every = np.arange(size.sum())
+    every += np.repeat(low - begin, size)
+    return every, size
+
+
+def _cells(count: int, text: np.ndarray, hashes: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, place in ``known``, how often) of the known hashes of each text."""
+    if not len(known) or not len(hashes):
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    order = np.argsort(hashes)  # the search is much faster in order
+    text, hashes = text[order], hashes[order]
+    at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    hit = known[at] == hashes
+    cell, often = np.unique(text[hit] * len(known) + at[hit], return_counts=True)
+    return cell // len(known), cell % len(known), often
+
+
+def term_counts(data: np.ndarray, offsets: np.ndarray, words: np.ndarray, marks: np.ndarray) -> Entries:
+    """How often each text has each term; terms are the words, then the marks."""
+    count = len(offsets) - 1
+    text, hashes, plain = candidates(data, offsets)
+    row, word, often = _cells(count, text[:plain], hashes[:plain], words)
+    marked, mark, times = _cells(count, text, hashes, marks)
+    return Entries.joined(
+        count, len(words) + len(marks), (row, word, often), (marked, mark + len(words), times)
+    )
+
+
+def _document_rows(words: np.ndarray, marks: np.ndarray):
     """(term, documents that have it); term -1: all documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, having = 0, np.zeros(len(terms), np.int64)
+        total, having = 0, np.zeros(len(words) + len(marks), np.int64)
         for batch in batches:
             total += len(batch)
             for _, _, data, offsets in pieces(batch.column("text")):
-                having += (term_counts(data, offsets, terms) > 0).sum(0)
+                having += np.bincount(term_counts(data, offsets, words, marks).term, minlength=len(having))
+        seen = np.flatnonzero(having)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(np.arange(-1, len(terms), dtype=np.int32)), pa.array(np.concatenate([[total], having]))],
+            [pa.array(np.append(seen, -1).astype(np.int32)), pa.array(np.append(having[seen], total))],
             ["term", "documents"],
         )
 
     return rows
 
 
-def rarity(docs: DataFrame, terms: np.ndarray) -> np.ndarray:
+def rarity(docs: DataFrame, words: np.ndarray, marks: np.ndarray) -> np.ndarray:
     """Inverse document frequency of each term over all documents."""
-    counts = docs.select("text").mapInArrow(_document_rows(terms), "term int, documents long")
-    found = {r["term"]: r["n"] for r in counts.groupBy("term").agg(F.sum("documents").alias("n")).collect()}
-    total = found.get(-1, 0)
-    return np.array([np.log((1 + total) / (1 + found.get(t, 0))) + 1 for t in range(len(terms))])
+    counts = docs.select("text").mapInArrow(_document_rows(words, marks), "term int, documents long")
+    found = counts.groupBy("term").agg(F.sum("documents").alias("n")).toArrow()
+    term, n = found.column("term").to_numpy(), found.column("n").to_numpy()
+    total, having = n[term == -1].sum(), np.zeros(len(words) + len(marks))
+    having[term[term >= 0]] = n[term >= 0]
+    return np.log((1 + total) / (1 + having)) + 1
 
 
 def unit_rows(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
@@ -132,46 +195,120 @@ def unit_rows(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return weights / np.where(lengths > 0, lengths, 1)
 
 
+def unit_entries(counts: Entries, idf: np.ndarray, words: int) -> Entries:
+    """``unit_rows`` of the words and of the marks, put together to unit rows."""
+    weight = (1 + np.log(counts.value)) * idf[counts.term]
+    marked = counts.term >= words
+    for kind, share in ((~marked, 1 - MARKED), (marked, MARKED)):
+        squares = np.bincount(counts.row[kind], weight[kind] ** 2, minlength=counts.count)
+        weight[kind] *= np.sqrt(share / squares[counts.row[kind]])
+    squares = np.bincount(counts.row, weight**2, minlength=counts.count)
+    weight /= np.sqrt(squares[counts.row])
+    return Entries(counts.count, counts.width, counts.row, counts.term, weight)
+
+
 class BlockMaxIndex:
-    """Postings of unit vectors in blocks, with the greatest weight of each term in each block."""
-
-    def __init__(self, vectors: np.ndarray):
-        self.count = len(vectors)
-        self.starts = list(range(0, self.count, BLOCK))
-        self.most = np.zeros((len(self.starts), vectors.shape[1]))
-        self.postings = []
-        for number, start in enumerate(self.starts):
-            block = vectors[start : start + BLOCK]
-            self.most[number] = block.max(0)
-            terms = np.flatnonzero(self.most[number])
-            self.postings.append((terms, np.ascontiguousarray(block[:, terms].T)))
-
-    def nearest(self, queries: np.ndarray, k: int, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Postings of unit vectors; those of common terms by blocks, with the greatest weight in each block."""
+
+    def __init__(self, vectors: np.ndarray | Entries):
+        vectors = vectors if isinstance(vectors, Entries) else Entries.of(vectors)
+        self.count, self.width = vectors.count, vectors.width
+        self.blocks = -(-self.count // BLOCK)
+        having = np.bincount(vectors.term, minlength=self.width)
+        self.common = np.flatnonzero(having > max(COMMON * self.count, 1))
+        self.place = np.full(self.width, -1, np.int32)
+        self.place[self.common] = np.arange(len(self.common))
+        often = self.place[vectors.term] >= 0
+        self.often = (vectors.row[often], self.place[vectors.term[often]], vectors.value[often])
+        rare = np.flatnonzero(~often).astype(np.int32)
+        rare = rare[np.argsort(vectors.term[rare], kind="stable")]
+        self.first = np.concatenate([[0], np.cumsum(np.where(self.place < 0, having, 0))])
+        self.examples, self.weights = vectors.row[rare], vectors.value[rare]
+
+    def __getstate__(self) -> dict:
+        return {name: value for name, value in self.__dict__.items() if name not in ("dense", "most")}
+
+    @cached_property
+    def dense(self) -> np.ndarray:
+        """Weights of the common terms in each example; the last block is filled up. Not sent to tasks."""
+        dense = np.zeros((self.blocks * BLOCK, len(self.common)))
+        dense[self.often[0], self.often[1]] = self.often[2]
+        return dense
+
+    def release(self) -> None:
+        """Gives the memory of the dense weights back, until they are needed again."""
+        self.__dict__.pop("dense", None)
+        self.__dict__.pop("most", None)
+
+    @cached_property
+    def most(self) -> np.ndarray:
+        return self.dense.reshape(self.blocks, BLOCK, len(self.common)).max(1)
+
+    def nearest(
+        self, queries: np.ndarray | Entries, k: int, without: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
         """(example, cosine) of the k nearest by query, nearest first, earlier examples first on ties.
 
         ``without`` names an example that each query must not find. Missing neighbours are -1.
         """
-        found = np.full((len(queries), k), -1, np.int64)
-        cosines = np.zeros((len(queries), k))
-        bound = queries @ self.most.T
-        for number, start in enumerate(self.starts):
-            # a hair above, for rounding; equal cosines of later examples lose anyway
-            open_ = np.flatnonzero(bound[:, number] + 1e-9 > np.maximum(cosines[:, -1], 1e-9))
-            if not len(open_):
-                continue
-            terms, weights = self.postings[number]
-            own = np.round(queries[open_][:, terms] @ weights, 12)
-            names = np.broadcast_to(np.arange(start, start + own.shape[1]), own.shape)
-            if without is not None:
-                own = np.where(names == without[open_][:, None], 0, own)
-            every = np.concatenate([cosines[open_], own], 1)
-            who = np.concatenate([found[open_], names], 1)
-            order = np.argsort(-every, axis=1, kind="stable")[:, :k]
-            cosines[open_] = np.take_along_axis(every, order, 1)
-            found[open_] = np.take_along_axis(who, order, 1)
-        found[cosines <= 0] = -1
+        queries = queries if isinstance(queries, Entries) else Entries.of(queries)
+        found = np.full((queries.count, k), -1, np.int64)
+        cosines = np.zeros((queries.count, k))
+        if not self.count:
+            return found, cosines
+        edges = np.searchsorted(queries.row, np.arange(queries.count + 1))
+        step = QUERIES if without is None else QUERIES // 4  # the driver has less memory
+        for low in range(0, queries.count, step):
+            high = min(low + step, queries.count)
+            own = slice(edges[low], edges[high])
+            excluded = None if without is None else without[low:high]
+            rows = (queries.row[own] - low, queries.term[own], queries.value[own])
+            row, who, cosine = self._best(high - low, *rows, k, excluded)
+            order = np.lexsort((who, -cosine, row))
+            row, who, cosine = row[order], who[order], cosine[order]
+            rank = np.arange(len(row)) - np.searchsorted(row, row)
+            best = (rank < k) & (cosine > 0)
+            found[low + row[best], rank[best]] = who[best]
+            cosines[low + row[best], rank[best]] = cosine[best]
         return found, cosines
 
+    def _best(self, count, row, term, value, k, without) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(query, example, cosine) of examples among which are the k nearest of each query."""
+        size = self.blocks * BLOCK
+        often = self.place[term] >= 0
+        rare = np.flatnonzero(~often)
+        at, sizes = _ranges(self.first[term[rare]], self.first[term[rare] + 1])
+        cell = np.repeat(row[rare].astype(np.int64) * size, sizes)
+        cell += self.examples[at]
+        weight = self.weights[at]
+        weight *= np.repeat(value[rare], sizes)
+        sums = np.bincount(cell, weight, minlength=count * size)
+        sums = sums.astype(np.float64, copy=False).reshape(count, size)  # whole numbers if there is none
+        if without is not None:
+            sums[np.arange(count), without] = -np.inf
+        dense = np.zeros((count, len(self.common)))
+        dense[row[often], self.place[term[often]]] = value[often]
+        # a hair below, for rounding
+        least = self._least(sums, k) - 1e-9
+        highest = sums.reshape(count, self.blocks, BLOCK).max(2) + dense @ self.most.T
+        for block in range(self.blocks):
+            open_ = np.flatnonzero(highest[:, block] > least)
+            part = slice(block * BLOCK, (block + 1) * BLOCK)
+            if len(open_):
+                sums[open_, part] += dense[open_] @ self.dense[part].T
+        least = np.maximum(self._least(sums, k) - 1e-9, 1e-12)
+        query, example = np.nonzero(sums >= least[:, None])
+        return query, example, np.round(sums[query, example], 12)
+
+    def _least(self, sums: np.ndarray, k: int) -> np.ndarray:
+        """What at least k examples of each query reach: the k-th of the greatest of each few examples."""
+        few = max(1, min(BLOCK, sums.shape[1] // (4 * k)))
+        few = 1 << (few.bit_length() - 1)
+        tops = sums.reshape(len(sums), -1, few).max(2)
+        if tops.shape[1] <= k:
+            return np.zeros(len(sums))
+        return np.maximum(np.partition(tops, -k, axis=1)[:, -k], 0)
+
 
 def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Steps (least vote, probability) of the non-decreasing fit of labels to votes."""
@@ -193,7 +330,8 @@ def isotonic(votes: np.ndarray, labels: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 @dataclass
 class Model:
-    terms: np.ndarray
+    words: np.ndarray
+    marks: np.ndarray
     idf: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
@@ -201,22 +339,26 @@ class Model:
     empty_rate: float
     steps: tuple[np.ndarray, np.ndarray] = field(default_factory=lambda: (np.zeros(0), np.zeros(0)))
 
-    def votes(self, queries: np.ndarray, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def votes(self, queries: Entries, without: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         found, cosines = self.index.nearest(queries, NEIGHBOURS, without)
         weight = cosines.sum(1)
         vote = (cosines * np.where(found >= 0, self.labels[found], 0)).sum(1) / np.where(weight > 0, weight, 1)
         return np.round(vote, 9), found, cosines
 
-    def scores(self, counts: np.ndarray) -> tuple[np.ndarray, dict[int, list[dict]]]:
-        """Score of each text, and the evidence of those that have a neighbour."""
-        score, evidence = np.full(len(counts), self.empty_rate), {}
-        filled = np.flatnonzero(counts.any(1))
+    def scores(self, counts: Entries) -> tuple[np.ndarray, dict[int, list[dict]]]:
+        """Score of each text, and the evidence of those that have a mark or are predicted toxic."""
+        score, evidence = np.full(counts.count, self.empty_rate), {}
+        filled = np.unique(counts.row)
         if len(filled) and self.index.count:
-            vote, found, cosines = self.votes(unit_rows(counts[filled], self.idf))
+            queries = unit_entries(counts, self.idf, len(self.words)).taken(filled)
+            vote, found, cosines = self.votes(queries)
             near = found[:, 0] >= 0
             least, rate = self.steps
             at = np.maximum(np.searchsorted(least, vote, "right") - 1, 0)
             score[filled[near]] = rate[at[near]]
+            marked = np.zeros(counts.count, bool)
+            marked[counts.row[counts.term >= len(self.words)]] = True
+            near &= marked[filled] | (score[filled] >= 0.5)
             for row, who, how in zip(filled[near].tolist(), found[near], cosines[near], strict=True):
                 evidence[row] = [
                     {"doc_id": int(self.ids[w]), "cosine": float(c), "toxic": int(self.labels[w])}
@@ -226,24 +368,50 @@ class Model:
         return score, evidence
 
 
-def _example_rows(terms: np.ndarray):
+def _example_rows(marks: np.ndarray):
+    """The distinct words (hashes), marks (places), and how often a text has them."""
+
+    def packed(values: np.ndarray, edges: np.ndarray) -> pa.Array:
+        return pa.array([values[low:high].tobytes() for low, high in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, end, data, offsets in pieces(batch.column("text")):
-                counts = term_counts(data, offsets, terms).astype(np.int32)
-                packed = [row.tobytes() for row in counts]
+                text, hashes, plain = candidates(data, offsets)
+                words = np.unique(hashes[:plain])
+                counts = term_counts(data, offsets, words, marks)
+                kinds = []
+                for kind in (counts.term < len(words), counts.term >= len(words)):
+                    edges = np.searchsorted(counts.row[kind], np.arange(end - begin + 1))
+                    kinds.append((counts.term[kind], counts.value[kind].astype(np.int32), edges))
+                (word, often, edges), (mark, times, mark_edges) = kinds
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id").slice(begin, end - begin),
                         batch.column("toxic").slice(begin, end - begin),
-                        pa.array(packed, pa.binary()),
+                        packed(words[word], edges),
+                        packed(often, edges),
+                        packed((mark - len(words)).astype(np.int32), mark_edges),
+                        packed(times, mark_edges),
                     ],
-                    ["doc_id", "toxic", "counts"],
+                    ["doc_id", "toxic", "words", "often", "marks", "times"],
                 )
 
     return rows
 
 
+_EXAMPLE = "doc_id long, toxic int, words binary, often binary, marks binary, times binary"
+
+
+def _joined(rows: pa.Table, name: str, kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """(row, value) of a packed column."""
+    column = rows.column(name)
+    sizes = pc.binary_length(column).to_numpy() // np.dtype(kind).itemsize
+    data = [np.frombuffer(value.as_buffer(), kind) for value in column]
+    values = np.concatenate(data) if data else np.zeros(0, kind)
+    return np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), values
+
+
 def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     """The model from ``docs`` and at most ``examples`` rows of ``labels`` (doc_id, toxic)."""
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
@@ -251,28 +419,41 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
     copies = docs.select("doc_id", F.xxhash64("text").alias("text_hash")).join(F.broadcast(marks), "doc_id")
     firsts = copies.groupBy("text_hash").agg(F.min(F.struct("doc_id", "toxic")).alias("first"))
-    marks = stored(firsts.select("first.*").distinct())
-    chosen = docs.select("doc_id", "text").join(F.broadcast(marks), "doc_id")
-    terms = choose_terms(chosen)
-    idf = rarity(docs, terms)
+    labelled = stored(firsts.select("first.*").distinct())
+    chosen = docs.select("doc_id", "text").join(F.broadcast(labelled), "doc_id")
+    marks = choose_marks(chosen)
     rows = chosen.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic").mapInArrow(
-        _example_rows(terms), "doc_id long, toxic int, counts binary"
-    ).collect()
-    rows.sort(key=lambda row: (row["doc_id"], row["toxic"], bytes(row["counts"])))
-    toxic = np.array([row["toxic"] for row in rows], np.int64)
-    counts = np.frombuffer(b"".join(bytes(row["counts"]) for row in rows), np.int32)
-    counts = counts.reshape(len(rows), len(terms)).astype(np.float64)
-    filled = counts.any(1)
-    bare = toxic[~filled]
+        _example_rows(marks), _EXAMPLE
+    ).toArrow()
+    rows = rows.take(pc.sort_indices(rows, [(name, "ascending") for name in rows.column_names])).combine_chunks()
+    toxic = rows.column("toxic").to_numpy().astype(np.int64)
+    ids = rows.column("doc_id").to_numpy().astype(np.int64)
+    (of_word, hashes), (_, often) = _joined(rows, "words", np.uint64), _joined(rows, "often", np.int32)
+    (of_mark, mark), (_, times) = _joined(rows, "marks", np.int32), _joined(rows, "times", np.int32)
+    del rows
+    words = np.unique(hashes)
+    word = np.searchsorted(words, hashes).astype(np.int32)
+    del hashes
+    width = len(words) + len(marks)
+    counts = Entries.joined(len(ids), width, (of_word, word, often), (of_mark, mark + len(words), times))
+    del of_word, word, often
+    idf = rarity(docs, words, marks)
+    filled = np.flatnonzero(np.bincount(counts.row, minlength=len(ids)))
+    bare = np.delete(toxic, filled)
     empty_rate = float(bare.mean()) if len(bare) else (float(toxic.mean()) if len(toxic) else 0.0)
-    vectors = unit_rows(counts[filled], idf)
-    # neighbours in the order of their heaviest term, so that blocks share terms
-    order = np.lexsort((np.arange(len(vectors)), vectors.argmax(1))) if len(vectors) else np.zeros(0, np.int64)
-    ids = np.array([row["doc_id"] for row in rows], np.int64)[filled][order]
-    model = Model(terms, idf, ids, toxic[filled][order], BlockMaxIndex(vectors[order]), empty_rate)
-    if len(vectors):
-        vote, _, _ = model.votes(vectors[order], np.arange(len(vectors)))
+    vectors = unit_entries(counts, idf, len(words))
+    # neighbours in the order of their heaviest common term, so that blocks share terms
+    heavy = np.bincount(vectors.term, minlength=width)[vectors.term] * vectors.value
+    edges = np.searchsorted(vectors.row, np.append(filled, len(ids)))
+    heaviest = [int(vectors.term[a:b][heavy[a:b].argmax()]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    del counts, heavy
+    order = filled[np.argsort(np.array(heaviest, np.int64), kind="stable")]
+    vectors = vectors.taken(order)
+    model = Model(words, marks, idf, ids[order], toxic[order], BlockMaxIndex(vectors), empty_rate)
+    if vectors.count:
+        vote, _, _ = model.votes(vectors, np.arange(vectors.count))
         model.steps = isotonic(vote, model.labels)
+        model.index.release()
     return model
 
 
@@ -281,7 +462,7 @@ def _score_rows(model: Model, text_in_row: bool):
         for batch in batches:
             text = pc.struct_field(batch.column("row"), "text") if text_in_row else batch.column("text")
             for begin, end, data, offsets in pieces(text):
-                score, evidence = model.scores(term_counts(data, offsets, model.terms))
+                score, evidence = model.scores(term_counts(data, offsets, model.words, model.marks))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("row").slice(begin, end - begin),

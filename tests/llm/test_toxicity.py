@@ -68,3 +68,37 @@ def test_held_out_accuracy(spark):
     counts = {(r["toxic"], r["predicted"]): r["count"] for r in rows}
     assert counts[(1, 1)] / (counts[(1, 1)] + counts.get((1, 0), 0)) >= 0.9  # about 6 in 100 toxic texts have no mark
     assert counts.get((0, 1), 0) / (counts[(0, 0)] + counts.get((0, 1), 0)) <= 0.02
+
+
+def test_neighbours_by_rare_and_common_terms_are_exact():
+    rng = np.random.default_rng(2)
+    rates = np.geomspace(0.004, 0.4, 300)
+    counts = rng.poisson(rates, (900, 300)).astype(float)
+    vectors = unit_rows(counts[counts.any(1)], np.linspace(6, 1, 300))
+    queries = unit_rows(rng.poisson(rates, (300, 300)).astype(float), np.linspace(6, 1, 300))
+    index = BlockMaxIndex(vectors)
+    assert 0 < len(index.common) < 300
+    every = np.round(queries @ vectors.T, 12)
+    for k in (1, 3, 25):
+        found, cosines = index.nearest(queries, k)
+        for row in range(len(queries)):
+            best = [w for w in np.argsort(-every[row], kind="stable")[:k] if every[row, w] > 0]
+            assert found[row, : len(best)].tolist() == best and (found[row, len(best) :] == -1).all()
+            assert np.allclose(cosines[row, : len(best)], every[row, best])
+
+
+def test_texts_without_a_mark_have_neighbours_and_a_score(spark):
+    import random
+
+    rng = random.Random(5)
+    rows, labels = [], []
+    for k in range(400):
+        one, two = rng.choice("ab"), rng.choice("xy")
+        rows.append((k, " ".join(f"{kind}{n}" for kind in (one, two) for n in rng.sample(range(10), 8))))
+        labels.append((k, int((one, two) in (("a", "x"), ("b", "y")))))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    model = fit(docs, spark.createDataFrame([l for l in labels if l[0] >= 100], "doc_id long, toxic int"))
+    assert not len(model.marks)
+    got = {r["row"]["doc_id"]: r for r in score_toxicity(docs, model, ["doc_id"]).collect()}
+    for doc_id, toxic in labels[:100]:
+        assert got[doc_id]["predicted"] == toxic and len(got[doc_id]["evidence"]) == 3 * toxic
