@@ -4,7 +4,9 @@ A generalised suffix automaton holds all templates, word by word. A file is stre
 each word, the automaton's state and a length say which longest run of words ending there occurs in
 a template. Runs that cannot grow are matches; for each template, matches of several words whose
 places follow one another in the file and in the template are chained into a span, and a span that
-covers enough of the template gives its label. Short phrases are templates that have to be whole.
+covers enough of the template gives its label, unless all it covers are words that another template has too
+and this one has others: a notice that stops before "nc" does not tell BY-NC from BY-SA. Short phrases, and
+templates too short for a match, have to be whole.
 
 Only words that some template has can be part of a match, so runs of such words are cut out of a
 batch by arrays first, and only those go through the automaton.
@@ -17,7 +19,7 @@ scanned, repeated ones alike; overlapping places of a phrase all count. Extra co
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -87,7 +89,10 @@ TEMPLATES = {
         " publish, use, compile, sell, or distribute this software, either in source code form or as a compiled"
         " binary, for any purpose, commercial or non-commercial, and by any means."
     ),
-    "cc-by": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "cc-by": (
+        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+        "Licensed under CC BY 4.0.",
+    ),
     "cc-by-nc": "Licensed under CC BY-NC 4.0.",
     "cc-by-sa": "Licensed under CC BY-SA 4.0.",
 }
@@ -161,32 +166,50 @@ class SuffixAutomaton:
 class Scanner:
     """The automaton of the templates and phrases, over the hashes of their words."""
 
-    def __init__(self, templates: Mapping[str, str], phrases: Mapping[str, str]):
-        texts = [*templates.values(), *phrases]
+    def __init__(self, templates: Mapping[str, str | Sequence[str]], phrases: Mapping[str, str]):
+        """A label may have one template or several."""
+        wordings = {label: [own] if isinstance(own, str) else list(own) for label, own in templates.items()}
+        texts = [*(text for own in wordings.values() for text in own), *phrases]
         joined = "".join(texts).encode()
         edges = np.cumsum([0, *(len(text.encode()) for text in texts)])
         words = words_of(np.frombuffer(joined, np.uint8), edges, LETTERS_AND_DIGITS, LOWER)
         self.known = np.unique(words.hashes)
         ids = np.searchsorted(self.known, words.hashes)
         rows = [ids[words.first[i] : words.first[i + 1]].tolist() for i in range(len(texts))]
-        self.labels = list(templates)
-        self.sizes = [len(row) for row in rows[: len(templates)]]
+        self.labels = [label for label, own in wordings.items() for _ in own]
+        self.sizes = [len(row) for row in rows[: len(self.labels)]]
+        #: shortest run of known words that can hold a phrase or a match
+        self.least = min([LEAST_MATCH, *(len(row) for row in rows if row)])
+        #: template -> for each other one that lacks words of it, the places of those words, as bits
+        self.telling: list[list[int]] = []
+        for number, row in enumerate(rows[: len(self.labels)]):
+            others = [set(own) for other, own in enumerate(rows[: len(self.labels)]) if other != number]
+            masks = {sum(1 << place for place, word in enumerate(row) if word not in own) for own in others}
+            self.telling.append(sorted(masks - {0}))
         self.phrase_labels = list(phrases.values())
         self.automaton = SuffixAutomaton(rows)
         #: state -> (phrase, its length) of the phrases that a match of that length in the state ends with
         self.phrases_at: dict[int, list[tuple[int, int]]] = {}
-        whole = {}
-        for number, row in enumerate(rows[len(templates) :]):
+        #: the same for templates shorter than a match: (state of the template, its length)
+        self.short_at: dict[int, list[tuple[int, int]]] = {}
+        whole, short = {}, {}
+        for number, row in enumerate(rows, -len(self.labels)):
+            if not row or (number < 0 and len(row) >= LEAST_MATCH):
+                continue
             for state, _ in self.automaton.statistics(row):
                 pass
-            whole.setdefault(state, []).append((number, len(row)))
-        for state in range(len(self.automaton.link)):
-            at, found = state, []
-            while at > 0:
-                found += whole.get(at, [])
-                at = self.automaton.link[at]
-            if found:
-                self.phrases_at[state] = found
+            if number < 0:
+                short[state] = [(state, len(row))]
+            else:
+                whole.setdefault(state, []).append((number, len(row)))
+        for ends, wanted in ((self.phrases_at, whole), (self.short_at, short)):
+            for state in range(len(self.automaton.link)):
+                at, found = state, []
+                while at > 0:
+                    found += wanted.get(at, [])
+                    at = self.automaton.link[at]
+                if found:
+                    ends[state] = found
 
     def run(self, words: list[int], start: int, places: list, matches: list) -> None:
         """Adds the phrases' (start, phrase) and the long matches of one run of known words."""
@@ -199,23 +222,31 @@ class Scanner:
             for phrase, size in self.phrases_at.get(state, ()):
                 if length >= size:
                     places.append((at - size + 1, phrase))
+            for own, size in self.short_at.get(state, ()):
+                if length >= size:
+                    matches.append((at - size + 1, size, own))
             at += 1
         if held[1] >= LEAST_MATCH:
             matches.append((at - held[1], held[1], held[0]))
 
-    def chain(self, matches: list[tuple[int, int, int]]) -> dict[int, tuple[float, int, int]]:
-        """Template -> (share of its words that its best chain covers, first and end word in the file)."""
+    def chain(self, matches: list[tuple[int, int, int]], covered: float) -> tuple[dict[int, tuple], float]:
+        """Template -> (share of its words that its best chain covers, first and end word in the file), best share.
+
+        Only chains that cover a share of ``covered`` and tell the template from the others are returned.
+        """
         by_template: dict[int, set] = {}
         for first, size, state in matches:
             for template, end in self.automaton.ends[state]:
-                if template < len(self.labels):
+                if template < len(self.labels) and size >= min(LEAST_MATCH, self.sizes[template]):
                     by_template.setdefault(template, set()).add((first, end - size, size))
-        best = {}
+        best, top = {}, 0.0
         for template, parts in by_template.items():
             ordered = sorted(parts)
-            covers: list[tuple[int, int]] = []
+            telling = self.telling[template]
+            covers: list[tuple[int, int, int]] = []
             for at, (first, place, size) in enumerate(ordered):
-                cover, begin = size, first
+                own = ((1 << size) - 1) << place
+                cover, begin, places = size, first, own
                 for before in range(at - 1, -1, -1):
                     first0, place0, size0 = ordered[before]
                     if first - first0 > GAP + self.sizes[template]:
@@ -224,11 +255,13 @@ class Scanner:
                     if first0 < first and place0 < place and first - first0 - size0 <= GAP and overlap < size:
                         if covers[before][0] + size - overlap > cover:
                             cover, begin = covers[before][0] + size - overlap, covers[before][1]
-                covers.append((cover, begin))
+                            places = covers[before][2] | own
+                covers.append((cover, begin, places))
                 share = min(1.0, cover / self.sizes[template])
-                if share > best.get(template, (0.0,))[0]:
+                top = max(top, share)
+                if share >= covered and share > best.get(template, (0.0,))[0] and all(places & mask for mask in telling):
                     best[template] = (share, begin, first + size)
-        return best
+        return best, top
 
 
 def _scan_rows(scanner: Scanner, covered: float):
@@ -243,7 +276,7 @@ def _scan_rows(scanner: Scanner, covered: float):
                 text = words.text_of()[known]
                 cut = np.flatnonzero((np.diff(known) != 1) | (np.diff(text) != 0)) + 1
                 edges = np.concatenate([[0], cut, [len(known)]])
-                long_ = np.flatnonzero(np.diff(edges) >= 2)
+                long_ = np.flatnonzero(np.diff(edges) >= scanner.least)
                 found: dict[int, tuple[list, list]] = {}
                 for low, high in zip(edges[long_].tolist(), edges[long_ + 1].tolist(), strict=True):
                     row = int(text[low])
@@ -254,18 +287,16 @@ def _scan_rows(scanner: Scanner, covered: float):
                 n_base, first_word, last_word = [0] * count, [None] * count, [None] * count
                 base, every, score, spans = [""] * count, [""] * count, [0.0] * count, [[] for _ in range(count)]
                 for row, (places, matches) in found.items():
-                    chains = scanner.chain(matches) if matches else {}
+                    good, share = scanner.chain(matches, covered) if matches else ({}, 0.0)
                     base_set = {scanner.phrase_labels[phrase] for _, phrase in places}
                     if places:
                         n_base[row] = len(places)
                         first_word[row], last_word[row] = min(places)[0], max(places)[0]
-                    good = {t: c for t, c in chains.items() if c[0] >= covered}
                     spans[row] = [
                         {"label": labels[t], "share": c[0], "first": c[1], "end": c[2]} for t, c in sorted(good.items())
                     ]
                     base[row] = ",".join(sorted(base_set))
                     every[row] = ",".join(sorted(base_set | {labels[t] for t in good}))
-                    share = max([c[0] for c in chains.values()], default=0.0)
                     score[row] = max(share, 0.5) if base_set else share
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -296,7 +327,7 @@ SCANNED = (
 
 def scan_licenses(
     docs: DataFrame,
-    templates: Mapping[str, str] = TEMPLATES,
+    templates: Mapping[str, str | Sequence[str]] = TEMPLATES,
     phrases: Mapping[str, str] = PHRASES,
     covered: float = COVERED,
 ) -> DataFrame:

@@ -74,3 +74,20 @@ def test_statistics_are_the_longest_runs_of_any_template():
             assert length == best
             if length:
                 assert set(automaton.ends[state]) == runs[tuple(text[at + 1 - length : at + 1])]
+
+
+def test_one_line_notices_are_told_apart(spark):
+    texts = [
+        "Licensed under CC BY 4.0", "Licensed under CC BY-NC 4.0.", "Licensed under CC BY-SA 4.0", "licensed under cc by",
+        "Licensed under CC BY-NC 3.0", "Licensed under CC BY 4.0 but the data Licensed under CC BY-SA 4.0",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {row["doc_id"]: row["labels"] for row in scan_licenses(docs).collect()}
+    assert [got[k] for k in range(6)] == ["cc-by", "cc-by,cc-by-nc", "cc-by,cc-by-sa", "cc-by", "cc-by,cc-by-nc", "cc-by,cc-by-sa"]
+
+
+def test_phrases_and_templates_of_one_word(spark):
+    docs = spark.createDataFrame([(1, "under WTFPL here"), (2, "wtfpl"), (3, "x zlib y"), (4, "none")], "doc_id long, text string")
+    rows = scan_licenses(docs, {"zlib": "zlib", "two": "two words"}, {"wtfpl": "wtfpl"}).collect()
+    got = {row["doc_id"]: (row["n_base"], row["first_word"], row["labels"], row["score"]) for row in rows}
+    assert got == {1: (1, 1, "wtfpl", 0.5), 2: (1, 0, "wtfpl", 0.5), 3: (0, None, "zlib", 1.0), 4: (0, None, "", 0.0)}
