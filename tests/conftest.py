@@ -41,10 +41,3 @@ def people(spark):
     yield frames
     for name in frames:
         spark.catalog.dropTempView(f"{name}_data")
-
-
-def plan_of(df, mode="formatted"):
-    """The plan text explain() prints."""
-    return df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString(mode)
-    )

@@ -4,7 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from plans import plan_of
 from tableflow import PipelineSpec, build, register, run
 from tableflow.plugins import resolve
 

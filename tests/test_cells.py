@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import plan_of
+from plans import plan_of
 from tableflow.functions import decode_value, encode_value
 from tableflow.operators import cells_to_wide, row_key, row_to_cells, string_schema
 

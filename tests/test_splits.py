@@ -8,7 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from plans import plan_of
 from tableflow.operators import arrange_by_region, place_in_regions, region_of, split_keys, split_positions
 from tableflow.operators.search import count_up_to
 

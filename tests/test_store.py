@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from plans import plan_of
 from tableflow import PipelineSpec, build, run
 from tableflow.sinks import cells as cell_sink
 from tableflow.sinks import store as store_module
