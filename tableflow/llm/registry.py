@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tableflow.llm.conversations import op13_conversations
 from tableflow.llm.decontamination import OP8_SQL, op8_decontamination
 from tableflow.llm.jaccard import op4_jaccard
 from tableflow.llm.language_id import op7_language_id
@@ -12,6 +13,7 @@ from tableflow.llm.quality import op3_quality
 from tableflow.llm.substring_dedup import op1_substring_dedup
 from tableflow.llm.toxicity import op6_toxicity
 from tableflow.llm.url_filter import OP5_SQL, op5_url_filter
+from tableflow.llm.whitening import op12_whitening
 
 QUERIES = {
     function.__name__: function
@@ -26,6 +28,8 @@ QUERIES = {
         op8_decontamination,
         op9_mixing,
         op10_licenses,
+        op12_whitening,
+        op13_conversations,
     ]
 }
 

@@ -2,33 +2,9 @@ import re
 
 import pytest
 
+from brute import contamination, words
 from tableflow.llm.decontamination import find_contamination
 
-WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-
-
-def words(text):
-    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
-
-
-def brute_force(docs, items, window):
-    out = []
-    for doc_id, text in docs:
-        own, hit, found = words(text), set(), set()
-        for item_id, other in items:
-            other = words(other)
-            span = min(window, len(other))
-            for k in range(len(other) - span + 1) if span else ():
-                for at in range(len(own) - span + 1):
-                    if own[at : at + span] == other[k : k + span]:
-                        hit.update(range(at, at + span))
-                        if item_id is not None:
-                            found.add(str(item_id))
-        bad = bool(hit) and 20 * len(hit) >= len(own)
-        out.append((doc_id, len(own), len(hit), sorted(found), bad))
-    return sorted(out, key=str)
-
-
 ITEMS = [
     (1, "Alpha beta, gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"),
     (2, "one two three"),
@@ -58,19 +34,19 @@ DOCS = [
 
 
 @pytest.mark.parametrize("window", [13, 5, 1, 40])
-def test_hits_are_those_of_brute_force(spark, window):
+def test_hits_are_those_of_contamination(spark, window):
     docs = spark.createDataFrame(DOCS, "doc_id long, text string").selectExpr("*", "1 as words", "2 as print", "3 as hit")
     items = spark.createDataFrame(ITEMS, "item_id long, text string").selectExpr("*", "1 as span")
     got = find_contamination(docs.repartition(3), items, window)
     got = got.select("doc_id", "n_words", "n_hit", "items", "contaminated").collect()
-    assert sorted(map(tuple, got), key=str) == brute_force(DOCS, ITEMS, window)
+    assert sorted(map(tuple, got), key=str) == contamination(DOCS, ITEMS, window)
 
 
 def test_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr("tableflow.llm.decontamination.BROADCAST_ROWS", 0)
     docs, items = (spark.createDataFrame(r, f"{n} long, text string") for r, n in ((DOCS, "doc_id"), (ITEMS, "item_id")))
     got = find_contamination(docs, items).select("doc_id", "n_words", "n_hit", "items", "contaminated").collect()
-    assert sorted(map(tuple, got), key=str) == brute_force(DOCS, ITEMS, 13)
+    assert sorted(map(tuple, got), key=str) == contamination(DOCS, ITEMS, 13)
 
 
 def test_empty_tables(spark, no_docs):

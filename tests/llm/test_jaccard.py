@@ -4,42 +4,14 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from brute import near_duplicates, shingles, similar
 from tableflow.llm.jaccard import Sets, components, jaccard_components, may_be_similar, sketch_distance
 from tableflow.llm.words import ASCII_LOWER, pieces
 
 
-def shingles(text):
-    words = (text or "").encode().translate(ASCII_LOWER).split()
-    if len(words) < 5:
-        return frozenset([tuple(words)] if words else [])
-    return frozenset(tuple(words[k : k + 5]) for k in range(len(words) - 4))
-
-
-def similar(a, b):
-    common = len(a & b)
-    return bool(a) and 100 * common >= 80 * len(a | b)
-
-
-def brute_force(rows):
-    sets = [(doc_id, shingles(text)) for doc_id, text in rows]
-    root = {doc_id: doc_id for doc_id, _ in sets}
-
-    def find(x):
-        while root[x] != x:
-            x = root[x]
-        return x
-
-    for k, (a, one) in enumerate(sets):
-        for b, two in sets[:k]:
-            if similar(one, two):
-                low, high = sorted((find(a), find(b)))
-                root[high] = low
-    return sorted((doc_id, len(one), find(doc_id)) for doc_id, one in sets)
-
-
-def test_components_are_those_of_brute_force(odd_docs, odd_texts):
+def test_components_are_those_of_near_duplicates(odd_docs, odd_texts):
     got = jaccard_components(odd_docs).collect()
-    assert sorted(map(tuple, got)) == brute_force(list(enumerate(odd_texts)))
+    assert sorted(map(tuple, got)) == near_duplicates(list(enumerate(odd_texts)))
 
 
 def sizes_and_edits():
@@ -63,7 +35,7 @@ def sizes_and_edits():
 def test_links_near_the_threshold(spark):
     rows = sizes_and_edits()
     got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
-    assert sorted(map(tuple, got)) == brute_force(rows)
+    assert sorted(map(tuple, got)) == near_duplicates(rows)
 
 
 @pytest.mark.parametrize("share", [0, 0.1, 0.5, 1])
@@ -115,7 +87,7 @@ def test_members_of_one_group_that_only_link_to_each_other(spark):
         rows.append((k, " ".join(passage + own + [f"e{k}"])))
     rng.shuffle(rows)
     got = jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sorted(map(tuple, got)) == brute_force(rows)
+    assert sorted(map(tuple, got)) == near_duplicates(rows)
 
 
 def test_null_and_repeated_ids(spark):

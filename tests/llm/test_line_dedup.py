@@ -1,23 +1,10 @@
 import numpy as np
 
+from brute import common_lines
 from tableflow.llm.line_dedup import PerfectHash, _build, drop_common_lines, line_hash, line_key, probe
 import pyarrow as pa
 
 
-def brute_force(rows, least):
-    found = {}
-    for at, (_, text) in enumerate(rows):
-        for line in (text or "").split("\n"):
-            found.setdefault(line_key(line.encode()), set()).add(at)
-    common = {key for key, where in found.items() if key and len(where) >= least}
-    out = []
-    for doc_id, text in rows:
-        lines = (text or "").split("\n")
-        kept = [line for line in lines if line_key(line.encode()) not in common]
-        out.append((doc_id, len(lines), len(lines) - len(kept), None if text is None else "\n".join(kept)))
-    return out
-
-
 def test_drops_what_brute_force_drops(spark):
     rows = [(k, f"Head \n\n body {k} \n {'Foot'if k % 2 else 'fOOT'}\t\n x\nhead") for k in range(12)]
     rows += [(100, "head"), (101, ""), (102, None), (103, "\n\n"), (104, "É\né"), (5, rows[5][1])]
@@ -28,7 +15,7 @@ def test_drops_what_brute_force_drops(spark):
         names = ("doc_id", "n_lines", "n_dropped", "kept_text")
         from pyspark.sql import Row
 
-        assert found == sorted(str(Row(**dict(zip(names, row)))) for row in brute_force(rows, least))
+        assert found == sorted(str(Row(**dict(zip(names, row)))) for row in common_lines(rows, least))
         assert got.select("row.*").columns == docs.columns
 
 

@@ -6,11 +6,9 @@ from hashlib import md5
 import corpus_pipeline
 import duckdb
 import pytest
-import test_decontamination
-import test_jaccard
-import test_line_dedup
 
 import __spark_entry__
+from brute import common_lines, contamination, near_duplicates
 from tableflow.llm import registry
 from tableflow.llm.mixing import DIGITS
 
@@ -46,12 +44,12 @@ def corpus(spark, tmp_path_factory):
 def expected_rows(rows, items):
     """(doc_id, text) after the first four stages; rows with an id, one per id."""
     rows = [row[:2] for row in rows if not row[1] or "scum" not in row[1]]
-    rows = [(doc_id, kept) for doc_id, _, _, kept in test_line_dedup.brute_force(rows, 10)]
+    rows = [(doc_id, kept) for doc_id, _, _, kept in common_lines(rows, 10)]
     # a row without an id comes before all others
     named = [(-1 if doc_id is None else doc_id, text) for doc_id, text in rows]
-    roots = {doc_id for doc_id, _, root in test_jaccard.brute_force(named) if doc_id == root}
+    roots = {doc_id for doc_id, _, root in near_duplicates(named) if doc_id == root}
     kept = {row for row in named if row[0] in roots and row[0] >= 0}
-    bad = {r[0] for r in test_decontamination.brute_force(sorted(kept, key=str), items, 13) if r[4]}
+    bad = {r[0] for r in contamination(sorted(kept, key=str), items, 13) if r[4]}
     return {row for row in kept if row[0] not in bad}
 
 
