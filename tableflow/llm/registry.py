@@ -8,6 +8,7 @@ from tableflow.llm.jaccard import op4_jaccard
 from tableflow.llm.language_id import op7_language_id
 from tableflow.llm.licenses import op10_licenses
 from tableflow.llm.line_dedup import OP2_SQL, op2_line_dedup
+from tableflow.llm.minhash_forest import op11_minhash
 from tableflow.llm.mixing import OP9_SQL, op9_mixing
 from tableflow.llm.quality import op3_quality
 from tableflow.llm.substring_dedup import op1_substring_dedup
@@ -28,6 +29,7 @@ QUERIES = {
         op8_decontamination,
         op9_mixing,
         op10_licenses,
+        op11_minhash,
         op12_whitening,
         op13_conversations,
     ]

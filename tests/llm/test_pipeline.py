@@ -107,7 +107,7 @@ def test_empty_documents_pass_every_stage(spark, corpus):
 
 def test_queries_are_registered(spark):
     names = __spark_entry__.queries()
-    assert all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 11)) and "pipeline" in names
+    assert all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 14)) and "pipeline" in names
 
 
 @pytest.mark.parametrize("name", sorted(registry.ORACLES))
