@@ -17,7 +17,7 @@ first; of the other candidates only those are compared whose classes are still i
 
 Recall: outside dense regions, a pair at the threshold of 0.85 misses all trees with a chance of
 (1 - 0.85^5)^32 = 7e-9. In a region of more than ``REGION`` members that share ``SHALLOW`` values without being similar, a pair
-meets at the depth the region takes, at worst (1 - 0.85^11)^32 = 0.3 % besides what neighbours find; a
+meets at the depth the region takes, at worst (1 - 0.85^11)^32 = 0.4 % besides what neighbours find; a
 group larger than that at full depth is linked by neighbours, other ones in each tree.
 Labels that a border between partitions parts meet in other trees.
 
@@ -48,7 +48,7 @@ TREES = 32
 DEEP = 11
 SHALLOW = 5
 #: members of a region whose members are all candidates of each other
-REGION = 16
+REGION = 64
 #: neighbours in the order on either side
 NEXT = 2
 #: trees whose neighbours are compared first
