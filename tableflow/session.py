@@ -1,4 +1,4 @@
-"""Session settings and the shared scratch folder."""
+"""Session settings, sessions of our own, folders every executor shares."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 log = logging.getLogger(__name__)
 
@@ -54,6 +54,48 @@ def scoped_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterato
                 spark.conf.set(key, value)
 
 
+def private_session(spark: SparkSession, settings: Mapping[str, str]) -> SparkSession:
+    """A session with the caller's settings and database, and some of its own.
+
+    What it sets changes nothing for the caller, nor for the caller's other threads.
+    """
+    session = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(key):
+            session.conf.set(key, value)
+    for key, value in settings.items():
+        session.conf.set(key, value)
+    session.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    return session
+
+
+@contextmanager
+def moved_to(session: SparkSession, df: DataFrame) -> Iterator[DataFrame]:
+    """The same rows as a frame of another session, for the length of a block."""
+    if df.sparkSession is session:
+        yield df
+        return
+    name = f"tableflow_{uuid.uuid4().hex}"
+    df.createGlobalTempView(name)
+    try:
+        yield session.table(f"global_temp.{name}")
+    finally:
+        session.catalog.dropGlobalTempView(name)
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """The Hadoop file system of a path, and the path on it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete what a run of ours has left under its own name, if anything."""
+    fs, folder = hadoop_path(spark, path)
+    if fs.exists(folder) and not fs.delete(folder, True):
+        log.warning("could not remove %s", path)
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder name under the session's ``spark.checkpoint.dir``.
 

@@ -14,14 +14,15 @@ from tableflow.operators.cells import encoded_columns, row_key, row_to_cells, un
 from tableflow.operators.regions import region_of
 from tableflow.operators.search import array_literal
 from tableflow.operators.splits import split_keys
-from tableflow.sinks.store import FolderStore, hadoop_path, new_load_id, open_store, remove
+from tableflow.session import hadoop_path, remove
+from tableflow.sinks.store import OPEN_FILES, UNPLACED, CellStore, new_load_id, writing_session
 from tableflow.spec import TargetSpec
 
 # Stored bytes, and cells, one task should sort and write; they set the number of tasks, nothing else.
 BYTES_PER_TASK = 256 * 1024 * 1024
 CELLS_PER_TASK = 10_000_000
 # Regions of one task, which keeps a file open for each.
-REGIONS_PER_TASK = 64
+REGIONS_PER_TASK = OPEN_FILES
 
 
 def write_cells(df: DataFrame, spark: SparkSession, target: TargetSpec) -> None:
@@ -29,38 +30,47 @@ def write_cells(df: DataFrame, spark: SparkSession, target: TargetSpec) -> None:
 
     Options: ``tablename`` (a table, or a path) and ``cf``; optional ``format``, ``location`` for a new
     table, and ``key-columns`` to take the row key from columns instead of a random UUID. With ``bulkload: true`` also
-    ``num-regions`` and ``bulk-stg``, a folder every executor shares.
+    ``bulk-stg``, a folder every executor shares, and ``num-regions``, or ``buckets`` for a catalog table that is
+    read and joined by row key without a shuffle.
     """
     name, cf = target.require("tablename", "cf")
-    store = open_store(spark, name, target.option("format", ""), target.option("location", ""))
+    buckets = int(target.option("buckets", 0))
+    store = CellStore(spark, name, target.option("format", ""), target.option("location", ""), buckets)
     keys = target.option("key-columns")
     keys = [keys] if isinstance(keys, str) else keys
     # one write time for the whole load; a later load has a greater one
     version = int(target.option("version", time.time_ns() // 1_000_000))
     if not target.flag("bulkload"):
+        if buckets:
+            raise ValueError("rows that are put are not moved, so they cannot be bucketed: use bulkload")
         put_cells(df, store, cf, keys, version)
         return
+    if store.buckets:
+        bulk_load(df, store, cf, 1, target.require("bulk-stg")[0], keys, version)
+        return
     regions, staging = target.require("num-regions", "bulk-stg")
     bulk_load(df, store, cf, int(regions), staging, keys, version)
 
 
 def put_cells(
-    df: DataFrame, store: FolderStore, cf: str, keys: Sequence[str] | None, version: int
+    df: DataFrame, store: CellStore, cf: str, keys: Sequence[str] | None, version: int
 ) -> None:
     """Append the cells in one pass; a store that does not exist yet starts with one region."""
-    store.put(row_to_cells(df, row_key(df, keys), cf, _long(version)), new_load_id())
+    if store.buckets:
+        raise ValueError(f"{store.name} is bucketed: rows have to come by bulkload")
+    store.put(row_to_cells(df, row_key(df, keys), cf, _long(version)), new_load_id(), version)
 
 
 def bulk_load(
     df: DataFrame,
-    store: FolderStore,
+    store: CellStore,
     cf: str,
     regions: int,
     staging: str,
     keys: Sequence[str] | None,
     version: int,
 ) -> None:
-    """Key and store the rows, find or reuse split keys, stage sorted cells, publish them.
+    """Key and stage the rows, find or reuse split keys, insert sorted cells, finish the load.
 
     Rows are stored with their keys first. Split keys, row counts and the cells then all
     see the same keys, also when a lost executor makes Spark run a task twice; and the job that
@@ -71,11 +81,15 @@ def bulk_load(
     folder = f"{staging.rstrip('/')}/{load}"
     try:
         rows = store_keyed_rows(df, keys, f"{folder}/rows")
-        known = store.splits()
-        splits = split_keys(rows.frame, regions) if known is None else known
-        staged = f"{folder}/cells"
-        stage_cells(rows, splits, cf, version, staged, store.kind)
-        store.publish(staged, load, splits if known is None else None)
+        if store.buckets:
+            splits = []
+            cells = bucketed_cells(rows, store.buckets, cf, version)
+        else:
+            splits = store.splits()
+            splits = split_keys(rows.frame, regions) if splits is None else splits
+            cells = region_cells(rows, splits, cf, version)
+        store.add(cells, load)
+        store.finish(load, splits, version)
     finally:
         # this run's own folder, named by its load id
         remove(df.sparkSession, folder)
@@ -128,10 +142,8 @@ def deal_regions(counts: Mapping[int, int], rows_per_task: float) -> tuple[list[
     return first, parts, tasks
 
 
-def stage_cells(
-    rows: KeyedRows, splits: Sequence[str], cf: str, version: int, path: str, kind: str
-) -> None:
-    """Write the cells by region, each file sorted by row key and qualifier.
+def region_cells(rows: KeyedRows, splits: Sequence[str], cf: str, version: int) -> DataFrame:
+    """The cells with their ``region``, each task's sorted by region, row key and qualifier.
 
     The rows of each region are counted, which reads the keys alone, and dealt to tasks by region; a
     large region, or one hot key, to several. One exchange moves the rows, whatever their number and
@@ -139,9 +151,7 @@ def stage_cells(
     its cells, in qualifier order, in the task that writes them. Only where rows may share a key are
     the cells sorted once more.
     """
-    spark = _writing_session(rows.frame.sparkSession)
-    frame = spark.read.schema(rows.frame.schema).parquet(rows.path)
-    placed = frame.withColumn("region", region_of("rowkey", splits))
+    placed = _staged(rows).withColumn("region", region_of("rowkey", splits))
     counts = {row["region"]: row["count"] for row in placed.groupBy("region").count().collect()}
     total = sum(counts.values())
     share = max(rows.size / BYTES_PER_TASK, total * len(rows.names) / CELLS_PER_TASK)
@@ -151,26 +161,27 @@ def stage_cells(
         piece, F.get(array_literal(parts, "int"), F.col("region"))
     ).cast("int")
     placed = placed.repartitionById(max(1, tasks), task).sortWithinPartitions("region", "rowkey")
-    texts = {name: F.col(f"c{at}") for at, name in enumerate(rows.names)}
-    in_order = {name: texts[name] for name in sorted(texts)}
-    cells = unpivot_cells(placed, F.col("rowkey"), in_order, cf, _long(version), ["region"])
-    if not rows.unique:
-        cells = cells.sortWithinPartitions("region", "rowkey", "qualifier")
-    cells.write.format(kind).partitionBy("region").save(path)
+    cells = _in_qualifier_order(rows, placed, cf, version)
+    return cells if rows.unique else cells.sortWithinPartitions("region", "rowkey", "qualifier")
 
 
-def _writing_session(spark: SparkSession) -> SparkSession:
-    """A session with the caller's settings whose tasks keep a file open per region.
+def bucketed_cells(rows: KeyedRows, buckets: int, cf: str, version: int) -> DataFrame:
+    """The cells of rows dealt to tasks as the table's buckets are: one file per bucket and load.
 
-    A task's rows come in region order, which Spark does not know after the unpivot: without open
-    files it would sort them by region once more. The caller's session stays as it is.
+    The cells of a row key are one bucket however many they are, as in any bucketed table.
     """
-    session = spark.newSession()
-    for key, value in spark.conf.getAll.items():
-        if session.conf.isModifiable(key):
-            session.conf.set(key, value)
-    session.conf.set("spark.sql.maxConcurrentOutputFileWriters", str(REGIONS_PER_TASK))
-    return session
+    dealt = _staged(rows).repartition(buckets, "rowkey").withColumn("region", F.lit(UNPLACED))
+    return _in_qualifier_order(rows, dealt, cf, version)
+
+
+def _staged(rows: KeyedRows) -> DataFrame:
+    return writing_session(rows.frame.sparkSession).read.schema(rows.frame.schema).parquet(rows.path)
+
+
+def _in_qualifier_order(rows: KeyedRows, placed: DataFrame, cf: str, version: int) -> DataFrame:
+    texts = {name: F.col(f"c{at}") for at, name in enumerate(rows.names)}
+    in_order = {name: texts[name] for name in sorted(texts)}
+    return unpivot_cells(placed, F.col("rowkey"), in_order, cf, _long(version), ["region"])
 
 
 def _long(number: int) -> Column:

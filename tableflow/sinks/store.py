@@ -1,37 +1,48 @@
-"""Where cells live: a folder, or a catalog table over one.
+"""Where cells live: a partitioned table of cells, and beside it a table of its loads.
 
-A store keeps each load in a folder of its own, and a load's regions in folders below that::
+    <store>         the cells, partitioned by load and region
+    <store>_loads   one row per finished load: format, split keys, write time
 
-    <store>/load=<id>/region=<n>/part-...     cells
-    <store>/_splits/<id>/part-...             split keys, one column, of the load that brought them
-    <store>/_loads/<id>.<format>              commit record, written last
+Both are ordinary tables, in the catalog or addressed by path, and only Spark's writers write them. A
+load overwrites partitions of its own and no others (dynamic partition overwrite), for which Spark
+stages the files in a folder of that one job: loads may overlap, and a task that runs twice
+leaves nothing. The load's row is written last, and readers take the loads that have one. A load that
+dies before leaves no cells, split keys or format that anyone reads, and can be repeated.
 
-Readers see the loads that have a commit record, and nothing else. A run that dies anywhere before
-that, also in the middle of a copy on an object store, leaves no trace in what is read: no cells, no
-split keys, no format. It can simply be repeated. Names with an underscore are never read as cells.
+Every load was laid out by split keys it names in its row, its own or those of an earlier load.
+A range of row keys is therefore looked up load by load.
 """
 
 from __future__ import annotations
 
 import json
-import logging
 import uuid
 from bisect import bisect_left, bisect_right
+from collections import defaultdict
+from collections.abc import Collection
+from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tableflow.operators.cells import CELL_COLUMNS
-
-log = logging.getLogger(__name__)
+from tableflow.session import moved_to, private_session
 
 _CELLS = "rowkey string, cf string, qualifier string, version bigint, value string"
+_PARTS = ("load", "region")
 _SCHEMA = f"{_CELLS}, load string, region int"
+_LOADS = "format string, splits array<string>, version bigint, load string"
 # Region of cells that were put one by one rather than laid out by key.
 UNPLACED = -1
 # Formats that keep null, '' and ' x ' apart; text formats do not.
 KINDS = ("parquet", "orc")
+# Regions a task keeps a file open for. Its rows come in region order, which Spark does not know
+# after the unpivot: without open files it would sort them by region once more.
+OPEN_FILES = 64
 
 
 def new_load_id() -> str:
@@ -40,206 +51,206 @@ def new_load_id() -> str:
     return f"{now}-{uuid.uuid4().hex}"
 
 
-def hadoop_path(spark: SparkSession, path: str):
-    """The Hadoop file system of a path, and the path on it."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
-
-
-def same_file_system(spark: SparkSession, one: str, other: str) -> bool:
-    """Whether a rename can move one path to the other."""
-    uris = [hadoop_path(spark, path)[0].getUri().toString() for path in (one, other)]
-    return uris[0] == uris[1]
+def writing_session(spark: SparkSession) -> SparkSession:
+    """A session whose inserts overwrite only the partitions they bring."""
+    mode = {"spark.sql.sources.partitionOverwriteMode": "dynamic"}
+    return private_session(spark, mode | {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)})
 
 
-def move(spark: SparkSession, source: str, target: str) -> None:
-    """Rename a folder; its files stay as they are."""
-    fs, to = hadoop_path(spark, target)
-    fs.mkdirs(to.getParent())
-    if not fs.rename(hadoop_path(spark, source)[1], to):
-        raise OSError(f"cannot move {source} to {target}")
+@dataclass(frozen=True)
+class Load:
+    """A finished load. ``splits`` are the keys it was laid out by; None if it was put."""
 
+    id: str
+    format: str
+    splits: tuple[str, ...] | None
+    version: int
 
-def remove(spark: SparkSession, path: str) -> None:
-    """Delete what a run of ours has left under its own name, if anything."""
-    fs, folder = hadoop_path(spark, path)
-    if fs.exists(folder) and not fs.delete(folder, True):
-        log.warning("could not remove %s", path)
+    def regions(self, first: str | None, end: str | None) -> tuple[int, int]:
+        """The regions that row keys from ``first`` to before ``end`` are in."""
+        low = 0 if first is None else bisect_right(self.splits, first)
+        return low, len(self.splits) if end is None else bisect_left(self.splits, end)
 
 
-def open_store(
-    spark: SparkSession, name: str, kind: str = "", folder: str = ""
-) -> FolderStore | TableStore:
-    """A store by path (with a slash) or by table name (``namespace:table`` or ``db.table``).
+class CellStore:
+    """A store by path (a name with a slash) or by table name (``namespace:table`` or ``db.table``).
 
-    ``folder`` is where a table that does not exist yet keeps its data, if not in the warehouse.
+    ``folder`` is where a table that does not exist yet keeps its data, if not in the warehouse;
+    ``buckets`` makes it a table bucketed by row key.
     """
-    if "/" in name:
-        return FolderStore(spark, name, kind)
-    return TableStore(spark, name.replace(":", "."), kind, folder)
-
-
-class FolderStore:
-    """A store addressed by path."""
 
-    def __init__(self, spark: SparkSession, path: str, kind: str = ""):
-        self.spark, self.path, self.asked = spark, path.rstrip("/"), kind.lower()
-
-    def location(self) -> str | None:
-        return self.path
-
-    def loads(self) -> dict[str, str]:
-        """Committed loads and their formats, oldest first."""
-        where = self.location()
-        if where is None:
-            return {}
-        fs, records = hadoop_path(self.spark, f"{where}/_loads")
-        if not fs.exists(records):
-            return {}
-        names = sorted(entry.getPath().getName() for entry in fs.listStatus(records))
-        return dict(name.rsplit(".", 1) for name in names if not name.startswith((".", "_")))
+    def __init__(self, spark: SparkSession, name: str, kind: str = "", folder: str = "", buckets: int = 0):
+        self.spark, self.asked, self.folder, self.asked_buckets = spark, kind.lower(), folder, buckets
+        self.by_path = "/" in name
+        self.name = name.rstrip("/") if self.by_path else name.replace(":", ".")
+        if self.by_path and buckets:
+            raise ValueError(f"only a catalog table can be bucketed, not {self.name}")
+
+    def loads(self) -> list[Load]:
+        """Finished loads, oldest first."""
+        rows = self._frame(f"{self.name}_loads", "parquet", _LOADS)
+        if rows is None:
+            return []
+        found = [
+            Load(row.load, row.format, None if row.splits is None else tuple(row.splits), row.version)
+            for row in rows.collect()
+        ]
+        return sorted(found, key=lambda load: load.id)
 
     def exists(self) -> bool:
         return bool(self.loads())
 
+    def _described(self, what: str) -> str | None:
+        if self.by_path or not self.spark.catalog.tableExists(self.name):
+            return None
+        row = self.spark.sql(f"describe table extended {self.name}").where(F.col("col_name") == what).first()
+        return row.data_type if row else None
+
     @property
     def kind(self) -> str:
-        """The format of the store: its first load's, else the one asked for."""
-        return next(iter(self.loads().values()), self.asked or "parquet")
+        """The format of the store: the table's, else its first load's, else the one asked for."""
+        first = None if self.by_path else self._described("Provider")
+        if self.by_path:
+            first = next((load.format for load in self.loads()), None)
+        return (first or self.asked or "parquet").lower()
+
+    @property
+    def buckets(self) -> int:
+        """Buckets of the table; 0 if it has none."""
+        if self.by_path or not self.spark.catalog.tableExists(self.name):
+            return self.asked_buckets
+        return int(self._described("Num Buckets") or 0)
 
     def check_format(self) -> None:
         """A store has one format, whoever writes, and one that loses nothing."""
         kind = self.kind
         if self.asked and self.asked != kind:
-            raise ValueError(f"{self.location()} holds {kind} cells, not {self.asked}")
+            raise ValueError(f"{self.name} holds {kind} cells, not {self.asked}")
         if kind not in KINDS:
             raise ValueError(f"cells cannot be kept as {kind}: use {' or '.join(KINDS)}")
+        if self.asked_buckets and self.asked_buckets != self.buckets:
+            raise ValueError(f"{self.name} has {self.buckets} buckets, not {self.asked_buckets}")
 
     def splits(self) -> list[str] | None:
-        """Saved split keys, or None when the store does not exist.
+        """The split keys later loads reuse, or None when the store does not exist.
 
         The list is shorter than the number of regions its creator asked for.
         """
-        for load in self.loads():
-            path = f"{self.location()}/_splits/{load}"
-            fs, saved = hadoop_path(self.spark, path)
-            if fs.exists(saved):
-                rows = self.spark.read.schema("split string").parquet(f"{path}/part-*").collect()
-                return sorted(row.split for row in rows)
-        return None
-
-    def read(self, first: str | None = None, end: str | None = None) -> DataFrame:
-        """The cells, of row keys from ``first`` to before ``end`` if given.
-
-        Also of a plain folder of cells that no sink of ours wrote. A key range becomes a range of
-        regions by the split keys, so that only those regions' folders are read, and the cells that
-        were put one by one.
+        return next((list(load.splits) for load in self.loads() if load.splits is not None), None)
+
+    def read(
+        self,
+        first: str | None = None,
+        end: str | None = None,
+        loads: Collection[Load] | None = None,
+    ) -> DataFrame:
+        """The cells, of row keys from ``first`` to before ``end`` and of some loads if given.
+
+        Also of a plain folder or table of cells that no sink of ours wrote. Loads and key ranges
+        become partition filters: each load's regions of the range are read, by the split keys of that
+        load, and the cells that were put one by one.
         """
-        cells, laid_out = self._cells()
+        known = self.loads()
+        if not known:
+            cells = self._frame(self.name, self.asked or "parquet", None)
+            if cells is None:
+                raise ValueError(f"there are no cells at {self.name}")
+        else:
+            cells = self._cells_of(known if loads is None else loads, first, end)
         if first is not None:
             cells = cells.where(F.col("rowkey") >= first)
         if end is not None:
             cells = cells.where(F.col("rowkey") < end)
-        if laid_out and (first is not None or end is not None):
-            splits = self.splits() or []
-            low = 0 if first is None else bisect_right(splits, first)
-            high = len(splits) if end is None else bisect_left(splits, end)
-            cells = cells.where(F.col("region").between(low, high) | (F.col("region") == UNPLACED))
         return cells.select(*CELL_COLUMNS)
 
-    def _cells(self) -> tuple[DataFrame, bool]:
-        """All cells, and whether they have regions."""
-        loads = self.loads()
-        if not loads:
-            return self.spark.read.format(self.asked or "parquet").load(self.location()), False
-        where = self.location()
-        reader = self.spark.read.format(self.kind).schema(_SCHEMA).option("basePath", where)
-        return reader.load([f"{where}/load={load}" for load in loads]), True
-
-    def put(self, cells: DataFrame, load: str) -> None:
-        """Add cells where the tasks that made them left them: no shuffle, no sort."""
-        self.check_format()
-        splits = None if self.exists() else []
-        self.prepare()
-        staged = f"{self.location()}/_put/{load}"
+    def _cells_of(self, loads: Collection[Load], first: str | None, end: str | None) -> DataFrame:
+        """Cells of finished loads, which of a path may even differ in format."""
+        by_format = defaultdict(list)
+        for load in loads:
+            by_format[load.format].append(load)
+        parts = []
+        for kind, own in by_format.items():
+            frame = self._frame(self.name, kind, _SCHEMA)
+            if frame is not None:
+                parts.append(frame.where(_partitions(own, first, end)))
+        return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], _SCHEMA)
+
+    def _frame(self, name: str, kind: str, schema: str | None) -> DataFrame | None:
+        """A table's rows; None if there is no such table."""
+        if not self.by_path:
+            if not self.spark.catalog.tableExists(name):
+                return None
+            if schema:  # a view has nothing to refresh
+                self.spark.catalog.refreshTable(name)
+            return self.spark.table(name)
         try:
-            folder = f"{staged}/region={UNPLACED}"
-            cells.select(*CELL_COLUMNS).write.format(self.kind).save(folder)
-            self.publish(staged, load, splits)
-        finally:
-            remove(self.spark, staged)
-
-    def publish(self, staged: str, load: str, splits: list[str] | None) -> None:
-        """Add a staged load, keeping its files as they are; the first one brings the split keys.
-
-        On one file system the files move by a rename. Across file systems they are written again,
-        each task sorting what it read. The load exists once its commit record does.
-        """
-        self.prepare()
-        kind = self.kind
-        folder = f"{self.location()}/load={load}"
-        if splits is not None:
-            keys = F.explode(F.from_json(F.lit(json.dumps(splits)), "array<string>"))
-            one_file = self.spark.range(1, numPartitions=1).select(keys.alias("split"))
-            one_file.write.parquet(f"{self.location()}/_splits/{load}")
-        if same_file_system(self.spark, staged, folder):
-            move(self.spark, staged, folder)
-        else:
-            cells = self.spark.read.format(kind).schema(f"{_CELLS}, region int").load(staged)
-            ordered = cells.sortWithinPartitions("region", "rowkey", "cf", "qualifier")
-            ordered.write.format(kind).partitionBy("region").save(folder)
-        self.register(load)
-        self.commit(load, kind)
-
-    def commit(self, load: str, kind: str) -> None:
-        """Make a load visible, by creating one empty file."""
-        fs, record = hadoop_path(self.spark, f"{self.location()}/_loads/{load}.{kind}")
-        fs.create(record, False).close()
-
-    def prepare(self) -> None:
-        """Nothing to do: a folder comes with its first load."""
-
-    def register(self, load: str) -> None:
-        """Nothing to do: a folder is its own catalog."""
-
-
-class TableStore(FolderStore):
-    """A store addressed by table name; its folder is the table's location."""
-
-    def __init__(self, spark: SparkSession, name: str, kind: str = "", folder: str = ""):
-        self.spark, self.name, self.asked, self.folder = spark, name, kind.lower(), folder
-
-    def _described(self, what: str) -> str | None:
-        if not self.spark.catalog.tableExists(self.name):
+            reader = self.spark.read.format(kind)
+            return (reader.schema(schema) if schema else reader).load(name)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
-        rows = self.spark.sql(f"describe table extended {self.name}")
-        row = rows.where(F.col("col_name") == what).first()
-        return row.data_type if row else None
 
-    def location(self) -> str | None:
-        where = self._described("Location")
-        return where.rstrip("/") if where else None
+    def add(self, cells: DataFrame, load: str) -> None:
+        """Write the cells of a load by ``region``; nobody reads them before its ``finish``.
 
-    @property
-    def kind(self) -> str:
-        """The format of the store: the table's."""
-        return (self._described("Provider") or self.asked or "parquet").lower()
+        The cells belong to a ``writing_session`` or are handed over to one.
+        """
+        self._create(self.name, _SCHEMA, self.kind, _PARTS, self.folder, self.asked_buckets)
+        own = cells.withColumn("load", F.lit(load)).select(*CELL_COLUMNS, *_PARTS)
+        self._insert(own, self.name, self.kind, _PARTS)
+
+    def finish(self, load: str, splits: list[str] | None, version: int) -> None:
+        """Make a load visible, by one row."""
+        keys = F.from_json(F.lit(None if splits is None else json.dumps(splits)), "array<string>")
+        row = self.spark.range(1, numPartitions=1).select(
+            F.lit(self.kind).alias("format"),
+            keys.alias("splits"),
+            F.lit(version).cast("bigint").alias("version"),
+            F.lit(load).alias("load"),
+        )
+        name = f"{self.name}_loads"
+        self._create(name, _LOADS, "parquet", ["load"], f"{self.folder.rstrip('/')}_loads" if self.folder else "", 0)
+        self._insert(row, name, "parquet", ["load"])
 
-    def prepare(self) -> None:
-        at = f" location '{self.folder}'" if self.folder else ""
+    def put(self, cells: DataFrame, load: str, version: int) -> None:
+        """Add cells where the tasks that made them left them: no shuffle, no sort."""
+        self.check_format()
+        splits = None if self.exists() else []
+        self.add(cells.withColumn("region", F.lit(UNPLACED)), load)
+        self.finish(load, splits, version)
+
+    def _create(self, name: str, schema: str, kind: str, parts, folder: str, buckets: int) -> None:
+        if self.by_path:
+            return  # a folder comes with its first files
+        bucketed = f" clustered by (rowkey) sorted by (rowkey) into {buckets} buckets" if buckets else ""
+        at = f" location '{folder}'" if folder else ""
         self.spark.sql(
-            f"create table if not exists {self.name} ({_SCHEMA}) "
-            f"using {self.kind} partitioned by (load, region){at}"
+            f"create table if not exists {name} ({schema}) using {kind} partitioned by ({', '.join(parts)}){bucketed}{at}"
         )
 
-    def _cells(self) -> tuple[DataFrame, bool]:
-        cells, loads = self.spark.table(self.name), self.loads()
-        return (cells.where(F.col("load").isin(list(loads))), True) if loads else (cells, False)
-
-    def register(self, load: str) -> None:
-        fs, folder = hadoop_path(self.spark, f"{self.location()}/load={load}")
-        names = [entry.getPath().getName() for entry in fs.listStatus(folder)]
-        regions = sorted(name.removeprefix("region=") for name in names if name.startswith("region="))
-        parts = " ".join(f"partition (load = '{load}', region = {region})" for region in regions)
-        if parts:
-            self.spark.sql(f"alter table {self.name} add if not exists {parts}")
+    def _insert(self, rows: DataFrame, name: str, kind: str, parts) -> None:
+        """Write rows into partitions no other load has."""
+        session = rows.sparkSession
+        if session.conf.get("spark.sql.sources.partitionOverwriteMode").lower() != "dynamic":
+            session = writing_session(session)
+        with moved_to(session, rows) as own:
+            if self.by_path:
+                own.write.format(kind).mode("overwrite").partitionBy(*parts).save(name)
+            else:
+                own.write.mode("overwrite").insertInto(name)
+
+
+def _partitions(loads: Collection[Load], first: str | None, end: str | None) -> Column:
+    """Whether a partition may hold cells of the loads in a range of row keys."""
+    by_regions = defaultdict(list)
+    for load in loads:
+        narrowed = load.splits is not None and (first is not None or end is not None)
+        by_regions[load.regions(first, end) if narrowed else None].append(load.id)
+    wanted = []
+    for regions, ids in by_regions.items():
+        own = F.col("load").isin(ids)
+        if regions is not None:
+            own &= F.col("region").between(*regions) | (F.col("region") == UNPLACED)
+        wanted.append(own)
+    return reduce(or_, wanted, F.lit(False)) if len(wanted) != 1 else wanted[0]

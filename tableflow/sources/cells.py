@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tableflow.operators.cells import cells_to_wide
-from tableflow.sinks.store import open_store
+from tableflow.sinks.store import CellStore
 from tableflow.sources.shape import project_and_filter
 from tableflow.spec import SourceSpec, as_flag
 
@@ -27,7 +27,7 @@ def read_cells(spark: SparkSession, source: SourceSpec) -> DataFrame:
     unknown = set(span) - {"from", "to"}
     if unknown:
         raise ValueError(f"custom.rows of cell source {source.id!r} has 'from' and 'to', not {sorted(unknown)}")
-    cells = open_store(spark, source.location, source.format).read(span.get("from"), span.get("to"))
+    cells = CellStore(spark, source.location, source.format).read(span.get("from"), span.get("to"))
     keep = as_flag(source.custom.get("keep_empty_rows", True))
     wide = cells_to_wide(cells, source.column_family, mapping, keep_empty_rows=keep)
     return project_and_filter(wide, source)

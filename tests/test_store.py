@@ -2,6 +2,7 @@
 
 import glob
 from bisect import bisect_right
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow.parquet as pq
 import pytest
@@ -10,8 +11,8 @@ from pyspark.sql import functions as F
 from plans import plan_of
 from tableflow import PipelineSpec, build, run
 from tableflow.sinks import cells as cell_sink
-from tableflow.sinks import store as store_module
-from tableflow.sinks.store import FolderStore, TableStore, open_store
+from tableflow.sinks.store import CellStore
+from tableflow.spec import TargetSpec
 
 
 @pytest.fixture
@@ -19,11 +20,18 @@ def store(spark, tmp_path):
     return Store(spark, str(tmp_path))
 
 
+def drop(spark, name):
+    for table in (name, f"{name}_loads"):
+        spark.sql(f"drop table if exists {table.replace(':', '.')}")
+
+
 class Store:
     """A store in a test folder, written and read through specs."""
 
     def __init__(self, spark, folder, name=None, kind="parquet"):
         self.spark, self.folder, self.kind = spark, folder, kind
+        if name:
+            drop(spark, name)
         self.name = name or f"{folder}/cells"
 
     def write(self, df, **options):
@@ -48,7 +56,7 @@ class Store:
         return sorted((tuple(row) for row in wide.select(*names).collect()), key=repr)
 
     def splits(self):
-        return open_store(self.spark, self.name, self.kind).splits()
+        return CellStore(self.spark, self.name, self.kind).splits()
 
     def files(self):
         """Region and (key, qualifier) list of every bulk-loaded file."""
@@ -166,7 +174,7 @@ def test_rows_that_share_a_key_stay_sorted(spark, store, monkeypatch, bytes_per_
     store.bulk(rows, 5, **{"key-columns": ["k"]})
     assert store.check_layout() == 900
     # no cell is lost, also of equal keys
-    assert open_store(spark, store.name).read().where("rowkey = 'hot'").count() == 300
+    assert CellStore(spark, store.name).read().where("rowkey = 'hot'").count() == 300
 
 
 @pytest.mark.parametrize("keys", [None, ["k"]])
@@ -208,7 +216,7 @@ def test_columns_with_awkward_names(spark, store):
     store.bulk(df, 2)
     names = ["region", "spread", "c0", "value", "load"]
     assert store.rows(*names) == [("2", "3", "4", "6", "7")]
-    qualifiers = {row.qualifier for row in open_store(spark, store.name).read().collect()}
+    qualifiers = {row.qualifier for row in CellStore(spark, store.name).read().collect()}
     assert qualifiers == set(df.columns) and store.check_layout() == 7
 
 
@@ -226,19 +234,13 @@ def test_catalog_store(spark, tmp_path, name):
     store.write(numbers(spark, 10))
     assert store.rows("id", "b", "a") == sorted(as_text(10) + as_text(40), key=repr)
     assert len(store.splits()) == 3
-    spark.sql("drop table tableflow_store_test")
+    drop(spark, "tableflow_store_test")
     assert store.splits() is None
 
 
-def test_publishing_across_file_systems_keeps_the_order(spark, store, monkeypatch):
-    monkeypatch.setattr(store_module, "same_file_system", lambda *paths: False)
-    store.bulk(numbers(spark, 100), 4)
-    assert store.check_layout() == 300 and store.rows("id", "b", "a") == as_text(100)
-
-
 def test_a_bucketed_cell_table_is_read_without_a_shuffle(spark, store):
     store.write(numbers(spark, 30))
-    cells = open_store(spark, store.name).read()
+    cells = CellStore(spark, store.name).read()
     cells.write.bucketBy(4, "rowkey").sortBy("rowkey").saveAsTable("tableflow_bucketed_test")
     store.name = "tableflow_bucketed_test"
     assert "Exchange" not in plan_of(store.wide(["id", "b", "a"]))
@@ -251,11 +253,10 @@ def failing(*args, **kwargs):
 
 
 STEPS = {
-    "staging": (cell_sink, "stage_cells"),
-    "publish": (FolderStore, "publish"),
-    "move": (store_module, "move"),
-    "register": (TableStore, "register"),
-    "commit": (FolderStore, "commit"),
+    "arrange": (cell_sink, "region_cells"),
+    "insert": (CellStore, "_insert"),
+    "add": (CellStore, "add"),
+    "finish": (CellStore, "finish"),
 }
 
 
@@ -263,10 +264,7 @@ STEPS = {
 @pytest.mark.parametrize("before", [0, 20])
 @pytest.mark.parametrize("table", [False, True])
 def test_a_failed_load_leaves_no_trace(spark, tmp_path, monkeypatch, step, before, table):
-    if step == "register" and not table:
-        pytest.skip("folders register nothing")
     store = Store(spark, str(tmp_path), name="tableflow_failed_test" if table else None)
-    spark.sql("drop table if exists tableflow_failed_test")
     if before:
         store.bulk(numbers(spark, before), 3)
     rows, splits = (store.rows("id", "b", "a"), store.splits()) if before else ([], None)
@@ -280,11 +278,11 @@ def test_a_failed_load_leaves_no_trace(spark, tmp_path, monkeypatch, step, befor
     store.bulk(numbers(spark, 150), 8)
     assert store.rows("id", "b", "a") == sorted(rows + as_text(150), key=repr)
     assert len(store.splits()) == (len(splits) if before else 7)
-    spark.sql("drop table if exists tableflow_failed_test")
+    drop(spark, "tableflow_failed_test")
 
 
 def test_a_failed_put_leaves_no_trace(spark, store, monkeypatch):
-    monkeypatch.setattr(FolderStore, "commit", failing)
+    monkeypatch.setattr(CellStore, "finish", failing)
     with pytest.raises(OSError, match="lost"):
         store.write(numbers(spark, 5))
     monkeypatch.undo()
@@ -296,7 +294,7 @@ def test_a_failed_put_leaves_no_trace(spark, store, monkeypatch):
 def test_a_store_keeps_the_format_of_its_first_load(spark, tmp_path, table):
     name = "tableflow_format_test" if table else None
     store = Store(spark, str(tmp_path), name=name, kind="orc")
-    spark.sql("drop table if exists tableflow_format_test")
+    drop(spark, "tableflow_format_test")
     store.bulk(numbers(spark, 30), 3)
     for later in ("write", "bulk"):
         getattr(store, later)(*([numbers(spark, 10), 3][: 2 if later == "bulk" else 1]), format="")
@@ -304,7 +302,7 @@ def test_a_store_keeps_the_format_of_its_first_load(spark, tmp_path, table):
     assert store.rows("id", "b", "a") == sorted(as_text(10) * 2 + as_text(30), key=repr)
     with pytest.raises(ValueError, match="holds orc"):
         store.write(numbers(spark, 3), format="parquet")
-    spark.sql("drop table if exists tableflow_format_test")
+    drop(spark, "tableflow_format_test")
 
 
 @pytest.mark.parametrize("kind", ["csv", "json", "text"])
@@ -332,7 +330,7 @@ def test_null_empty_and_blank_text_stay_apart(spark, tmp_path, kind):
 ])
 def test_a_key_range_reads_its_regions_and_the_puts(spark, tmp_path, rows, expected, table):
     store = Store(spark, str(tmp_path), name="tableflow_range_test" if table else None)
-    spark.sql("drop table if exists tableflow_range_test")
+    drop(spark, "tableflow_range_test")
     keyed = {"key-columns": ["id"]}
     store.bulk(numbers(spark, 100), 10, **keyed)
     store.bulk(spark.range(100, 200).selectExpr("id", "'n' as b"), 3, **keyed)
@@ -341,8 +339,126 @@ def test_a_key_range_reads_its_regions_and_the_puts(spark, tmp_path, rows, expec
     keys = [str(n) for n in range(260)]
     assert sorted(r.rowkey for r in wide.collect()) == sorted(k for k in keys if expected(k))
     plan = plan_of(wide)
-    assert any("PartitionFilters" in line and "region" in line for line in plan.splitlines())
-    spark.sql("drop table if exists tableflow_range_test")
+    pruned = any("PartitionFilters" in line and "region" in line for line in plan.splitlines())
+    assert pruned or "LocalTableScan" in plan  # an empty range reads nothing at all
+    drop(spark, "tableflow_range_test")
+
+
+OVERLAPS = {
+    "bulk": lambda store, rows: store.bulk(rows, 4, **{"key-columns": ["k"]}),
+    "put": lambda store, rows: store.write(rows, **{"key-columns": ["k"]}),
+}
+
+
+@pytest.mark.parametrize("table", [False, True])
+@pytest.mark.parametrize("second", OVERLAPS)
+def test_a_load_that_overlaps_a_first_load_loses_nothing(spark, tmp_path, monkeypatch, second, table):
+    """Both loads find no store, and each lays its cells out by what it knows."""
+    store = Store(spark, str(tmp_path), name="tableflow_overlap_test" if table else None)
+    a, b = (spark.range(400).selectExpr(f"concat('{c}', lpad(id, 4, '0')) as k", "id as v") for c in "ab")
+    arrange, run_already = cell_sink.region_cells, []
+
+    def overlapped(*args):
+        if not run_already:
+            run_already.append(True)
+            OVERLAPS[second](store, b)
+        return arrange(*args)
+
+    monkeypatch.setattr(cell_sink, "region_cells", overlapped)
+    store.bulk(a, 6, **{"key-columns": ["k"]})
+    monkeypatch.undo()
+    cells = CellStore(spark, store.name)
+    assert cells.read().count() == 1600 and len(cells.loads()) == 2
+    for first, end in (("b0100", "b0200"), ("a0100", "a0200"), ("a0399", "b0001"), ("b", None), (None, "a0001")):
+        wanted = F.lit(True) if first is None else F.col("rowkey") >= first
+        wanted &= F.lit(True) if end is None else F.col("rowkey") < end
+        got = cells.read(first, end)
+        assert got.count() == cells.read().where(wanted).count() > 0
+    # a later load reuses what the store has, and is found as well
+    store.bulk(spark.sql("select 'b0150x' as k, 1 as v"), 9, **{"key-columns": ["k"]})
+    assert cells.read("b0100", "b0200").count() == 202
+    if table:
+        drop(spark, "tableflow_overlap_test")
+
+
+@pytest.mark.parametrize("table", [False, True])
+def test_loads_at_the_same_time(spark, tmp_path, table):
+    name = "tableflow_threads_test" if table else f"{tmp_path}/cells"
+    if table:
+        drop(spark, name)
+
+    def load(number):
+        rows = spark.range(number * 100, number * 100 + 100).selectExpr("cast(id as string) as k", "id as v")
+        target = {"tablename": name, "cf": "d", "key-columns": ["k"], "num-regions": 3, "bulk-stg": f"{tmp_path}/staging"}
+        target |= {"bulkload": number % 2 == 0}
+        cell_sink.write_cells(rows, spark, TargetSpec.from_dict({"place": "hbase", "options": target}))
+
+    with ThreadPoolExecutor(6) as pool:
+        list(pool.map(load, range(6)))
+    cells = CellStore(spark, name)
+    assert cells.read().count() == 1200 and len(cells.loads()) == 6
+    assert cells.read("200", "210").count() == 22  # and 21
+    if table:
+        drop(spark, name)
+
+
+def test_first_loads_of_two_formats_by_one_path(spark, store, monkeypatch):
+    arrange, run_already = cell_sink.region_cells, []
+
+    def overlapped(*args):
+        if not run_already:
+            run_already.append(True)
+            store.write(numbers(spark, 10), format="orc")
+        return arrange(*args)
+
+    monkeypatch.setattr(cell_sink, "region_cells", overlapped)
+    store.bulk(numbers(spark, 30), 3)
+    assert store.rows("id", "b", "a") == sorted(as_text(10) + as_text(30), key=repr)
+
+
+def test_a_load_changes_no_setting_of_the_session(spark, store):
+    before = dict(spark.conf.getAll)
+    store.bulk(numbers(spark, 20), 3)
+    store.write(numbers(spark, 5))
+    assert dict(spark.conf.getAll) == before
+
+
+@pytest.mark.parametrize("keys", [None, ["k"]])
+def test_bucketed_stores_are_read_and_joined_without_a_shuffle(spark, tmp_path, keys):
+    stores = [Store(spark, str(tmp_path), name=f"tableflow_buckets_{side}") for side in "ab"]
+    rows = spark.range(200).selectExpr("cast(id as string) as k", "id % 3 as v")
+    for store in stores:
+        for load in (rows, rows.where("id < 20").selectExpr("k", "v + 10 as v")):
+            options = {"bulkload": True, "bulk-stg": f"{tmp_path}/staging", "buckets": 4}
+            store.write(load, **options, **({"key-columns": keys} if keys else {}))
+    sides = [
+        {"index": at, "id": side, "source": "hbase", "location": f"tableflow_buckets_{side}", "column.family": "d",
+         "custom": {"mapping": {f"{side}_v": "v"}}, "join": "a" if side == "a" else "join b on a.rowkey = b.rowkey"}
+        for at, side in enumerate("ab")
+    ]
+    joined = build(spark, PipelineSpec.from_dict({"source": {"mapping": sides, "select": ["a.rowkey", "a_v", "b_v"]}}))
+    assert "Exchange" not in plan_of(stores[0].wide(["v"]), "simple")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert "Exchange" not in plan_of(joined, "simple")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    if keys:
+        got = {row.rowkey: (row.a_v, row.b_v) for row in joined.collect()}
+        assert got == {str(n): (str(n % 3 + 10 * (n < 20)),) * 2 for n in range(200)}
+    else:
+        assert stores[0].wide(["v"]).count() == 220
+    files = glob.glob(f"{spark.conf.get('spark.sql.warehouse.dir').removeprefix('file:')}/tableflow_buckets_a/*/*/*.parquet")
+    assert 0 < len(files) <= 8
+    with pytest.raises(ValueError, match="bucketed"):
+        stores[0].write(rows)
+    with pytest.raises(ValueError, match="4 buckets"):
+        stores[0].write(rows, **{"bulkload": True, "bulk-stg": f"{tmp_path}/staging", "buckets": 5})
+    for side in "ab":
+        drop(spark, f"tableflow_buckets_{side}")
+
+
+def test_only_tables_are_bucketed(spark, store):
+    with pytest.raises(ValueError, match="catalog table"):
+        store.write(numbers(spark, 2), **{"bulkload": True, "bulk-stg": f"{store.folder}/staging", "buckets": 4})
 
 
 def test_a_key_range_has_two_ends(spark, store):
