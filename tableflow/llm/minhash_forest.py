@@ -10,6 +10,8 @@ its subtrees. Candidates are read off the order:
   the tree has a longer common prefix with theirs;
 * all members of a region: the largest subtree around a label that has no more than ``REGION`` members. Where
   labels are sparse it is shallow, down to ``SHALLOW`` values; where they are dense it is as deep as it takes.
+  Pairs of a region with more than ``LISTED`` members are compared by their sketches where the region's members meet,
+  and only those that may be similar become rows.
 
 So every class has a bounded number of candidates, at any size of a group. They are verified: first by odd sketches (no similar
 pair is lost), then by the full sets. Similar classes give components. The neighbours of the first few trees come
@@ -32,14 +34,16 @@ columns are ignored. Shingles and sets are told apart by 64-bit hashes.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tableflow.llm.jaccard import Sets, components, kept, sketch_distance
-from tableflow.llm.shared import NO_ID, broadcast_if_small, order_id, stored
+from tableflow.llm.shared import NO_ID, broadcast_if_small, order_id, stored, whole_groups
 from tableflow.llm.words import BETWEEN_SPACES, LOWER, as_long, gram_hashes, mixed, pieces, words_of
 
 SHINGLE = 3
@@ -47,8 +51,9 @@ TREES = 32
 #: values of a label, and those that candidates have in common
 DEEP = 11
 SHALLOW = 5
-#: members of a region whose members are all candidates of each other
+#: members of a region whose members are all candidates of each other, and of one whose pairs are listed at once
 REGION = 64
+LISTED = 8
 #: neighbours in the order on either side
 NEXT = 2
 #: trees whose neighbours are compared first
@@ -158,34 +163,52 @@ def common_prefixes(labels: np.ndarray) -> np.ndarray:
     return np.where(head, SHALLOW + np.cumprod(rest, axis=1).sum(1), 0)
 
 
-def candidates(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(place, later place, whether they are direct neighbours) of candidates among sorted labels."""
-    count = len(labels)
-    common = common_prefixes(labels)
-    region = np.full(count, -1, np.int64)
+def regions_of(common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(depth, first place) of the region of each of the sorted labels; -1 where full depth has too many.
+
+    ``common`` is what each label has in common with the next.
+    """
+    count = len(common) + 1
+    depth_of, first_of = np.full(count, -1, np.int64), np.full(count, -1, np.int64)
     for depth in range(SHALLOW, DEEP + 1):
         run = np.concatenate([[0], np.cumsum(common < depth)])
-        small = (region < 0) & (np.bincount(run)[run] <= REGION)
-        region[small] = depth * count + run[small]
-    ones, twos, direct = [], [], []
+        small = (depth_of < 0) & (np.bincount(run)[run] <= REGION)
+        depth_of[small] = depth
+        first_of[small] = np.searchsorted(run, run[small])
+    return depth_of, first_of
+
+
+def candidates(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(place, later place, direct neighbours?) of listed candidates among sorted labels, and members of the larger regions.
+
+    These are (place, name of the region).
+    """
+    count = len(labels)
+    common = common_prefixes(labels)
+    depth, first = regions_of(common)
+    size = np.bincount(first[first >= 0], minlength=count)[first]
+    listed = (first >= 0) & (size <= LISTED)
+    ones, twos, direct = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
     least = np.full(count, DEEP + 1)
-    for step in range(1, min(REGION, count)):
+    for step in range(1, min(max(LISTED, NEXT + 1), count)):
         least = np.minimum(least[: count - step], common[step - 1 :])  # over the way from i to i + step
-        near = least >= SHALLOW if step <= NEXT else np.zeros(count - step, bool)
-        one = np.flatnonzero(near | ((region[:-step] == region[step:]) & (region[:-step] >= 0)))
-        if not len(one) and step > NEXT and not (least >= SHALLOW).any():
-            break
+        together = (first[:-step] == first[step:]) & listed[:-step]
+        one = np.flatnonzero(together | ((least >= SHALLOW) & (step <= NEXT)))
         ones.append(one)
         twos.append(one + step)
         direct.append(np.full(len(one), step == 1))
-    if not ones:
-        none = np.zeros(0, np.int64)
-        return none, none, none.astype(bool)
-    return np.concatenate(ones), np.concatenate(twos), np.concatenate(direct)
+    members = np.flatnonzero((first >= 0) & (size > LISTED))
+    width = _TREE + _PREFIX + 2 * (depth[members] - SHALLOW)
+    names = {
+        int(at): int.from_bytes(blake2b(labels[at, :end].tobytes(), digest_size=8).digest(), "little", signed=True)
+        for at, end in zip(first[members], width, strict=True)
+    }
+    regions = np.array([names[int(at)] for at in first[members]], np.int64)
+    return np.concatenate(ones), np.concatenate(twos), np.concatenate(direct), members, regions
 
 
 def _candidate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, first) of candidate classes, a < b, from rows sorted by label."""
+    """From rows sorted by label: (a, b, first) of candidate classes, a < b; and (region, a) of larger regions."""
     labels, names = np.zeros((0, WIDTH), np.uint8), np.zeros(0, np.int64)
     for batch in batches:
         if not len(batch):
@@ -197,13 +220,57 @@ def _candidate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         new = np.ones(len(names), bool)  # a class may come once from each batch of texts
         new[1:] = (names[1:] != names[:-1]) | (labels[1:] != labels[:-1]).any(1)
         labels, names = labels[new], names[new]
-        one, two, direct = candidates(labels)
+        one, two, direct, members, regions = candidates(labels)
         first = direct & (labels[one, 0] < FIRST)
         a, b = np.minimum(names[one], names[two]), np.maximum(names[one], names[two])
-        yield pa.RecordBatch.from_arrays([as_long(a), as_long(b), pa.array(first)], ["a", "b", "first"])
+        pair = np.repeat([True, False], [len(a), len(members)])
+        yield pa.RecordBatch.from_arrays(
+            [
+                as_long(np.concatenate([a, names[members]])),
+                pa.array(np.concatenate([b, members]), pa.int64(), mask=~pair),
+                pa.array(np.concatenate([first, members < 0])),
+                pa.array(np.concatenate([a, regions]), pa.int64(), mask=pair),
+            ],
+            ["a", "b", "first", "region"],
+        )
         labels, names = labels[-REGION:], names[-REGION:]  # what the next batch may belong to
 
 
+def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
+    return sketch if len(sketch) == words else sketch[:words] ^ sketch[words:]
+
+
+def _region_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b) of a region that sizes and sketches leave possible, of classes with different roots."""
+    for table in whole_groups(batches, "region", 5000):
+        regions, names, roots, sizes = (
+            table.column(name).to_numpy() for name in ("region", "class", "root", "n_shingles")
+        )
+        column = table.column("sketch").combine_chunks()
+        bits, edges = column.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy())])
+        found = [np.zeros((2, 0), np.int64)]
+        cuts = np.flatnonzero(np.concatenate([[True], regions[1:] != regions[:-1], [True]]))
+        for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            widths = np.diff(edges[low : high + 1])
+            # a pair is compared at the width of the smaller sketch
+            for width in np.unique(widths).tolist():
+                rows = low + np.flatnonzero((widths == width) | (widths == 2 * width))
+                sketches = np.stack([_folded(bits[edges[row] : edges[row + 1]], width) for row in rows.tolist()])
+                narrow = widths[rows - low] == width
+                for at in range(len(rows) - 1):
+                    one, others = rows[at], rows[at + 1 :]
+                    total = sizes[one] + sizes[others]
+                    apart = np.bitwise_count(sketches[at + 1 :] ^ sketches[at]).sum(1, dtype=np.int64)
+                    near = apart <= total - 2 * -(-17 * total // 37)
+                    near &= (20 * sizes[one] >= 17 * sizes[others]) & (20 * sizes[others] >= 17 * sizes[one])
+                    near &= (roots[others] != roots[one]) & (narrow[at] | narrow[at + 1 :])
+                    if near.any():
+                        two = names[others[near]]
+                        found.append(np.stack([np.minimum(names[one], two), np.maximum(names[one], two)]))
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+        yield pa.RecordBatch.from_arrays([as_long(pairs[0]), as_long(pairs[1])], ["a", "b"])
+
+
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for _, _, data, offsets in pieces(batch.column("text")):
@@ -245,13 +312,15 @@ def _roots(classes: DataFrame, links: DataFrame) -> DataFrame:
     return kept(named.select("name", F.coalesce("root", "name").alias("root")))
 
 
-def forest_candidates(features: DataFrame) -> DataFrame:
-    """a, b, first: candidate classes of the sorted orders, each pair once."""
+def forest_candidates(features: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(a, b, first: candidate classes of the sorted orders; region, class: members of the larger regions)."""
     labels = features.select("class", F.explode("labels").alias("label"))
     labels = labels.withColumn("tie", F.xxhash64("class", "label"))
     ordered = labels.repartitionByRange("label", "tie").sortWithinPartitions("label", "tie").select("class", "label")
-    pairs = ordered.mapInArrow(_candidate_rows, "a long, b long, first boolean")
-    return kept(pairs.groupBy("a", "b").agg(F.bool_or("first").alias("first")))
+    found = ordered.mapInArrow(_candidate_rows, "a long, b long, first boolean, region long")
+    found = kept(found.groupBy("a", "b", "region").agg(F.bool_or("first").alias("first")))
+    members = found.where("region is not null").select("region", F.col("a").alias("class"))
+    return found.where("region is null").select("a", "b", "first"), members
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -278,7 +347,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             F.first("sketch").alias("sketch"),
         )
     )
-    pairs = forest_candidates(features)
+    pairs, members = forest_candidates(features)
     of_id = rows.where("class is not null and doc_id is not null").select("id", "class").distinct()
     several = of_id.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("last")).where("a <> last")
     same_id = of_id.join(several, "id").select("a", F.col("class").alias("b")).where("a <> b")
@@ -288,7 +357,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     for side in ("a", "b"):
         own = named.select(F.col("name").alias(side), F.col("root").alias(f"{side}_root"))
         apart = apart.join(own, side)
-    apart = kept(apart.where("a_root <> b_root").select("a", "b"))
+    apart = apart.where("a_root <> b_root").select("a", "b")
+    sized = classes.select("class", "n_shingles", "sketch")
+    members = members.join(sized, "class").join(named.withColumnRenamed("name", "class"), "class")
+    members = members.select("region", "class", "root", "n_shingles", "sketch")
+    near = members.repartition("region").sortWithinPartitions("region").mapInArrow(_region_rows, "a long, b long")
+    apart = kept(apart.union(near).distinct())
     if apart.count():
         more = _linked(apart, classes, texts)
         if more.count():

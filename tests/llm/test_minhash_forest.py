@@ -5,6 +5,7 @@ import pyarrow as pa
 import pytest
 
 from tableflow.llm.minhash_forest import (
+    LISTED,
     REGION,
     SHALLOW,
     TREES,
@@ -135,13 +136,17 @@ def test_labels_agree_like_sets():
     assert not other.any()
 
 
-@pytest.mark.parametrize("size", [2, REGION, REGION + 1, 10 * REGION])
+@pytest.mark.parametrize("size", [2, LISTED, LISTED + 1, REGION, REGION + 1, 250])
 def test_candidates_of_a_run_are_bounded(size):
     labels = np.zeros((size, WIDTH), np.uint8)
-    labels[:, -1] = np.arange(size) % 256
-    one, two, _ = candidates(labels)
+    labels[:, -1] = np.arange(size)
+    one, two, direct, members, regions = candidates(labels)
     pairs = set(zip(one.tolist(), two.tolist()))
-    assert len(pairs) == len(one) <= size * REGION
-    assert {(k, k + 1) for k in range(size - 1)} <= pairs
-    if size <= REGION:
+    assert len(pairs) == len(one) <= size * LISTED
+    assert {(k, k + 1) for k in range(size - 1)} <= pairs and direct.sum() == size - 1
+    if size <= LISTED:
         assert len(pairs) == size * (size - 1) // 2
+    if LISTED < size <= REGION:
+        assert members.tolist() == list(range(size)) and len(set(regions.tolist())) == 1
+    else:
+        assert len(members) == 0
