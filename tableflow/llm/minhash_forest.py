@@ -123,9 +123,9 @@ class ShingleSets(Sets):
 
 
 def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Name, size and sketch of each text's set; its labels once per class of a batch."""
+    """Name, size and sketch of each text's set; its labels once per class of a task."""
+    met: set[int] = set()
     for batch in batches:
-        met: set[int] = set()
         for begin, end, data, offsets in pieces(batch.column("text")):
             sets = ShingleSets(data, offsets)
             words, edges = sets.sketches()
@@ -217,7 +217,7 @@ def _candidate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         own = np.frombuffer(column.buffers()[1], np.uint8)[column.offset * WIDTH :][: len(column) * WIDTH]
         labels = np.concatenate([labels, own.reshape(-1, WIDTH)])
         names = np.concatenate([names, batch.column("class").to_numpy()])
-        new = np.ones(len(names), bool)  # a class may come once from each batch of texts
+        new = np.ones(len(names), bool)  # a class may come once from each task
         new[1:] = (names[1:] != names[:-1]) | (labels[1:] != labels[:-1]).any(1)
         labels, names = labels[new], names[new]
         one, two, direct, members, regions = candidates(labels)

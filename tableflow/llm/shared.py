@@ -16,12 +16,19 @@ NO_ID = -(2**63)
 BROADCAST_ROWS = 1_000_000
 
 
+#: bytes that Spark hands to a Python worker at once; its default is 64 MB, which a task holds several times
+ARROW_BYTES = 4 << 20
+
+
 def ready(spark: SparkSession) -> SparkSession:
     """A session whose checkpoints go to ``spark.checkpoint.dir``; a folder of our own if unset.
 
     Spark takes the setting up by itself when the session starts. Only a local session without it,
-    as in tests, gets a temporary folder here.
+    as in tests, gets a temporary folder here. Arrow batches are set to ``ARROW_BYTES`` at most.
     """
+    batches = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(batches))) > ARROW_BYTES:
+        spark.conf.set(batches, str(ARROW_BYTES))
     if not spark.sparkContext.getCheckpointDir():
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if not folder:

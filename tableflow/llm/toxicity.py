@@ -10,13 +10,18 @@ The index has the postings of each term; those of common terms are kept as dense
 examples, with each term's greatest weight in the block. The postings of rarer terms are summed first; a
 text then skips the common terms of every block whose greatest possible cosine does not beat a bound of its
 k-th best, so the neighbours are exact. They vote with their cosines; the vote is mapped to a probability
-by isotonic regression on the examples, each voted on by the others. A text without any word of an
-example gets the rate of such examples. The nearest examples are returned as evidence of the texts that
-have a mark or are predicted toxic.
-
-Defined cases: a null or empty text has no word; every row is scored, repeated ones alike; a document
-labelled twice counts once, as toxic if any label says so; without examples every score is 0. Extra
-columns can be carried along.
+by isotonic regression on the examples, each voted on by the others (a Spark job over the stored examples; the driver
+gets one vote of each). A text without any word of an example gets the rate of such examples. The
+nearest examples are returned as evidence. An example that is scored finds itself among them, as a labelled document should.
+
+Bounds: the index holds at most ``EXAMPLES`` texts of ``EXAMPLE_BYTES`` in all, each once however many rows have it; a text that
+does not fit is left out. Tasks get it as arrays, once per worker.
+
+Defined cases: a null or empty text has no word, no evidence; every row is scored, repeated ones alike; a document
+labelled twice counts once, as toxic if any label says so; rows that share a labelled id but not the text are examples of
+that label each; equal texts of several labelled documents count once, with the label of the least id; of examples
+that are equally near, the earlier in the index counts. Without examples every score is 0. A very long
+text is scored whole, in one task, which holds some 50 bytes for each of its words. Extra columns can be carried along.
 """
 
 from __future__ import annotations
@@ -28,14 +33,16 @@ from functools import cached_property
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tableflow.llm.shared import stored
+from tableflow.llm.shared import ready, stored
 from tableflow.llm.words import LETTERS_AND_DIGITS, LOWER, as_long, pieces, words_of
 
-#: labelled documents of the sample
+#: labelled documents of the sample, and bytes of their texts
 EXAMPLES = 12_000
+EXAMPLE_BYTES = 64 << 20
 #: marks at most; the chi-squared value (p < 0.0001), examples and share of toxic ones they need
 MARKS = 512
 LEAST_CHI2 = 15.1
@@ -48,7 +55,7 @@ MARKED = 0.8
 #: share of the examples that have a common term
 COMMON = 0.07
 #: queries that are looked up together
-QUERIES = 64
+QUERIES = 24
 #: code points of the word beginnings that may be marks
 BEGINNINGS = (4,)
 EVIDENCE = 3
@@ -219,15 +226,23 @@ class BlockMaxIndex:
         self.place = np.full(self.width, -1, np.int32)
         self.place[self.common] = np.arange(len(self.common))
         often = self.place[vectors.term] >= 0
-        self.often = (vectors.row[often], self.place[vectors.term[often]], vectors.value[often])
+        kind = np.uint16 if self.count < 1 << 16 else np.int32
+        self.often = (vectors.row[often].astype(kind), self.place[vectors.term[often]].astype(kind), vectors.value[often])
         rare = np.flatnonzero(~often).astype(np.int32)
         rare = rare[np.argsort(vectors.term[rare], kind="stable")]
         self.first = np.concatenate([[0], np.cumsum(np.where(self.place < 0, having, 0))])
-        self.examples, self.weights = vectors.row[rare], vectors.value[rare]
+        self.examples, self.weights = vectors.row[rare].astype(kind), vectors.value[rare]
 
-    def __getstate__(self) -> dict:
+    def parts(self) -> dict:
+        """What the index is made of: numbers and arrays."""
         return {name: value for name, value in self.__dict__.items() if name not in ("dense", "most")}
 
+    @classmethod
+    def of(cls, parts: dict) -> BlockMaxIndex:
+        index = object.__new__(cls)
+        index.__dict__.update(parts)
+        return index
+
     @cached_property
     def dense(self) -> np.ndarray:
         """Weights of the common terms in each example; the last block is filled up. Not sent to tasks."""
@@ -235,11 +250,6 @@ class BlockMaxIndex:
         dense[self.often[0], self.often[1]] = self.often[2]
         return dense
 
-    def release(self) -> None:
-        """Gives the memory of the dense weights back, until they are needed again."""
-        self.__dict__.pop("dense", None)
-        self.__dict__.pop("most", None)
-
     @cached_property
     def most(self) -> np.ndarray:
         return self.dense.reshape(self.blocks, BLOCK, len(self.common)).max(1)
@@ -257,9 +267,8 @@ class BlockMaxIndex:
         if not self.count:
             return found, cosines
         edges = np.searchsorted(queries.row, np.arange(queries.count + 1))
-        step = QUERIES if without is None else QUERIES // 4  # the driver has less memory
-        for low in range(0, queries.count, step):
-            high = min(low + step, queries.count)
+        for low in range(0, queries.count, QUERIES):
+            high = min(low + QUERIES, queries.count)
             own = slice(edges[low], edges[high])
             excluded = None if without is None else without[low:high]
             rows = (queries.row[own] - low, queries.term[own], queries.value[own])
@@ -285,7 +294,7 @@ class BlockMaxIndex:
         sums = np.bincount(cell, weight, minlength=count * size)
         sums = sums.astype(np.float64, copy=False).reshape(count, size)  # whole numbers if there is none
         if without is not None:
-            sums[np.arange(count), without] = -np.inf
+            sums[without >= 0, without[without >= 0]] = -np.inf
         dense = np.zeros((count, len(self.common)))
         dense[row[often], self.place[term[often]]] = value[often]
         # a hair below, for rounding
@@ -345,9 +354,11 @@ class Model:
         vote = (cosines * np.where(found >= 0, self.labels[found], 0)).sum(1) / np.where(weight > 0, weight, 1)
         return np.round(vote, 9), found, cosines
 
-    def scores(self, counts: Entries) -> tuple[np.ndarray, dict[int, list[dict]]]:
-        """Score of each text, and the evidence of those that have a mark or are predicted toxic."""
-        score, evidence = np.full(counts.count, self.empty_rate), {}
+    def scores(self, counts: Entries) -> tuple[np.ndarray, pa.Array]:
+        """Score of each text, and its nearest examples."""
+        score = np.full(counts.count, self.empty_rate)
+        who, how = np.zeros(0, np.int64), np.zeros(0)
+        edges = np.zeros(counts.count + 1, np.int64)
         filled = np.unique(counts.row)
         if len(filled) and self.index.count:
             queries = unit_entries(counts, self.idf, len(self.words)).taken(filled)
@@ -356,16 +367,22 @@ class Model:
             least, rate = self.steps
             at = np.maximum(np.searchsorted(least, vote, "right") - 1, 0)
             score[filled[near]] = rate[at[near]]
-            marked = np.zeros(counts.count, bool)
-            marked[counts.row[counts.term >= len(self.words)]] = True
-            near &= marked[filled] | (score[filled] >= 0.5)
-            for row, who, how in zip(filled[near].tolist(), found[near], cosines[near], strict=True):
-                evidence[row] = [
-                    {"doc_id": int(self.ids[w]), "cosine": float(c), "toxic": int(self.labels[w])}
-                    for w, c in zip(who[:EVIDENCE], how[:EVIDENCE], strict=True)
-                    if w >= 0
-                ]
-        return score, evidence
+            listed = found[:, :EVIDENCE] >= 0
+            who, how = found[:, :EVIDENCE][listed], cosines[:, :EVIDENCE][listed]
+            edges[filled + 1] = listed.sum(1)
+        examples = pa.StructArray.from_arrays(
+            [pa.array(self.ids[who], pa.int64()), pa.array(how), pa.array(self.labels[who], pa.int32())],
+            ["doc_id", "cosine", "toxic"],
+        )
+        return score, pa.ListArray.from_arrays(pa.array(np.cumsum(edges), pa.int32()), examples)
+
+    def parts(self) -> dict:
+        """What the model is made of, without a class that executors would have to know."""
+        return self.__dict__ | {"index": self.index.parts()}
+
+    @classmethod
+    def of(cls, parts: dict) -> Model:
+        return cls(**parts | {"index": BlockMaxIndex.of(parts["index"])})
 
 
 def _example_rows(marks: np.ndarray):
@@ -387,20 +404,19 @@ def _example_rows(marks: np.ndarray):
                 (word, often, edges), (mark, times, mark_edges) = kinds
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(begin, end - begin),
-                        batch.column("toxic").slice(begin, end - begin),
+                        batch.column("number").slice(begin, end - begin),
                         packed(words[word], edges),
                         packed(often, edges),
                         packed((mark - len(words)).astype(np.int32), mark_edges),
                         packed(times, mark_edges),
                     ],
-                    ["doc_id", "toxic", "words", "often", "marks", "times"],
+                    ["number", "words", "often", "marks", "times"],
                 )
 
     return rows
 
 
-_EXAMPLE = "doc_id long, toxic int, words binary, often binary, marks binary, times binary"
+_EXAMPLE = "number int, words binary, often binary, marks binary, times binary"
 
 
 def _joined(rows: pa.Table, name: str, kind: type) -> tuple[np.ndarray, np.ndarray]:
@@ -412,22 +428,60 @@ def _joined(rows: pa.Table, name: str, kind: type) -> tuple[np.ndarray, np.ndarr
     return np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), values
 
 
-def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
-    """The model from ``docs`` and at most ``examples`` rows of ``labels`` (doc_id, toxic)."""
+def choose_examples(docs: DataFrame, labels: DataFrame, examples: int, most_bytes: int) -> tuple[DataFrame, pa.Table]:
+    """(number, doc_id, toxic, text) of the examples, stored; and their names, in order of their numbers."""
     marks = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id")
     marks = marks.agg((F.max("toxic") > 0).cast("int").alias("toxic"))
     marks = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(examples)
-    copies = docs.select("doc_id", F.xxhash64("text").alias("text_hash")).join(F.broadcast(marks), "doc_id")
-    firsts = copies.groupBy("text_hash").agg(F.min(F.struct("doc_id", "toxic")).alias("first"))
-    labelled = stored(firsts.select("first.*").distinct())
-    chosen = docs.select("doc_id", "text").join(F.broadcast(labelled), "doc_id")
+    text = F.coalesce("text", F.lit(""))
+    named = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    sized = named.select("doc_id", "text_hash", F.octet_length("text").alias("bytes"))
+    copies = sized.join(F.broadcast(marks.withColumn("doc_id", F.col("doc_id").cast("long"))), "doc_id")
+    firsts = copies.groupBy("text_hash").agg(F.min(F.struct("doc_id", "toxic", "bytes")).alias("first"))
+    firsts = firsts.select("text_hash", "first.*").orderBy(F.xxhash64("doc_id"), "doc_id", "text_hash").limit(examples)
+    names = firsts.select("doc_id", "text_hash", "toxic", "bytes").toArrow()
+    kept, held = [], 0
+    for size in names.column("bytes").to_pylist():
+        kept.append(held + size <= most_bytes)
+        held += size * kept[-1]
+    names = names.filter(pa.array(kept, pa.bool_())).drop_columns(["bytes"])
+    names = names.append_column("number", pa.array(np.arange(len(names)), pa.int32()))
+    spark = docs.sparkSession
+    listed = spark.createDataFrame(names) if len(names) else spark.createDataFrame(
+        [], "doc_id long, text_hash long, toxic int, number int"
+    )
+    rows = named.join(F.broadcast(listed), ["doc_id", "text_hash"])
+    chosen = rows.groupBy("number").agg(*[F.first(name).alias(name) for name in ("doc_id", "toxic", "text")])
+    return stored(chosen), names
+
+
+def _vote_rows(parts: Broadcast, places: np.ndarray):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The vote of the other examples on each example that has a word."""
+        model = Model.of(parts.value)
+        for batch in batches:
+            number = batch.column("number").to_numpy()
+            for begin, end, data, offsets in pieces(batch.column("text")):
+                counts = term_counts(data, offsets, model.words, model.marks)
+                filled = np.unique(counts.row)
+                queries = unit_entries(counts, model.idf, len(model.words)).taken(filled)
+                own = places[number[begin:end][filled]]
+                vote, _, _ = model.votes(queries, own)
+                yield pa.RecordBatch.from_arrays([pa.array(vote), pa.array(model.labels[own], pa.int64())], ["vote", "toxic"])
+
+    return rows
+
+
+def fit(
+    docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES, most_bytes: int = EXAMPLE_BYTES
+) -> Model:
+    """The model from ``docs`` and at most ``examples`` rows of ``labels`` (doc_id, toxic)."""
+    chosen, names = choose_examples(docs, labels, examples, most_bytes)
     marks = choose_marks(chosen)
-    rows = chosen.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "toxic").mapInArrow(
-        _example_rows(marks), _EXAMPLE
-    ).toArrow()
-    rows = rows.take(pc.sort_indices(rows, [(name, "ascending") for name in rows.column_names])).combine_chunks()
-    toxic = rows.column("toxic").to_numpy().astype(np.int64)
-    ids = rows.column("doc_id").to_numpy().astype(np.int64)
+    rows = chosen.select("number", "text").mapInArrow(_example_rows(marks), _EXAMPLE).toArrow()
+    rows = rows.take(pc.sort_indices(rows, [("number", "ascending")])).combine_chunks()
+    toxic = names.column("toxic").to_numpy().astype(np.int64)
+    ids = names.column("doc_id").to_numpy().astype(np.int64)
     (of_word, hashes), (_, often) = _joined(rows, "words", np.uint64), _joined(rows, "often", np.int32)
     (of_mark, mark), (_, times) = _joined(rows, "marks", np.int32), _joined(rows, "times", np.int32)
     del rows
@@ -442,23 +496,30 @@ def fit(docs: DataFrame, labels: DataFrame, examples: int = EXAMPLES) -> Model:
     bare = np.delete(toxic, filled)
     empty_rate = float(bare.mean()) if len(bare) else (float(toxic.mean()) if len(toxic) else 0.0)
     vectors = unit_entries(counts, idf, len(words))
+    del counts
     # neighbours in the order of their heaviest common term, so that blocks share terms
     heavy = np.bincount(vectors.term, minlength=width)[vectors.term] * vectors.value
     edges = np.searchsorted(vectors.row, np.append(filled, len(ids)))
     heaviest = [int(vectors.term[a:b][heavy[a:b].argmax()]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
-    del counts, heavy
+    del heavy
     order = filled[np.argsort(np.array(heaviest, np.int64), kind="stable")]
     vectors = vectors.taken(order)
     model = Model(words, marks, idf, ids[order], toxic[order], BlockMaxIndex(vectors), empty_rate)
-    if vectors.count:
-        vote, _, _ = model.votes(vectors, np.arange(vectors.count))
-        model.steps = isotonic(vote, model.labels)
-        model.index.release()
+    del vectors
+    if model.index.count:
+        places = np.full(len(ids), -1, np.int64)
+        places[order] = np.arange(len(order))
+        parts = ready(docs.sparkSession).sparkContext.broadcast(model.parts())
+        votes = chosen.select("number", "text").mapInArrow(_vote_rows(parts, places), "vote double, toxic long").toArrow()
+        parts.destroy()
+        votes = votes.take(pc.sort_indices(votes, [("vote", "ascending"), ("toxic", "ascending")]))
+        model.steps = isotonic(votes.column("vote").to_numpy(), votes.column("toxic").to_numpy())
     return model
 
 
-def _score_rows(model: Model, text_in_row: bool):
+def _score_rows(parts: Broadcast, text_in_row: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = Model.of(parts.value)
         for batch in batches:
             text = pc.struct_field(batch.column("row"), "text") if text_in_row else batch.column("text")
             for begin, end, data, offsets in pieces(text):
@@ -468,7 +529,7 @@ def _score_rows(model: Model, text_in_row: bool):
                         batch.column("row").slice(begin, end - begin),
                         pa.array(score, pa.float64()),
                         pa.array((score >= 0.5).astype(np.int32)),
-                        pa.array([evidence.get(row, []) for row in range(end - begin)], _EVIDENCE),
+                        evidence.cast(_EVIDENCE),
                     ],
                     ["row", "score", "predicted", "evidence"],
                 )
@@ -486,7 +547,8 @@ def score_toxicity(docs: DataFrame, model: Model, carry: list[str] | None = None
     row = packed.schema["row"].dataType.simpleString()
     evidence = "array<struct<doc_id: bigint, cosine: double, toxic: int>>"
     text_in_row = "text" in carry  # then the texts are sent once
-    scored = _score_rows(model, text_in_row)
+    parts = ready(docs.sparkSession).sparkContext.broadcast(model.parts())  # lives as long as the result
+    scored = _score_rows(parts, text_in_row)
     if text_in_row:
         packed = packed.select("row")
     return packed.mapInArrow(scored, f"row {row}, score double, predicted int, evidence {evidence}")
