@@ -465,6 +465,115 @@ def join_lateral(spark, sf_dir):
     )
 
 
+def join_source(kind: str, left: str, right: str, **custom) -> dict:
+    """A join of two earlier sources that join text has no fast form for."""
+    custom = {name.replace("_", "-"): value for name, value in custom.items()}
+    return {"id": "joined", "source": "join", "join": "joined", "custom": {"kind": kind, "left": left, "right": right} | custom}
+
+
+def subquery(name: str, text: str) -> dict:
+    return {"id": name, "source": "ext_hive", "location": f"({text})"}
+
+
+@query("""
+    with lines as (select case when l_orderkey % 3 = 0 then 1 else l_suppkey end as k, l_orderkey, l_partkey, l_quantity
+        from lineitem)
+    select coalesce(lines.k, s.s_suppkey) as k, l_orderkey, l_partkey, l_quantity, s_name
+    from lines full outer join (select * from supplier where s_suppkey % 7 < 3) s on lines.k = s.s_suppkey
+""")
+def join_full_hot_key(spark, sf_dir):
+    """A full outer join in which one supplier has a third of all lines."""
+    key = "if(l_orderkey % 3 = 0, 1, l_suppkey) as k"
+    return build(
+        spark,
+        job(
+            files(sf_dir, "lineitem", "l_orderkey l_partkey l_suppkey l_quantity"),
+            files(sf_dir, "supplier", "s_suppkey s_name"),
+            subquery("lines", f"select {key}, l_orderkey, l_partkey, l_quantity from lineitem"),
+            subquery("some", "select s_suppkey as k, s_name from supplier where s_suppkey % 7 < 3"),
+            join_source("full", "lines", "some", on=["k"], hot_rows=1000),
+        ),
+    )
+
+
+@query("""
+    select p.event_id as purchase, s.event_id as signup, p.user_id
+    from events p join events s on p.user_id = s.user_id
+        and p.ts <= s.ts + to_hours(cast(floor(s.value) as int)) and s.ts <= p.ts + to_hours(cast(floor(p.value) as int))
+    where p.event_type = 'purchase' and s.event_type = 'signup'
+""")
+def join_intervals(spark, sf_dir):
+    """Overlapping spans of a user's events, of very different lengths: no equality but the user."""
+    span = "ts + make_interval(0, 0, 0, 0, cast(floor(value) as int))"
+    events = "select user_id, event_id as {0}, ts as {0}_from, " + span + " as {0}_to from events where event_type = '{0}'"
+    return build(
+        spark,
+        job(
+            files(sf_dir, "events", "event_id ts user_id event_type value"),
+            subquery("p", events.format("purchase")),
+            subquery("s", events.format("signup")),
+            join_source(
+                "range", "p", "s", by=["user_id"],
+                left_span=["purchase_from", "purchase_to"], right_span=["signup_from", "signup_to"],
+            ),
+            select=["purchase", "signup", "user_id"],
+        ),
+    )
+
+
+@query("""
+    select event_id, n_name from events join nation
+        on ts >= timestamp '2024-01-01' + to_days(n_nationkey)
+        and ts <= timestamp '2024-01-02 12:00:00' + to_days(n_nationkey)
+""")
+def join_points_in_intervals(spark, sf_dir):
+    """Events in the span of a day and a half that each nation has: a range join without any equality."""
+    days = "make_interval(0, 0, 0, n_nationkey)"
+    start, end = (f"timestamp_ntz'{at}' + {days}" for at in ("2024-01-01 00:00:00", "2024-01-02 12:00:00"))
+    return build(
+        spark,
+        job(
+            files(sf_dir, "events", "event_id ts"),
+            files(sf_dir, "nation", "n_nationkey n_name"),
+            subquery("spans", f"select n_name, {start} as first, {end} as last from nation"),
+            join_source("range", "events", "spans", left_span=["ts", "ts"], right_span=["first", "last"]),
+            select=["event_id", "n_name"],
+        ),
+    )
+
+
+ASOF = """
+    with keyed as (select *, case when user_id % 3 = 0 then 0 else user_id end as k from events)
+    select p.k as k, p.event_id as purchase, p.ts as bought, c.event_id as click, c.ts as clicked
+    from (select * from keyed where event_type = 'purchase') p
+        asof {} join (select * from keyed where event_type = 'click') c on p.k = c.k and p.ts >= c.ts
+"""
+
+
+def latest_clicks(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
+    """Each purchase with the last click of its key before it; one key has a third of all events."""
+    events = "select if(user_id % 3 = 0, 0, user_id) as k, event_id as {}, ts as {} from events where event_type = '{}'"
+    return build(
+        spark,
+        job(
+            files(sf_dir, "events", "event_id ts user_id event_type"),
+            subquery("p", events.format("purchase", "bought", "purchase")),
+            subquery("c", events.format("click", "clicked", "click")),
+            join_source("asof", "p", "c", by=["k"], left_time="bought", right_time="clicked", how=how, hot_rows=200),
+        ),
+    )
+
+
+@query(ASOF.format("left"))
+def join_asof_left(spark, sf_dir):
+    return latest_clicks(spark, sf_dir, "left")
+
+
+@query(ASOF.format(""))
+def join_asof_inner(spark, sf_dir):
+    return latest_clicks(spark, sf_dir, "inner")
+
+
 @query("""
     select word, count(*) as parts from (select unnest(string_split(p_name, ' ')) as word from part)
     group by word

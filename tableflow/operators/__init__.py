@@ -1,4 +1,4 @@
-"""Table operators: reshaping between wide rows and cells, split keys, region layout."""
+"""Table operators: reshaping between wide rows and cells, split keys, region layout, joins."""
 
 from tableflow.operators.cells import (
     CELL_COLUMNS,
@@ -7,13 +7,17 @@ from tableflow.operators.cells import (
     row_to_cells,
     string_schema,
 )
+from tableflow.operators.joins import asof_join, full_outer_join, interval_join
 from tableflow.operators.regions import arrange_by_region, place_in_regions, region_of
 from tableflow.operators.splits import split_keys, split_positions
 
 __all__ = [
     "CELL_COLUMNS",
     "arrange_by_region",
+    "asof_join",
     "cells_to_wide",
+    "full_outer_join",
+    "interval_join",
     "place_in_regions",
     "region_of",
     "row_key",

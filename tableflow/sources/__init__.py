@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tableflow.plugins import is_built_in, resolve
 from tableflow.sources.cells import read_cells
 from tableflow.sources.files import read_files
+from tableflow.sources.joins import read_join
 from tableflow.sources.tables import read_managed_table, read_relation
 from tableflow.spec import SourceSpec
 
@@ -20,6 +21,7 @@ READERS: dict[str, Callable[[SparkSession, SourceSpec], DataFrame]] = {
     "mng_hive": read_managed_table,
     "hive-mng": read_managed_table,
     "hbase": read_cells,
+    "join": read_join,
 }
 
 
@@ -34,4 +36,4 @@ def read_source(spark: SparkSession, source: SourceSpec) -> DataFrame:
     return READERS[kind](spark, source)
 
 
-__all__ = ["READERS", "read_cells", "read_files", "read_managed_table", "read_relation", "read_source"]
+__all__ = ["READERS", "read_cells", "read_files", "read_join", "read_managed_table", "read_relation", "read_source"]
