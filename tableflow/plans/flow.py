@@ -13,6 +13,7 @@ from tableflow.plugins import is_built_in
 from tableflow.session import apply_settings, scoped_settings
 from tableflow.sinks import write_target
 from tableflow.sources import read_source
+from tableflow.sources.marks import mark_read, with_loads_named
 from tableflow.spec import PipelineSpec
 
 log = logging.getLogger(__name__)
@@ -48,7 +49,9 @@ def run(spark: SparkSession, spec: PipelineSpec) -> None:
     if spec.target is None:
         raise ValueError("the spec has no target")
     with scoped_settings(spark, spec.settings):
+        spec, read = with_loads_named(spark, spec)
         write_target(build(spark, spec), spark, spec.target)
+        mark_read(spark, read)
     log.info("wrote target %s", spec.target.place)
 
 

@@ -57,6 +57,64 @@ def writing_session(spark: SparkSession) -> SparkSession:
     return private_session(spark, mode | {"spark.sql.maxConcurrentOutputFileWriters": str(OPEN_FILES)})
 
 
+class PartitionedTable:
+    """A table by name or by path (a name with a slash), to which writers bring partitions of their own."""
+
+    def __init__(self, spark: SparkSession, name: str, parts: tuple[str, ...]):
+        self.spark, self.parts = spark, parts
+        self.by_path = "/" in name
+        self.name = name.rstrip("/") if self.by_path else name.replace(":", ".")
+
+    def exists(self) -> bool:
+        """Whether the catalog has the table; of a path only its files tell."""
+        return not self.by_path and self.spark.catalog.tableExists(self.name)
+
+    def described(self, what: str) -> str | None:
+        if not self.exists():
+            return None
+        row = self.spark.sql(f"describe table extended {self.name}").where(F.col("col_name") == what).first()
+        return row.data_type if row else None
+
+    def frame(self, kind: str = "parquet", schema: str | None = None) -> DataFrame | None:
+        """The rows; None if there is no such table."""
+        if not self.by_path:
+            if not self.exists():
+                return None
+            if schema:  # a view has nothing to refresh
+                self.spark.catalog.refreshTable(self.name)
+            return self.spark.table(self.name)
+        try:
+            reader = self.spark.read.format(kind)
+            return (reader.schema(schema) if schema else reader).load(self.name)
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
+    def create(self, schema: str, kind: str = "parquet", folder: str = "", buckets: int = 0) -> None:
+        """Create the table if there is none; a folder comes with its first files."""
+        if self.by_path:
+            return
+        bucketed = f" clustered by (rowkey) sorted by (rowkey) into {buckets} buckets" if buckets else ""
+        at = f" location '{folder}'" if folder else ""
+        parts = f" partitioned by ({', '.join(self.parts)})"
+        self.spark.sql(f"create table if not exists {self.name} ({schema}) using {kind}{parts}{bucketed}{at}")
+
+    def insert(self, rows: DataFrame, kind: str = "parquet") -> None:
+        """Write rows over the partitions they belong to, and no others.
+
+        The rows belong to a ``writing_session`` or are handed over to one.
+        """
+        session = rows.sparkSession
+        if session.conf.get("spark.sql.sources.partitionOverwriteMode").lower() != "dynamic":
+            session = writing_session(session)
+        with moved_to(session, rows) as own:
+            if self.by_path:
+                own.write.format(kind).mode("overwrite").partitionBy(*self.parts).save(self.name)
+            else:
+                own.write.mode("overwrite").insertInto(self.name)
+
+
 @dataclass(frozen=True)
 class Load:
     """A finished load. ``splits`` are the keys it was laid out by; None if it was put."""
@@ -81,14 +139,15 @@ class CellStore:
 
     def __init__(self, spark: SparkSession, name: str, kind: str = "", folder: str = "", buckets: int = 0):
         self.spark, self.asked, self.folder, self.asked_buckets = spark, kind.lower(), folder, buckets
-        self.by_path = "/" in name
-        self.name = name.rstrip("/") if self.by_path else name.replace(":", ".")
-        if self.by_path and buckets:
+        self.cells = PartitionedTable(spark, name, _PARTS)
+        self.name = self.cells.name
+        self.finished = PartitionedTable(spark, f"{self.name}_loads", ("load",))
+        if self.cells.by_path and buckets:
             raise ValueError(f"only a catalog table can be bucketed, not {self.name}")
 
     def loads(self) -> list[Load]:
         """Finished loads, oldest first."""
-        rows = self._frame(f"{self.name}_loads", "parquet", _LOADS)
+        rows = self.finished.frame(schema=_LOADS)
         if rows is None:
             return []
         found = [
@@ -100,26 +159,18 @@ class CellStore:
     def exists(self) -> bool:
         return bool(self.loads())
 
-    def _described(self, what: str) -> str | None:
-        if self.by_path or not self.spark.catalog.tableExists(self.name):
-            return None
-        row = self.spark.sql(f"describe table extended {self.name}").where(F.col("col_name") == what).first()
-        return row.data_type if row else None
-
     @property
     def kind(self) -> str:
         """The format of the store: the table's, else its first load's, else the one asked for."""
-        first = None if self.by_path else self._described("Provider")
-        if self.by_path:
+        first = self.cells.described("Provider")
+        if self.cells.by_path:
             first = next((load.format for load in self.loads()), None)
         return (first or self.asked or "parquet").lower()
 
     @property
     def buckets(self) -> int:
         """Buckets of the table; 0 if it has none."""
-        if self.by_path or not self.spark.catalog.tableExists(self.name):
-            return self.asked_buckets
-        return int(self._described("Num Buckets") or 0)
+        return int(self.cells.described("Num Buckets") or 0) if self.cells.exists() else self.asked_buckets
 
     def check_format(self) -> None:
         """A store has one format, whoever writes, and one that loses nothing."""
@@ -152,7 +203,7 @@ class CellStore:
         """
         known = self.loads()
         if not known:
-            cells = self._frame(self.name, self.asked or "parquet", None)
+            cells = self.cells.frame(self.asked or "parquet")
             if cells is None:
                 raise ValueError(f"there are no cells at {self.name}")
         else:
@@ -170,35 +221,16 @@ class CellStore:
             by_format[load.format].append(load)
         parts = []
         for kind, own in by_format.items():
-            frame = self._frame(self.name, kind, _SCHEMA)
+            frame = self.cells.frame(kind, _SCHEMA)
             if frame is not None:
                 parts.append(frame.where(_partitions(own, first, end)))
         return reduce(DataFrame.unionByName, parts) if parts else self.spark.createDataFrame([], _SCHEMA)
 
-    def _frame(self, name: str, kind: str, schema: str | None) -> DataFrame | None:
-        """A table's rows; None if there is no such table."""
-        if not self.by_path:
-            if not self.spark.catalog.tableExists(name):
-                return None
-            if schema:  # a view has nothing to refresh
-                self.spark.catalog.refreshTable(name)
-            return self.spark.table(name)
-        try:
-            reader = self.spark.read.format(kind)
-            return (reader.schema(schema) if schema else reader).load(name)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-
     def add(self, cells: DataFrame, load: str) -> None:
-        """Write the cells of a load by ``region``; nobody reads them before its ``finish``.
-
-        The cells belong to a ``writing_session`` or are handed over to one.
-        """
-        self._create(self.name, _SCHEMA, self.kind, _PARTS, self.folder, self.asked_buckets)
-        own = cells.withColumn("load", F.lit(load)).select(*CELL_COLUMNS, *_PARTS)
-        self._insert(own, self.name, self.kind, _PARTS)
+        """Write the cells of a load by ``region``; nobody reads them before its ``finish``."""
+        kind = self.kind
+        self.cells.create(_SCHEMA, kind, self.folder, self.asked_buckets)
+        self.cells.insert(cells.withColumn("load", F.lit(load)).select(*CELL_COLUMNS, *_PARTS), kind)
 
     def finish(self, load: str, splits: list[str] | None, version: int) -> None:
         """Make a load visible, by one row."""
@@ -209,9 +241,8 @@ class CellStore:
             F.lit(version).cast("bigint").alias("version"),
             F.lit(load).alias("load"),
         )
-        name = f"{self.name}_loads"
-        self._create(name, _LOADS, "parquet", ["load"], f"{self.folder.rstrip('/')}_loads" if self.folder else "", 0)
-        self._insert(row, name, "parquet", ["load"])
+        self.finished.create(_LOADS, folder=f"{self.folder.rstrip('/')}_loads" if self.folder else "")
+        self.finished.insert(row)
 
     def put(self, cells: DataFrame, load: str, version: int) -> None:
         """Add cells where the tasks that made them left them: no shuffle, no sort."""
@@ -220,26 +251,6 @@ class CellStore:
         self.add(cells.withColumn("region", F.lit(UNPLACED)), load)
         self.finish(load, splits, version)
 
-    def _create(self, name: str, schema: str, kind: str, parts, folder: str, buckets: int) -> None:
-        if self.by_path:
-            return  # a folder comes with its first files
-        bucketed = f" clustered by (rowkey) sorted by (rowkey) into {buckets} buckets" if buckets else ""
-        at = f" location '{folder}'" if folder else ""
-        self.spark.sql(
-            f"create table if not exists {name} ({schema}) using {kind} partitioned by ({', '.join(parts)}){bucketed}{at}"
-        )
-
-    def _insert(self, rows: DataFrame, name: str, kind: str, parts) -> None:
-        """Write rows into partitions no other load has."""
-        session = rows.sparkSession
-        if session.conf.get("spark.sql.sources.partitionOverwriteMode").lower() != "dynamic":
-            session = writing_session(session)
-        with moved_to(session, rows) as own:
-            if self.by_path:
-                own.write.format(kind).mode("overwrite").partitionBy(*parts).save(name)
-            else:
-                own.write.mode("overwrite").insertInto(name)
-
 
 def _partitions(loads: Collection[Load], first: str | None, end: str | None) -> Column:
     """Whether a partition may hold cells of the loads in a range of row keys."""

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from plans import plan_of
 from tableflow import PipelineSpec, build, run
 from tableflow.sinks import cells as cell_sink
-from tableflow.sinks.store import CellStore
+from tableflow.sinks.store import CellStore, PartitionedTable
 from tableflow.spec import TargetSpec
 
 
@@ -254,7 +254,7 @@ def failing(*args, **kwargs):
 
 STEPS = {
     "arrange": (cell_sink, "region_cells"),
-    "insert": (CellStore, "_insert"),
+    "insert": (PartitionedTable, "insert"),
     "add": (CellStore, "add"),
     "finish": (CellStore, "finish"),
 }
@@ -504,3 +504,62 @@ def test_a_cell_source_needs_a_mapping(spark, store):
     store.write(numbers(spark, 2))
     with pytest.raises(ValueError, match="needs custom.mapping"):
         store.wide([])
+
+
+def test_a_version_range_reads_its_loads_alone(spark, store):
+    keyed = {"key-columns": ["id"]}
+    store.bulk(numbers(spark, 30), 3, version=10, **keyed)
+    store.write(spark.range(20, 40).selectExpr("id", "'p' as b"), version=20, **keyed)
+    store.bulk(spark.range(35, 45).selectExpr("id", "'n' as b"), 3, version=30, **keyed)
+
+    def keys(**versions):
+        wide = store.wide(["b"], custom={"mapping": {"b": "b"}, "versions": versions})
+        plan = plan_of(wide)
+        assert any("PartitionFilters" in line and "load" in line for line in plan.splitlines())
+        return {int(row.rowkey): row.b for row in wide.collect()}
+
+    assert keys(after=10) == {n: "n" if n >= 35 else "p" for n in range(20, 45)}
+    assert keys(after=10, to=20) == {n: "p" for n in range(20, 40)}
+    assert set(keys(to=10)) == set(range(30))
+    assert store.wide(["b"], custom={"mapping": {"b": "b"}, "versions": {"after": 99}}).collect() == []
+    with pytest.raises(ValueError, match="not .'since'."):
+        keys(since=3)
+
+
+@pytest.mark.parametrize("marks", ["path", "table"])
+def test_each_run_reads_what_came_after_the_last(spark, store, tmp_path, monkeypatch, marks):
+    marks = f"{tmp_path}/marks" if marks == "path" else "tableflow_marks_test"
+    spark.sql("drop table if exists tableflow_marks_test")
+    keyed = {"key-columns": ["id"]}
+
+    def source(job="copy"):
+        custom = {"mapping": {"b": "b"}, "increment": {"job": job, "marks": marks}}
+        return {"id": "w", "source": "hbase", "location": store.name, "column.family": "d", "custom": custom, "join": "w"}
+
+    def step(number, job="copy"):
+        options = {"location": f"{tmp_path}/out{number}", "format": "parquet", "compression": "snappy", "mode": "overwrite"}
+        target = {"place": "hdfs", "options": options}
+        run(spark, PipelineSpec.from_dict({"source": {"mapping": [source(job)]}, "target": target}))
+        return sorted(int(row.rowkey) for row in spark.read.parquet(f"{tmp_path}/out{number}").collect())
+
+    store.bulk(numbers(spark, 10), 2, **keyed)
+    assert step(0) == list(range(10)) and step(1) == []
+    # a load that has begun earlier, but ends later
+    finish, late = CellStore.finish, []
+    monkeypatch.setattr(CellStore, "finish", lambda self, *args: late.append((self, args)))
+    store.write(spark.range(10, 13).selectExpr("id", "'p' as b"), **keyed)
+    monkeypatch.setattr(CellStore, "finish", finish)
+    store.write(spark.range(20, 23).selectExpr("id", "'p' as b"), **keyed)
+    assert step(2) == [20, 21, 22]
+    finish(late[0][0], *late[0][1])
+    # a run that fails leaves no mark, and building alone leaves none either
+    monkeypatch.setattr("tableflow.plans.flow.write_target", failing)
+    with pytest.raises(OSError):
+        step(3)
+    monkeypatch.undo()
+    assert build(spark, PipelineSpec.from_dict({"source": {"mapping": [source()]}})).count() == 3
+    assert step(4) == [10, 11, 12] and step(5) == []
+    assert step(6, "other job") == [*range(13), 20, 21, 22]
+    with pytest.raises(ValueError, match="needs job"):
+        step(7, "")
+    spark.sql("drop table if exists tableflow_marks_test")
