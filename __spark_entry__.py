@@ -137,6 +137,13 @@ def bulk(folder: str, regions: int = 8, **options) -> dict:
     return customer_target(folder, **more, **options)
 
 
+def bucketed(folder: str, table: str, key: str) -> dict:
+    """A bulk load into a new table bucketed by row key."""
+    options = {"tablename": table, "cf": "data", "key-columns": [key], "bulkload": True, "buckets": 8}
+    options |= {"bulk-stg": f"{folder}/staging", "location": f"{folder}/{table}"}
+    return {"place": "hbase", "options": options}
+
+
 def cell_source(location: str, columns: Sequence[str], cf: str = "data", **custom) -> dict:
     mapping = {name: name for name in columns}
     return {
@@ -1070,6 +1077,52 @@ def cells_orc_twice(spark, sf_dir):
 # All source kinds in one job
 
 
+@query("""
+    select cast(o_orderkey as varchar) as rowkey, cast(o_totalprice as varchar) as o_totalprice, o_orderstatus
+    from orders where o_orderstatus <> 'F'
+""")
+def cells_incremental(spark, sf_dir):
+    """The second of two runs of a job reads only the loads that came after the first."""
+    folder = scratch_folder(spark, "increment")
+    keyed = {"key-columns": ["o_orderkey"]}
+    increment = {"job": "copy", "marks": f"{folder}/marks"}
+    source = cell_source(f"{folder}/cells", ["o_totalprice", "o_orderstatus"], increment=increment)
+    wheres = ["o_orderstatus = 'F'", "o_orderstatus = 'O'", "o_orderstatus = 'P'"]
+
+    def load(where: str, target: dict) -> None:
+        run(spark, job(files(sf_dir, "orders", ORDERS, "orders", where=where), target=target))
+
+    def copy(number: int) -> str:
+        out = f"{folder}/copy{number}"
+        options = {"location": out, "format": "parquet", "compression": "snappy", "mode": "overwrite"}
+        run(spark, job(source, target={"place": "hdfs", "options": options}))
+        return out
+
+    load(wheres[0], bulk(folder, **keyed))
+    copy(1)
+    load(wheres[1], bulk(folder, **keyed))
+    load(wheres[2], customer_target(folder, **keyed))
+    return spark.read.parquet(copy(2))
+
+
+@query("""
+    select cast(o_orderkey as varchar) as rowkey, cast(o_totalprice as varchar) as o_totalprice, lines
+    from orders join (select l_orderkey, cast(count(*) as varchar) as lines from lineitem group by l_orderkey) l
+        on o_orderkey = l_orderkey
+""")
+def cells_bucketed_join(spark, sf_dir):
+    """Two bucketed cell tables, read and joined by row key without a shuffle."""
+    folder, name = scratch_folder(spark, "bucketed"), f"tableflow_{uuid.uuid4().hex}"
+    counts = "(select l_orderkey, count(*) as lines from lineitem group by l_orderkey)"
+    orders = job(files(sf_dir, "orders", "o_orderkey o_totalprice", "orders"), target=bucketed(folder, f"{name}_a", "o_orderkey"))
+    lines = [files(sf_dir, "lineitem", "l_orderkey"), {"id": "n", "source": "ext_hive", "location": counts, "join": "n"}]
+    run(spark, orders)
+    run(spark, job(*lines, target=bucketed(folder, f"{name}_b", "l_orderkey")))
+    left = cell_source(f"{name}_a", ["o_totalprice"]) | {"id": "a", "join": "a"}
+    right = cell_source(f"{name}_b", ["lines"]) | {"id": "b", "join": "join b on a.rowkey = b.rowkey"}
+    return build(spark, job(left, right, select=["a.rowkey as rowkey", "o_totalprice", "lines"]))
+
+
 @query("""
     with latest as (
         select user_id, arg_max_null(value, ts) filter (event_type = 'purchase') as amount
