@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections import Counter
 from collections.abc import Sequence
 
@@ -16,21 +17,27 @@ from tableflow.spec import PipelineSpec, SourceSpec
 def shaped(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
     """The joined rows, filtered, with derived columns, and of them the selected ones.
 
-    Filter and derived columns see every column of the join, also those that ``select`` leaves out.
-    That needs a join text that is a plain list of relations. Where it goes on, with a union, say, or
-    where ``select`` itself decides about the rows (``distinct``, aggregates) or names what filter and
-    derived columns use, the list is selected first.
+    Filter and derived columns see every column of the join, also those that ``select`` leaves out, if
+    text and list are plain: relations and one column for each entry. Where the text goes on, with a union, say, or
+    ``select`` itself decides about the rows (``distinct``, aggregates), the list is selected first; so it is
+    where filter or derived columns name a column that only ``select`` makes. Any other fault is raised.
     """
-    text = _relations(spec.sources)
-    if spec.select and _is_plain(spark, text):
-        try:
-            df = _filtered_and_derived(spark.sql(f"select * from {text}"), spec)
-            names = {name.lower() for name in df.selectExpr(*spec.select).columns}
-            more = [quoted(name) for name, _ in spec.add_columns if name.lower() not in names]
-            return df.selectExpr(*spec.select, *dict.fromkeys(more))
-        except AnalysisException:
-            pass  # analyzed again below, with errors of its own
-    return _filtered_and_derived(assemble(spark, spec.sources, spec.select), spec)
+    if not spec.select:
+        return _filtered_and_derived(assemble(spark, spec.sources), spec)
+    selected = assemble(spark, spec.sources, spec.select)
+    if not (spec.where.strip() or spec.add_columns):
+        return selected
+    if not _is_projection(selected):
+        return _filtered_and_derived(selected, spec)
+    try:
+        df = _filtered_and_derived(assemble(spark, spec.sources), spec)
+        names = {name.lower() for name in selected.columns}
+        more = [quoted(name) for name, _ in spec.add_columns if name.lower() not in names]
+        return df.selectExpr(*spec.select, *dict.fromkeys(more))
+    except AnalysisException as error:
+        if _missing_name(error) not in names_of(selected):
+            raise
+    return _filtered_and_derived(selected, spec)
 
 
 def _filtered_and_derived(df: DataFrame, spec: PipelineSpec) -> DataFrame:
@@ -39,14 +46,22 @@ def _filtered_and_derived(df: DataFrame, spec: PipelineSpec) -> DataFrame:
     return derive(df, spec.add_columns)
 
 
-def _is_plain(spark: SparkSession, text: str) -> bool:
-    """Whether the text is nothing but relations: then it takes a select list of any length."""
-    try:
-        for some in ("1 as a", "1 as a, 2 as b"):
-            spark.sql(f"select {some} from {text}")
-    except AnalysisException:
-        return False
-    return True
+def _is_projection(df: DataFrame) -> bool:
+    """Whether the analyzed query is one projection, and no set operation, aggregate, sort or limit on top."""
+    return df._jdf.queryExecution().analyzed().nodeName() == "Project"
+
+
+def names_of(df: DataFrame) -> list[str]:
+    """Column names without case."""
+    return [name.lower() for name in df.columns]
+
+
+def _missing_name(error: AnalysisException) -> str | None:
+    """The column an analysis did not find, without what it is qualified by; None for other faults."""
+    if not (error.getCondition() or "").startswith("UNRESOLVED_COLUMN"):
+        return None
+    parts = re.findall("`((?:[^`]|``)*)`", (error.getMessageParameters() or {}).get("objectName", ""))
+    return parts[-1].replace("``", "`").lower() if parts else None
 
 
 def _relations(sources: Sequence[SourceSpec]) -> str:
@@ -78,7 +93,5 @@ def derive(df: DataFrame, columns: Sequence[tuple[str, str]]) -> DataFrame:
 
 def duplicate_names(df: DataFrame) -> list[str]:
     """Column names that occur more than once under the session's case rule."""
-    names = df.columns
-    if df.sparkSession.conf.get("spark.sql.caseSensitive") != "true":
-        names = [name.lower() for name in names]
+    names = df.columns if df.sparkSession.conf.get("spark.sql.caseSensitive") == "true" else names_of(df)
     return sorted(name for name, times in Counter(names).items() if times > 1)

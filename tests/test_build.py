@@ -313,3 +313,22 @@ def test_settings_hold_for_the_run(spark, people, tmp_path):
     with pytest.raises(Exception):
         run(spark, PipelineSpec.from_dict(tree))
     assert spark.conf.get("spark.sql.session.timeZone") == zone
+
+
+def test_a_fault_of_filter_or_derived_column_is_raised(spark, people):
+    sources = [
+        {"id": "emp", "source": "ext_hive", "location": "emp_data", "join": "emp"},
+        {"id": "dept", "source": "ext_hive", "location": "dept_data", "join": "left join dept on emp.dept = dept.dept"},
+    ]
+
+    def rows(where="", select=("emp_id", "upper(name) as big"), add=()):
+        spec = {"source": {"mapping": sources, "where.clause": where, "select": list(select), "add.columns": list(add)}}
+        return sorted(map(tuple, build(spark, PipelineSpec.from_dict(spec)).collect()))
+
+    assert rows("title = 'hr'") == [(1, "ANN")]  # not selected
+    assert rows("big = 'BOB'") == [(2, "BOB")]  # made by the list alone
+    for where, message in (("dept > 1", "AMBIGUOUS"), ("nowhere = 1", "nowhere"), ("emp_id +", "PARSE")):
+        with pytest.raises(AnalysisException, match=message):
+            rows(where)
+    with pytest.raises(AnalysisException, match="nowhere"):
+        rows(add=[["x", "nowhere + 1"]])
