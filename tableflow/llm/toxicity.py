@@ -55,7 +55,7 @@ MARKED = 0.8
 #: share of the examples that have a common term
 COMMON = 0.07
 #: queries that are looked up together
-QUERIES = 24
+QUERIES = 40
 #: code points of the word beginnings that may be marks
 BEGINNINGS = (4,)
 EVIDENCE = 3
@@ -385,8 +385,14 @@ class Model:
         return cls(**parts | {"index": BlockMaxIndex.of(parts["index"])})
 
 
-def _example_rows(marks: np.ndarray):
-    """The distinct words (hashes), marks (places), and how often a text has them."""
+def _plain_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for _, _, data, offsets in pieces(batch.column("text")):
+            yield pa.RecordBatch.from_arrays([as_long(np.unique(words_of(data, offsets, LETTERS_AND_DIGITS, LOWER).hashes))], ["word"])
+
+
+def _example_rows(words: np.ndarray, marks: np.ndarray, idf: np.ndarray):
+    """(number, terms, weights) of each example's unit vector, packed."""
 
     def packed(values: np.ndarray, edges: np.ndarray) -> pa.Array:
         return pa.array([values[low:high].tobytes() for low, high in zip(edges[:-1], edges[1:], strict=True)], pa.binary())
@@ -394,38 +400,18 @@ def _example_rows(marks: np.ndarray):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for begin, end, data, offsets in pieces(batch.column("text")):
-                text, hashes, plain = candidates(data, offsets)
-                words = np.unique(hashes[:plain])
-                counts = term_counts(data, offsets, words, marks)
-                kinds = []
-                for kind in (counts.term < len(words), counts.term >= len(words)):
-                    edges = np.searchsorted(counts.row[kind], np.arange(end - begin + 1))
-                    kinds.append((counts.term[kind], counts.value[kind].astype(np.int32), edges))
-                (word, often, edges), (mark, times, mark_edges) = kinds
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("number").slice(begin, end - begin),
-                        packed(words[word], edges),
-                        packed(often, edges),
-                        packed((mark - len(words)).astype(np.int32), mark_edges),
-                        packed(times, mark_edges),
-                    ],
-                    ["number", "words", "often", "marks", "times"],
-                )
+                vectors = unit_entries(term_counts(data, offsets, words, marks), idf, len(words))
+                edges = np.searchsorted(vectors.row, np.arange(end - begin + 1))
+                columns = [packed(vectors.term, edges), packed(vectors.value, edges)]
+                number = batch.column("number").slice(begin, end - begin)
+                yield pa.RecordBatch.from_arrays([number, *columns], ["number", "terms", "weights"])
 
     return rows
 
 
-_EXAMPLE = "number int, words binary, often binary, marks binary, times binary"
-
-
-def _joined(rows: pa.Table, name: str, kind: type) -> tuple[np.ndarray, np.ndarray]:
-    """(row, value) of a packed column."""
-    column = rows.column(name)
-    sizes = pc.binary_length(column).to_numpy() // np.dtype(kind).itemsize
+def _unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
     data = [np.frombuffer(value.as_buffer(), kind) for value in column]
-    values = np.concatenate(data) if data else np.zeros(0, kind)
-    return np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), values
+    return np.concatenate(data) if data else np.zeros(0, kind)
 
 
 def choose_examples(docs: DataFrame, labels: DataFrame, examples: int, most_bytes: int) -> tuple[DataFrame, pa.Table]:
@@ -478,37 +464,36 @@ def fit(
     """The model from ``docs`` and at most ``examples`` rows of ``labels`` (doc_id, toxic)."""
     chosen, names = choose_examples(docs, labels, examples, most_bytes)
     marks = choose_marks(chosen)
-    rows = chosen.select("number", "text").mapInArrow(_example_rows(marks), _EXAMPLE).toArrow()
-    rows = rows.take(pc.sort_indices(rows, [("number", "ascending")])).combine_chunks()
-    toxic = names.column("toxic").to_numpy().astype(np.int64)
-    ids = names.column("doc_id").to_numpy().astype(np.int64)
-    (of_word, hashes), (_, often) = _joined(rows, "words", np.uint64), _joined(rows, "often", np.int32)
-    (of_mark, mark), (_, times) = _joined(rows, "marks", np.int32), _joined(rows, "times", np.int32)
-    del rows
-    words = np.unique(hashes)
-    word = np.searchsorted(words, hashes).astype(np.int32)
-    del hashes
+    words = chosen.select("text").mapInArrow(_plain_words, "word long").distinct().toArrow()
+    words = np.sort(words.column("word").to_numpy().view(np.uint64))
     width = len(words) + len(marks)
-    counts = Entries.joined(len(ids), width, (of_word, word, often), (of_mark, mark + len(words), times))
-    del of_word, word, often
     idf = rarity(docs, words, marks)
-    filled = np.flatnonzero(np.bincount(counts.row, minlength=len(ids)))
+    rows = chosen.select("number", "text").mapInArrow(
+        _example_rows(words, marks, idf), "number int, terms binary, weights binary"
+    ).toArrow()
+    rows = rows.take(pc.sort_indices(rows, [("number", "ascending")]))
+    sizes = pc.binary_length(rows.column("terms")).to_numpy() // 4
+    term, weight = _unpacked(rows.column("terms"), np.int32), _unpacked(rows.column("weights"), np.float64)
+    del rows
+    toxic = names.column("toxic").to_numpy().astype(np.int64)
+    ids = names.column("doc_id").to_numpy().astype(np.int64)
+    filled = np.flatnonzero(sizes)
     bare = np.delete(toxic, filled)
     empty_rate = float(bare.mean()) if len(bare) else (float(toxic.mean()) if len(toxic) else 0.0)
-    vectors = unit_entries(counts, idf, len(words))
-    del counts
     # neighbours in the order of their heaviest common term, so that blocks share terms
-    heavy = np.bincount(vectors.term, minlength=width)[vectors.term] * vectors.value
-    edges = np.searchsorted(vectors.row, np.append(filled, len(ids)))
-    heaviest = [int(vectors.term[a:b][heavy[a:b].argmax()]) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    heavy = np.bincount(term, minlength=width).astype(np.float32)[term]
+    heavy *= weight
+    ends = np.cumsum(sizes)
+    heaviest = [int(term[end - size : end][heavy[end - size : end].argmax()]) for end, size in zip(ends[filled], sizes[filled])]
     del heavy
     order = filled[np.argsort(np.array(heaviest, np.int64), kind="stable")]
-    vectors = vectors.taken(order)
+    places = np.full(len(ids), -1, np.int32)
+    places[order] = np.arange(len(order))
+    vectors = Entries(len(order), width, np.repeat(places, sizes), term, weight)
+    del term, weight
     model = Model(words, marks, idf, ids[order], toxic[order], BlockMaxIndex(vectors), empty_rate)
     del vectors
     if model.index.count:
-        places = np.full(len(ids), -1, np.int64)
-        places[order] = np.arange(len(order))
         parts = ready(docs.sparkSession).sparkContext.broadcast(model.parts())
         votes = chosen.select("number", "text").mapInArrow(_vote_rows(parts, places), "vote double, toxic long").toArrow()
         parts.destroy()
