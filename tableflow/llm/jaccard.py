@@ -178,11 +178,12 @@ def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 [
                     batch.column("doc_id").slice(begin, end - begin),
                     batch.column("id").slice(begin, end - begin),
+                    batch.column("key").slice(begin, end - begin),
                     pa.array(sets.prints, pa.int64(), mask=sets.sizes == 0),
                     pa.array(sets.sizes, pa.int64()),
                     pa.ListArray.from_arrays(pa.array(edges, pa.int32()), pa.array(words)),
                 ],
-                ["doc_id", "id", "class", "n_shingles", "sketch"],
+                ["doc_id", "id", "key", "class", "n_shingles", "sketch"],
             )
 
 
@@ -285,7 +286,7 @@ def _set_rows(exploded: bool = False):
             wanted = batch.column("class").to_numpy()
             for begin, _, data, offsets in pieces(batch.column("text")):
                 sets = Sets(data, offsets)
-                own = sets.prints == wanted[begin : begin + len(sets.sizes)]  # not an id's other text
+                own = sets.prints == wanted[begin : begin + len(sets.sizes)]
                 keep = own[sets.text]
                 values = as_long(sets.hashes[keep])
                 if exploded:
@@ -316,8 +317,8 @@ def _possible(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 def _texts_of(wanted: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
     """class and a text of it, for the named classes."""
-    named = kept(wanted.join(classes.select("class", "id"), "class"))
-    return texts.join(broadcast_if_small(named), "id").select("class", "text")
+    named = kept(wanted.join(classes.select("class", "id", "key"), "class"))
+    return texts.join(broadcast_if_small(named), ["id", "key"]).select("class", "text")
 
 
 def _private(wanted: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
@@ -376,17 +377,23 @@ def components(links: DataFrame) -> DataFrame:
 
 def jaccard_components(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id of every document."""
+    text = F.coalesce("text", F.lit(""))
     texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), order_id().alias("id"), F.coalesce("text", F.lit("")).alias("text")
+        F.col("doc_id").cast("long").alias("doc_id"), order_id().alias("id"), F.xxhash64(text).alias("key"), text.alias("text")
     )
     features = texts.mapInArrow(
-        _feature_rows, "doc_id long, id long, class long, n_shingles long, sketch array<long>"
+        _feature_rows, "doc_id long, id long, key long, class long, n_shingles long, sketch array<long>"
     )
     features = kept(features)
     classes = kept(
         features.where("class is not null")
         .groupBy("class")
-        .agg(F.min("id").alias("id"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+        .agg(
+            F.min("id").alias("id"),
+            F.min_by("key", "id").alias("key"),
+            F.first("n_shingles").alias("n_shingles"),
+            F.first("sketch").alias("sketch"),
+        )
     )
     indexed = _signature_rows(common_shingles(texts))
     signatures = texts.select("text").mapInArrow(indexed, "signature long, class long")
@@ -397,12 +404,9 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
         .distinct()
     )
     stars = kept(stars)
-    same_id = (
-        features.where("class is not null and doc_id is not null").select("id", "class").distinct()
-        .join(classes.select("class", "n_shingles"), "class").groupBy("id")
-        .agg(F.min("class").alias("a"), F.collect_set("class").alias("all")).where(F.size("all") > 1)
-        .select("a", F.explode_outer("all").alias("b")).where("a <> b")
-    )
+    of_id = features.where("class is not null and doc_id is not null").select("id", "class").distinct()
+    several = of_id.groupBy("id").agg(F.min("class").alias("a"), F.max("class").alias("last")).where("a <> last")
+    same_id = of_id.join(several, "id").select("a", F.col("class").alias("b")).where("a <> b")
     links = kept(_verified(kept(_possible(stars, classes)), classes, texts).unionByName(same_id))
     found = components(links)
     named = classes.select(F.col("class").alias("name")).join(found, "name", "left")
@@ -441,7 +445,7 @@ def jaccard_components(docs: DataFrame) -> DataFrame:
             named = kept(named.select("name", F.coalesce("root", "name").alias("root")))
     least = classes.join(named, F.col("class") == F.col("name")).groupBy("root").agg(F.min("id").alias("component"))
     of_class = named.join(least, "root").select(F.col("name").alias("class"), "component")
-    rows = features.drop("sketch").join(of_class, "class", "left")
+    rows = features.drop("sketch", "key").join(of_class, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("component"))
     return rows.select(
         "doc_id", "n_shingles", F.when(component != NO_ID, component).alias("component_id")

@@ -112,3 +112,15 @@ def test_components_of_links(spark, edges):
             for x in both:
                 root[x] = both
     assert got == {name: min(group) for name, group in root.items()}
+
+
+def test_many_near_copies_without_an_id(spark):
+    """Texts are found by id and text: rows without an id do not meet each other."""
+    rng = random.Random(12)
+    words = [[f"w{rng.randrange(10**6)}" for _ in range(30)] for _ in range(1500)]
+    rows = [(None, " ".join(own)) for own in words] + [(None, " ".join([*own, "more"])) for own in words]
+    rows += [(5, " ".join(words[0])), (5, "a text of its own by the same id"), (9, "A text of its own by the same id")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(8)
+    got = jaccard_components(docs)
+    assert got.where("doc_id is null and component_id is null").count() == 3000
+    assert {(r[0], r[1]) for r in got.where("doc_id is not null").select("doc_id", "component_id").collect()} == {(5, None), (9, None)}
