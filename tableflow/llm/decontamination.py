@@ -11,12 +11,13 @@ the hits extended word by word. Items of fewer words are searched the same way a
 
 Defined cases: a null or wordless document has no words and no hits; an item without words has no
 window; rows that agree in id and text are reported as often as they occur; an item id that repeats
-counts once; a null item id is left out of the lists. Extra columns are ignored.
+counts once; a null item id is left out of the lists. A text that repeats an item's words many times has a row per
+place, not an array of places. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tableflow.llm.native import plain_words
@@ -101,7 +102,7 @@ def _candidates(texts: DataFrame, items: DataFrame, spans: list[int]) -> DataFra
 
 
 def _occurrences(texts: DataFrame, items: DataFrame, spans: list[int]) -> DataFrame:
-    """id, key, item_id, covered: the places of the words of each occurrence of a window of an item."""
+    """id, key, item_id, first, end: the places of the words of each occurrence of a window of an item."""
     docs = texts.select("id", "key", plain_words(F.col("text")).alias("words")).distinct()
     found = None
     for span in spans:
@@ -131,10 +132,22 @@ def _occurrences(texts: DataFrame, items: DataFrame, spans: list[int]) -> DataFr
     found = aligned.select("id", "key", "item_id", "low", "span", F.explode_outer(starts).alias("start"))
     first = F.col("low") + F.col("start")
     return found.where("start is not null").select(
-        "id", "key", "item_id", F.sequence(first, first + F.col("span") - 1).alias("covered")
+        "id", "key", "item_id", first.alias("first"), (first + F.col("span")).alias("end")
     )
 
 
+def _covered(found: DataFrame) -> DataFrame:
+    """id, key, n_hit: how many places the occurrences of each text cover.
+
+    They are run through in order, each adding what lies beyond all before it.
+    """
+    spans = found.groupBy("id", "key", "first").agg(F.max("end").alias("end"))
+    before = Window.partitionBy("id", "key").orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
+    begin = F.greatest("first", F.max("end").over(before))
+    added = spans.select("id", "key", F.greatest(F.lit(0), F.col("end") - begin).alias("added"))
+    return added.groupBy("id", "key").agg(F.sum("added").alias("n_hit"))
+
+
 def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """doc_id, id, key, n_words, n_hit, items (item ids as sorted strings), contaminated per document.
 
@@ -147,12 +160,9 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, window: int = WIND
     spans = sorted(row["span"] for row in items.select("span").distinct().collect())  # at most ``window``
     candidates = stored(_candidates(texts, items, spans or [window]))
     hit = broadcast_if_small(stored(candidates.where("hit").select("id", "key").distinct()))
-    counted = _occurrences(texts.join(hit, ["id", "key"], "left_semi"), items, spans or [window])
-    counted = counted.groupBy("id", "key").agg(
-        F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("n_hit"),
-        F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"),
-    )
-    rows = candidates.join(counted, ["id", "key"], "left")
+    found = stored(_occurrences(texts.join(hit, ["id", "key"], "left_semi"), items, spans or [window]))
+    named = found.groupBy("id", "key").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items"))
+    rows = candidates.join(_covered(found).join(named, ["id", "key"]), ["id", "key"], "left")
     rows = rows.withColumn("copy", F.explode_outer(F.sequence(F.lit(1).cast("long"), F.col("copies"))))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return rows.select(

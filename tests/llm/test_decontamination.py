@@ -61,3 +61,11 @@ def test_no_python_runs_on_the_executors(spark):
     docs, items = (spark.createDataFrame(r, f"{n} long, text string") for r, n in ((DOCS, "doc_id"), (ITEMS, "item_id")))
     plan = find_contamination(docs, items)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_a_repetitive_text_of_many_words(spark):
+    """A place for each word, not an array of places for each of them."""
+    docs = spark.createDataFrame([(1, "aa " * 300_000), (2, "bb " + "aa " * 12), (3, "aa " * 14 + "bb")], "doc_id long, text string")
+    items = spark.createDataFrame([(7, "aa " * 60), (8, "aa " * 13 + "bb")], "item_id long, text string")
+    got = sorted(tuple(r) for r in find_contamination(docs, items).select("doc_id", "n_hit", "items").collect())
+    assert got == [(1, 300_000, ["7", "8"]), (2, 0, []), (3, 15, ["7", "8"])]
