@@ -118,29 +118,44 @@ def op9_mixing(spark, sf_dir):
 
 OP9_SQL = """
     with recursive sizes as (
-        select source, sum(strlen(text)) as bytes from documents group by source
+        select source, sum(strlen(coalesce(text, ''))) as bytes from documents group by source
     ), weighted as (
         select source, bytes, case when bytes > 0 then pow(cast(bytes as double), 0.5) else 0.0 end as weight
         from sizes
     ), rates as (
-        select source, case when bytes > 0 then least(
+        select source, case when bytes > 0 then
             weight / (select sum(weight) from weighted) * cast((select sum(bytes) from weighted) as double)
-            / cast(bytes as double), 500.0) else 0.0 end as rate
+            / cast(bytes as double) else 0.0 end as rate
         from weighted
+    ), parted as (
+        select source, greatest(1, cast(ceil(rate / 500.0) as int)) as parts,
+               rate / greatest(1, cast(ceil(rate / 500.0) as int)) as rate
+        from rates
     ), steps as (
-        select source, rate, 0 as k, exp(-rate) as term, exp(-rate) as total from rates
+        select source, rate, 0 as k, exp(-rate) as term, exp(-rate) as total from parted
         union all
         select source, rate, k + 1, term * rate / (k + 1), total + term * rate / (k + 1)
         from steps where k < ceil(rate + 12 * sqrt(rate) + 30)
+    ), tables as (
+        select source, list(total) as totals from steps group by source
+    ), named as (
+        select *, coalesce(cast(doc_id as varchar), md5(text), '') as id_text from documents
     ), drawn as (
-        select *, cast('0x' || substr(md5('mix|' || doc_id), 1, 13) as bigint) / 4503599627370496.0 as draw
-        from documents
+        select d.*, totals, unnest(range(1, parts + 1)) as part
+        from named d join parted p on d.source is not distinct from p.source
+            join tables t on d.source is not distinct from t.source
     ), counted as (
-        select d.doc_id, d.text, d.lang, d.source, d.n_chars,
-               (select count(*) from steps s where s.source = d.source and s.total <= d.draw) as copies
-        from drawn d
+        select doc_id, text, lang, source, n_chars, id_text, part, len(list_filter(totals,
+            lambda total: total <= cast('0x' || substr(md5('mix|' || case when part = 1 then '' else 'part|' || part || '|' end
+                || id_text), 1, 13) as bigint) / 4503599627370496.0)) as copies
+        from drawn
+    ), summed as (
+        select doc_id, text, lang, source, n_chars, id_text, count(*) filter (where part = 1) as times,
+               cast(sum(copies) // count(*) filter (where part = 1) as bigint) as copies
+        from counted group by doc_id, text, lang, source, n_chars, id_text
     )
     select doc_id, text, lang, source, n_chars, cast(copy as int) as copy,
-           md5('mix|order|' || doc_id || '|' || copy) as mix_key
-    from (select *, unnest(range(1, copies + 1)) as copy from counted where copies > 0)
+           md5('mix|order|' || id_text || '|' || copy) as mix_key
+    from (select *, unnest(range(1, copies + 1)) as copy
+          from (select *, unnest(range(times)) from summed) where copies > 0)
 """

@@ -1,8 +1,9 @@
 import math
 
+import duckdb
 from pyspark.sql import functions as F
 
-from tableflow.llm.mixing import mix_sources, source_rates, uniform
+from tableflow.llm.mixing import OP9_SQL, mix_sources, op9_mixing, source_rates, uniform
 
 
 def frame(spark, count=3000):
@@ -80,3 +81,20 @@ def test_rows_without_an_id_are_drawn_by_their_text(spark):
     counts = {r["text"]: r["count"] for r in out.groupBy("text").count().collect()}
     assert len(set(counts.values())) > 2 and 0.8 < sum(counts.values()) / 400 < 1.2
     assert out.select("mix_key").distinct().count() == out.count()
+
+
+def test_sql_says_what_the_operator_does(spark, tmp_path):
+    """Rates above the table's range, missing sources and ids, repeated rows."""
+    rows = [(k, "x" * 30_000, "en", "large", 1) for k in range(40)] + [(100 + k, "y", "en", "rare", 1) for k in range(3)]
+    rows += [(200 + k, f"text {k}" * 9, "en", None, 1) for k in range(60)] + [(None, f"none {k} " * 40, "en", "b", 1) for k in range(20)]
+    rows += [(7, "x" * 30_000, "en", "large", 1), (300, None, "en", "b", 1), (None, None, None, None, None), (8, "other text", "en", "b", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    assert max(r["mix_rate"] for r in source_rates(docs).collect()) > 500
+    con = duckdb.connect()
+    con.sql(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    got = op9_mixing(spark, str(tmp_path))
+    columns = sorted(got.columns)
+    want = con.sql(f"select {', '.join(columns)} from ({OP9_SQL})").fetchall()
+    assert sorted(map(str, want)) == sorted(str(tuple(row)) for row in got.select(*columns).collect())
+    assert len(want) > 1500
