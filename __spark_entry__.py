@@ -95,10 +95,11 @@ def files(sf_dir: str, name: str, columns: str = "", join: str = "", **more) ->
 def job(*sources: dict, **shape) -> PipelineSpec:
     """A spec over the sources; they join in the order given."""
     indexed = [{"index": at} | source for at, source in enumerate(sources, 1)]
-    target = shape.pop("target", None)
+    target, metrics = shape.pop("target", None), shape.pop("metrics", None)
     keys = {"where": "where.clause", "add": "add.columns", "select": "select"}
     body = {"mapping": indexed} | {keys[name]: value for name, value in shape.items()}
-    return PipelineSpec.from_dict({"source": body} | ({"target": target} if target else {}))
+    more = {"target": target, "metrics": {"location": metrics}}
+    return PipelineSpec.from_dict({"source": body} | more)
 
 
 def write_files_and_read(
@@ -1183,6 +1184,31 @@ def conform_all_sources(spark, sf_dir):
 # Column functions
 
 
+@query("""
+    with o as (select * from orders where o_orderstatus = 'F'), r as (
+        select o_orderkey from o join customer on o_custkey = c_custkey where c_mktsegment = 'BUILDING'
+    )
+    select 'source' as part, 'customer' as id, count(*) as n from customer
+    union all select 'source', 'orders', count(*) from o
+    union all select 'source', 'region', cast(null as bigint)
+    union all select 'result', 'hdfs', count(*) from r
+""")
+def run_metrics(spark, sf_dir):
+    """Rows of each source and of the result, counted while the run wrote it; null for an unused source."""
+    folder = scratch_folder(spark, "metrics")
+    options = {"location": f"{folder}/out", "format": "parquet", "compression": "snappy", "mode": "overwrite"}
+    spec = job(
+        files(sf_dir, "orders", "o_orderkey o_custkey", "orders", where="o_orderstatus = 'F'"),
+        files(sf_dir, "customer", "c_custkey c_mktsegment", "join customer on o_custkey = c_custkey"),
+        files(sf_dir, "region"),
+        where="c_mktsegment = 'BUILDING'",
+        target={"place": "hdfs", "options": options},
+        metrics=f"{folder}/runs",
+    )
+    run(spark, spec)
+    return spark.read.parquet(f"{folder}/runs").select("part", "id", F.col("rows").alias("n"))
+
+
 @query("""
     select event_id, coalesce(try_cast(json_extract_string(props, '$.k') as bigint), -99) as k,
            cast(-99 as bigint) as kind

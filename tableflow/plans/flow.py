@@ -8,6 +8,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tableflow.plans.metrics import RunMetrics
 from tableflow.plans.shape import duplicate_names, shaped
 from tableflow.plugins import is_built_in
 from tableflow.session import apply_settings, scoped_settings
@@ -19,7 +20,7 @@ from tableflow.spec import PipelineSpec
 log = logging.getLogger(__name__)
 
 
-def build(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
+def build(spark: SparkSession, spec: PipelineSpec, metrics: RunMetrics | None = None) -> DataFrame:
     """The result of a spec as one lazy DataFrame.
 
     Nothing is computed and nothing cached: sources, join, filter and derived columns form one
@@ -32,26 +33,31 @@ def build(spark: SparkSession, spec: PipelineSpec) -> DataFrame:
     apply_settings(spark, spec.settings)
     with _scoped_views(spark) as register:
         for source in spec.sources:
-            register(source.id, read_source(spark, source))
+            df = read_source(spark, source)
+            register(source.id, metrics.counted(df, "source", source.id) if metrics else df)
         df = shaped(spark, spec)
     twice = duplicate_names(df)
     # a plug-in sink may know what to do with them; the built-in ones do not
     if twice and (spec.target is None or is_built_in(spec.target.plugin)):
         raise ValueError(f"duplicate column(s) {', '.join(twice)}: list the wanted ones in 'select'")
-    return df
+    return metrics.counted(df, "result", spec.target.place) if metrics else df
 
 
 def run(spark: SparkSession, spec: PipelineSpec) -> None:
     """Build the result and write it to the target; raises if anything fails.
 
-    The spec's settings hold for this run only.
+    The spec's settings hold for this run only. With ``metrics`` in the spec the counts of the run are added to
+    a table.
     """
     if spec.target is None:
         raise ValueError("the spec has no target")
     with scoped_settings(spark, spec.settings):
         spec, read = with_loads_named(spark, spec)
-        write_target(build(spark, spec), spark, spec.target)
+        metrics = RunMetrics(spark, spec.metrics) if spec.metrics else None
+        write_target(build(spark, spec, metrics), spark, spec.target)
         mark_read(spark, read)
+        if metrics:
+            metrics.write()
     log.info("wrote target %s", spec.target.place)
 
 

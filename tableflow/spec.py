@@ -11,7 +11,8 @@ A spec comes from a plain dict (or its JSON text) of this shape; every key excep
                 "add.columns": [["src_ind", "'N'"]],
                 "select": ["k", "v"]},
      "target": {"place": "hdfs", "options": {"location": "/out", "format": "orc",
-                                             "compression": "snappy", "mode": "overwrite"}}}
+                                             "compression": "snappy", "mode": "overwrite"}},
+     "metrics": {"location": "/runs"}}
 
 Expression text stays text until the job runs. It is executed as Spark SQL, so a spec is trusted
 code and must not come from an untrusted place.
@@ -180,6 +181,7 @@ class PipelineSpec:
     select: list[str] | None = None
     target: TargetSpec | None = None
     settings: dict[str, str] = field(default_factory=dict)
+    metrics: str = ""  # table or path that the counts of each run are added to
 
     @classmethod
     def from_dict(cls, tree: Mapping[str, Any]) -> PipelineSpec:
@@ -195,6 +197,7 @@ class PipelineSpec:
             select=_names(lookup(tree, "source.select"), "source.select"),
             target=None if target is None else TargetSpec.from_dict(target),
             settings={key: _conf_text(value) for key, value in settings.items()},
+            metrics=_text(lookup(tree, "metrics.location")),
         )
 
     @classmethod
