@@ -309,6 +309,25 @@ def custom_sink(spark, sf_dir):
 LINE = "l_orderkey l_quantity l_shipdate"
 
 
+@query("select o_orderkey, o_totalprice from orders where o_orderkey >= 1000 and o_orderkey < 9000")
+def python_data_source(spark, sf_dir):
+    """Written and read by a data source in Python; the key range is pushed, so few files are read."""
+    folder = scratch_folder(spark, "arrow")
+    plugin = "tableflow.sources.arrow_files.ArrowFiles"
+    by_key = "(select * from orders distribute by o_orderkey div 2000)"
+    run(
+        spark,
+        job(
+            files(sf_dir, "orders", "o_orderkey o_totalprice"),
+            {"id": "dealt", "source": "ext_hive", "location": by_key, "join": "dealt"},
+            target={"place": "hdfs", "class": plugin, "options": {"location": folder}},
+        ),
+    )
+    source = {"id": "back", "source": "hdfs", "transform": plugin, "location": folder, "join": "back"}
+    spec = job(source | {"where": "o_orderkey >= 1000 and o_orderkey < 9000"})
+    return build(spark, dataclasses.replace(spec, settings={"spark.sql.python.filterPushdown.enabled": "true"}))
+
+
 @query("""
     select o_orderkey, l_quantity from orders join lineitem on o_orderkey = l_orderkey
     where l_quantity > 25 and o_totalprice > 50000

@@ -7,6 +7,8 @@ import inspect
 from collections.abc import Callable
 from typing import Any
 
+from pyspark.sql.datasource import DataSource
+
 # Names that select the built-in reader or writer.
 BUILT_IN = ("", "default")
 
@@ -27,6 +29,12 @@ def is_built_in(name: str | None) -> bool:
     return name is None or name.strip() in BUILT_IN
 
 
+def data_source(name: str) -> type[DataSource] | None:
+    """The class behind a plug-in name if it is one of Spark's Python data sources, else None."""
+    plugin = _registry[name] if name in _registry else _import(name)
+    return plugin if inspect.isclass(plugin) and issubclass(plugin, DataSource) else None
+
+
 def resolve(name: str, method: str) -> Callable:
     """The callable behind a plug-in name.
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.datasource import DataSource
 
-from tableflow.plugins import is_built_in, resolve
+from tableflow.plugins import data_source, is_built_in, resolve
 from tableflow.sinks.cells import write_cells
 from tableflow.sinks.files import write_files
 from tableflow.sinks.tables import write_table
@@ -26,9 +27,23 @@ def write_target(df: DataFrame, spark: SparkSession, target: TargetSpec) -> None
         known = ", ".join(sorted(WRITERS))
         raise ValueError(f"unknown target place {target.place!r}; known: {known}")
     if not is_built_in(target.plugin):
-        resolve(target.plugin, "save")(df, spark, target)
+        plugin = data_source(target.plugin)
+        if plugin:
+            write_data_source(df, spark, target, plugin)
+        else:
+            resolve(target.plugin, "save")(df, spark, target)
     else:
         WRITERS[target.place](df, spark, target)
 
 
+def write_data_source(
+    df: DataFrame, spark: SparkSession, target: TargetSpec, plugin: type[DataSource]
+) -> None:
+    """Write with a Python data source: ``mode`` (default: append) and ``location``; all options are its own too."""
+    spark.dataSource.register(plugin)
+    options = {key: str(value) for key, value in target.options.items() if key not in ("mode", "location")}
+    writer = df.write.format(plugin.name()).mode(str(target.option("mode", "append"))).options(**options)
+    writer.save(target.option("location"))
+
+
 __all__ = ["WRITERS", "write_cells", "write_files", "write_table", "write_target"]
