@@ -829,6 +829,34 @@ ORDER_SCHEMA = (
 )
 
 
+@query("""
+    select o_orderkey, o_custkey, c_name, o_totalprice * 2 as twice
+    from orders left join customer on o_custkey = c_custkey and c_nationkey < 20 where o_orderstatus <> 'P'
+""")
+def stream_files_twice(spark, sf_dir):
+    """Files that came before a run and files that came after it, each written once, joined to a table."""
+    folder = scratch_folder(spark, "stream")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    source = {
+        "id": "orders", "source": "hdfs", "format": "parquet", "location": f"{folder}/in", "join": "orders",
+        "schema": ", ".join(f"{name} {kind}" for name, kind in orders.dtypes), "custom": {"stream": True},
+        "where": "o_orderstatus <> 'P'",
+    }
+    customer = files(sf_dir, "customer", "c_custkey c_name c_nationkey", where="c_nationkey < 20")
+    options = {"location": f"{folder}/out", "format": "parquet", "compression": "snappy", "checkpoint": f"{folder}/state"}
+    spec = job(
+        source,
+        customer | {"join": "left join customer on o_custkey = c_custkey"},
+        select=["o_orderkey", "o_custkey", "c_name", "o_totalprice"],
+        add=[["twice", "o_totalprice * 2"]],
+        target={"place": "hdfs", "options": options},
+    )
+    for part in (0, 1):
+        orders.where(F.col("o_orderkey") % 2 == part).write.mode("append").parquet(f"{folder}/in")
+        run(spark, spec)
+    return spark.read.parquet(f"{folder}/out").drop("o_totalprice")
+
+
 @query("select * from orders")
 def file_round_trip_json(spark, sf_dir):
     return write_files_and_read(spark, sf_dir, "json", "gzip", ORDERS, schema=ORDER_SCHEMA)

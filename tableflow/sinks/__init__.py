@@ -12,6 +12,7 @@ from tableflow.sinks.cells import write_cells
 from tableflow.sinks.files import write_files
 from tableflow.sinks.tables import write_table
 from tableflow.spec import TargetSpec
+from tableflow.streaming import write_stream
 
 # The target places, spelled exactly so.
 WRITERS: dict[str, Callable[[DataFrame, SparkSession, TargetSpec], None]] = {
@@ -26,7 +27,9 @@ def write_target(df: DataFrame, spark: SparkSession, target: TargetSpec) -> None
     if target.place not in WRITERS:
         known = ", ".join(sorted(WRITERS))
         raise ValueError(f"unknown target place {target.place!r}; known: {known}")
-    if not is_built_in(target.plugin):
+    if df.isStreaming:
+        write_stream(df, spark, target)
+    elif not is_built_in(target.plugin):
         plugin = data_source(target.plugin)
         if plugin:
             write_data_source(df, spark, target, plugin)

@@ -1,7 +1,8 @@
 """Where cells live: a partitioned table of cells, and beside it a table of its loads.
 
-    <store>         the cells, partitioned by load and region
-    <store>_loads   one row per finished load: format, split keys, write time
+    <store>          the cells, partitioned by load and region
+    <store>_loads    one row per finished load: format, split keys, write time
+    <store>_stream   cells that streams have put, in batches that Spark's own log knows
 
 Both are ordinary tables, in the catalog or addressed by path, and only Spark's writers write them. A
 load overwrites partitions of its own and no others (dynamic partition overwrite), for which Spark
@@ -142,6 +143,7 @@ class CellStore:
         self.cells = PartitionedTable(spark, name, _PARTS)
         self.name = self.cells.name
         self.finished = PartitionedTable(spark, f"{self.name}_loads", ("load",))
+        self.streamed = PartitionedTable(spark, f"{self.name}_stream", ())
         if self.cells.by_path and buckets:
             raise ValueError(f"only a catalog table can be bucketed, not {self.name}")
 
@@ -157,7 +159,7 @@ class CellStore:
         return sorted(found, key=lambda load: load.id)
 
     def exists(self) -> bool:
-        return bool(self.loads())
+        return bool(self.loads()) or self._streamed() is not None
 
     @property
     def kind(self) -> str:
@@ -187,7 +189,8 @@ class CellStore:
 
         The list is shorter than the number of regions its creator asked for.
         """
-        return next((list(load.splits) for load in self.loads() if load.splits is not None), None)
+        of_a_load = (list(load.splits) for load in self.loads() if load.splits is not None)
+        return next(of_a_load, None if self._streamed() is None else [])
 
     def read(
         self,
@@ -199,10 +202,14 @@ class CellStore:
 
         Also of a plain folder or table of cells that no sink of ours wrote. Loads and key ranges
         become partition filters: each load's regions of the range are read, by the split keys of that
-        load, and the cells that were put one by one.
+        load, and the cells that were put one by one. What streams have put belongs to no load: it is
+        part of all cells, and not of some loads'.
         """
         known = self.loads()
-        if not known:
+        streamed = None if loads is not None else self._streamed()
+        if streamed is not None:
+            cells = self._cells_of(known, first, end).select(*CELL_COLUMNS).unionByName(streamed)
+        elif not known:
             cells = self.cells.frame(self.asked or "parquet")
             if cells is None:
                 raise ValueError(f"there are no cells at {self.name}")
@@ -214,6 +221,15 @@ class CellStore:
             cells = cells.where(F.col("rowkey") < end)
         return cells.select(*CELL_COLUMNS)
 
+    def stream_path(self) -> str:
+        """Where streams put cells of a store that is addressed by path."""
+        if not self.streamed.by_path:
+            raise ValueError(f"a stream puts cells into a store by path, not into table {self.name}")
+        return self.streamed.name
+
+    def _streamed(self) -> DataFrame | None:
+        return self.streamed.frame("parquet", _CELLS) if self.streamed.by_path else None
+
     def _cells_of(self, loads: Collection[Load], first: str | None, end: str | None) -> DataFrame:
         """Cells of finished loads, which of a path may even differ in format."""
         by_format = defaultdict(list)

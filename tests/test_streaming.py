@@ -1,0 +1,93 @@
+"""Streams of files: each row once, also after a killed run."""
+
+import time
+
+import pytest
+from pyspark.sql import functions as F
+
+from tableflow import PipelineSpec, build, run
+from tableflow.sinks.store import CellStore
+
+
+def spec_of(folder, where="", **target):
+    orders = {
+        "id": "o", "source": "hdfs", "format": "parquet", "location": f"{folder}/in", "schema": "id long, k long",
+        "custom": {"stream": True}, "options": {"maxFilesPerTrigger": 1}, "join": "o", "index": 1, "where": where,
+    }
+    names = {"id": "n", "source": "ext_hive", "location": "(select id as k, concat('n', id) as name from range(3))"}
+    names |= {"index": 2, "join": "left join n on o.k = n.k"}
+    tree = {"source": {"mapping": [orders, names], "select": ["id", "name"], "add.columns": [["twice", "id * 2"]]}}
+    return PipelineSpec.from_dict(tree | {"target": target})
+
+
+def files_target(folder):
+    options = {"location": f"{folder}/out", "format": "parquet", "compression": "snappy", "checkpoint": f"{folder}/state"}
+    return {"place": "hdfs", "options": options}
+
+
+def cells_target(folder):
+    options = {"tablename": f"{folder}/cells", "cf": "d", "key-columns": ["id"], "checkpoint": f"{folder}/state"}
+    return {"place": "hbase", "options": options}
+
+
+def add_files(spark, folder, first, count):
+    rows = spark.range(first, first + count, 1, 4).selectExpr("id", "id % 4 as k")
+    rows.write.mode("append").parquet(f"{folder}/in")
+
+
+def expected(count):
+    return sorted((n, f"n{n % 4}" if n % 4 < 3 else None, 2 * n) for n in range(count))
+
+
+def test_each_run_goes_on_where_the_last_ended(spark, tmp_path):
+    for step in (1, 2):
+        add_files(spark, tmp_path, 100 * (step - 1), 100)
+        run(spark, spec_of(tmp_path, **files_target(tmp_path)))
+        got = sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect()), key=repr)
+        assert got == sorted(expected(100 * step), key=repr)
+    run(spark, spec_of(tmp_path, **files_target(tmp_path)))
+    assert spark.read.parquet(f"{tmp_path}/out").count() == 200
+
+
+@pytest.mark.parametrize("kind", ["files", "cells"])
+def test_a_run_killed_between_batches_gives_each_row_once(spark, tmp_path, kind):
+    target = files_target(tmp_path) if kind == "files" else cells_target(tmp_path)
+    add_files(spark, tmp_path, 0, 100)
+    # one of the four batches fails, after others have ended
+    with pytest.raises(Exception, match="lost"):
+        run(spark, spec_of(tmp_path, "if(id = 60, raise_error('lost') is null, true)", **target))
+    run(spark, spec_of(tmp_path, **target))
+    run(spark, spec_of(tmp_path, **target))
+    if kind == "files":
+        got = sorted(map(tuple, spark.read.parquet(f"{tmp_path}/out").collect()), key=repr)
+        assert got == sorted(expected(100), key=repr)
+        return
+    store = CellStore(spark, f"{tmp_path}/cells")
+    assert store.exists() and store.read().count() == 300
+    # loads and streams make one store
+    options = {"tablename": f"{tmp_path}/cells", "cf": "d", "key-columns": ["id"]}
+    source = {"id": "r", "source": "ext_hive", "location": "(select 7 as id, 'later' as name)", "join": "r"}
+    time.sleep(0.01)
+    run(spark, PipelineSpec.from_dict({"source": {"mapping": [source]}, "target": {"place": "hbase", "options": options}}))
+    wide = {"id": "w", "source": "hbase", "location": f"{tmp_path}/cells", "column.family": "d", "join": "w"}
+    wide["custom"] = {"mapping": {"name": "name", "twice": "twice"}, "rows": {"from": "7", "to": "8"}}
+    got = {r.rowkey: (r.name, r.twice) for r in build(spark, PipelineSpec.from_dict({"source": {"mapping": [wide]}})).collect()}
+    assert got["7"] == ("later", "14") and len(got) == 11
+    assert store.splits() == [] and len(store.loads()) == 1
+
+
+def test_what_a_stream_cannot_do(spark, tmp_path):
+    add_files(spark, tmp_path, 0, 4)
+    spec = spec_of(tmp_path, **files_target(tmp_path))
+    assert build(spark, spec).isStreaming
+    for target, message in (
+        ({"place": "hive", "options": {"table": "t", "checkpoint": "c"}}, "hdfs or hbase"),
+        ({"place": "hdfs", "options": {"location": "x", "format": "parquet", "compression": "none"}}, "checkpoint"),
+        ({"place": "hbase", "options": cells_target(tmp_path)["options"] | {"bulkload": True}}, "no bulkload"),
+        ({"place": "hbase", "options": cells_target(tmp_path)["options"] | {"tablename": "db.t"}}, "by path"),
+    ):
+        with pytest.raises(ValueError, match=message):
+            run(spark, spec_of(tmp_path, **target))
+    source = {"id": "o", "source": "hdfs", "format": "parquet", "location": f"{tmp_path}/in", "custom": {"stream": True}, "join": "o"}
+    with pytest.raises(ValueError, match="needs a schema"):
+        build(spark, PipelineSpec.from_dict({"source": {"mapping": [source]}}))
