@@ -1,15 +1,16 @@
 """URL filter: rules by host and path, then a list of canonical URLs behind a blocked Bloom filter.
 
 The filter has one row per block of eight 64-bit words; a listed URL sets one bit in each word of its
-block, so a URL is looked up in one row, by an equi-join on the block. What may be listed goes to an
-exact hash join with the list, which removes false positives; all else never meets the list.
+block, so a URL is looked up in one row, by an equi-join on the block: a broadcast one while the blocks
+are counted to be few. Pages that a rule decides, or that have no host, are not looked up. What may be listed
+goes to an exact hash join with the list, which removes false positives; all else never meets the list.
 
 Canonical: the host without a leading ``www.``, the path without trailing slashes, the query without
 tracking parameters; scheme and fragment do not count.
 
 Defined cases: a null URL or one without ``://`` has an empty host and path, fits no rule and is
-never listed; every row is judged, repeated ones alike; an empty list blocks nothing. Extra columns
-are ignored.
+never listed; every row is judged, repeated ones alike; an empty list blocks nothing; of rules of one
+length the last by text wins. A very long URL is one value of its row. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -24,6 +25,8 @@ from tableflow.llm.native import ascii_lower
 
 BITS_PER_URL = 16
 WORDS = 8
+#: blocks (72 bytes each) up to which the filter is broadcast: that of 16 million listed URLs
+BROADCAST_BLOCKS = 500_000
 
 _SPLIT = r"(?s)^.*?://([^/?#]*)([^?#]*)(?:\?([^#]*))?"
 _TRACKING = r"(?:^|(?<=&))(?:utm_[^=&]*|ref|gclid|fbclid)(?:=[^&]*)?(?:&|$)"
@@ -113,21 +116,25 @@ def filter_urls(pages: DataFrame, listed: DataFrame, rules: Sequence[Rule] = RUL
         rule.alias("rule"),
         verdict.alias("by_rule"),
         canonical(url).alias("canonical_url"),
-    ).withColumn("block", _block(F.col("canonical_url"), blocks))
+    )
+    # only pages that neither a rule decides nor lack a host are looked up at all
+    is_open = F.col("by_rule").isNull() & (F.col("host") != "")
+    no = F.lit(False)
+    decided = judged.where(~is_open).select("page_id", "host", "path", "rule", "by_rule", no.alias("is_listed"), no.alias("possible"))
+    asked = judged.where(is_open).withColumn("block", _block(F.col("canonical_url"), blocks))
+    filter_ = bloom_blocks(urls, blocks)
+    filter_ = F.broadcast(filter_) if blocks <= BROADCAST_BLOCKS else filter_
     held = [F.col(f"w{i}").bitwiseAND(_bit(F.col("canonical_url"), i)) != 0 for i in range(WORDS)]
     every = held[0]
     for bit in held[1:]:
         every = every & bit
-    open_ = F.col("by_rule").isNull() & (F.col("host") != "")
-    looked = judged.join(bloom_blocks(urls, blocks), "block", "left").withColumn(
-        "possible", F.coalesce(open_ & every, F.lit(False))
-    )
+    looked = asked.join(filter_, "block", "left").withColumn("possible", F.coalesce(every, no))
     hits = looked.where("possible").join(
         urls.withColumn("is_listed", F.lit(True)), F.col("canonical_url") == F.col("listed_url"), "left"
     )
-    others = looked.where("not possible").withColumn("is_listed", F.lit(False))
-    columns = ["page_id", "host", "path", "rule", "by_rule", "is_listed", "possible"]
-    both = hits.select(*columns).unionByName(others.select(*columns))
+    others = looked.where("not possible").withColumn("is_listed", no)
+    columns = decided.columns
+    both = hits.select(*columns).unionByName(others.select(*columns)).unionByName(decided)
     by_list = F.when(F.coalesce("is_listed", F.lit(False)), F.lit("block")).otherwise(F.lit("allow"))
     return both.select(
         "page_id", "host", "path", "rule", F.coalesce("by_rule", by_list).alias("verdict"), "possible"
