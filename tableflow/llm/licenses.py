@@ -5,8 +5,9 @@ each word, the automaton's state and a length say which longest run of words end
 a template. Runs that cannot grow are matches; for each template, matches of several words whose
 places follow one another in the file and in the template are chained into a span, and a span that
 covers enough of the template gives its label, unless all it covers are words that another template has too
-and this one has others: a notice that stops before "nc" does not tell BY-NC from BY-SA. Short phrases, and
-templates too short for a match, have to be whole.
+and this one has others: a notice that stops before "nc" does not tell BY-NC from BY-SA. Where another
+template has all the words, it is pairs of neighbouring words that have to tell the two apart ("GNU General" is in
+no notice of the GNU Affero General Public License). Short phrases, and templates too short for a match, have to be whole.
 
 Only words that some template has can be part of a match, so runs of such words are cut out of a
 batch by arrays first, and only those go through the automaton.
@@ -14,7 +15,9 @@ batch by arrays first, and only those go through the automaton.
 The templates are a bounded parameter; the automaton travels with the tasks.
 
 Defined cases: a null text is empty; a text without words has no label and score 0; every row is
-scanned, repeated ones alike; overlapping places of a phrase all count. Extra columns are ignored.
+scanned, repeated ones alike; overlapping places of a phrase all count; of equally long chains of a template the first
+in the file is its span. A very long text is streamed by one task, with some 50 bytes a word. The score is the best
+share of a template, and 0.5 at least where a phrase stands. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -52,6 +55,11 @@ TEMPLATES = {
         " and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,"
         " subject to the following conditions: The above copyright notice and this permission notice shall be"
         " included in all copies or substantial portions of the Software."
+        " THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT"
+        " LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO"
+        " EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER"
+        " IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR"
+        " THE USE OR OTHER DEALINGS IN THE SOFTWARE."
     ),
     "apache": (
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in"
@@ -68,6 +76,24 @@ TEMPLATES = {
         " but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A"
         " PARTICULAR PURPOSE. See the GNU General Public License for more details."
     ),
+    "lgpl": (
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser"
+        " General Public License as published by the Free Software Foundation; either version 2.1 of the License,"
+        " or (at your option) any later version. This library is distributed in the hope that it will be useful,"
+        " but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A"
+        " PARTICULAR PURPOSE. See the GNU Lesser General Public License for more details."
+    ),
+    "agpl": (
+        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero"
+        " General Public License as published by the Free Software Foundation, either version 3 of the License, or"
+        " (at your option) any later version. This program is distributed in the hope that it will be useful, but"
+        " WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR"
+        " PURPOSE. See the GNU Affero General Public License for more details."
+    ),
+    "epl": (
+        "This program and the accompanying materials are made available under the terms of the Eclipse Public"
+        " License 2.0 which is available at https://www.eclipse.org/legal/epl-2.0/"
+    ),
     "bsd": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided"
         " that the following conditions are met: Redistributions of source code must retain the above copyright"
@@ -75,6 +101,20 @@ TEMPLATES = {
         " reproduce the above copyright notice, this list of conditions and the following disclaimer in the"
         " documentation and/or other materials provided with the distribution."
     ),
+    "bsd-3-clause": (
+        "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or"
+        " promote products derived from this software without specific prior written permission."
+    ),
+    "bsd-disclaimer": (
+        "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED"
+        " WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A"
+        " PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR"
+        " ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED"
+        " TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION)"
+        " HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING"
+        " NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE"
+        " POSSIBILITY OF SUCH DAMAGE."
+    ),
     "isc": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is"
         " hereby granted, provided that the above copyright notice and this permission notice appear in all"
@@ -163,6 +203,11 @@ class SuffixAutomaton:
             yield state, length
 
 
+def _places(row: Sequence, known: set) -> int:
+    """The places of what is not known, as bits."""
+    return sum(1 << place for place, what in enumerate(row) if what not in known)
+
+
 class Scanner:
     """The automaton of the templates and phrases, over the hashes of their words."""
 
@@ -180,12 +225,19 @@ class Scanner:
         self.sizes = [len(row) for row in rows[: len(self.labels)]]
         #: shortest run of known words that can hold a phrase or a match
         self.least = min([LEAST_MATCH, *(len(row) for row in rows if row)])
-        #: template -> for each other one that lacks words of it, the places of those words, as bits
-        self.telling: list[list[int]] = []
+        #: template -> for each other one that lacks words of it, or else pairs of words, their places as bits
+        self.telling: list[tuple[list[int], list[int]]] = []
         for number, row in enumerate(rows[: len(self.labels)]):
-            others = [set(own) for other, own in enumerate(rows[: len(self.labels)]) if other != number]
-            masks = {sum(1 << place for place, word in enumerate(row) if word not in own) for own in others}
-            self.telling.append(sorted(masks - {0}))
+            words_of_it, pairs_of_it = set(), set()
+            for other, own in enumerate(rows[: len(self.labels)]):
+                if other == number or self.labels[other] == self.labels[number]:
+                    continue
+                mask = _places(row, set(own))
+                if mask:
+                    words_of_it.add(mask)
+                else:
+                    pairs_of_it.add(_places(list(zip(row, row[1:])), set(zip(own, own[1:]))))
+            self.telling.append((sorted(words_of_it), sorted(pairs_of_it - {0})))
         self.phrase_labels = list(phrases.values())
         self.automaton = SuffixAutomaton(rows)
         #: state -> (phrase, its length) of the phrases that a match of that length in the state ends with
@@ -242,11 +294,11 @@ class Scanner:
         best, top = {}, 0.0
         for template, parts in by_template.items():
             ordered = sorted(parts)
-            telling = self.telling[template]
-            covers: list[tuple[int, int, int]] = []
+            telling_words, telling_pairs = self.telling[template]
+            covers: list[tuple[int, int, int, int]] = []
             for at, (first, place, size) in enumerate(ordered):
-                own = ((1 << size) - 1) << place
-                cover, begin, places = size, first, own
+                own, own_pairs = ((1 << size) - 1) << place, ((1 << size - 1) - 1) << place
+                cover, begin, places, pairs = size, first, own, own_pairs
                 for before in range(at - 1, -1, -1):
                     first0, place0, size0 = ordered[before]
                     if first - first0 > GAP + self.sizes[template]:
@@ -255,11 +307,12 @@ class Scanner:
                     if first0 < first and place0 < place and first - first0 - size0 <= GAP and overlap < size:
                         if covers[before][0] + size - overlap > cover:
                             cover, begin = covers[before][0] + size - overlap, covers[before][1]
-                            places = covers[before][2] | own
-                covers.append((cover, begin, places))
+                            places, pairs = covers[before][2] | own, covers[before][3] | own_pairs
+                covers.append((cover, begin, places, pairs))
                 share = min(1.0, cover / self.sizes[template])
                 top = max(top, share)
-                if share >= covered and share > best.get(template, (0.0,))[0] and all(places & mask for mask in telling):
+                tells = all(places & mask for mask in telling_words) and all(pairs & mask for mask in telling_pairs)
+                if share >= covered and share > best.get(template, (0.0,))[0] and tells:
                     best[template] = (share, begin, first + size)
         return best, top
 

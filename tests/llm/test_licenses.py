@@ -1,7 +1,19 @@
 import random
 import re
 
-from tableflow.llm.licenses import PHRASES, TEMPLATES, SuffixAutomaton, op10_licenses, scan_licenses
+import numpy as np
+
+from tableflow.llm.licenses import (
+    GAP,
+    LEAST_MATCH,
+    PHRASES,
+    TEMPLATES,
+    Scanner,
+    SuffixAutomaton,
+    op10_licenses,
+    scan_licenses,
+)
+from tableflow.llm.words import LETTERS_AND_DIGITS, LOWER, words_of
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
@@ -91,3 +103,76 @@ def test_phrases_and_templates_of_one_word(spark):
     rows = scan_licenses(docs, {"zlib": "zlib", "two": "two words"}, {"wtfpl": "wtfpl"}).collect()
     got = {row["doc_id"]: (row["n_base"], row["first_word"], row["labels"], row["score"]) for row in rows}
     assert got == {1: (1, 1, "wtfpl", 0.5), 2: (1, 0, "wtfpl", 0.5), 3: (0, None, "zlib", 1.0), 4: (0, None, "", 0.0)}
+
+
+def test_licences_that_share_most_of_their_words(spark):
+    two = TEMPLATES["bsd"] + " " + TEMPLATES["bsd-disclaimer"]
+    texts = {
+        "gpl": TEMPLATES["gpl"],
+        "lgpl": TEMPLATES["lgpl"],
+        "agpl": TEMPLATES["agpl"],
+        "epl": "Copyright (c) 2020 someone. " + TEMPLATES["epl"] + " SPDX",
+        "bsd,bsd-disclaimer": two,
+        "bsd,bsd-3-clause,bsd-disclaimer": two + " " + TEMPLATES["bsd-3-clause"],
+        "mit": "Copyright (c) 2020 someone " + TEMPLATES["mit"],
+        "": "This program is free software; you can redistribute it",
+    }
+    docs = spark.createDataFrame(list(enumerate(texts.values())), "doc_id long, text string")
+    got = {row["doc_id"]: row["labels"] for row in scan_licenses(docs).collect()}
+    assert got == dict(enumerate(texts))
+
+
+def longest_chain(scanner, template, text):
+    """Words of a template that matches in order cover, over all ways to chain them: brute force."""
+    own, file = words(template), words(text)
+    matches = set()
+    for at in range(len(file)):
+        for place in range(len(own)):
+            size = 0
+            while at + size < len(file) and place + size < len(own) and file[at + size] == own[place + size]:
+                size += 1
+            if size >= LEAST_MATCH and (at == 0 or place == 0 or file[at - 1] != own[place - 1]):
+                matches.add((at, place, size))
+    best = 0
+
+    def go(chain, cover):
+        nonlocal best
+        best = max(best, cover)
+        first0, place0, size0 = chain
+        for first, place, size in matches:
+            if first > first0 and place > place0 and first - first0 - size0 <= GAP:
+                overlap = max(0, first0 + size0 - first, place0 + size0 - place)
+                if overlap < size:
+                    go((first, place, size), cover + size - overlap)
+
+    for match in matches:
+        go(match, match[2])
+    return best
+
+
+def test_chains_are_those_of_brute_force():
+    rng = random.Random(15)
+    template = " ".join(f"t{rng.randrange(60)}" for _ in range(70))
+    scanner = Scanner({"own": template}, {})
+    ids = {word: at for at, word in enumerate(sorted(set(words(template))))}
+    for _ in range(60):
+        own = words(template)
+        for _ in range(rng.randrange(1, 6)):
+            at = rng.randrange(len(own))
+            own[at : at + rng.randrange(0, 4)] = [f"x{k}" for k in range(rng.choice([0, 1, 2, 40]))]
+        text = " ".join(own[rng.randrange(20) :])
+        hashes = words_of(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]), LETTERS_AND_DIGITS, LOWER).hashes
+        matches, run, start = [], [], 0
+        for at, value in enumerate([*hashes.tolist(), None]):
+            known = value is not None and value in set(scanner.known.tolist())
+            if known:
+                start = at if not run else start
+                run.append(int(np.searchsorted(scanner.known, np.uint64(value))))
+            elif run:
+                scanner.run(run, start, [], matches)
+                run = []
+        _, share = scanner.chain(matches, 0.5) if matches else ({}, 0.0)
+        # the scan follows the longest matches alone, so it may cover less, but never more
+        want = longest_chain(scanner, template, text) / scanner.sizes[0]
+        assert share <= min(1.0, want) + 1e-9 and share >= min(1.0, want) - 0.15
+    assert len(ids) > 30
