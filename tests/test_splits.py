@@ -8,8 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from plans import plan_of
-from tableflow.operators import arrange_by_region, place_in_regions, region_of, split_keys, split_positions
+from tableflow.operators import region_of, split_keys, split_positions
 from tableflow.operators.search import count_up_to
 
 
@@ -100,42 +99,3 @@ def test_region_is_the_number_of_splits_not_above_the_key(spark, splits):
 def test_search_on_numbers(spark):
     found = spark.range(12).select("id", count_up_to(F.col("id"), [2, 5, 9], "bigint").alias("n"))
     assert [row.n for row in found.orderBy("id").collect()] == [0, 0, 1, 1, 1, 2, 2, 2, 2, 3, 3, 3]
-
-
-def cells_frame(spark, rows):
-    return spark.createDataFrame(rows, "rowkey string, cf string, qualifier string, version long, value string")
-
-
-def test_arranged_cells_are_sorted_runs(spark):
-    cells = cells_frame(
-        spark,
-        [(f"{n % 90:02}", "d", q, n, str(n)) for n in range(3000) for q in ("b", "a")]
-        + [("a!", "d", "b", 1, "x"), ("a", "d", "b", 1, "x"), ("a$b", "d", "a", 1, "x")],
-    ).repartition(5)
-    splits = ["10", "30", "31", "a!"]
-    arranged = arrange_by_region(cells, splits, tasks=6).withColumn("p", F.spark_partition_id())
-    runs = {}
-    for row in arranged.collect():
-        assert row.region == bisect_right(splits, row.rowkey)
-        runs.setdefault(row.p, []).append((row.region, row.rowkey, row.cf, row.qualifier))
-    assert sum(map(len, runs.values())) == 6003 and len(runs) == 6
-    assert all(run == sorted(run) for run in runs.values())
-    ends = sorted((run[0], run[-1]) for run in runs.values())
-    assert all(last <= first for (_, last), (first, _) in zip(ends, ends[1:]))
-
-
-def test_a_hot_key_is_parted_by_spread(spark):
-    rows = spark.range(9000).select(
-        F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("rowkey"),
-        F.col("id").cast("int").alias("spread"),
-    )
-    placed = place_in_regions(rows, ["a"], tasks=9, spread="spread")
-    sizes = [row["count"] for row in placed.groupBy(F.spark_partition_id()).count().collect()]
-    assert sum(sizes) == 9000 and max(sizes) < 3000  # without spread: 6000
-    assert placed.where("region <> if(rowkey >= 'a', 1, 0)").count() == 0
-
-
-def test_one_shuffle_and_no_global_sort(spark):
-    cells = cells_frame(spark, [("a", "d", "q", 1, "x")])
-    plan = plan_of(arrange_by_region(cells, ["b"]), "simple")
-    assert plan.count("Exchange") == 1 and "rangepartitioning(rowkey" in plan
