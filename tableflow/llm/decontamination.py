@@ -12,7 +12,8 @@ the hits extended word by word. Items of fewer words are searched the same way a
 Defined cases: a null or wordless document has no words and no hits; an item without words has no
 window; rows that agree in id and text are reported as often as they occur; an item id that repeats
 counts once; a null item id is left out of the lists. A text that repeats an item's words many times has a row per
-place, not an array of places. Extra columns are ignored.
+place, not an array of places; a very long text is one row with an array of its words and hashes. Extra columns are
+ignored.
 """
 
 from __future__ import annotations

@@ -30,7 +30,7 @@ Defined cases: words are lower-cased (A-Z); a text with 1 to 4 words has one shi
 and wordless texts have none and are their own component; rows that share an id are one document of
 several texts: any of them may link; every row is reported. Rows with a null id are documents of their
 own; a null id is smaller than all others and reported as null. Extra columns are ignored. Shingles and
-sets are told apart by 64-bit hashes.
+sets are told apart by 64-bit hashes. A very long text is one array of its task, with some 50 bytes a word.
 """
 
 from __future__ import annotations

@@ -12,7 +12,9 @@ Texts are lower-cased; what is no letter counts as one blank, and a text begins
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so is every text if
 nothing can be learned from. Of languages that fit alike, the first in order wins. Every row is
-judged, repeated ones alike. Extra columns are ignored.
+judged, repeated ones alike, and learned from as often as it occurs. A very long text is one array of its task, some
+100 bytes a character. More than ``MOST_LANGUAGES`` languages are refused: the column holds something else. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,6 +30,8 @@ from tableflow.llm.words import mixed, pieces
 
 DIMENSIONS = 1024
 SEED = 1
+#: languages whose profiles (8 KB each) are kept and sent to tasks
+MOST_LANGUAGES = 4096
 UNKNOWN = "und"
 #: documents of this remainder of crc32(id) modulo 4 are held out
 HELD_OUT = 2
@@ -131,12 +135,16 @@ def _profile_rows(dimensions: int):
 def prototypes(docs: DataFrame, dimensions: int = DIMENSIONS) -> tuple[list[str], np.ndarray]:
     """Languages in order, and the unit vector of each; from rows with text and lang."""
     known = docs.select("text", "lang").where("text is not null and lang is not null")
+    names = [row["lang"] for row in known.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect()]
+    if len(names) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages: profiles are kept for that many")
+    names.sort()
     sums = known.mapInArrow(_profile_rows(dimensions), "lang string, dimension int, value long")
-    rows = sums.groupBy("lang", "dimension").agg(F.sum("value").alias("value")).collect()
-    names = sorted({row["lang"] for row in rows})
+    rows = sums.groupBy("lang", "dimension").agg(F.sum("value").alias("value")).toArrow()
+    place = {name: at for at, name in enumerate(names)}
     table = np.zeros((len(names), dimensions))
-    for row in rows:
-        table[names.index(row["lang"]), row["dimension"]] = row["value"]
+    at = np.array([place[name] for name in rows.column("lang").to_pylist()], np.int64)
+    table[at, rows.column("dimension").to_numpy()] = rows.column("value").to_numpy()
     lengths = np.linalg.norm(table, axis=1, keepdims=True)
     return names, table / np.where(lengths > 0, lengths, 1)
 

@@ -8,7 +8,8 @@ third of all documents hold is one row per chunk, added up before it is shuffled
 
 Defined cases: a null or empty text has one empty line (a null stays null); every row is a document of its own, also
 when rows repeat. Lines whose 64-bit hashes agree are taken to be alike. An index may be probed with
-lines it does not hold: they pass for absent but for a chance of 2^-32 per probe.
+lines it does not hold: they pass for absent but for a chance of 2^-32 per probe. A very long text is split in one
+task, whole. Extra columns can be carried along.
 """
 
 from __future__ import annotations

@@ -10,7 +10,7 @@ are put in the order of another hash: dealt to partitions by it and sorted by it
 
 Defined cases: a null text counts 0 bytes; a null source is a source of its own; sources without any
 byte, or not among given weights, have rate 0; rows that agree in id, source and text are repeated
-alike; rows without an id are named by their text. All columns of the input are kept; ``copy``,
+alike; rows without an id are named by their text; a very long text is repeated like any other. All columns of the input are kept; ``copy``,
 ``mix_key`` are added, and replace columns of those names.
 """
 

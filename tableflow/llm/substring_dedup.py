@@ -16,7 +16,8 @@ of one key is more than the batches have sent.
 Defined cases: a null text has no words; a null id comes before all others; rows with equal id and
 text are one document, reported once per row; rows with equal id and other text are documents of
 their own whose windows start at the same place, none earlier. Extra columns are ignored. Rows should
-come in a fixed order within a partition, as from files, so that a task that is run again does the same.
+come in a fixed order within a partition, as from files, so that a task that is run again does the same. A very long
+text is one array of its task, with some 50 bytes a word.
 """
 
 from __future__ import annotations

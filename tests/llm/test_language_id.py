@@ -1,4 +1,5 @@
 import numpy as np
+import pytest
 
 from tableflow.llm.language_id import Alphabet, Runs, identify_languages, letter_vectors, op7_language_id, prototypes
 
@@ -56,3 +57,18 @@ def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
     got = op7_language_id(spark, sf_dir).where("held_out").join(docs, "doc_id")
     assert got.where("lang = lang_pred").count() / got.count() >= 0.99
+
+
+def test_repeated_rows_ties_and_a_very_long_text(spark):
+    rows = [(1, "aaa bbb", "b"), (1, "aaa bbb", "b"), (2, "aaa bbb", "a"), (3, "ccc ddd", "c"), (4, "ccc ddd " * 150_000, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, table = prototypes(docs)
+    assert names == ["a", "b", "c"] and np.allclose(table[0], table[1])  # twice the same is the same direction
+    got = {r["doc_id"]: r["lang_pred"] for r in identify_languages(docs, names, table).collect()}
+    assert got == {1: "a", 2: "a", 3: "c", 4: "c"}
+
+
+def test_a_column_that_holds_no_languages_is_refused(spark):
+    docs = spark.range(5000).selectExpr("id as doc_id", "'some text' as text", "cast(id as string) as lang")
+    with pytest.raises(ValueError, match="languages"):
+        prototypes(docs)

@@ -39,3 +39,10 @@ def test_arrays_of_a_shard_answer_members_and_strangers():
     assert probe(index, asked).tolist() == [4] * 500 + [2] * 500
     strangers = np.array([line_hash(f"other {k}".encode()) for k in range(1000)], np.int64).view(np.uint64)
     assert not probe(index, strangers).any()
+
+
+def test_a_very_long_text_and_one_line_everywhere(spark):
+    rows = [(k, f"footer\nown {k}") for k in range(500)] + [(900, "footer\nlong line\n" * 100_000)]
+    got = drop_common_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), 10, ["doc_id"])
+    found = {r["row"]["doc_id"]: (r["n_lines"], r["n_dropped"], len(r["kept_text"])) for r in got.collect()}
+    assert found[900] == (200_001, 100_000, 100_000 * 10) and found[3] == (2, 1, 5) and len(found) == 501

@@ -98,3 +98,10 @@ def test_sql_says_what_the_operator_does(spark, tmp_path):
     want = con.sql(f"select {', '.join(columns)} from ({OP9_SQL})").fetchall()
     assert sorted(map(str, want)) == sorted(str(tuple(row)) for row in got.select(*columns).collect())
     assert len(want) > 1500
+
+
+def test_a_very_long_text(spark):
+    rows = [(1, "word " * 1_000_000, "a"), (2, "x", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = mix_sources(docs, {"a": 1.0, "b": 0.0}, output_ratio=3.0).selectExpr("doc_id", "char_length(text) as n").collect()
+    assert {(r["doc_id"], r["n"]) for r in out} <= {(1, 5_000_000)}
