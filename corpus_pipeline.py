@@ -5,9 +5,9 @@ join (the document of the least id of each group of near duplicates stays), benc
 decontamination (contaminated documents go), mixing (documents are repeated to target weights).
 
 All stages but the last return the columns they got; line dedup sets ``n_chars`` to the new length. A
-null text passes every filter and stays null. Rows that share an id are one document in the Jaccard
-stage, and one of them stays; rows without an id are documents of their own, of which one per text
-stays. Extra columns pass unchanged through every stage.
+null text passes every filter and stays null. Rows that share an id are one document of several texts in the
+Jaccard stage: it stays or goes as a whole, each text once. Rows without an id are documents of their own, of which
+one per text stays. Extra columns pass unchanged through every stage.
 """
 
 from __future__ import annotations
@@ -49,8 +49,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = jaccard_components(docs).where("not (component_id <=> doc_id)")
     dropped = broadcast_if_small(stored(found.select(order_id().alias("id")).distinct()))
-    # ids that several rows have, and texts that several rows without an id have
-    copy = F.when(F.col("doc_id").isNull(), F.coalesce(F.xxhash64("text"), F.lit(0))).otherwise(F.lit(0))
+    # a text that several rows of an id have, or several without an id
+    copy = F.coalesce(F.xxhash64("text"), F.lit(0))
     names = [F.col(quoted(name)) for name in docs.columns]
     packed = docs.select(F.struct(*names).alias("row"), order_id().alias("id"), copy.alias("copy"))
     packed = packed.join(dropped, "id", "left_anti")
