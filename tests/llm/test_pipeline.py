@@ -122,3 +122,12 @@ def test_queries_give_the_rows_of_their_sql(spark, name):
     assert sorted(expected.columns) == columns
     rows = con.sql(f"select {', '.join(columns)} from ({registry.ORACLES[name]})").fetchall()
     assert sorted(map(str, rows)) == sorted(str(tuple(row)) for row in got.select(*columns).collect())
+
+
+def test_texts_that_share_an_id_are_not_lost(spark):
+    words = [" ".join(f"{c}{k}" for k in range(40)) for c in "abc"]
+    rows = [(1, words[0]), (1, words[1]), (1, words[1]), (2, words[1] + " more"), (3, words[2]), (None, words[2]), (None, None)]
+    docs = spark.createDataFrame([(*row, "en", "s", 1) for row in rows], COLUMNS)
+    near = dict(corpus_pipeline.STAGES)["n-gram Jaccard join"]
+    got = sorted(((row["doc_id"], row["text"]) for row in near(spark, docs, "").collect()), key=str)
+    assert got == sorted([(1, words[0]), (1, words[1]), (None, words[2]), (None, None)], key=str)
