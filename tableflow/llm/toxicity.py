@@ -246,7 +246,7 @@ class BlockMaxIndex:
     @cached_property
     def dense(self) -> np.ndarray:
         """Weights of the common terms in each example; the last block is filled up. Not sent to tasks."""
-        dense = np.zeros((self.blocks * BLOCK, len(self.common)))
+        dense = np.zeros((self.blocks * BLOCK, len(self.common)), self.weights.dtype)
         dense[self.often[0], self.often[1]] = self.often[2]
         return dense
 
@@ -402,16 +402,24 @@ def _example_rows(words: np.ndarray, marks: np.ndarray, idf: np.ndarray):
             for begin, end, data, offsets in pieces(batch.column("text")):
                 vectors = unit_entries(term_counts(data, offsets, words, marks), idf, len(words))
                 edges = np.searchsorted(vectors.row, np.arange(end - begin + 1))
-                columns = [packed(vectors.term, edges), packed(vectors.value, edges)]
+                columns = [packed(vectors.term, edges), packed(vectors.value.astype(np.float32), edges)]
                 number = batch.column("number").slice(begin, end - begin)
                 yield pa.RecordBatch.from_arrays([number, *columns], ["number", "terms", "weights"])
 
     return rows
 
 
-def _unpacked(column: pa.ChunkedArray, kind: type) -> np.ndarray:
-    data = [np.frombuffer(value.as_buffer(), kind) for value in column]
-    return np.concatenate(data) if data else np.zeros(0, kind)
+def _vectors(rows: pa.Table, count: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(number of terms of each example, terms, weights) from packed rows in any order."""
+    numbers = rows.column("number").to_numpy()
+    sizes = np.zeros(count, np.int64)
+    sizes[numbers] = pc.binary_length(rows.column("terms")).to_numpy() // 4
+    ends = np.cumsum(sizes)
+    term, weight = np.empty(int(sizes.sum()), np.int32), np.empty(int(sizes.sum()), np.float32)
+    for name, values in (("terms", term), ("weights", weight)):
+        for number, value in zip(numbers.tolist(), rows.column(name)):
+            values[ends[number] - sizes[number] : ends[number]] = np.frombuffer(value.as_buffer(), values.dtype)
+    return sizes, term, weight
 
 
 def choose_examples(docs: DataFrame, labels: DataFrame, examples: int, most_bytes: int) -> tuple[DataFrame, pa.Table]:
@@ -471,10 +479,9 @@ def fit(
     rows = chosen.select("number", "text").mapInArrow(
         _example_rows(words, marks, idf), "number int, terms binary, weights binary"
     ).toArrow()
-    rows = rows.take(pc.sort_indices(rows, [("number", "ascending")]))
-    sizes = pc.binary_length(rows.column("terms")).to_numpy() // 4
-    term, weight = _unpacked(rows.column("terms"), np.int32), _unpacked(rows.column("weights"), np.float64)
+    sizes, term, weight = _vectors(rows, len(names))
     del rows
+    pa.default_memory_pool().release_unused()
     toxic = names.column("toxic").to_numpy().astype(np.int64)
     ids = names.column("doc_id").to_numpy().astype(np.int64)
     filled = np.flatnonzero(sizes)
