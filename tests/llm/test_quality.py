@@ -14,6 +14,7 @@ from tableflow.llm.quality import (
     bucket_counts,
     bucket_number,
     features,
+    fitted_threshold,
     judge_quality,
     log_ratios,
     score_quality,
@@ -82,6 +83,39 @@ def test_threshold_lies_between_the_kinds():
     assert best_threshold(np.array([]), np.array([1.0])) == float("-inf")
 
 
+def test_threshold_of_a_table_is_that_of_arrays(spark):
+    """Ties, repeated and negative scores, kinds apart and mixed, over several ranges and in one."""
+    rng = random.Random(11)
+    kept = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for count, steps, shift in ((400, 30, 6), (400, 10**6, 10**5), (60, 5, 0), (3, 2, 9), (1, 1, 0)):
+            rows = [(kind, (rng.randrange(steps) + shift * kind) / 7 - 3) for kind in (0, 1) for _ in range(count)]
+            rng.shuffle(rows)
+            for some in (rows, [r for r in rows if r[0]], [r for r in rows if not r[0]]):
+                table = spark.createDataFrame(some, "quality int, score double").repartition(3)
+                arrays = [np.array([score for kind, score in some if kind == side]) for side in (1, 0)]
+                assert fitted_threshold(table) == best_threshold(*arrays)
+        assert fitted_threshold(table.limit(0)) == float("-inf")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", kept)
+
+
+def test_the_threshold_is_fitted_on_every_labelled_document_of_the_fold(spark):
+    """More than 20,000 good ones: the least score is that of the id that comes last by its hash."""
+    ids = spark.range(84_000).withColumnRenamed("id", "doc_id")
+    good = ids.where(f"crc32(cast(doc_id as string)) % 4 = {FOLD} or doc_id < 100")
+    fold = good.where(f"crc32(cast(doc_id as string)) % 4 = {FOLD}")
+    assert fold.count() > 20_000
+    last = fold.selectExpr("max_by(doc_id, xxhash64(doc_id))").first()[0]
+    usual, other = (" ".join(f"{letter}{k}" for k in range(50)) for letter in "wx")
+    docs = good.selectExpr("doc_id", f"if(doc_id = {last}, '{other}', '{usual}') as text")
+    unlabelled = spark.range(100_000, 103_000).selectExpr("id as doc_id", f"'{other}' as text")
+    judged = judge_quality(docs.union(unlabelled), good.selectExpr("doc_id", "1 as quality"))
+    assert judged.where("not kept").count() == 0
+    assert judged.where(f"doc_id = {last}").first()["score"] < judged.where(f"doc_id <> {last}").first()["score"]
+
+
 def test_buckets_grow_with_the_corpus():
     sizes = [bucket_number(n) for n in (0, 10**6, 10**9, 10**10, 10**12, 10**14)]
     assert sizes[0] == BUCKETS and sizes[-1] == MOST_BUCKETS and sizes == sorted(sizes) and len(set(sizes)) >= 4
