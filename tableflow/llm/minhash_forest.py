@@ -11,17 +11,22 @@ its subtrees. Candidates are read off the order:
 * all members of a region: the largest subtree around a label that has no more than ``REGION`` members. Where
   labels are sparse it is shallow, down to ``SHALLOW`` values; where they are dense it is as deep as it takes.
   Pairs of a region with more than ``LISTED`` members are compared by their sketches where the region's members meet,
-  and only those that may be similar become rows.
+  and only those that may be similar become rows;
+* all members of a crowd: more than ``REGION`` labels that agree in all values, as a large group of near copies has.
 
-So every class has a bounded number of candidates, at any size of a group. They are verified: first by odd sketches (no similar
+They are verified: first by odd sketches (no similar
 pair is lost), then by the full sets. Similar classes give components. The neighbours of the first few trees come
-first; of the other candidates only those are compared whose classes are still in different components.
+first; of the other candidates only those are compared whose classes are still in different components. Crowds come last:
+by then nearly all of a group is one component, and each class outside it is compared with all others of its crowds, by
+sketches, in tiles of two blocks of bounded size.
+
+So every class has a bounded number of candidates but for crowds. Their cost grows with the members that are in the
+group's component times those that are not (most are similar to few or none of the group, which only comparing them tells).
 
 Recall: outside dense regions, a pair at the threshold of 0.85 misses all trees with a chance of
-(1 - 0.85^5)^32 = 7e-9. In a region of more than ``REGION`` members that share ``SHALLOW`` values without being similar, a pair
-meets at the depth the region takes, at worst (1 - 0.85^11)^32 = 0.4 % besides what neighbours find; a
-group larger than that at full depth is linked by neighbours, other ones in each tree.
-Labels that a border between partitions parts meet in other trees.
+(1 - 0.85^5)^32 = 7e-9. In a region of more than ``REGION`` members that share ``SHALLOW`` values, a pair
+meets at the depth the region takes, at worst at full depth and misses all trees with a chance of (1 - 0.85^11)^32 = 0.3 %, at
+any size of its group. Labels that a border between partitions parts meet in other trees.
 
 Defined cases: words are lower-cased (A-Z); a text with 1 or 2 words has one shingle, all of it; null and
 wordless texts have none, are their own component and kept. Rows that share an id are one document of several
@@ -54,6 +59,11 @@ SHALLOW = 5
 #: members of a region whose members are all candidates of each other, and of one whose pairs are listed at once
 REGION = 64
 LISTED = 8
+#: members, and shingles of them, in a block of a crowd
+BLOCK = 2048
+BLOCK_SHINGLES = 1 << 24
+#: pairs that a task holds before it hands them on
+HELD = 1 << 18
 #: neighbours in the order on either side
 NEXT = 2
 #: trees whose neighbours are compared first
@@ -164,7 +174,7 @@ def common_prefixes(labels: np.ndarray) -> np.ndarray:
 
 
 def regions_of(common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(depth, first place) of the region of each of the sorted labels; -1 where full depth has too many.
+    """(depth, first place) of the region of each of the sorted labels; at full depth it has all members, however many.
 
     ``common`` is what each label has in common with the next.
     """
@@ -172,7 +182,7 @@ def regions_of(common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     depth_of, first_of = np.full(count, -1, np.int64), np.full(count, -1, np.int64)
     for depth in range(SHALLOW, DEEP + 1):
         run = np.concatenate([[0], np.cumsum(common < depth)])
-        small = (depth_of < 0) & (np.bincount(run)[run] <= REGION)
+        small = (depth_of < 0) & ((np.bincount(run)[run] <= REGION) | (depth == DEEP))
         depth_of[small] = depth
         first_of[small] = np.searchsorted(run, run[small])
     return depth_of, first_of
@@ -181,13 +191,13 @@ def regions_of(common: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 def candidates(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(place, later place, direct neighbours?) of listed candidates among sorted labels, and members of the larger regions.
 
-    These are (place, name of the region).
+    These are (place, name of the region). A crowd has the same name wherever a part of it is met.
     """
     count = len(labels)
     common = common_prefixes(labels)
     depth, first = regions_of(common)
-    size = np.bincount(first[first >= 0], minlength=count)[first]
-    listed = (first >= 0) & (size <= LISTED)
+    size = np.bincount(first, minlength=count)[first]
+    listed = size <= LISTED
     ones, twos, direct = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
     least = np.full(count, DEEP + 1)
     for step in range(1, min(max(LISTED, NEXT + 1), count)):
@@ -197,14 +207,14 @@ def candidates(labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray,
         ones.append(one)
         twos.append(one + step)
         direct.append(np.full(len(one), step == 1))
-    members = np.flatnonzero((first >= 0) & (size > LISTED))
-    width = _TREE + _PREFIX + 2 * (depth[members] - SHALLOW)
-    names = {
-        int(at): int.from_bytes(blake2b(labels[at, :end].tobytes(), digest_size=8).digest(), "little", signed=True)
-        for at, end in zip(first[members], width, strict=True)
-    }
-    regions = np.array([names[int(at)] for at in first[members]], np.int64)
-    return np.concatenate(ones), np.concatenate(twos), np.concatenate(direct), members, regions
+    members = np.flatnonzero(~listed)
+    heads, of = np.unique(first[members], return_inverse=True)
+    width = _TREE + _PREFIX + 2 * (depth[heads] - SHALLOW)
+    names = [
+        int.from_bytes(blake2b(labels[at, :end].tobytes(), digest_size=8).digest(), "little", signed=True)
+        for at, end in zip(heads.tolist(), width.tolist(), strict=True)
+    ]
+    return np.concatenate(ones), np.concatenate(twos), np.concatenate(direct), members, np.array(names, np.int64)[of]
 
 
 def _candidate_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,35 +250,67 @@ def _folded(sketch: np.ndarray, words: int) -> np.ndarray:
     return sketch if len(sketch) == words else sketch[:words] ^ sketch[words:]
 
 
+def _near(
+    names: np.ndarray, roots: np.ndarray, sizes: np.ndarray, sides: np.ndarray, sketches: list[np.ndarray]
+) -> Iterator[np.ndarray]:
+    """Pairs of a region that sizes and sketches leave possible, of classes with different roots, as [2, pair]."""
+    widths = np.array([len(sketch) for sketch in sketches])
+    # a pair is compared at the width of the smaller sketch
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero((widths == width) | (widths == 2 * width))
+        rows = rows[np.lexsort([roots[rows], sides[rows]])]
+        bits = np.stack([_folded(sketches[row], width) for row in rows.tolist()], 1)
+        name, root, size, side, narrow = names[rows], roots[rows], sizes[rows], sides[rows], widths[rows] == width
+        half = np.searchsorted(side, 1, "right")
+        if side[0] == 0:
+            # later rows of other roots
+            last, low, high = len(rows), np.zeros(len(rows), np.int64), np.searchsorted(root, root, "right")
+            begin = low
+        else:
+            # rows of side 2 and other roots
+            last, begin = half, np.full(half, half)
+            low, high = (half + np.searchsorted(root[half:], root[:half], way) for way in ("left", "right"))
+        for at in range(last):
+            for one, end in ((begin[at], low[at]), (high[at], len(rows))):
+                if one >= end:
+                    continue
+                apart = np.bitwise_count(bits[:, one:end] ^ bits[:, at : at + 1]).sum(0, dtype=np.uint32).astype(np.int64)
+                total = size[at] + size[one:end]
+                near = apart <= total - 2 * -(-17 * total // 37)
+                near &= (20 * size[at] >= 17 * size[one:end]) & (20 * size[one:end] >= 17 * size[at])
+                near &= narrow[at] | narrow[one:end]
+                if near.any():
+                    two = name[one:end][near]
+                    yield np.stack([np.minimum(name[at], two), np.maximum(name[at], two)])
+
+
 def _region_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b) of a region that sizes and sketches leave possible, of classes with different roots."""
+    """Pairs (a, b) of a region, or a tile of one, that may be similar, of classes with different roots.
+
+    Rows of side 0 are compared with all of the region, those of side 1 with those of side 2.
+    """
+
+    def rows(found: list[np.ndarray]) -> pa.RecordBatch:
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
+        return pa.RecordBatch.from_arrays([as_long(pairs[0]), as_long(pairs[1])], ["a", "b"])
+
     for table in whole_groups(batches, "region", 5000):
-        regions, names, roots, sizes = (
-            table.column(name).to_numpy() for name in ("region", "class", "root", "n_shingles")
+        regions, names, roots, sizes, sides = (
+            table.column(name).to_numpy() for name in ("region", "class", "root", "n_shingles", "side")
         )
         column = table.column("sketch").combine_chunks()
         bits, edges = column.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(pc.list_value_length(column).to_numpy())])
-        found = [np.zeros((2, 0), np.int64)]
+        found, held = [np.zeros((2, 0), np.int64)], 0
         cuts = np.flatnonzero(np.concatenate([[True], regions[1:] != regions[:-1], [True]]))
         for low, high in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-            widths = np.diff(edges[low : high + 1])
-            # a pair is compared at the width of the smaller sketch
-            for width in np.unique(widths).tolist():
-                rows = low + np.flatnonzero((widths == width) | (widths == 2 * width))
-                sketches = np.stack([_folded(bits[edges[row] : edges[row + 1]], width) for row in rows.tolist()])
-                narrow = widths[rows - low] == width
-                for at in range(len(rows) - 1):
-                    one, others = rows[at], rows[at + 1 :]
-                    total = sizes[one] + sizes[others]
-                    apart = np.bitwise_count(sketches[at + 1 :] ^ sketches[at]).sum(1, dtype=np.int64)
-                    near = apart <= total - 2 * -(-17 * total // 37)
-                    near &= (20 * sizes[one] >= 17 * sizes[others]) & (20 * sizes[others] >= 17 * sizes[one])
-                    near &= (roots[others] != roots[one]) & (narrow[at] | narrow[at + 1 :])
-                    if near.any():
-                        two = names[others[near]]
-                        found.append(np.stack([np.minimum(names[one], two), np.maximum(names[one], two)]))
-        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-        yield pa.RecordBatch.from_arrays([as_long(pairs[0]), as_long(pairs[1])], ["a", "b"])
+            sketches = [bits[edges[row] : edges[row + 1]] for row in range(low, high)]
+            for pairs in _near(names[low:high], roots[low:high], sizes[low:high], sides[low:high], sketches):
+                found.append(pairs)
+                held += pairs.shape[1]
+                if held >= HELD:
+                    yield rows(found)
+                    found, held = [np.zeros((2, 0), np.int64)], 0
+        yield rows(found)
 
 
 def _set_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -323,6 +365,46 @@ def forest_candidates(features: DataFrame) -> tuple[DataFrame, DataFrame]:
     return found.where("region is null").select("a", "b", "first"), members
 
 
+def _sized_members(members: DataFrame, classes: DataFrame, named: DataFrame) -> DataFrame:
+    """region, class, root, n_shingles, sketch of the members of regions."""
+    sized = classes.select("class", "n_shingles", "sketch")
+    return members.join(sized, "class").join(named.withColumnRenamed("name", "class"), "class")
+
+
+def _near_pairs(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the regions that may be similar and have different roots."""
+    rows = rows.select("region", "class", "root", "n_shingles", "sketch", "side")
+    return rows.repartition("region").sortWithinPartitions("region").mapInArrow(_region_rows, "a long, b long")
+
+
+def _tiles(members: DataFrame) -> DataFrame:
+    """The members of crowds of several roots, in tiles: any two of a crowd meet in one of them.
+
+    A crowd is dealt to blocks; a tile, which takes the place of the region, is of two blocks, or of one with itself.
+    """
+    sums = members.groupBy("region").agg(
+        F.count("*").alias("size"), F.sum("n_shingles").alias("total"), F.min("root").alias("low"), F.max("root").alias("high")
+    )
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK), F.ceil(F.col("total") / BLOCK_SHINGLES)).cast("int")
+    sums = kept(sums.where("low <> high").select("region", blocks.alias("blocks")))
+    dealt = members.join(broadcast_if_small(sums), "region")
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("class"), "blocks").cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    side = F.when(F.col("own") == F.col("other"), 0).when(F.col("own") < F.col("other"), 1).otherwise(2)
+    tile = F.xxhash64("region", F.least("own", "other"), F.greatest("own", "other"))
+    return dealt.withColumn("side", side.cast("long")).withColumn("region", tile)
+
+
+def _more_linked(named: DataFrame, pairs: DataFrame, classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """The roots once those of the pairs are linked whose full sets are similar."""
+    if pairs.count():
+        more = _linked(pairs, classes, texts)
+        if more.count():
+            known = named.where("name <> root").select(F.col("name").alias("a"), F.col("root").alias("b"))
+            return _roots(classes, more.unionByName(known))
+    return named
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every document."""
     text = F.coalesce("text", F.lit(""))
@@ -358,16 +440,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         own = named.select(F.col("name").alias(side), F.col("root").alias(f"{side}_root"))
         apart = apart.join(own, side)
     apart = apart.where("a_root <> b_root").select("a", "b")
-    sized = classes.select("class", "n_shingles", "sketch")
-    members = members.join(sized, "class").join(named.withColumnRenamed("name", "class"), "class")
-    members = members.select("region", "class", "root", "n_shingles", "sketch")
-    near = members.repartition("region").sortWithinPartitions("region").mapInArrow(_region_rows, "a long, b long")
-    apart = kept(apart.union(near).distinct())
-    if apart.count():
-        more = _linked(apart, classes, texts)
-        if more.count():
-            known = named.where("name <> root").select(F.col("name").alias("a"), F.col("root").alias("b"))
-            named = _roots(classes, more.unionByName(known))
+    crowds = kept(members.groupBy("region").count().where(F.col("count") > REGION).select("region"))
+    crowded = crowds.count()
+    if crowded:
+        crowds = broadcast_if_small(crowds)
+        crowds, members = members.join(crowds, "region"), members.join(crowds, "region", "left_anti")
+    near = _near_pairs(_sized_members(members, classes, named).withColumn("side", F.lit(0).cast("long")))
+    named = _more_linked(named, kept(apart.union(near).distinct()), classes, texts)
+    if crowded:
+        tiles = _tiles(_sized_members(crowds, classes, named))
+        named = _more_linked(named, kept(_near_pairs(tiles).distinct()), classes, texts)
     ids = classes.join(named, F.col("class") == F.col("name"))
     least = ids.groupBy("root").agg(F.min("least").alias("component_id"))
     of_class = named.join(least, "root").select(F.col("name").alias("class"), "component_id")

@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from tableflow.llm import minhash_forest
 from tableflow.llm.minhash_forest import (
     LISTED,
     REGION,
@@ -101,6 +102,66 @@ def test_a_large_group_of_near_copies_is_one_component(spark):
     assert [row[2] for row in got] == [0] * 3000 and sum(row[3] for row in got) == 1
 
 
+@pytest.mark.parametrize("block", [minhash_forest.BLOCK, 100])
+def test_members_of_a_crowd_that_are_like_one_of_it_only(spark, monkeypatch, block):
+    """A text, many copies of it with 4 changes, and as many with 8: these are like the text itself and no other."""
+    monkeypatch.setattr(minhash_forest, "BLOCK", block)
+    rng = random.Random(25)
+    words = [f"w{k}" for k in range(300)]
+
+    def changed(count):
+        own = list(words)
+        for at in rng.sample(range(1, 100), count):  # no two next to each other
+            own[3 * at] = f"x{rng.randrange(10**9)}"
+        return " ".join(own)
+
+    near, far = [changed(4) for _ in range(300)], [changed(8) for _ in range(300)]
+    rows = list(enumerate([" ".join(words), *near, *far]))
+    some = [*rows[:30], *rows[-30:]]
+    assert all(row[2] == 0 for row in brute_force(some))
+    assert all(row[3] for row in brute_force(some[1:])[-30:])
+    got = rows_of(spark, rows, 4)
+    assert all(row[2] == 0 for row in got[:301])
+    assert sum(row[2] == 0 for row in got[301:]) >= 297  # each by one pair, which misses all trees with a chance of 0.3 %
+
+
+def test_a_crowd_has_one_name_in_all_its_parts():
+    labels = np.zeros((3 * REGION, WIDTH), np.uint8)
+    labels[-2:, -1] = 1, 2
+    _, _, _, members, regions = candidates(labels)
+    assert members.tolist() == list(range(3 * REGION - 2))
+    assert set(regions.tolist()) == set(candidates(labels[REGION:])[4].tolist()) and len(set(regions.tolist())) == 1
+
+
+def test_near_pairs_of_a_region_and_of_tiles(spark):
+    """Classes with sketches of two widths, compared with all others or across two sides."""
+    rng = random.Random(26)
+    rows = []
+    for name in range(120):
+        size = rng.choice([60, 66, 500])
+        parts = [-1 if rng.random() < 0.9 else rng.randrange(2**62) for _ in range(1 << (size > 63))]
+        rows.append((name, rng.randrange(4), size, parts))
+
+    def possible(a, b):
+        small, large = sorted((a[3], b[3]), key=len)
+        if len(small) < len(large):
+            large = [large[0] ^ large[1]]
+        apart = sum(((x ^ y) & (2**64 - 1)).bit_count() for x, y in zip(small, large))
+        total = a[2] + b[2]
+        alike = 20 * a[2] >= 17 * b[2] and 20 * b[2] >= 17 * a[2]
+        return a[1] != b[1] and alike and apart <= total - 2 * -(-17 * total // 37)
+
+    def found(sides):
+        full = [(9, *row, side) for row, side in zip(rows, sides)]
+        frame = spark.createDataFrame(full, "region long, class long, root long, n_shingles long, sketch array<long>, side long")
+        return sorted(map(tuple, minhash_forest._near_pairs(frame).distinct().collect()))
+
+    every = [(a[0], b[0]) for k, b in enumerate(rows) for a in rows[:k] if possible(a, b)]
+    assert found([0] * 120) == sorted(every) and len(every) > 100
+    across = [(a, b) for a, b in every if a % 2 != b % 2]
+    assert found([1 + k % 2 for k in range(120)]) == sorted(across)
+
+
 def test_missing_and_repeated_ids(spark):
     long_, other = " ".join(f"w{k}" for k in range(50)), " ".join(f"v{k}" for k in range(50))
     rows = [(5, long_), (5, long_), (None, long_ + " more"), (7, other), (7, "short text"), (9, "short text")]
